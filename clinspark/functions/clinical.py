@@ -50,7 +50,8 @@ def pick(values: Sequence, index) -> Column:
 
 def format_pct(ratio, digits: int = 2) -> Column:
     """0.1234 -> '12.34%'."""
-    return F.format_string(f"%.{digits}f%%", round_half_up(_c(ratio) * 100, digits))
+    r = _c(ratio)
+    return F.when(r.isNotNull(), F.format_string(f"%.{digits}f%%", round_half_up(r * 100, digits)))
 
 
 # ------------------------------------------------------------- patients --

@@ -194,9 +194,13 @@ def invalid_samples(df: DataFrame, rule: Rule, k: int = 3, source: str = "table"
 
 # ----------------------------------------------------------------- suites --
 
-def suite_rules(name: str, df: DataFrame, patient_ref: DataFrame | None = None) -> list[Rule]:
-    """Q7: the per-source rule lists (fixed check list of the source system)."""
-    cols = set(df.columns)
+def suite_rules(name: str, df, patient_ref: DataFrame | None = None) -> list[Rule]:
+    """Q7: the per-source rule lists (fixed check list of the source system).
+
+    ``df`` is the table (or just its column names); optional checks depend on
+    which columns exist.
+    """
+    cols = set(df.columns) if hasattr(df, "columns") else set(df)
     pref = (patient_ref, "patient_id")
     if name == "patients":
         rules = [NotNull("patient_id"), NotNull("mrn"), Unique("patient_id"), Unique("mrn"),
