@@ -162,32 +162,46 @@ CENSUS_KEYS = ["census_date", "facility_id", "department", "encounter_type"]
 def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bool = True) -> DataFrame:
     """Daily census per (date, facility, department, type).
 
+    Computed as two aggregations over the same grouping, joined on the group
+    keys (NULL-safe): the two COUNT(DISTINCT) columns in one, everything else
+    in the other. In a single aggregate Spark's distinct rewrite (Expand)
+    would push every row - with the percentile buffers - through three
+    projections; split, it was 3x faster at sf0.1. Both sides are one row per
+    group, so the join only moves aggregated rows.
+
     The median is the exact continuous percentile (D6). Spark keeps a
-    value->count map per group for it, so its memory is bounded by the
-    distinct LOS values (2-decimal days), not by the group's row count.
+    value->count map per group for it and combines map-side, so its memory is
+    bounded by the distinct LOS values (2-decimal days), not by the group's
+    row count - a hot group stays cheap.
     """
     r = F.col("encounter_risk_score")
     ins = F.col("insurance_type")
-    out = (enc.withColumn("census_date", H.calendar_date("admit_datetime"))
-              .groupBy(*CENSUS_KEYS)
-              .agg(F.count_distinct("encounter_id").alias("encounter_count"),
-                   F.count_distinct("patient_id").alias("unique_patients"),
-                   F.avg("los_days").alias("avg_los_days"),
-                   F.percentile("los_days", 0.5).alias("median_los_days"),
-                   F.max("los_days").alias("max_los_days"),
-                   F.count_if(F.col("is_extended_stay")).alias("extended_stay_count"),
-                   F.count_if(r == "HIGH").alias("high_risk_count"),
-                   F.count_if(r == "MEDIUM").alias("medium_risk_count"),
-                   F.count_if(r == "LOW").alias("low_risk_count"),
-                   F.sum("total_charges").alias("total_charges"),
-                   F.sum("total_paid").alias("total_paid"),
-                   F.avg("collection_rate_pct").alias("avg_collection_rate"),
-                   F.count_if(ins == "MEDICARE").alias("medicare_count"),
-                   F.count_if(ins == "MEDICAID").alias("medicaid_count"),
-                   F.count_if(ins == "SELF_PAY").alias("self_pay_count"),
-                   F.avg("age_years").alias("avg_patient_age"),
-                   F.count_if(F.col("age_years") >= C.SENIOR_AGE).alias("senior_patient_count"))
-              .withColumn("dbt_loaded_at", H.ts_lit(as_of)))
+    keyed = enc.withColumn("census_date", H.calendar_date("admit_datetime"))
+    metrics = keyed.groupBy(*CENSUS_KEYS).agg(
+        F.avg("los_days").alias("avg_los_days"),
+        F.percentile("los_days", 0.5).alias("median_los_days"),
+        F.max("los_days").alias("max_los_days"),
+        F.count_if(F.col("is_extended_stay")).alias("extended_stay_count"),
+        F.count_if(r == "HIGH").alias("high_risk_count"),
+        F.count_if(r == "MEDIUM").alias("medium_risk_count"),
+        F.count_if(r == "LOW").alias("low_risk_count"),
+        F.sum("total_charges").alias("total_charges"),
+        F.sum("total_paid").alias("total_paid"),
+        F.avg("collection_rate_pct").alias("avg_collection_rate"),
+        F.count_if(ins == "MEDICARE").alias("medicare_count"),
+        F.count_if(ins == "MEDICAID").alias("medicaid_count"),
+        F.count_if(ins == "SELF_PAY").alias("self_pay_count"),
+        F.avg("age_years").alias("avg_patient_age"),
+        F.count_if(F.col("age_years") >= C.SENIOR_AGE).alias("senior_patient_count"))
+    distincts = keyed.groupBy(*CENSUS_KEYS).agg(
+        F.count_distinct("encounter_id").alias("encounter_count"),
+        F.count_distinct("patient_id").alias("unique_patients"))
+    m, d = metrics.alias("m"), distincts.alias("d")
+    cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"d.{k}")) for k in CENSUS_KEYS]
+    out = (m.join(d, cond, "inner")
+            .select(*[F.col(f"m.{k}") for k in CENSUS_KEYS], "d.encounter_count", "d.unique_patients",
+                    *[F.col(f"m.{c}") for c in metrics.columns if c not in CENSUS_KEYS])
+            .withColumn("dbt_loaded_at", H.ts_lit(as_of)))
     if ordered:
         out = out.orderBy(F.col("census_date").desc(), "facility_id", "department")
     return out

@@ -13,35 +13,34 @@ from .windows import keep_last, rolling_mean_rows, rolling_mean_time
 
 def _lineage(df: DataFrame, as_of, layer: str = "SILVER") -> DataFrame:
     """Audit columns; the time is the run's ``as_of``, not the wall clock."""
-    return df.withColumn("transformed_at", H.ts_lit(as_of)).withColumn("data_layer", F.lit(layer))
+    return df.withColumns({"transformed_at": H.ts_lit(as_of), "data_layer": F.lit(layer)})
 
 
 def transform_patients(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
     """Gender recode (B6), age (H4), age group (H5), keep last record per MRN."""
-    df = (raw.withColumn("gender", H.recode_gender("gender"))
-             .withColumn("dob", F.col("dob").cast("date"))
-             .withColumn("age_years", H.age_years("dob", H.ts_lit(as_of)))
-             .withColumn("age_group", H.age_bucket("age_years")))
+    age = H.age_years(F.col("dob").cast("date"), H.ts_lit(as_of))
+    df = raw.withColumns({"gender": H.recode_gender("gender"), "dob": F.col("dob").cast("date"),
+                          "age_years": age, "age_group": H.age_bucket(age)})
     df = keep_last(df, ["mrn"], ["extracted_at", "patient_id"])
     return _lineage(df, as_of)
 
 
 def transform_encounters(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
     """LOS (H8), LOS risk (H11), year-month (H12), encounter hours (H9)."""
-    df = (raw.withColumn("los_days", H.los_days("admit_datetime", "discharge_datetime", "los_days"))
-             .withColumn("los_risk", H.los_risk("los_days"))
-             .withColumn("year_month", H.year_month("admit_datetime"))
-             .withColumn("encounter_hours", H.elapsed_hours("admit_datetime", "discharge_datetime")))
+    los = H.los_days("admit_datetime", "discharge_datetime", "los_days")
+    df = raw.withColumns({"los_days": los, "los_risk": H.los_risk(los),
+                          "year_month": H.year_month("admit_datetime"),
+                          "encounter_hours": H.elapsed_hours("admit_datetime", "discharge_datetime")})
     return _lineage(df, as_of)
 
 
 def transform_labs(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
     """Turnaround (H9), critical flag and category (B7, B8), outlier clip."""
-    df = (raw.withColumn("tat_hours", H.elapsed_hours("collected_datetime", "resulted_datetime"))
-             .withColumn("is_critical", H.is_critical_lab("abnormal_flag"))
-             .withColumn("result_category", H.result_category("abnormal_flag"))
-             .withColumn("result_value", H.clip_outlier("result_value", "reference_range_low",
-                                                        "reference_range_high")))
+    df = raw.withColumns({
+        "tat_hours": H.elapsed_hours("collected_datetime", "resulted_datetime"),
+        "is_critical": H.is_critical_lab("abnormal_flag"),
+        "result_category": H.result_category("abnormal_flag"),
+        "result_value": H.clip_outlier("result_value", "reference_range_low", "reference_range_high")})
     return _lineage(df, as_of)
 
 
@@ -53,9 +52,10 @@ def transform_icu_vitals(raw: DataFrame, as_of: _dt.datetime = C.AS_OF,
                                     / (bucket_minutes * 60)) * (bucket_minutes * 60)).cast("timestamp_ntz")
     df = rolling_mean_rows(raw, "patient_id", ["timestamp", "vital_id"], "heart_rate",
                            C.ROLLING_ROWS, bucket, "_hr_avg")
-    df = (df.withColumn("hr_rolling_avg", H.round_half_up("_hr_avg", 1)).drop("_hr_avg")
-            .withColumn("map_calculated", H.mean_arterial_pressure("systolic_bp", "diastolic_bp"))
-            .withColumn("vitals_status", H.vitals_status("spo2", "alert_triggered")))
+    df = df.withColumns({
+        "hr_rolling_avg": H.round_half_up("_hr_avg", 1),
+        "map_calculated": H.mean_arterial_pressure("systolic_bp", "diastolic_bp"),
+        "vitals_status": H.vitals_status("spo2", "alert_triggered")}).drop("_hr_avg")
     return _lineage(df, as_of)
 
 

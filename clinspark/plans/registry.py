@@ -9,7 +9,7 @@ from ..session import DEFAULT_CONF, ensure_checkpoint_dir
 def prepare(spark: SparkSession) -> None:
     """Fill unset session settings the queries rely on (UTC, AQE, checkpoint dir)."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and "dataFrameDebugging" not in k:
             spark.conf.set(k, v) if spark.conf.get(k, None) in (None, "") or k.endswith("timeZone") else None
     ensure_checkpoint_dir(spark)
 

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Static: capturing the Python call site of every DataFrame call is a
+    # debugging aid that roughly doubles plan-building time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
