@@ -78,7 +78,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         t0 = time.time()
         df = silver.to_silver(name, testdata.bronze(spark, cfg.sf_dir, name), cfg.as_of)
         path = os.path.join(stage, "silver", name)
-        loaded[table] = sinks.load(df, table, mode="replace", path=path)
+        loaded[table] = sinks.load(df, table, mode="replace", path=path, as_text=False)
         paths[name] = path
         source_rows.append((name, loaded[table], time.time() - t0))
     staged = {n: spark.read.parquet(p) for n, p in paths.items()}

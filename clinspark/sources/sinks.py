@@ -32,17 +32,19 @@ def load_format(df: DataFrame, blank: bool = False) -> DataFrame:
 
 
 def load(df: DataFrame, target: str, mode: str = "append", schema=None, blank: bool = False,
-         path: str | None = None, partition_by: list[str] | None = None) -> int:
+         path: str | None = None, partition_by: list[str] | None = None, as_text: bool = True) -> int:
     """A4: write ``df`` to a catalog table (or a parquet path); returns rows written.
 
     An empty frame is skipped and returns 0. ``mode`` is 'append' or 'replace'.
-    The row count comes from an ``Observation`` on the write itself, so the
-    data is read once.
+    ``as_text`` applies the warehouse load format (A5/A6); typed staging
+    tables pass False. The row count comes from an ``Observation`` on the
+    write itself, so the data is read once.
     """
     if df.isEmpty():
         return 0
     out = conform(df, schema) if schema is not None else df
-    out = load_format(out, blank)
+    if as_text:
+        out = load_format(out, blank)
     obs = Observation(f"load_{target}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite" if mode == "replace" else mode)

@@ -16,6 +16,7 @@ watermark needs TIMESTAMP, so the stream casts with the session zone (UTC).
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,15 +41,24 @@ def vitals_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_file
                 .withColumn("event_time", F.col("timestamp").cast("timestamp")))
 
 
-def dedup_vitals(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """S3: one row per vital_id among rows inside the watermark."""
-    return stream.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["vital_id"])
+def with_watermark(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """Late-data bound on event time; defined once per query, shared by S3 and S2."""
+    return stream.withWatermark("event_time", watermark)
 
 
-def alert_windows(stream: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
-    """Per (5-minute window, ICU unit): readings, alerts, mean heart rate."""
-    return (stream.withWatermark("event_time", watermark)
-                  .groupBy(F.window("event_time", window).alias("w"), "icu_unit")
+def dedup_vitals(stream: DataFrame) -> DataFrame:
+    """S3: one row per vital_id among rows inside the watermark (set beforehand)."""
+    return stream.dropDuplicatesWithinWatermark(["vital_id"])
+
+
+def alert_windows(stream: DataFrame, window: str = WINDOW, watermark: str | None = WATERMARK) -> DataFrame:
+    """Per (5-minute window, ICU unit): readings, alerts, mean heart rate.
+
+    Pass ``watermark=None`` when the stream already carries one.
+    """
+    if watermark:
+        stream = with_watermark(stream, watermark)
+    return (stream.groupBy(F.window("event_time", window).alias("w"), "icu_unit")
                   .agg(F.count(F.lit(1)).alias("readings"),
                        F.count_if(F.col("alert_triggered")).alias("alerts"),
                        F.avg("heart_rate").alias("mean_hr"))
@@ -59,12 +69,15 @@ def alert_windows(stream: DataFrame, window: str = WINDOW, watermark: str = WATE
 
 def run_alert_windows(spark: SparkSession, path: str, query_name: str = "icu_alert_windows",
                       dedup: bool = True) -> StreamingQuery:
-    """Run S2 (after S3) over everything available now into a memory table."""
-    s = vitals_stream(spark, path)
+    """Run S2 (after S3) over everything available now into a memory table.
+
+    The memory sink cannot resume, so each run gets its own checkpoint folder.
+    """
+    s = with_watermark(vitals_stream(spark, path))
     if dedup:
         s = dedup_vitals(s)
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", query_name)
-    return (alert_windows(s).writeStream.outputMode("append").format("memory").queryName(query_name)
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", f"{query_name}-{uuid.uuid4().hex[:12]}")
+    return (alert_windows(s, watermark=None).writeStream.outputMode("append").format("memory").queryName(query_name)
               .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
 

@@ -1,0 +1,34 @@
+"""End-to-end batch run on sf0.001."""
+import os
+
+from clinspark.plans.pipeline import RunConfig, run
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_full_run_and_run_log(spark, tmp_dir):
+    res = run(spark, RunConfig(SF, tmp_dir, mode="full", run_id="r1"))
+    assert res.status in ("SUCCESS", "QUALITY_GATE_FAILED")
+    runs = spark.read.parquet(os.path.join(tmp_dir, "pipeline_runs"))
+    assert [r.status for r in runs.collect()] == [res.status]
+    assert res.records["encounters"] == 1500 and res.records["labs"] == 6000
+    if res.status == "SUCCESS":
+        census = spark.read.parquet(res.paths["mart_daily_census"])
+        assert census.count() > 0
+        assert spark.read.parquet(res.paths["mart_patient_encounters"]).count() == 1500
+    # a re-run with the same id replaces its log row (INSERT OR REPLACE)
+    res2 = run(spark, RunConfig(SF, tmp_dir, mode="validate-only", run_id="r1"))
+    runs = spark.read.parquet(os.path.join(tmp_dir, "pipeline_runs")).collect()
+    assert len(runs) == 1 and runs[0].status == res2.status
+
+
+def test_gate_failure_publishes_nothing(spark, tmp_dir):
+    res = run(spark, RunConfig(SF, tmp_dir, mode="full", threshold=1.01, run_id="strict"))
+    assert res.status == "QUALITY_GATE_FAILED" and res.gate_passed is False
+    assert "mart_daily_census" not in res.paths
+    assert os.path.exists(os.path.join(tmp_dir, "runs", "strict", "reports", "quality_checks"))
+
+
+def test_skip_validate_records_sla_score(spark, tmp_dir):
+    res = run(spark, RunConfig(SF, tmp_dir, mode="skip-validate", run_id="skip"))
+    assert res.status == "SUCCESS" and res.overall_score == 0.998 and res.gate_passed is None
