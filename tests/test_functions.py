@@ -130,3 +130,22 @@ def test_format_pct_and_blank(spark):
     df = rows(spark, [(0.1234,), (None,)], "x double")
     assert col_values(df, H.format_pct("x")) == ["12.34%", None]
     assert col_values(df, H.blank_nulls("x")) == ["0.1234", ""]
+
+
+def test_strict_and_lenient_casts(spark):
+    """H2: strict casts raise on bad input (ANSI); H3: the lenient parse gives NULL."""
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql.types import StringType
+
+    from clinspark.operators.quality import lenient_timestamp
+    df = rows(spark, [("2026-01-01T10:00:00+02:00",), ("garbage",)], "s string")
+    got = col_values(df, lenient_timestamp(F.col("s"), StringType()))
+    assert got == [dt.datetime(2026, 1, 1, 10, 0), None]
+    with pytest.raises(PySparkException):
+        df.select(F.col("s").cast("date")).collect()
+
+
+def test_metrics_json(spark):
+    df = rows(spark, [(1, 0.5)], "n long, score double")
+    assert col_values(df, H.metrics_json("n", "score")) == ['{"n":1,"score":0.5}']

@@ -32,3 +32,11 @@ def test_gate_failure_publishes_nothing(spark, tmp_dir):
 def test_skip_validate_records_sla_score(spark, tmp_dir):
     res = run(spark, RunConfig(SF, tmp_dir, mode="skip-validate", run_id="skip"))
     assert res.status == "SUCCESS" and res.overall_score == 0.998 and res.gate_passed is None
+
+
+def test_latest_runs(spark, tmp_dir):
+    from clinspark.operators.insights import latest_runs
+    from clinspark.schemas import TARGETS
+    rows = [(f"r{i}", f"2026-08-{i + 1:02d}T00:00:00", None, "SUCCESS", i, 1.0, 0.1, "{}") for i in range(8)]
+    runs = spark.createDataFrame(rows, TARGETS["pipeline_runs"])
+    assert [r.run_id for r in latest_runs(runs, 5).collect()] == ["r7", "r6", "r5", "r4", "r3"]
