@@ -67,6 +67,16 @@ class Tables:
                 self.silver("labs"), self.silver("billing"))
         return self._cache["int"]
 
+    def int_table(self) -> DataFrame:
+        """The intermediate model materialised as a table (as the model declares),
+        written once under the shared checkpoint folder. Queries that read it
+        more than once (the census reads it in two aggregations) then scan
+        parquet instead of recomputing four sources and three joins."""
+        if "int_table" not in self._cache:
+            from ..session import cut_lineage
+            self._cache["int_table"] = cut_lineage(self.int_patient_encounters(), "int_patient_encounters")
+        return self._cache["int_table"]
+
 
 def _doubles_sql(sql: str, cols: list[str], digits: int = 6, overrides: dict[str, int] | None = None) -> str:
     d = {c: digits for c in cols}

@@ -367,7 +367,7 @@ def model_tests(spark, sf_dir):
     """Q13: declared model tests (unique, not_null, accepted_values/range, relationships)."""
     t = Tables(spark, sf_dir)
     stg_p, stg_e = gold.stg_patients(t.silver("patients")), gold.stg_encounters(t.silver("encounters"))
-    int_pe = t.int_patient_encounters()
+    int_pe = t.int_table()
     return quality.declared_model_tests(stg_p, stg_e, int_pe, gold.mart_daily_census(int_pe, ordered=False))
 
 
