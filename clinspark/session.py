@@ -23,12 +23,37 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (100 TB input, ~1000 executors). Used with
+# ``get_session(profile="cluster")``; a cluster's own settings take precedence.
+CLUSTER_CONF = {
+    # ~256 MB scan splits: fewer, fuller tasks; files with many row groups split well
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # start wide and let AQE coalesce to ~256 MB per reducer: no reducer
+    # spills for want of partitions, small stages do not run 20k empty tasks
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    # skew: split a reducer 5x above the median and above 512 MB
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    # broadcast only what AQE measured small after a shuffle
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # retry lost shuffle output rather than failing the job
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_session(master: str | None = None, app: str = "clinspark",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                profile: str = "local") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

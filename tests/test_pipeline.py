@@ -12,6 +12,8 @@ def test_full_run_and_run_log(spark, tmp_dir):
     runs = spark.read.parquet(os.path.join(tmp_dir, "pipeline_runs"))
     assert [r.status for r in runs.collect()] == [res.status]
     assert res.records["encounters"] == 1500 and res.records["labs"] == 6000
+    months = [d for d in os.listdir(res.paths["encounters"]) if d.startswith("year_month=")]
+    assert len(months) > 12                          # facts partitioned by month
     if res.status == "SUCCESS":
         census = spark.read.parquet(res.paths["mart_daily_census"])
         assert census.count() > 0
