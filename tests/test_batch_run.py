@@ -1,7 +1,7 @@
 """End-to-end batch run on sf0.001."""
 import os
 
-from clinspark.plans.pipeline import RunConfig, run
+from clinspark.plans.batch import RunConfig, run
 
 SF = "/root/testdata/sf0.001"
 
