@@ -29,24 +29,42 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
               .select(*[F.col(f"_last._row.{c}").alias(c) for c in cols]))
 
 
+HOT_KEY_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
+    """Keys holding more than ``threshold`` rows, flagged ``_hot``.
+
+    A partial (map-side) count per key; the result has at most
+    rows / threshold entries, and it is joined without a hint, so adaptive
+    execution broadcasts it only after measuring it.
+    """
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
+              .select(key, F.lit(True).alias("_hot")))
+
+
 def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int,
-                      bucket: Column, out: str) -> DataFrame:
+                      bucket: Column, out: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Mean of ``value`` over the last ``rows`` rows per key (min 1 row, NULLs skipped).
 
-    ``bucket`` must be monotone in ``order`` (e.g. ``date_trunc('HOUR', ts)``).
-    Steps: (1) the last rows-1 rows of every (key, bucket) - a row_number
-    limit Spark applies partially before its shuffle; (2) per key, over those
-    tails only, the rows-1 rows that end each bucket; (3) that list, lagged by
-    one bucket, is the halo prepended to the next bucket; (4) one window per
-    (key, bucket) over rows + halo. Rows with a NULL key get NULL.
+    Keys with up to ``hot_rows`` rows run as one window per key. Hotter keys
+    are split by ``bucket`` (monotone in ``order``, e.g. ``date_trunc('HOUR', ts)``)
+    and each bucket gets a halo of the rows-1 rows before it:
+    (1) the last rows-1 rows of every hot (key, bucket) - a row_number limit
+    Spark applies partially before its shuffle; (2) per key, over those tails
+    only, the list of rows-1 rows ending each bucket; (3) that list, lagged by
+    one bucket, is the next bucket's halo; (4) one window per (key, bucket)
+    over rows + halo. The largest task is then one (hot key, bucket), not one
+    key. Rows with a NULL key get NULL.
     """
     back = rows - 1
     if back == 0:
         return df.withColumn(out, F.when(F.col(key).isNotNull(), F.col(value).cast("double")))
-    b = df.withColumn("_bucket", bucket)
+    flagged = df.join(hot_keys(df, key, hot_rows), key, "left")
+    b = flagged.withColumn("_bucket", F.when(F.col("_hot"), bucket)).drop("_hot")
     ords = [F.col(c) for c in order]
     desc = Window.partitionBy(key, "_bucket").orderBy(*[c.desc() for c in ords])
-    tails = (b.select(key, "_bucket", *order, value)
+    tails = (b.where(F.col("_bucket").isNotNull()).select(key, "_bucket", *order, value)
                .withColumn("_rd", F.row_number().over(desc))
                .where(F.col("_rd") <= back))
     carry = Window.partitionBy(key).orderBy(*ords).rowsBetween(-(back - 1), 0)

@@ -36,7 +36,9 @@ def _brute_rows(rows, n):
 def test_rolling_rows_matches_brute_force(spark):
     rows = _fixture()
     df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg")
+    # hot_rows=200: the hot patient (~1000 rows) is split by hour, the others run whole
+    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg",
+                            hot_rows=200)
     got = {r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}
     want = _brute_rows(rows, 10)
     assert len(got) == len(rows)
@@ -52,7 +54,17 @@ def test_rolling_rows_small_buckets(spark):
     reach back across several buckets."""
     rows = _fixture(800, seed=3)
     df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("MINUTE", "ts"), "avg")
+    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("MINUTE", "ts"), "avg",
+                            hot_rows=0)   # every key split into minute buckets
+    got = {r.vital_id: r.avg for r in out.collect()}
+    for k, v in _brute_rows(rows, 10).items():
+        assert (got[k] is None and v is None) or abs(got[k] - v) < 1e-9
+
+
+def test_rolling_rows_no_hot_keys(spark):
+    rows = _fixture(600, seed=5)
+    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
+    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg")
     got = {r.vital_id: r.avg for r in out.collect()}
     for k, v in _brute_rows(rows, 10).items():
         assert (got[k] is None and v is None) or abs(got[k] - v) < 1e-9
