@@ -86,21 +86,23 @@ def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str,
 
 
 def rolling_mean_time(df: DataFrame, key: str, ts: str, value: str, minutes: int,
-                      out: str, bucket_minutes: int = 60) -> DataFrame:
+                      out: str, bucket_minutes: int = 60, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Mean of ``value`` over rows of the same key with ts in [ts - minutes, ts].
 
-    Rows are bucketed by ``bucket_minutes``; rows in the last ``minutes`` of a
-    bucket are copied into the next bucket as halo, then a RANGE frame runs
-    per (key, bucket). Needs bucket_minutes >= minutes.
+    Keys with up to ``hot_rows`` rows run one RANGE window per key. Rows of
+    hotter keys are bucketed by ``bucket_minutes``; rows in the last
+    ``minutes`` of a bucket are copied into the next bucket as halo, then the
+    RANGE frame runs per (key, bucket). Needs bucket_minutes >= minutes.
     """
     if bucket_minutes < minutes:
         raise ValueError("bucket must be at least as long as the window")
     width = bucket_minutes * 60
     start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / width) * width)
-    bucket = start.cast("timestamp_ntz")
-    b = df.withColumn("_bucket", bucket).withColumn("_is_halo", F.lit(False))
+    flagged = df.join(hot_keys(df, key, hot_rows), key, "left")
+    b = (flagged.withColumn("_bucket", F.when(F.col("_hot"), start.cast("timestamp_ntz"))).drop("_hot")
+                .withColumn("_is_halo", F.lit(False)))
     nxt = F.timestamp_add("MINUTE", F.lit(bucket_minutes), F.col("_bucket"))
-    halo = (b.where(F.col(ts) >= F.timestamp_add("MINUTE", F.lit(-minutes), nxt))
+    halo = (b.where(F.col("_bucket").isNotNull() & (F.col(ts) >= F.timestamp_add("MINUTE", F.lit(-minutes), nxt)))
              .select(key, ts, value, nxt.alias("_bucket"), F.lit(True).alias("_is_halo")))
     both = b.unionByName(halo, allowMissingColumns=True)
     frame_sql = (f"avg(`{value}`) OVER (PARTITION BY `{key}`, _bucket ORDER BY `{ts}` "

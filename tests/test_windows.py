@@ -73,8 +73,10 @@ def test_rolling_rows_no_hot_keys(spark):
 def test_rolling_time_matches_brute_force(spark):
     rows = _fixture(1500, seed=11)
     df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_time(df, "patient_id", "ts", "hr", 5, "avg")
+    out = rolling_mean_time(df, "patient_id", "ts", "hr", 5, "avg", hot_rows=100)   # hot keys split by hour
     got = {r.vital_id: r.avg for r in out.collect()}
+    plain = {r.vital_id: r.avg for r in rolling_mean_time(df, "patient_id", "ts", "hr", 5, "avg").collect()}
+    assert plain == got
     by_pid = {}
     for r in rows:
         by_pid.setdefault(r[1], []).append(r)
