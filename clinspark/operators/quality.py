@@ -137,16 +137,12 @@ def orphans(df: DataFrame, fk: str, ref_df: DataFrame, ref_col: str, allow_null:
     return counts.join(keys, "_k", "left_anti").withColumnRenamed("_k", fk)
 
 
-def _fk_result(source: str, rule: Rule, df: DataFrame) -> DataFrame:
+def _fk_orphans(source: str, rule: Rule, df: DataFrame, idx: int) -> DataFrame:
+    """One FK rule's orphan count (anti join); its denominator comes from the fused pass."""
     ref_df, ref_col = rule.ref
-    fk = F.col(rule.column)
-    denom = df.agg((F.count(fk) if rule.allow_null else F.count(F.lit(1))).alias("total"))
-    orph = orphans(df, rule.column, ref_df, ref_col, rule.allow_null).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
-    return (orph.unionByName(denom, allowMissingColumns=True)
-                .agg(F.max("violations").alias("violations"), F.max("total").alias("total"))
-                .select(F.lit(source).alias("source"), F.lit(rule.check).alias("check"),
-                        F.lit(rule.kind).alias("kind"), F.lit(rule.tol).alias("tol"), "violations", "total"))
+    return (orphans(df, rule.column, ref_df, ref_col, rule.allow_null)
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+            .select(F.lit(idx).alias("_idx"), "violations"))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], source: str = "table",
@@ -154,33 +150,38 @@ def validate(df: DataFrame, rules: Sequence[Rule], source: str = "table",
     """Evaluate ``rules`` on ``df``: one row per check with
     (source, check, kind, violations, total, pct, passed, status).
 
+    One aggregation pass computes every row-local rule and every FK
+    denominator; each FK rule adds one anti join for its orphan count.
     Custom rules pass when violations / max(total, 1) < tol; unique needs 0.
     """
-    local = [r for r in rules if r.kind != "foreign_key"]
-    parts = []
-    if local:
-        exprs = []
-        for i, r in enumerate(local):
-            v, d = _violation_exprs(r, df, as_of)
-            exprs += [v.cast("long").alias(f"v{i}"), d.cast("long").alias(f"d{i}")]
-        row = df.agg(*exprs)
-        structs = [F.struct(F.lit(r.check).alias("check"), F.lit(r.kind).alias("kind"),
-                            F.lit(float(r.tol)).alias("tol"),
-                            F.col(f"v{i}").alias("violations"), F.col(f"d{i}").alias("total"))
-                   for i, r in enumerate(local)]
-        parts.append(row.select(F.explode(F.array(*structs)).alias("r"))
-                        .select(F.lit(source).alias("source"), "r.*"))
-    for r in rules:
+    exprs = []
+    for i, r in enumerate(rules):
         if r.kind == "foreign_key":
-            parts.append(_fk_result(source, r, df))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            c = F.col(r.column)
+            v, d = F.lit(0), (F.count(c) if r.allow_null else F.count(F.lit(1)))
+        else:
+            v, d = _violation_exprs(r, df, as_of)
+        exprs += [v.cast("long").alias(f"v{i}"), d.cast("long").alias(f"d{i}")]
+    row = df.agg(*exprs)
+    structs = [F.struct(F.lit(i).alias("_idx"), F.lit(r.check).alias("check"), F.lit(r.kind).alias("kind"),
+                        F.lit(float(r.tol)).alias("tol"),
+                        F.col(f"v{i}").alias("violations"), F.col(f"d{i}").alias("total"))
+               for i, r in enumerate(rules)]
+    out = row.select(F.explode(F.array(*structs)).alias("r")).select(F.lit(source).alias("source"), "r.*")
+    fks = [_fk_orphans(source, r, df, i) for i, r in enumerate(rules) if r.kind == "foreign_key"]
+    if fks:
+        orph = fks[0]
+        for f in fks[1:]:
+            orph = orph.unionByName(f)
+        # one row per FK rule on each side: a bounded join on the rule index
+        out = (out.join(orph.withColumnRenamed("violations", "_orphans"), "_idx", "left")
+                  .withColumn("violations", F.coalesce(F.col("_orphans"), F.col("violations")))
+                  .drop("_orphans"))
     pct = F.col("violations") / F.greatest(F.col("total"), F.lit(1))
     passed = F.when(F.col("kind") == "unique", F.col("violations") == 0).otherwise(pct < F.col("tol"))
     return (out.withColumn("pct", pct).withColumn("passed", passed)
                .withColumn("status", F.when(F.col("passed"), "PASS").otherwise("FAIL"))
-               .drop("tol"))
+               .drop("tol", "_idx"))
 
 
 def invalid_samples(df: DataFrame, rule: Rule, k: int = 3, source: str = "table") -> DataFrame:
