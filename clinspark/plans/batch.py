@@ -18,6 +18,7 @@ import json
 import os
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,7 @@ class RunResult:
     loaded: dict
     duration_minutes: float
     paths: dict
+    phases: dict = field(default_factory=dict)
 
 
 # Facts written partitioned by month (partition pruning for date-bounded
@@ -69,6 +71,15 @@ def _metrics_frame(spark: SparkSession, run_id: str, source_rows: list[tuple]) -
                      F.round(F.col("records") / F.greatest(F.col("seconds"), F.lit(0.001)), 0).alias("rows_per_sec"))
 
 
+def _concurrently(tasks: dict, workers: int = 8) -> dict:
+    """Run independent Spark actions as concurrent jobs (the scheduler
+    interleaves their tasks); returns {name: result}. Only job submission
+    happens here - no data passes through the driver."""
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     started = time.time()
     started_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -76,71 +87,95 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     paths: dict[str, str] = {}
     loaded: dict[str, int] = {}
     source_rows = []
+    phases: dict[str, float] = {}
+    mark = [time.time()]
 
-    # bronze -> silver, written once (A4); counts come from the write itself
-    for name, table in LOAD_TABLES.items():
+    def phase(name: str) -> None:
+        now = time.time()
+        phases[name] = round(now - mark[0], 2)
+        mark[0] = now
+
+    # bronze -> silver, written once (A4); counts come from the write itself.
+    # The nine sources are independent: their writes run as concurrent jobs.
+    def stage_one(name: str, table: str):
         t0 = time.time()
         df = silver.to_silver(name, testdata.bronze(spark, cfg.sf_dir, name), cfg.as_of)
         path = os.path.join(stage, "silver", name)
         part, cluster = PARTITIONS.get(name, (None, None))
-        loaded[table] = sinks.load(df, table, mode="replace", path=path, as_text=False,
-                                   partition_by=part, cluster_by=cluster)
-        paths[name] = path
-        source_rows.append((name, loaded[table], time.time() - t0))
+        n = sinks.load(df, table, mode="replace", path=path, as_text=False, partition_by=part, cluster_by=cluster)
+        return path, n, time.time() - t0
+
+    done = _concurrently({name: (lambda n=name, t=table: stage_one(n, t)) for name, table in LOAD_TABLES.items()})
+    for name, table in LOAD_TABLES.items():
+        path, n, secs = done[name]
+        paths[name], loaded[table] = path, n
+        source_rows.append((name, n, secs))
+    phase("stage_silver")
     staged = {n: spark.read.parquet(p) for n, p in paths.items()}
     records = {n: loaded[LOAD_TABLES[n]] for n in LOAD_TABLES}
 
     overall_score, gate = None, None
     if cfg.mode != "skip-validate":
         data = {n: staged[n] for n in quality.SUITE_ORDER}
-        checks = quality.run_checks(data, data["patients"], cfg.as_of)
+        # one row per check: small, so cached once and reused by the gate and all reports
+        checks = quality.run_checks(data, data["patients"], cfg.as_of).cache()
         counts = spark.createDataFrame([(n, records[n]) for n in quality.SUITE_ORDER],
                                        "source string, record_count long")
         scores = quality.score_sources(checks, counts, cfg.threshold)
         summary = quality.overall(scores, cfg.threshold)
         report = os.path.join(stage, "reports")
-        sinks.write_json_report(checks, os.path.join(report, "quality_checks"))          # A11
-        sinks.write_json_report(scores, os.path.join(report, "quality_scores"))
-        sinks.write_json_report(quality.record_estimates(scores), os.path.join(report, "quality_records"))
+        _concurrently({                                                                  # A11
+            "checks": lambda: sinks.write_json_report(checks, os.path.join(report, "quality_checks")),
+            "scores": lambda: sinks.write_json_report(scores, os.path.join(report, "quality_scores")),
+            "records": lambda: sinks.write_json_report(quality.record_estimates(scores),
+                                                       os.path.join(report, "quality_records"))})
         row = summary.first()  # one row: the gate decision is the only value the driver needs
         overall_score, gate = float(row["overall_score"]), bool(row["gate_passed"])
+        phase("quality_gate")
         if not gate:  # Q10: halt before anything is published
             return _finish(spark, cfg, started, started_at, "QUALITY_GATE_FAILED", overall_score, gate,
-                           records, loaded, paths, source_rows)
+                           records, loaded, paths, source_rows, phases)
         if cfg.mode == "validate-only":
             return _finish(spark, cfg, started, started_at, "VALIDATED", overall_score, gate,
-                           records, loaded, paths, source_rows)
+                           records, loaded, paths, source_rows, phases)
     else:
         overall_score = C.SLA_QUALITY
 
-    # gold mart and models from the staged silver tables (A10)
+    # gold mart and models from the staged silver tables (A10); mart and the
+    # intermediate model are independent, the census reads the written model
     mart = gold.patient_encounter_mart(staged["patients"], staged["encounters"], staged["labs"],
                                        staged["billing"], cfg.as_of)
     paths["mart_patient_encounters"] = os.path.join(stage, "marts", "mart_patient_encounters")
-    loaded["mart_patient_encounters"] = sinks.load(mart, "mart_patient_encounters", "replace",
-                                                   schema=TARGETS["mart_patient_encounters"],
-                                                   path=paths["mart_patient_encounters"])
     stg_p = sinks.materialize(gold.stg_patients(staged["patients"], cfg.as_of, cfg.run_id), "stg_patients",
                               "STAGING", as_view=True)
     stg_e = sinks.materialize(gold.stg_encounters(staged["encounters"], cfg.as_of), "stg_encounters",
                               "STAGING", as_view=True)
-    int_pe = sinks.materialize(gold.int_patient_encounters(stg_p, stg_e, staged["labs"], staged["billing"],
-                                                           cfg.as_of),
-                               "int_patient_encounters", "INTERMEDIATE", path=stage)
+    built = _concurrently({
+        "mart": lambda: sinks.load(mart, "mart_patient_encounters", "replace",
+                                   schema=TARGETS["mart_patient_encounters"], path=paths["mart_patient_encounters"]),
+        "int": lambda: sinks.materialize(gold.int_patient_encounters(stg_p, stg_e, staged["labs"], staged["billing"],
+                                                                     cfg.as_of),
+                                         "int_patient_encounters", "INTERMEDIATE", path=stage)})
+    loaded["mart_patient_encounters"] = built["mart"]
+    int_pe = built["int"]
+    phase("mart_and_int")
     census = sinks.materialize(gold.mart_daily_census(int_pe, cfg.as_of), "mart_daily_census", "MARTS", path=stage)
+    phase("census")
     paths["int_patient_encounters"] = os.path.join(stage, "intermediate", "int_patient_encounters")
     paths["mart_daily_census"] = os.path.join(stage, "marts", "mart_daily_census")
     tests = quality.declared_model_tests(stg_p, stg_e, int_pe, census)                      # Q13
     sinks.write_json_report(tests, os.path.join(stage, "reports", "model_tests"))
+    phase("model_tests")
     return _finish(spark, cfg, started, started_at, "SUCCESS", overall_score, gate, records, loaded, paths,
-                   source_rows)
+                   source_rows, phases)
 
 
-def _finish(spark, cfg, started, started_at, status, score, gate, records, loaded, paths, source_rows) -> RunResult:
+def _finish(spark, cfg, started, started_at, status, score, gate, records, loaded, paths, source_rows,
+            phases=None) -> RunResult:
     minutes = (time.time() - started) / 60
     metrics = {"run_id": cfg.run_id, "mode": cfg.mode, "records": records, "loaded": loaded,
                "quality_score": score, "gate_passed": gate, "sla_target_minutes": C.SLA_MINUTES,
-               "sla_met": minutes <= C.SLA_MINUTES, "paths": paths}
+               "sla_met": minutes <= C.SLA_MINUTES, "paths": paths, "phase_seconds": phases or {}}
     run_row = spark.createDataFrame(
         [(cfg.run_id, started_at.isoformat(), _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(),
           status, int(sum(records.values())), float(score) if score is not None else None, round(minutes, 2),
@@ -149,4 +184,4 @@ def _finish(spark, cfg, started, started_at, status, score, gate, records, loade
     sinks.upsert_by_key(spark, run_row, os.path.join(cfg.out_dir, "pipeline_runs"), ["run_id"])   # A9
     sinks.write_json_report(_metrics_frame(spark, cfg.run_id, source_rows),
                             os.path.join(cfg.out_dir, "runs", cfg.run_id, "reports", "source_metrics"))
-    return RunResult(cfg.run_id, status, score, gate, records, loaded, round(minutes, 2), paths)
+    return RunResult(cfg.run_id, status, score, gate, records, loaded, round(minutes, 2), paths, phases or {})
