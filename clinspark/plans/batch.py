@@ -131,6 +131,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                                                        os.path.join(report, "quality_records"))})
         row = summary.first()  # one row: the gate decision is the only value the driver needs
         overall_score, gate = float(row["overall_score"]), bool(row["gate_passed"])
+        checks.unpersist()     # the staged files may be replaced by a later run of the same id
         phase("quality_gate")
         if not gate:  # Q10: halt before anything is published
             return _finish(spark, cfg, started, started_at, "QUALITY_GATE_FAILED", overall_score, gate,
