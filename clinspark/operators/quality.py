@@ -320,40 +320,86 @@ def model_test(df: DataFrame, model: str, test: str, column: str, values: Sequen
                         F.lit(column).alias("column"), F.col("failures").cast("long").alias("failures"))
 
 
-def declared_model_tests(stg_p: DataFrame, stg_e: DataFrame, int_pe: DataFrame, census: DataFrame) -> DataFrame:
-    """Q13: the declared tests of the four models, with PASS when 0 rows fail."""
-    tests = [
-        model_test(stg_p, "stg_patients", "unique", "patient_id"),
-        model_test(stg_p, "stg_patients", "not_null", "patient_id"),
-        model_test(stg_p, "stg_patients", "unique", "mrn"),
-        model_test(stg_p, "stg_patients", "not_null", "mrn"),
-        model_test(stg_p, "stg_patients", "not_null", "gender"),
-        model_test(stg_p, "stg_patients", "accepted_values", "gender", C.GENDER_VALUES),
-        model_test(stg_p, "stg_patients", "not_null", "age_years"),
-        model_test(stg_p, "stg_patients", "accepted_range", "age_years", low=0, high=130),
-        model_test(stg_p, "stg_patients", "not_null", "insurance_type"),
-        model_test(stg_p, "stg_patients", "accepted_values", "insurance_type", C.INSURANCE_ACCEPTED),
-        model_test(stg_e, "stg_encounters", "unique", "encounter_id"),
-        model_test(stg_e, "stg_encounters", "not_null", "encounter_id"),
-        model_test(stg_e, "stg_encounters", "not_null", "patient_id"),
-        model_test(stg_e, "stg_encounters", "relationships", "patient_id", ref=(stg_p, "patient_id")),
-        model_test(stg_e, "stg_encounters", "not_null", "encounter_type"),
-        model_test(stg_e, "stg_encounters", "accepted_values", "encounter_type", C.ENCOUNTER_TYPES),
-        model_test(stg_e, "stg_encounters", "accepted_range", "los_days", low=0, high=365,
-                   where="los_days IS NOT NULL"),
-        model_test(int_pe, "int_patient_encounters", "unique", "encounter_id"),
-        model_test(int_pe, "int_patient_encounters", "not_null", "encounter_id"),
-        model_test(int_pe, "int_patient_encounters", "accepted_values", "encounter_risk_score",
-                   ["HIGH", "MEDIUM", "LOW"]),
-        model_test(census, "mart_daily_census", "not_null", "census_date"),
-        model_test(census, "mart_daily_census", "accepted_range", "avg_los_days", low=0, high=365),
-    ]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out.unionByName(t)
+# Declared tests of the four models: (model, test, column, options) - fixed values.
+MODEL_TESTS = [
+    ("stg_patients", "unique", "patient_id", {}),
+    ("stg_patients", "not_null", "patient_id", {}),
+    ("stg_patients", "unique", "mrn", {}),
+    ("stg_patients", "not_null", "mrn", {}),
+    ("stg_patients", "not_null", "gender", {}),
+    ("stg_patients", "accepted_values", "gender", {"values": C.GENDER_VALUES}),
+    ("stg_patients", "not_null", "age_years", {}),
+    ("stg_patients", "accepted_range", "age_years", {"low": 0, "high": 130}),
+    ("stg_patients", "not_null", "insurance_type", {}),
+    ("stg_patients", "accepted_values", "insurance_type", {"values": C.INSURANCE_ACCEPTED}),
+    ("stg_encounters", "unique", "encounter_id", {}),
+    ("stg_encounters", "not_null", "encounter_id", {}),
+    ("stg_encounters", "not_null", "patient_id", {}),
+    ("stg_encounters", "relationships", "patient_id", {"ref": ("stg_patients", "patient_id")}),
+    ("stg_encounters", "not_null", "encounter_type", {}),
+    ("stg_encounters", "accepted_values", "encounter_type", {"values": C.ENCOUNTER_TYPES}),
+    ("stg_encounters", "accepted_range", "los_days", {"low": 0, "high": 365, "where": "los_days IS NOT NULL"}),
+    ("int_patient_encounters", "unique", "encounter_id", {}),
+    ("int_patient_encounters", "not_null", "encounter_id", {}),
+    ("int_patient_encounters", "accepted_values", "encounter_risk_score", {"values": ["HIGH", "MEDIUM", "LOW"]}),
+    ("mart_daily_census", "not_null", "census_date", {}),
+    ("mart_daily_census", "accepted_range", "avg_los_days", {"low": 0, "high": 365}),
+]
+
+_ROW_LOCAL_TESTS = ("not_null", "accepted_values", "accepted_range")
+
+
+def _failing(test: str, c: Column, opts: dict) -> Column:
+    """Row condition of a failing row for a row-local model test."""
+    if test == "not_null":
+        cond = c.isNull()
+    elif test == "accepted_values":
+        cond = ~c.isin(*opts["values"])          # NULL gives NULL: passes, as in the framework
+    else:
+        ok = F.lit(True)
+        if opts.get("low") is not None:
+            ok = ok & (c >= F.lit(opts["low"]))
+        if opts.get("high") is not None:
+            ok = ok & (c <= F.lit(opts["high"]))
+        cond = ~ok
+    if opts.get("where"):
+        cond = F.expr(opts["where"]) & cond
+    return cond
+
+
+def run_model_tests(models: dict[str, DataFrame], tests=MODEL_TESTS) -> DataFrame:
+    """Q13: declared model tests -> (model, test, column, failures, status).
+
+    Row-local tests of one model (not_null, accepted_values, accepted_range)
+    share one aggregation pass; unique adds one per-value count, a
+    relationship one anti join on pre-aggregated keys.
+    """
+    parts = []
+    for model in dict.fromkeys(t[0] for t in tests):
+        df = models[model]
+        local = [t for t in tests if t[0] == model and t[1] in _ROW_LOCAL_TESTS]
+        if local:
+            structs = [F.struct(F.lit(m).alias("model"), F.lit(test).alias("test"), F.lit(col).alias("column"),
+                                F.count_if(_failing(test, F.col(col), opts)).cast("long").alias("failures"))
+                       for m, test, col, opts in local]
+            parts.append(df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("r")).select("r.*"))
+        for m, test, col, opts in tests:
+            if m != model or test in _ROW_LOCAL_TESTS:
+                continue
+            ref = opts.get("ref")
+            parts.append(model_test(df, m, test, col, ref=(models[ref[0]], ref[1]) if ref else None))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
+def declared_model_tests(stg_p: DataFrame, stg_e: DataFrame, int_pe: DataFrame, census: DataFrame) -> DataFrame:
+    """Q13 on the four models."""
+    return run_model_tests({"stg_patients": stg_p, "stg_encounters": stg_e,
+                            "int_patient_encounters": int_pe, "mart_daily_census": census})
+
+
 # ----------------------------------------------------- expectation suite --
 
 @dataclass(frozen=True)
