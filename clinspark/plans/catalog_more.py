@@ -50,6 +50,8 @@ _BREAKDOWNS = [  # (chart, table, column, top-k)
     ("lab_categories", "labs", "result_category", None),
     ("modalities", "radiology", "modality", None),
     ("top_drugs", "medications", "drug_name", 5),
+    ("top_lab_tests", "labs", "test_name", 10),          # lab chart: 10 most ordered tests
+    ("top_departments", "encounters", "department", 8),  # encounter chart: 8 busiest departments
 ]
 
 
