@@ -3,14 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import DEFAULT_CONF, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir
 
 
 def prepare(spark: SparkSession) -> None:
-    """Fill unset session settings the queries rely on (UTC, AQE, checkpoint dir)."""
-    for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql.") and "dataFrameDebugging" not in k:
-            spark.conf.set(k, v) if spark.conf.get(k, None) in (None, "") or k.endswith("timeZone") else None
+    """Settings the queries rely on in any given session: a UTC session time
+    zone (window and bucket arithmetic casts TIMESTAMP_NTZ through it) and a
+    checkpoint folder (the cluster's ``spark.checkpoint.dir``; a private one
+    only when unset)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
 
 
