@@ -35,3 +35,11 @@ def test_orphans_use_anti_join_on_preaggregated_keys(spark):
 def test_census_has_no_expand_over_percentile(spark):
     p = plan(E.queries()["mart_daily_census"](spark, SF))
     assert "partial_percentile" in p
+
+
+def test_census_reads_each_fact_once(spark):
+    """The distinct-count branch needs no lab or billing column: Spark removes
+    those LEFT joins (right side unique on the key), so lineitem is read once
+    for labs and once for billing, not once per census branch."""
+    p = plan(E.queries()["mart_daily_census"](spark, SF))
+    assert p.count("lineitem.parquet") == 2
