@@ -30,17 +30,20 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys holding more than ``threshold`` rows, flagged ``_hot``.
+def hot_keys(df: DataFrame, key: str, threshold: int, limit: int = MAX_HOT_KEYS) -> DataFrame:
+    """The (at most ``limit``) largest keys holding more than ``threshold`` rows, flagged ``_hot``.
 
-    A partial (map-side) count per key; the result has at most
-    rows / threshold entries, and it is joined without a hint, so adaptive
-    execution broadcasts it only after measuring it.
+    A partial (map-side) count per key, then a bounded top-k (TakeOrdered):
+    the result has at most ``limit`` rows, so it is broadcast by design and
+    the large side is never shuffled for this join. A hot key beyond the
+    limit is not split but still exact (it runs in the unsplit path).
     """
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
-              .select(key, F.lit(True).alias("_hot")))
+    top = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > threshold).orderBy(F.col("_n").desc(), F.col(key)).limit(limit))
+    return F.broadcast(top.select(key, F.lit(True).alias("_hot")))
 
 
 def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int,

@@ -43,3 +43,8 @@ def test_census_reads_each_fact_once(spark):
     for labs and once for billing, not once per census branch."""
     p = plan(E.queries()["mart_daily_census"](spark, SF))
     assert p.count("lineitem.parquet") == 2
+
+
+def test_hot_key_list_is_bounded_broadcast(spark):
+    p = plan(E.queries()["silver_icu_vitals"](spark, SF))
+    assert "TakeOrderedAndProject(limit=10000" in p and "BroadcastHashJoin" in p
