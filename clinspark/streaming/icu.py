@@ -4,7 +4,10 @@
   no inference), turned into ICU rows by the same Column functions as batch.
 * S3 ``dedup_vitals``: drop repeated ``vital_id`` within the watermark.
 * S2 ``alert_windows``: 5-minute tumbling windows per ICU unit with a
-  10-minute watermark; late rows beyond it are dropped, state is purged.
+  10-minute watermark; state is purged behind it and rows older than it are
+  dropped (Spark filters late input with the previous micro-batch's
+  watermark, so a row is dropped from the second batch after the watermark
+  passed it).
 * S4 ``refresh_silver``: incremental refresh with ``trigger(availableNow=True)``
   and ``foreachBatch``, checkpointed under the shared checkpoint folder, so a
   restarted job resumes where it stopped (exactly-once with the file sink).
@@ -68,12 +71,12 @@ def alert_windows(stream: DataFrame, window: str = WINDOW, watermark: str | None
 
 
 def run_alert_windows(spark: SparkSession, path: str, query_name: str = "icu_alert_windows",
-                      dedup: bool = True) -> StreamingQuery:
+                      dedup: bool = True, max_files: int | None = None) -> StreamingQuery:
     """Run S2 (after S3) over everything available now into a memory table.
 
     The memory sink cannot resume, so each run gets its own checkpoint folder.
     """
-    s = with_watermark(vitals_stream(spark, path))
+    s = with_watermark(vitals_stream(spark, path, max_files=max_files))
     if dedup:
         s = dedup_vitals(s)
     ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", f"{query_name}-{uuid.uuid4().hex[:12]}")

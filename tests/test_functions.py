@@ -149,3 +149,19 @@ def test_strict_and_lenient_casts(spark):
 def test_metrics_json(spark):
     df = rows(spark, [(1, 0.5)], "n long, score double")
     assert col_values(df, H.metrics_json("n", "score")) == ['{"n":1,"score":0.5}']
+
+
+def test_fhir_patient_and_encounter_resources(spark):
+    import json
+    from clinspark.functions.fhir import encounter_resource, patient_resource
+    p = rows(spark, [(7, "PHI_abc", "FEMALE", dt.date(1980, 5, 1), "10001")],
+             "patient_id long, mrn string, gender string, dob date, zip_code string")
+    res = json.loads(col_values(p, patient_resource(p))[0])
+    assert res == {"resourceType": "Patient", "id": "7", "identifier": [{"type": "MR", "value": "PHI_abc"}],
+                   "gender": "female", "birthDate": "1980-05-01", "address": [{"postalCode": "10001"}]}
+    e = rows(spark, [(3, 7, "ed", dt.datetime(2026, 1, 1, 8), None)],
+             "encounter_id long, patient_id long, encounter_type string, admit_datetime timestamp_ntz, "
+             "discharge_datetime timestamp_ntz")
+    enc = json.loads(col_values(e, encounter_resource(e))[0])
+    assert enc["class"] == "ED" and enc["subject"] == {"reference": "Patient/7"}
+    assert enc["period"] == {"start": "2026-01-01 08:00:00"}          # NULL end is omitted
