@@ -19,7 +19,7 @@ from typing import Any, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from .. import config as C
 from ..functions.clinical import round_half_up, ts_lit

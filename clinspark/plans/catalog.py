@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from .. import config as C
 from ..functions import clinical as H
 from ..operators import gold, silver
 from ..sources import testdata as T

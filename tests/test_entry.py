@@ -1,5 +1,4 @@
 """Driver contract: entry smoke check and every registered query against its oracle."""
-import hashlib
 import math
 
 import duckdb
