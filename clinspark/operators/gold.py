@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -162,45 +162,73 @@ CENSUS_KEYS = ["census_date", "facility_id", "department", "encounter_type"]
 def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bool = True) -> DataFrame:
     """Daily census per (date, facility, department, type).
 
-    Computed as two aggregations over the same grouping, joined on the group
-    keys (NULL-safe): the two COUNT(DISTINCT) columns in one, everything else
-    in the other. In a single aggregate Spark's distinct rewrite (Expand)
-    would push every row - with the percentile buffers - through three
-    projections; split, it was 3x faster at sf0.1. Both sides are one row per
-    group, so the join only moves aggregated rows.
-
-    The median is the exact continuous percentile (D6). Spark keeps a
-    value->count map per group for it and combines map-side, so its memory is
-    bounded by the distinct LOS values (2-decimal days), not by the group's
-    row count - a hot group stays cheap.
+    Two-level aggregation, no object buffers and no Expand:
+
+    1. per (group, LOS value): row count and additive partial sums of every
+       metric - fixed-width hash aggregation, combined map-side;
+    2. per group: the sums of those, plus the exact continuous median (D6)
+       from cumulative counts over the group's distinct LOS values (a window
+       per group over at most as many rows as distinct 2-decimal LOS values,
+       never over the group's encounters - a hot group stays cheap).
+
+    The two COUNT(DISTINCT) columns come from their own aggregation and are
+    joined on the group keys (NULL-safe): in one aggregate Spark's distinct
+    rewrite would expand every row. Averages are sum/count of the partials.
     """
     r = F.col("encounter_risk_score")
     ins = F.col("insurance_type")
+    age = F.col("age_years")
+    los = F.col("los_days")
     keyed = enc.withColumn("census_date", H.calendar_date("admit_datetime"))
-    metrics = keyed.groupBy(*CENSUS_KEYS).agg(
-        F.avg("los_days").alias("avg_los_days"),
-        F.percentile("los_days", 0.5).alias("median_los_days"),
-        F.max("los_days").alias("max_los_days"),
-        F.count_if(F.col("is_extended_stay")).alias("extended_stay_count"),
-        F.count_if(r == "HIGH").alias("high_risk_count"),
-        F.count_if(r == "MEDIUM").alias("medium_risk_count"),
-        F.count_if(r == "LOW").alias("low_risk_count"),
-        F.sum("total_charges").alias("total_charges"),
-        F.sum("total_paid").alias("total_paid"),
-        F.avg("collection_rate_pct").alias("avg_collection_rate"),
-        F.count_if(ins == "MEDICARE").alias("medicare_count"),
-        F.count_if(ins == "MEDICAID").alias("medicaid_count"),
-        F.count_if(ins == "SELF_PAY").alias("self_pay_count"),
-        F.avg("age_years").alias("avg_patient_age"),
-        F.count_if(F.col("age_years") >= C.SENIOR_AGE).alias("senior_patient_count"))
+    level1 = keyed.groupBy(*CENSUS_KEYS, "los_days").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(F.col("is_extended_stay")).alias("_ext"),
+        F.count_if(r == "HIGH").alias("_high"), F.count_if(r == "MEDIUM").alias("_med"),
+        F.count_if(r == "LOW").alias("_low"),
+        F.sum("total_charges").alias("_charges"), F.sum("total_paid").alias("_paid"),
+        F.sum("collection_rate_pct").alias("_cr_sum"), F.count("collection_rate_pct").alias("_cr_n"),
+        F.count_if(ins == "MEDICARE").alias("_mcare"), F.count_if(ins == "MEDICAID").alias("_mcaid"),
+        F.count_if(ins == "SELF_PAY").alias("_self"),
+        F.sum(age).alias("_age_sum"), F.count(age).alias("_age_n"),
+        F.count_if(age >= C.SENIOR_AGE).alias("_senior"))
+    # rank of each distinct LOS value inside its group (NULL LOS takes no rank)
+    known = F.when(los.isNotNull(), F.col("_rows")).otherwise(F.lit(0))
+    w_cum = Window.partitionBy(*CENSUS_KEYS).orderBy("los_days").rowsBetween(Window.unboundedPreceding, 0)
+    w_all = Window.partitionBy(*CENSUS_KEYS)
+    ranked = (level1.withColumn("_cum", F.sum(known).over(w_cum))
+                    .withColumn("_n", F.sum(known).over(w_all)))
+    pos = (F.col("_n") - 1) / F.lit(2.0)
+    first = F.col("_cum") - known               # 0-based index of the value's first copy
+    covers = lambda i: los.isNotNull() & (first <= i) & (i < F.col("_cum"))
+    lo_i, hi_i = F.floor(pos), F.ceil(pos)
+    metrics = ranked.groupBy(*CENSUS_KEYS).agg(
+        (F.sum(F.when(los.isNotNull(), los * F.col("_rows"))) / F.sum(F.when(los.isNotNull(), F.col("_rows"))))
+        .alias("avg_los_days"),
+        F.min(F.when(covers(lo_i), los)).alias("_v_lo"), F.max(F.when(covers(hi_i), los)).alias("_v_hi"),
+        F.max(pos).alias("_pos"),
+        F.max(los).alias("max_los_days"),
+        F.sum("_ext").alias("extended_stay_count"),
+        F.sum("_high").alias("high_risk_count"), F.sum("_med").alias("medium_risk_count"),
+        F.sum("_low").alias("low_risk_count"),
+        F.sum("_charges").alias("total_charges"), F.sum("_paid").alias("total_paid"),
+        (F.sum("_cr_sum") / F.sum("_cr_n")).alias("avg_collection_rate"),
+        F.sum("_mcare").alias("medicare_count"), F.sum("_mcaid").alias("medicaid_count"),
+        F.sum("_self").alias("self_pay_count"),
+        (F.sum("_age_sum") / F.sum("_age_n")).alias("avg_patient_age"),
+        F.sum("_senior").alias("senior_patient_count"))
+    median = F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * (F.col("_pos") - F.floor(F.col("_pos")))
+    metrics = metrics.withColumn("median_los_days", median).drop("_v_lo", "_v_hi", "_pos")
     distincts = keyed.groupBy(*CENSUS_KEYS).agg(
         F.count_distinct("encounter_id").alias("encounter_count"),
         F.count_distinct("patient_id").alias("unique_patients"))
     m, d = metrics.alias("m"), distincts.alias("d")
     cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"d.{k}")) for k in CENSUS_KEYS]
+    value_cols = ["avg_los_days", "median_los_days", "max_los_days", "extended_stay_count", "high_risk_count",
+                  "medium_risk_count", "low_risk_count", "total_charges", "total_paid", "avg_collection_rate",
+                  "medicare_count", "medicaid_count", "self_pay_count", "avg_patient_age", "senior_patient_count"]
     out = (m.join(d, cond, "inner")
             .select(*[F.col(f"m.{k}") for k in CENSUS_KEYS], "d.encounter_count", "d.unique_patients",
-                    *[F.col(f"m.{c}") for c in metrics.columns if c not in CENSUS_KEYS])
+                    *[F.col(f"m.{c}") for c in value_cols])
             .withColumn("dbt_loaded_at", H.ts_lit(as_of)))
     if ordered:
         out = out.orderBy(F.col("census_date").desc(), "facility_id", "department")
