@@ -258,7 +258,12 @@ _QSRC = ("patients", "encounters", "labs", "billing", "icu_vitals")
 
 
 def _checks_spark(t: Tables):
+    """Silver patients feeds three consumers (its checks and two FK references)
+    and Spark does not reuse the dedup across them: it is written once under
+    the shared checkpoint folder instead of being deduplicated three times."""
+    from ..session import cut_lineage
     data = {n: t.silver(n) for n in quality.SUITE_ORDER}
+    data["patients"] = cut_lineage(data["patients"], "silver_patients")
     return quality.run_checks(data, data["patients"])
 
 
