@@ -101,21 +101,28 @@ def histogram(long: DataFrame, bins: dict[str, int]) -> DataFrame:
 
 
 def series_summary(long: DataFrame) -> DataFrame:
-    """Per series count, mean and exact median (pandas ``.median()``)."""
+    """Per series count, mean and exact median (pandas ``.median()``).
+
+    The median's state is a value->count map per series, combined map-side:
+    bounded by the distinct values of the clipped, rounded readings (a few
+    thousand per series), not by the rows.
+    """
     return long.groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
                                       F.median("value").alias("median"))
 
 
 def clipped_series(df: DataFrame, specs: Sequence[tuple[str, str, float, float]]) -> DataFrame:
-    """(series, value) rows: each column's non-null values clipped to [lo, hi] (B11 + clip)."""
-    parts = [df.where(F.col(col).isNotNull())
-               .select(F.lit(name).alias("series"),
-                       F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), F.col(col))).alias("value"))
+    """(series, value) rows: each column's non-null values clipped to [lo, hi] (B11 + clip).
+
+    All columns of one frame come from a single scan (one exploded array of
+    (series, value) pairs per row), not one scan per column.
+    """
+    items = [F.when(F.col(col).isNotNull(),
+                    F.struct(F.lit(name).alias("series"),
+                             F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), F.col(col))).alias("value")))
              for name, col, lo, hi in specs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
+              .select("s.series", "s.value"))
 
 
 def alert_windows(icu: DataFrame, minutes: int = 5) -> DataFrame:

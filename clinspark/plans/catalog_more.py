@@ -116,7 +116,10 @@ def _long_spark(t: Tables):
     icu, labs = t.silver("icu_vitals"), t.silver("labs")
     inpatient = t.silver("encounters").where(F.col("encounter_type") == "INPATIENT")
     src = {"icu_vitals": icu, "labs": labs, "inpatient": inpatient}
-    parts = [insights.clipped_series(src[s], [(name, col, lo, hi)]) for name, s, col, lo, hi, _ in _SERIES]
+    by_src = {}
+    for name, s, col, lo, hi, _ in _SERIES:
+        by_src.setdefault(s, []).append((name, col, lo, hi))
+    parts = [insights.clipped_series(src[s], specs) for s, specs in by_src.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
