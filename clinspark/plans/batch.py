@@ -9,7 +9,9 @@ shared storage, so a lost executor only re-runs its tasks.
 
 Modes: ``full`` (everything), ``validate-only`` (stops after the gate - the
 source did not stop), ``skip-validate`` (no checks; the run records the SLA
-quality figure as the source did).
+quality figure as the source did). A passed gate with duplicate patient ids
+still stops before the mart (status PATIENT_ID_NOT_UNIQUE): the patient join
+would multiply encounters.
 """
 from __future__ import annotations
 
@@ -131,8 +133,15 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                                                        os.path.join(report, "quality_records"))})
         row = summary.first()  # one row: the gate decision is the only value the driver needs
         overall_score, gate = float(row["overall_score"]), bool(row["gate_passed"])
+        # Fan-out guard: patients are unique by MRN after dedup, not by id; the
+        # mart's patient join must not multiply encounters (one cached row).
+        dup = checks.where((F.col("source") == "patients") & (F.col("check") == "unique::patient_id")).first()
+        fanout = dup is not None and dup["violations"] > 0
         checks.unpersist()     # the staged files may be replaced by a later run of the same id
         phase("quality_gate")
+        if fanout and gate and cfg.mode != "validate-only":
+            return _finish(spark, cfg, started, started_at, "PATIENT_ID_NOT_UNIQUE", overall_score, gate,
+                           records, loaded, paths, source_rows, phases)
         if not gate:  # Q10: halt before anything is published
             return _finish(spark, cfg, started, started_at, "QUALITY_GATE_FAILED", overall_score, gate,
                            records, loaded, paths, source_rows, phases)

@@ -42,3 +42,19 @@ def test_latest_runs(spark, tmp_dir):
     rows = [(f"r{i}", f"2026-08-{i + 1:02d}T00:00:00", None, "SUCCESS", i, 1.0, 0.1, "{}") for i in range(8)]
     runs = spark.createDataFrame(rows, TARGETS["pipeline_runs"])
     assert [r.run_id for r in latest_runs(runs, 5).collect()] == ["r7", "r6", "r5", "r4", "r3"]
+
+
+def test_duplicate_patient_ids_stop_before_the_mart(spark, tmp_dir, monkeypatch):
+    """Fan-out guard: a second MRN for an existing patient id (the dedup keeps
+    both) would multiply that patient's encounters in the mart."""
+    from pyspark.sql import functions as F
+    from clinspark.sources import testdata
+    original = testdata.SOURCES["patients"]
+
+    def with_duplicate(s, d):
+        raw = original(s, d)
+        return raw.unionByName(raw.where(F.col("patient_id") == 1).withColumn("mrn", F.lit("PHI_other")))
+
+    monkeypatch.setitem(testdata.SOURCES, "patients", with_duplicate)
+    res = run(spark, RunConfig(SF, tmp_dir, mode="full", run_id="dup"))
+    assert res.status == "PATIENT_ID_NOT_UNIQUE" and "mart_patient_encounters" not in res.paths
