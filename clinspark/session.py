@@ -24,7 +24,9 @@ DEFAULT_CONF = {
 
 
 # Sizing for a large cluster (100 TB input, ~1000 executors). Used with
-# ``get_session(profile="cluster")``; a cluster's own settings take precedence.
+# ``get_session(profile="cluster")``: applied at runtime to settings the
+# cluster has not set explicitly (the retry limits only take effect when given
+# at submit time, since they are read when the context starts).
 CLUSTER_CONF = {
     # ~256 MB scan splits: fewer, fuller tasks; files with many row groups split well
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
@@ -52,8 +54,6 @@ def get_session(master: str | None = None, app: str = "clinspark",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if profile == "cluster":
-        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -61,6 +61,14 @@ def get_session(master: str | None = None, app: str = "clinspark",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if profile == "cluster":
+        explicit = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if not explicit.contains(k):
+                try:
+                    spark.conf.set(k, v)
+                except Exception:  # static (context-level) setting: only effective at submit time
+                    pass
     ensure_checkpoint_dir(spark)
     return spark
 

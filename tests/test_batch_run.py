@@ -58,3 +58,11 @@ def test_duplicate_patient_ids_stop_before_the_mart(spark, tmp_dir, monkeypatch)
     monkeypatch.setitem(testdata.SOURCES, "patients", with_duplicate)
     res = run(spark, RunConfig(SF, tmp_dir, mode="full", run_id="dup"))
     assert res.status == "PATIENT_ID_NOT_UNIQUE" and "mart_patient_encounters" not in res.paths
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    import json
+    from clinspark.__main__ import main
+    code = main(["run", "--sf-dir", SF, "--out-dir", tmp_dir, "--mode", "validate-only", "--run-id", "cli"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["status"] == "VALIDATED" and out["run_id"] == "cli"
