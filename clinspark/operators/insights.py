@@ -54,7 +54,9 @@ def breakdown(df: DataFrame, col: str, top: int | None = None, chart: str | None
     """D8 (+F3 with ``top``): (chart, category, count, rank), count desc, NULLs dropped.
 
     Ties in count are ordered by category. The top-k is a TakeOrdered over the
-    per-category counts, never a sort of the rows.
+    per-category counts, never a sort of the rows. Without ``top`` the rank
+    window holds one row per category, so it is meant for code-list columns
+    (types, units, flags); pass ``top`` for open-ended columns.
     """
     counts = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("category"))
                 .agg(F.count(F.lit(1)).alias("count")))
