@@ -15,7 +15,7 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def _wrap(fn):
+def prepared(fn):
     def run(spark, sf_dir):
         prepare(spark)
         return fn(spark, sf_dir)
@@ -26,7 +26,7 @@ def _wrap(fn):
 
 def queries():
     from . import catalog, catalog_more  # noqa: F401  (registers queries)
-    return {k: _wrap(v) for k, v in catalog.QUERIES.items()}
+    return {k: prepared(v) for k, v in catalog.QUERIES.items()}
 
 
 def oracle_sql():
