@@ -1,10 +1,27 @@
 """The registered queries of the training-data operators: name -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
-from .common import table
+from ..session import ensure_checkpoint_dir
+from . import chat, exact_dedup, mixing, warc
+from .common import stage, table
+
+CHAT_SAMPLE = "\\### Assistant: </turn> ok"
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "shard")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/archives/{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = stage(warc.read_archives(spark, path), "op3-records")
+    return warc.resolve(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,11 +29,32 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    sample = spark.createDataFrame([(-7, 0, "user", CHAT_SAMPLE), (-7, 1, "assistant", CHAT_SAMPLE)],
+                                   "conv_id long, turn long, role string, text string")
+    return chat.read_back(stage(chat.format_conversations(turns.unionByName(sample)), "op5-formatted"))
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op3_warc": op3_warc,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_chat": op5_chat,
 }
 
 ORACLES = {
+    "op3_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+), r AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p
+)
+SELECT page_id, payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM r
+""",
     "op4_exact_dedup": r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS cp,
@@ -28,5 +66,24 @@ WITH t AS (
   FROM t WINDOW w AS (PARTITION BY norm ORDER BY cp DESC, doc_id ASC NULLS LAST)
 )
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM r
+""",
+    "op5_chat": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r)
+), w AS (
+  SELECT *, regexp_replace(text, '(\\*(?:###|</turn>))', '\\\1', 'g') AS written,
+         CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant'
+                   WHEN 'tool' THEN 'Tool' ELSE '=' || url_encode(role) END AS mark
+  FROM c
+), a AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('### ' || mark || ': ') + length(written) + 9)::BIGINT AS formatted_chars
+  FROM w GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars FROM a
 """,
 }
