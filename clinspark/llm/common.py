@@ -58,3 +58,30 @@ def ranked(df: DataFrame, keys: Sequence[str], name: str, out: str = "rank") ->
     row = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
                   .withColumn(out, F.col("_offset") + row).drop("_at", "_part", "_offset"))
+
+
+def components(links: DataFrame, name: str) -> DataFrame:
+    """Connected components of ``links`` (a, b): one row (node, root) per node but the roots.
+
+    Alternating large and small stars: each round hangs a node's neighbours
+    under the smallest of them, so paths shrink to stars in a few rounds. Rows
+    never outnumber the links, and each round is written before the next.
+    """
+    def star(edges: DataFrame, own: Column) -> DataFrame:
+        least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        return (edges.where(own).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+                     .where("a <> b").distinct())
+
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges, before = stage(edges, f"{name}-links"), None
+    while True:
+        both = (edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+                     .unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))))
+        large = stage(star(both, F.col("v") > F.col("u")), f"{name}-large")
+        down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        itself = down.select("u", F.col("u").alias("v")).distinct()
+        edges = stage(star(down.unionByName(itself), F.lit(True)), f"{name}-small")
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        before = now

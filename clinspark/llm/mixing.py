@@ -31,7 +31,7 @@ from .common import WORD, ranked, stage, text_or_empty, word_count
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-BLOCK = 64
+BLOCK = 32
 SHARD = 1 << 18
 SEED = 20260
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat, exact_dedup, mixing, warc
+from . import chat, exact_dedup, mixing, simhash, warc
 from .common import stage, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"
@@ -36,11 +37,17 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(stage(chat.format_conversations(turns.unionByName(sample)), "op5-formatted"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_warc": op3_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_chat": op5_chat,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLES = {
