@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat, exact_dedup, mixing, simhash, warc
+from . import chat, exact_dedup, mixing, packing, simhash, toxicity, warc
 from .common import stage, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"
@@ -42,12 +42,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_warc": op3_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
+    "op7_packing": op7_packing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
