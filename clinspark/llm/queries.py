@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat, exact_dedup, mixing, packing, simhash, toxicity, warc
+from . import chat, exact_dedup, mixing, packing, quality, simhash, toxicity, warc
 from .common import stage, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"
@@ -50,6 +50,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_warc": op3_warc,
@@ -58,6 +63,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
