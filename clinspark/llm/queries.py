@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat, exact_dedup, mixing, packing, quality, simhash, toxicity, warc
+from . import chat, exact_dedup, mixing, packing, quality, simhash, substring_dedup, toxicity, warc
 from .common import stage, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"
@@ -18,6 +18,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "shard")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/archives/{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -57,6 +62,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_chat": op5_chat,
