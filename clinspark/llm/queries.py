@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat, exact_dedup, mixing, packing, quality, simhash, substring_dedup, toxicity, warc
+from . import chat, exact_dedup, mixing, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from .common import stage, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"
@@ -51,6 +51,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }

@@ -190,9 +190,8 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
-def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
-    """Which of n places lie in a stretch of ``size`` places from a start."""
-    steps = np.zeros(n + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, np.minimum(starts + size, n), -1)
-    return np.cumsum(steps[:-1]) > 0
+def covered(starts: np.ndarray, size: int) -> np.ndarray:
+    """Which places lie in a stretch of ``size`` places from one marked in ``starts``."""
+    seen = np.cumsum(starts)
+    seen[size:] -= seen[:-size].copy()
+    return seen > 0

@@ -120,7 +120,8 @@ def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
         if w.n >= WINDOW:
             hashes = w.windows()
             inside = np.flatnonzero(w.left[:len(hashes)] >= WINDOW)
-            gone = covered(inside[member(hashes[inside], np.unique(c.answers))], WINDOW, w.n)
+            gone[inside[member(hashes[inside], np.unique(c.answers))]] = True
+            gone = covered(gone, WINDOW)
         rows = []
         for doc_id, th, words, a in zip(c.doc_ids, c.hashes, w.words, w.first):
             out = gone[a:a + len(words)]
