@@ -12,8 +12,8 @@ are taken depends on the seeded order alone and needs no list of blocks.
 
 Defined results: a null or empty text has no words and takes none. A null
 source is a source of its own, after all others. Ties between quotients go to
-the smaller source or shard number. Rows with the same doc_id are mixed each on
-its own. Extra columns are ignored by ``plan`` and kept by ``mix``. Empty tables and tables
+the smaller source or shard number. Rows with the same doc_id are planned each on
+its own; ``mix`` takes rows repeated with one doc_id and text by the plan of the first. Extra columns are ignored by ``plan`` and kept by ``mix``. Empty tables and tables
 without words give no words.
 
 One row per source and per shard is kept beside the documents; a shard holds
@@ -145,9 +145,10 @@ def mix(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     A whole pass keeps the text; a pass over some of its blocks keeps those
     words, joined by one space. ``n_chars`` is counted anew where it exists.
     """
-    p = stage(plan(docs, block=block, **options).where("taken > 0").dropDuplicates(["doc_id", "th"])
-              .select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("size").alias("_size"),
-                      "taken", "at", "every", "extra", "blocks", "turn"), "op1-plan")
+    place = ("size", "taken", "at", "every", "extra", "blocks", "turn")
+    p = plan(docs, block=block, **options).where("taken > 0").groupBy("doc_id", "th").agg(F.min(F.struct(*place)).alias("p"))
+    p = stage(p.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("p.size").alias("_size"),
+                       *[f"p.{c}" for c in place[1:]]), "op1-plan")
     keyed = docs.withColumn("_th", F.xxhash64(text_or_empty()))
     both = keyed.join(p, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")))
     again = f"((j + turn) % blocks + 1) * extra div blocks > ((j + turn) % blocks) * extra div blocks"

@@ -110,8 +110,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float
 
 
 def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and the score of each row of ``docs``."""
+    """The columns ``keep`` and ``_score`` of each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    read = keep if "text" in keep else [*keep, "text"]
+    at_text = read.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, place, weight = shared.value
@@ -119,24 +121,24 @@ def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: l
         dense[place] = weight
         for b in batches:
             out = np.empty(b.num_rows)
-            for i, text in enumerate(b.column(b.num_columns - 1)):
-                at = features(text.as_py())
+            for i, text in enumerate(b.column(at_text)):
+                at = features(text.as_py() or "")
                 at = np.unique(at[dense[at] != 0])
                 out[i] = bias + dense[at].sum()
             out = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*keep, "_score"])
 
-    rows = docs.select(*keep, text_or_empty().alias("_text"))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    return docs.select(*read).mapInArrow(run, f"{kinds}, _score double")
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of each row."""
     return (scores(docs, fit(docs, labels, sample), ["doc_id"])
-            .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")))
+            .select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
+                    (F.col("_score") >= threshold).cast("int").alias("predicted")))
 
 
 def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored below the threshold, with their columns."""
-    return scores(docs, fit(docs, labels, sample), docs.columns).where(F.col("score") < threshold).select(*docs.columns)
+    return scores(docs, fit(docs, labels, sample), docs.columns).where(F.col("_score") < threshold).select(*docs.columns)

@@ -11,17 +11,41 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinspark.llm import exact_dedup
+from clinspark.llm import exact_dedup, mixing, packing, simhash, toxicity
 from clinspark.llm.common import stage, table
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents equal but for white space, one stays."""
     return exact_dedup.dedup(docs)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked, one stays."""
+    return simhash.dedup(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: documents come once, in part, or again."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its sequence and place."""
+    return packing.pack(packing.pieces(docs))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("simhash_dedup", simhash_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 # the learned, hashed and seeded stages have no SQL form; tests/llm holds brute-force versions
