@@ -40,15 +40,18 @@ def word_count(text: Column | str = "text") -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long")
 
 
-def ranked(df: DataFrame, keys: Sequence[str], name: str, out: str = "rank") -> DataFrame:
+def ranked(df: DataFrame, keys: Sequence[str], name: str, out: str = "rank", bounds: Sequence[Column] = ()) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the order of ``keys``, without one task holding all of them.
 
+    ``bounds`` are shorter values in the same order to deal the rows by, where
+    the keys are long: Spark samples these on the driver.
+
     Rows are range-partitioned and sorted, so partition number and place in
     the partition give the order; the offsets are sums over one row per
     partition. The sorted rows are written first, as a repeated sampling of
     range bounds could deal them differently.
     """
-    placed = stage(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = stage(df.repartitionByRange(*(bounds or keys)).sortWithinPartitions(*keys)
                      .withColumn("_at", F.monotonically_increasing_id()), name)
     part = F.shiftright("_at", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

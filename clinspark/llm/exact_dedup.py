@@ -52,7 +52,7 @@ def identities(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     """
     blocks = _blocks(docs, size)
     found = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("block")
-    names = ranked(found, ["block"], "op4-blocks", "name")
+    names = ranked(found, ["block"], "op4-blocks", "name", bounds=[F.substring("block", 1, 64)])
     sha = F.when(F.col("idx") == 0, F.sha2(F.col("norm"), 256))
     named = stage(blocks.withColumn("text_sha256", sha).drop("norm").join(names, "block", "left").drop("block"),
                   "op4-named")
