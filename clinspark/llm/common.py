@@ -35,6 +35,31 @@ def text_or_empty(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def text_hash() -> Column:
+    """Tells apart rows that share a doc_id; never decides that texts are equal."""
+    return F.xxhash64(text_or_empty())
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """row (all columns of ``docs``, whatever their names), doc_id, th and text."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", text_hash().alias("th"), "text")
+
+
+def same_key() -> Column:
+    """Joins ``keyed`` rows to rows keyed by _d and _t."""
+    return F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))
+
+
+def with_texts(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """``keyed`` rows with the columns of ``docs``, their text and, where it exists, n_chars made anew."""
+    made = rows.withColumn("made", text)
+    cols = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("made")}
+    if "n_chars" in cols:
+        length = F.length("made").cast(docs.schema["n_chars"].dataType)
+        cols["n_chars"] = F.when(F.col("made").eqNullSafe(F.col("row.text")), cols["n_chars"]).otherwise(length)
+    return made.select(*[v.alias(c) for c, v in cols.items()])
+
+
 def word_count(text: Column | str = "text") -> Column:
     """Number of maximal runs of characters that are not ASCII white space (null: 0)."""
     return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long")

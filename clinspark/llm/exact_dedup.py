@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITESPACE, ranked, stage, text_or_empty
+from .common import WHITESPACE, keyed, ranked, same_key, stage, text_hash, text_or_empty
 
 BLOCK = 2048
 
@@ -29,11 +29,6 @@ def compared(text: Column | str = "text") -> Column:
     return F.translate(text_or_empty(text), WHITESPACE, "")
 
 
-def text_hash() -> Column:
-    """Tells apart rows that share a doc_id; never decides that texts are equal."""
-    return F.xxhash64(text_or_empty())
-
-
 def _blocks(docs: DataFrame, size: int) -> DataFrame:
     one = (docs.select("doc_id", text_hash().alias("th"), F.length(text_or_empty()).alias("cp"),
                        compared().alias("norm"))
@@ -108,9 +103,7 @@ def dedup(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     tally = (out.where("group_size > 1").groupBy("doc_id", "th")
                 .agg(F.count(F.lit(1)).alias("_copies"), F.max("kept").alias("_kept")))
     tally = tally.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "_copies", "_kept")
-    keyed = docs.withColumn("_th", text_hash())
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t"))
-    gone = tally.where("not _kept or _copies > 1")
-    once = keyed.join(gone, same, "left_anti")
-    repeated = keyed.join(tally.where("_kept and _copies > 1"), same, "left_semi").dropDuplicates(["doc_id", "_th"])
-    return once.unionByName(repeated).select(*docs.columns)
+    rows = keyed(docs)
+    once = rows.join(tally.where("not _kept or _copies > 1"), same_key(), "left_anti")
+    repeated = rows.join(tally.where("_kept and _copies > 1"), same_key(), "left_semi").dropDuplicates(["doc_id", "th"])
+    return once.unionByName(repeated).select("row.*")

@@ -26,7 +26,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, ranked, stage, text_or_empty, word_count
+from .common import WORD, keyed, ranked, same_key, stage, text_hash, text_or_empty, with_texts, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -94,7 +94,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHA
     ``blocks`` blocks, ``extra`` once more, counted round from ``turn``; the
     document's words start at word ``at`` of its shard.
     """
-    sizes = stage(docs.select("doc_id", F.xxhash64(text_or_empty()).alias("th"), "source", word_count().alias("size")),
+    sizes = stage(docs.select("doc_id", text_hash().alias("th"), "source", word_count().alias("size")),
                   "op1-sizes")
     s = targets(sizes, weights, share, most)
     total = s.agg(F.sum("target")).first()[0] or 0.0
@@ -149,17 +149,13 @@ def mix(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     p = plan(docs, block=block, **options).where("taken > 0").groupBy("doc_id", "th").agg(F.min(F.struct(*place)).alias("p"))
     p = stage(p.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("p.size").alias("_size"),
                        *[f"p.{c}" for c in place[1:]]), "op1-plan")
-    keyed = docs.withColumn("_th", F.xxhash64(text_or_empty()))
-    both = keyed.join(p, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")))
-    again = f"((j + turn) % blocks + 1) * extra div blocks > ((j + turn) % blocks) * extra div blocks"
+    both = keyed(docs).join(p, same_key())
+    again = "((j + turn) % blocks + 1) * extra div blocks > ((j + turn) % blocks) * extra div blocks"
     picked = f"filter(sequence(at div {block}, (at + _size - 1) div {block}), j -> {again})"
     spans = f"transform({picked}, j -> slice(_words, int(greatest(j * {block} - at, 0) + 1), " \
             f"int(least((j + 1) * {block} - at, _size) - greatest(j * {block} - at, 0))))"
-    part = F.array_join(F.flatten(F.expr(spans)), " ")
-    both = both.withColumn("_words", F.when(F.expr("taken > every * _size"), F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))))
+    more = F.expr("taken > every * _size")
+    both = both.withColumn("_words", F.when(more, F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))))
     texts = F.concat(F.array_repeat(F.col("text"), F.col("every").cast("int")),
-                     F.when(F.expr("taken > every * _size"), F.array(part)).otherwise(F.array().cast("array<string>")))
-    out = both.withColumn("text", F.explode(texts))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+                     F.when(more, F.array(F.array_join(F.flatten(F.expr(spans)), " "))).otherwise(F.array().cast("array<string>")))
+    return with_texts(both.withColumn("_text", F.explode(texts)), docs, F.col("_text"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import packed
-from .common import text_or_empty
+from .common import text_hash, text_or_empty
 
 CHUNK = 1 << 21
 DOCS = 8192
@@ -48,7 +48,7 @@ class Dealt:
         self.chunks = max(1, -(-(chars or 0) // CHUNK), -(-rows // DOCS))
         self.parts = max(1, -(-(chars or 0) // per_part))
         self.bits = U(max(1, (self.chunks - 1).bit_length()))
-        th = F.xxhash64(text_or_empty())
+        th = text_hash()
         self.docs = docs.select(F.pmod(F.xxhash64("doc_id", th), F.lit(self.chunks)).cast("int").alias("chunk"),
                                 F.col("doc_id").cast("long").alias("doc_id"), th.alias("th"), text_or_empty().alias("text"))
 

@@ -27,11 +27,11 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import packed, unpacked
-from .common import components, stage, text_or_empty
+from .common import components, keyed, same_key, stage, text_hash, text_or_empty
 
 SHINGLE = 3
 SEED = 42
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fp = majority(all_hashes, counts).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(fp)], ["doc_id", "th", "fp"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_or_empty()).alias("th"), text_or_empty().alias("text"))
+    return (docs.select(F.col("doc_id").cast("long"), text_hash().alias("th"), text_or_empty().alias("text"))
                 .mapInArrow(run, "doc_id long, th long, fp long"))
 
 
@@ -226,8 +226,7 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                   .groupBy("_key", "_none").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th")).alias("s"),
                                                 F.count(F.lit(1)).alias("rows")))
     stays = stays.select(F.col("s.doc_id").alias("_d"), F.col("s.th").alias("_t"), "rows")
-    keyed = docs.withColumn("_th", F.xxhash64(text_or_empty()))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t"))
-    alone = keyed.join(stays.where("rows = 1"), same, "left_semi")
-    several = keyed.join(stays.where("rows > 1"), same, "left_semi").dropDuplicates(["doc_id", "_th"])
-    return alone.unionByName(several).select(*docs.columns)
+    rows = keyed(docs)
+    alone = rows.join(stays.where("rows = 1"), same_key(), "left_semi")
+    several = rows.join(stays.where("rows > 1"), same_key(), "left_semi").dropDuplicates(["doc_id", "th"])
+    return alone.unionByName(several).select("row.*")

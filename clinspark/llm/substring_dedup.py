@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import packed
-from .common import stage, text_or_empty
+from .common import keyed, same_key, stage, with_texts
 from .routing import ANSWERS, BLOBS, FACTOR_2, U, Chunk, Dealt, Rolling, batch_of, covered, member, mixed, part_of, table_of
 
 WINDOW = 35
@@ -137,11 +137,7 @@ def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated words; documents that lose words keep the others joined by one space."""
-    cuts = stage(removed(docs, with_text=True).where("n_removed > 0").dropDuplicates(["doc_id", "th"])
-                 .select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("kept").alias("_kept")), "op2-cuts")
-    keyed = docs.withColumn("_th", F.xxhash64(text_or_empty()))
-    out = keyed.join(cuts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
-    out = out.withColumn("text", F.coalesce("_kept", "text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*docs.columns)
+    cuts = (removed(docs, with_text=True).where("n_removed > 0").groupBy("doc_id", "th").agg(F.min("kept").alias("_kept"))
+            .select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "_kept"))
+    rows = keyed(docs).join(stage(cuts, "op2-cuts"), same_key(), "left")
+    return with_texts(rows, docs, F.coalesce("_kept", "text"))
