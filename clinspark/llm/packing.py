@@ -24,10 +24,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ GROUP = 16_384
 TOKENIZER = "word_bpe_49k.json"
 WORDS = 1_000_000
 PATIENCE = 32
+#: a sign behind an ASCII letter or digit and before white space is a token of its own in any case
+CLOSING = r"([a-z0-9])([.,;:!?])(\s)"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
@@ -52,40 +56,44 @@ class Vocabulary:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number: dict[str, int] = {}
         self.ids = [np.empty(0, np.uint32)]
         self.sizes = [np.empty(0, np.int64)]
 
-    def learn(self, words: set[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def learn(self, words: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         for w in words:
             self.number[w] = len(self.number)
         ids = [e.ids for e in found]
         self.sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-        self.ids.append(np.fromiter((i for x in ids for i in x), np.uint32))
+        self.ids.append(np.fromiter(chain.from_iterable(ids), np.uint32))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text and id 0."""
         if len(self.number) > WORDS:
             self.forget()
-        split = [t.split() for t in texts]
-        get = self.number.get
-        numbers = [list(map(get, w)) for w in split]
-        new = {w for ws, ns in zip(split, numbers) if None in ns for w, n in zip(ws, ns) if n is None}
-        if new:
-            self.learn(new)
-            numbers = [list(map(get, w)) if None in n else n for w, n in zip(split, numbers)]
+        # A-Z may be lowered first unless a combining mark follows that has its own lower-case form
+        plain = pa.array([t if b"\xcc" in t else t.lower() for t in texts], pa.large_binary()).cast(pa.large_string())
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, CLOSING, r"\1 \2\3"))
+        counts = np.diff(split.offsets.to_numpy())
+        words = split.values.dictionary_encode()
+        own = words.dictionary.to_pylist()
+        numbers = list(map(self.number.get, own))
+        if None in numbers:
+            self.learn([w for w, n in zip(own, numbers) if n is None])
+            numbers = list(map(self.number.get, own))
         self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
         ids, sizes = self.ids[0], self.sizes[0]
         starts = np.cumsum(sizes) - sizes
-        out = []
-        for n in numbers:
-            at = np.array(n, np.int64)
-            size = sizes[at]
-            doc = np.zeros(size.sum() + 1, "<u4")
-            doc[:-1] = ids[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-            out.append(doc)
-        return out
+        at = np.array(numbers, np.int64)[words.indices.to_numpy()]
+        size = sizes[at]
+        end = np.cumsum(size)
+        doc = np.repeat(np.arange(len(texts)), counts)
+        out = np.zeros(int(size.sum()) + len(texts), "<u4")  # the id 0 after each text is left
+        step = np.arange(len(out) - len(texts))
+        out[np.repeat(doc, size) + step] = ids[np.repeat(starts[at] - (end - size), size) + step]
+        cuts = np.cumsum(np.bincount(doc, size, len(texts)).astype(np.int64) + 1)
+        return np.split(out, cuts[:-1])
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -99,7 +107,7 @@ def vocabulary(name: str) -> Vocabulary:
     return _vocabularies[name]
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, at_once: int = 1 << 21) -> DataFrame:
+def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, at_once: int = 1 << 23) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(tokenizer)
