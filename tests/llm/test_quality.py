@@ -1,0 +1,88 @@
+import collections
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clinspark.llm import quality as Q
+
+
+def counts_by_hand(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen = collections.Counter(tuple(w[k:k + 8]) for k in range(len(w) - 7))
+    covered = {p for k in range(len(w) - 7) if seen[tuple(w[k:k + 8])] > 1 for p in range(k, k + 8)}
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def check_counts(docs):
+    rows = Q.judged(docs).collect()
+    got = sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows), key=str)
+    assert got == sorted(((r.doc_id, *counts_by_hand(r.text)) for r in docs.collect()), key=str)
+    for r in rows:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert r.kept is not None and not (r.base_failed and r.kept)
+    return rows
+
+
+def test_documents(few_docs):
+    check_counts(few_docs)
+
+
+def test_odd_documents(odd_docs, no_docs, spark):
+    check_counts(odd_docs)
+    assert Q.judged(no_docs).collect() == []
+    rows = [(1, "a b c d e f g h a b c d e f g h"), (2, "\n\nx y\nx y\n \nx y\r\nz"), (3, "a " * 9), (4, "a b c d e f g h"), (5, "# <&> |$%*")]
+    check_counts(spark.createDataFrame([(*r, None, "s") for r in rows], "doc_id long, text string, lang string, source string"))
+
+
+def estimate_by_hand(x):
+    """The C-steps of the module on one group, in numpy."""
+    floor = np.diag([Q._floor(i) for i in range(x.shape[1])])
+    m = np.median(x, axis=0)
+    c = np.diag((1.4826 * np.median(np.abs(x - m), axis=0)) ** 2) + floor
+    grid = lambda d: np.round(100 * np.log(d + 1e-4))
+    dist = lambda: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    before = None
+    for _ in range(Q.STEPS):
+        g = grid(dist())
+        s = x[g <= np.ceil(np.percentile(g, 100 * Q.SUBSET))]
+        m = s.mean(axis=0)
+        c = (s.T @ s) / len(s) - np.outer(m, m) + floor
+        now = round(np.linalg.slogdet(c)[1] / 2, 6)
+        if now == before:
+            break
+        before = now
+    scale = max(1.0, np.exp(np.percentile(grid(dist()), 50) / 100) / Q.MEDIAN)
+    return dist() / scale
+
+
+def test_distances_are_those_of_the_estimate(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumns({"lang": F.lit("l"), "source": F.lit("s")})
+    rows = Q.judged(docs).toPandas()
+    fit = rows[~rows.base_failed]
+    want = estimate_by_hand(fit[list(Q.VECTOR)].to_numpy(np.float64))
+    assert np.allclose(want, fit.distance, rtol=1e-6, atol=1e-9)
+    assert (fit.kept == (want <= Q.CUTOFF)).all()
+
+
+def test_outliers_do_not_move_the_estimate(spark):
+    """A fifth of the texts is junk, and every one of those is rejected; prose is kept."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(2, 9)))
+    rows = [(i, " ".join(word() + ("###$$" if i % 5 == 0 else "") for _ in range(rng.integers(40, 90))), "en", "s") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.kept for r in Q.judged(docs).collect()}
+    assert all(out[i] == (i % 5 != 0) for i in out)
+
+
+def test_no_python_in_the_plan(few_docs):
+    plan = Q.judged(few_docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_few_rows(spark, few_docs, n):
+    assert Q.judged(few_docs.limit(n)).count() == n
