@@ -32,6 +32,7 @@ SEED = 9
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 5.0, 1.0
 THRESHOLD = 0.7
+SCORE = "_score"
 # ASCII other than letters, digits and apostrophe parts words
 SEPARATORS = bytes(c if c >= 128 or chr(c).isalnum() or c == 39 else 32 for c in range(256))
 
@@ -109,8 +110,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float
     return (float(weight[0]) if len(weight) else 0.0), place[1:], weight[1:]
 
 
+def score_name(columns: list[str]) -> str:
+    return next(n for n in (SCORE + "_" * i for i in range(len(columns) + 1)) if n not in columns)
+
+
 def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and ``_score`` of each row of ``docs``."""
+    """The columns ``keep`` of each row of ``docs`` and last its score, under ``score_name(keep)``."""
+    name = score_name(keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     read = keep if "text" in keep else [*keep, "text"]
     at_text = read.index("text")
@@ -126,19 +132,19 @@ def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: l
                 at = np.unique(at[dense[at] != 0])
                 out[i] = bias + dense[at].sum()
             out = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*keep, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*keep, name])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*read).mapInArrow(run, f"{kinds}, _score double")
+    return docs.select(*read).mapInArrow(run, f"{kinds}, {name} double")
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of each row."""
     return (scores(docs, fit(docs, labels, sample), ["doc_id"])
-            .select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
-                    (F.col("_score") >= threshold).cast("int").alias("predicted")))
+            .select("doc_id", held_out().alias("held_out"), F.col(SCORE).alias("score"),
+                    (F.col(SCORE) >= threshold).cast("int").alias("predicted")))
 
 
 def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored below the threshold, with their columns."""
-    return scores(docs, fit(docs, labels, sample), docs.columns).where(F.col("_score") < threshold).select(*docs.columns)
+    return scores(docs, fit(docs, labels, sample), docs.columns).where(F.col(score_name(docs.columns)) < threshold).select(*docs.columns)
