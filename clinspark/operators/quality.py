@@ -17,17 +17,17 @@ import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Any, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from .. import config as C
-from ..functions.clinical import round_half_up, ts_lit
+from ..functions.clinical import ts_lit
 
 
 @dataclass(frozen=True)
 class Rule:
-    kind: str                      # not_null | unique | in_set | range | date_range | foreign_key
+    kind: str                      # not_null | unique | in_set | range | date_range | foreign_key | row_count
     column: str
     values: tuple = ()             # in_set: allowed values (None allowed = NULL valid)
     low: Any = None                # range / date_range bounds (inclusive)
@@ -116,9 +116,6 @@ def _violation_exprs(rule: Rule, df: DataFrame, as_of: _dt.datetime) -> tuple[Co
         hi = (F.lit(rule.high).cast("timestamp_ntz") if rule.high is not None
               else F.timestamp_add("DAY", F.lit(C.FUTURE_DAYS_ALLOWED), ts_lit(as_of)))
         return F.count_if(t.isNull() | (t < lo) | (t > hi)), rows
-    if rule.kind == "unique":
-        distinct_incl_null = F.count_distinct(c) + F.when(F.count_if(c.isNull()) > 0, 1).otherwise(0)
-        return rows - distinct_incl_null, rows
     raise ValueError(rule.kind)
 
 
@@ -137,51 +134,50 @@ def orphans(df: DataFrame, fk: str, ref_df: DataFrame, ref_col: str, allow_null:
     return counts.join(keys, "_k", "left_anti").withColumnRenamed("_k", fk)
 
 
-def _fk_orphans(source: str, rule: Rule, df: DataFrame, idx: int) -> DataFrame:
-    """One FK rule's orphan count (anti join); its denominator comes from the fused pass."""
-    ref_df, ref_col = rule.ref
-    return (orphans(df, rule.column, ref_df, ref_col, rule.allow_null)
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
-            .select(F.lit(idx).alias("_idx"), "violations"))
+def _repeats(df: DataFrame, column: str) -> DataFrame:
+    """Rows beyond the first of their value; NULL is a value like any other."""
+    per_value = df.groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+    return per_value.select((F.col("n") - 1).alias("n"))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], source: str = "table",
-             as_of: _dt.datetime = C.AS_OF) -> DataFrame:
+             as_of: _dt.datetime = C.AS_OF, with_count: bool = False) -> DataFrame:
     """Evaluate ``rules`` on ``df``: one row per check with
     (source, check, kind, violations, total, pct, passed, status).
 
-    One aggregation pass computes every row-local rule and every FK
-    denominator; each FK rule adds one anti join for its orphan count.
-    Custom rules pass when violations / max(total, 1) < tol; unique needs 0.
+    One aggregation pass computes every row-local rule and every total; a
+    unique rule adds a count per value, an FK rule one anti join. The parts are
+    stacked and summed per rule. Custom rules pass when
+    violations / max(total, 1) < tol; unique needs 0. ``with_count`` adds a row
+    of kind ``row_count`` whose total is the number of rows.
     """
-    exprs = []
+    rules = [*rules, *([Rule("row_count", "*", name="row_count")] if with_count else [])]
+    exprs, apart = [], []
     for i, r in enumerate(rules):
-        if r.kind == "foreign_key":
-            c = F.col(r.column)
-            v, d = F.lit(0), (F.count(c) if r.allow_null else F.count(F.lit(1)))
+        if r.kind in ("foreign_key", "unique", "row_count"):
+            v = F.lit(0)
+            d = F.count(F.col(r.column)) if r.kind == "foreign_key" and r.allow_null else F.count(F.lit(1))
+            if r.kind != "row_count":
+                found = (_repeats(df, r.column) if r.kind == "unique"
+                         else orphans(df, r.column, r.ref[0], r.ref[1], r.allow_null))
+                apart.append(found.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+                                  .select(F.lit(i).alias("_idx"), "violations", F.lit(0).cast("long").alias("total")))
         else:
             v, d = _violation_exprs(r, df, as_of)
-        exprs += [v.cast("long").alias(f"v{i}"), d.cast("long").alias(f"d{i}")]
-    row = df.agg(*exprs)
-    structs = [F.struct(F.lit(i).alias("_idx"), F.lit(r.check).alias("check"), F.lit(r.kind).alias("kind"),
-                        F.lit(float(r.tol)).alias("tol"),
-                        F.col(f"v{i}").alias("violations"), F.col(f"d{i}").alias("total"))
-               for i, r in enumerate(rules)]
-    out = row.select(F.explode(F.array(*structs)).alias("r")).select(F.lit(source).alias("source"), "r.*")
-    fks = [_fk_orphans(source, r, df, i) for i, r in enumerate(rules) if r.kind == "foreign_key"]
-    if fks:
-        orph = fks[0]
-        for f in fks[1:]:
-            orph = orph.unionByName(f)
-        # one row per FK rule on each side: a bounded join on the rule index
-        out = (out.join(orph.withColumnRenamed("violations", "_orphans"), "_idx", "left")
-                  .withColumn("violations", F.coalesce(F.col("_orphans"), F.col("violations")))
-                  .drop("_orphans"))
+        exprs.append(F.struct(F.lit(i).alias("_idx"), v.cast("long").alias("violations"), d.cast("long").alias("total")))
+    out = df.agg(F.array(*exprs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
+    for part in apart:
+        out = out.unionByName(part)
+    out = out.groupBy("_idx").agg(F.sum("violations").alias("violations"), F.sum("total").alias("total"))
+    named = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("_idx") + 1)
+    out = out.select(F.lit(source).alias("source"), named([r.check for r in rules]).alias("check"),
+                     named([r.kind for r in rules]).alias("kind"), named([float(r.tol) for r in rules]).alias("tol"),
+                     "violations", "total")
     pct = F.col("violations") / F.greatest(F.col("total"), F.lit(1))
-    passed = F.when(F.col("kind") == "unique", F.col("violations") == 0).otherwise(pct < F.col("tol"))
+    passed = F.when(F.col("kind").isin("unique", "row_count"), F.col("violations") == 0).otherwise(pct < F.col("tol"))
     return (out.withColumn("pct", pct).withColumn("passed", passed)
                .withColumn("status", F.when(F.col("passed"), "PASS").otherwise("FAIL"))
-               .drop("tol", "_idx"))
+               .drop("tol"))
 
 
 def invalid_samples(df: DataFrame, rule: Rule, k: int = 3, source: str = "table") -> DataFrame:
@@ -240,40 +236,59 @@ def suite_rules(name: str, df, patient_ref: DataFrame | None = None) -> list[Rul
 SUITE_ORDER = ["patients", "encounters", "labs", "billing", "icu_vitals"]
 
 
+CHECK_SCHEMA = ("source string, check string, kind string, violations long, total long, pct double, passed boolean, "
+                "status string")
+
+
 def run_checks(data: dict[str, DataFrame], patient_ref: DataFrame | None = None,
-               as_of: _dt.datetime = C.AS_OF) -> DataFrame:
-    """Q7 over every present source: all check rows stacked (G1)."""
+               as_of: _dt.datetime = C.AS_OF, with_count: bool = False) -> DataFrame:
+    """Q7 over every present source: all check rows stacked (G1). No source gives no rows."""
     ref = patient_ref if patient_ref is not None else data.get("patients")
-    parts = [validate(data[n], suite_rules(n, data[n], ref), n, as_of) for n in SUITE_ORDER if n in data]
+    parts = []
+    for n in SUITE_ORDER:
+        if n in data:
+            rules = [r for r in suite_rules(n, data[n], ref) if r.kind != "foreign_key" or r.ref[0] is not None]
+            parts.append(validate(data[n], rules, n, as_of, with_count))
+    if not parts:
+        return SparkSession.getActiveSession().createDataFrame([], CHECK_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def score_sources(checks: DataFrame, counts: DataFrame | None = None,
-                  threshold: float = C.QUALITY_THRESHOLD) -> DataFrame:
-    """Q8: per source score = passed / total checks, and the source gate.
+def score_sources(checks: DataFrame, threshold: float = C.QUALITY_THRESHOLD) -> DataFrame:
+    """Q8: per source score = passed / total checks, and the source gate on it, unrounded.
 
-    Sources with zero records are skipped, as in the source system; ``counts``
-    is (source, record_count).
+    Sources without records are skipped, as in the source system; their number
+    comes from the ``row_count`` rows of ``checks`` (NULL without these).
     """
+    real = F.col("kind") != "row_count"
     per = checks.groupBy("source").agg(
-        F.count_if(F.col("passed")).alias("checks_passed"), F.count(F.lit(1)).alias("checks_total"))
-    per = per.withColumn("score", F.col("checks_passed") / F.col("checks_total"))
-    if counts is not None:
-        per = per.join(counts, "source", "inner").where(F.col("record_count") > 0)
-    return (per.withColumn("score", round_half_up("score", 4))
+        F.count_if(real & F.col("passed")).alias("checks_passed"), F.count_if(real).alias("checks_total"),
+        F.max(F.when(~real, F.col("total"))).alias("record_count"))
+    return (per.where(F.coalesce(F.col("record_count") > 0, F.lit(True)) & (F.col("checks_total") > 0))
+               .withColumn("score", F.col("checks_passed") / F.col("checks_total"))
                .withColumn("gate_passed", F.col("score") >= F.lit(threshold)))
 
 
 def overall(scores: DataFrame, threshold: float = C.QUALITY_THRESHOLD) -> DataFrame:
-    """Q9: overall = mean of source scores (1.0 if none), rounded to 4; gate >= threshold."""
-    return (scores.agg(F.coalesce(F.avg("score"), F.lit(1.0)).alias("_o"), F.count(F.lit(1)).alias("sources"))
-                  .select(round_half_up("_o", 4).alias("overall_score"), "sources")
+    """Q9: overall = mean of the unrounded source scores, 0.0 without any; gate >= threshold."""
+    return (scores.agg(F.coalesce(F.avg("score"), F.lit(0.0)).alias("overall_score"), F.count(F.lit(1)).alias("sources"))
                   .withColumn("gate_passed", F.col("overall_score") >= F.lit(threshold)))
 
 
+def gate_decision(scores: DataFrame, threshold: float = C.QUALITY_THRESHOLD) -> DataFrame:
+    """Q10: the gate's one row with the decision a run takes and the sources that fail on their own."""
+    failing = scores.where(~F.col("gate_passed")).agg(
+        F.coalesce(F.array_join(F.sort_array(F.collect_list("source")), ","), F.lit("")).alias("failing_sources"))
+    decided = overall(scores, threshold).withColumn(
+        "decision", F.when(F.col("gate_passed"), "LOAD").otherwise("HALT"))
+    return (decided.select("*", F.lit("").alias("failing_sources"))
+                   .unionByName(failing, allowMissingColumns=True)
+                   .agg(*[F.max(c).alias(c) for c in ("overall_score", "sources", "gate_passed", "decision", "failing_sources")]))
+
+
 def record_estimates(scores: DataFrame) -> DataFrame:
     """Q11: passed = all records if the source gate passed, else int(n * score);
     failed = 0 or int(n * (1 - score)) - the two need not add up to n."""
@@ -432,13 +447,13 @@ def expect(df: DataFrame, expectations: Sequence[Expectation], suite: str = "sui
     success when 1 - unexpected/element_count >= mostly; not_null counts over
     all rows, in_set / between / unique over non-null values (NULLs ignored).
     Row-local expectations share one aggregation; each unique one adds a
-    per-value count (one shuffle).
+    per-value count (one shuffle). An absent column fails all its expectations.
     """
     present = set(df.columns)
     local, parts = [], []
     for i, e in enumerate(expectations):
-        if e.kind == "column_to_exist":
-            parts.append((i, e, None))
+        if e.kind == "column_to_exist" or e.column not in present:
+            parts.append((i, e, None))  # any expectation on an absent column fails as a row
         elif e.kind == "unique":
             parts.append((i, e, "unique"))
         else:

@@ -29,48 +29,34 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
               .select(*[F.col(f"_last._row.{c}").alias(c) for c in cols]))
 
 
-HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-
-
-def hot_keys(df: DataFrame, key: str, threshold: int, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """The (at most ``limit``) largest keys holding more than ``threshold`` rows, flagged ``_hot``.
-
-    A partial (map-side) count per key, then a bounded top-k (TakeOrdered):
-    the result has at most ``limit`` rows, so it is broadcast by design and
-    the large side is never shuffled for this join. A hot key beyond the
-    limit is not split but still exact (it runs in the unsplit path).
-    """
-    top = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > threshold).orderBy(F.col("_n").desc(), F.col(key)).limit(limit))
-    return F.broadcast(top.select(key, F.lit(True).alias("_hot")))
+def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
+    """Rows with their bucket; rows without a time come before all others, as they do in the window order."""
+    return df.withColumn("_bucket", F.coalesce(bucket, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))).withColumn("_is_halo", F.lit(False))
 
 
 def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int,
-                      bucket: Column, out: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                      bucket: Column, out: str) -> DataFrame:
     """Mean of ``value`` over the last ``rows`` rows per key (min 1 row, NULLs skipped).
 
-    Keys with up to ``hot_rows`` rows run as one window per key. Hotter keys
-    are split by ``bucket`` (monotone in ``order``, e.g. ``date_trunc('HOUR', ts)``)
-    and each bucket gets a halo of the rows-1 rows before it:
-    (1) the last rows-1 rows of every hot (key, bucket) - a row_number limit
-    Spark applies partially before its shuffle; (2) per key, over those tails
-    only, the list of rows-1 rows ending each bucket; (3) that list, lagged by
-    one bucket, is the next bucket's halo; (4) one window per (key, bucket)
-    over rows + halo. The largest task is then one (hot key, bucket), not one
-    key. Rows with a NULL key get NULL.
+    Every key is split by ``bucket`` (monotone in ``order``, e.g.
+    ``date_trunc('HOUR', ts)``; NULL is the first bucket), and each bucket gets a
+    halo of the rows-1 rows before it: (1) the last rows-1 rows of every
+    (key, bucket) - a row_number limit Spark applies partially before its
+    shuffle; (2) per key, over those tails only, the list of rows-1 rows ending
+    each bucket; (3) that list, lagged by one bucket, is the next bucket's halo;
+    (4) one window per (key, bucket) over rows + halo. A task's unit of
+    work is one (key, bucket), whatever the key holds. Rows with a NULL key get NULL.
     """
     back = rows - 1
     if back == 0:
         return df.withColumn(out, F.when(F.col(key).isNotNull(), F.col(value).cast("double")))
-    flagged = df.join(hot_keys(df, key, hot_rows), key, "left")
-    b = flagged.withColumn("_bucket", F.when(F.col("_hot"), bucket)).drop("_hot")
+    body = _bucketed(df, bucket)
     ords = [F.col(c) for c in order]
     desc = Window.partitionBy(key, "_bucket").orderBy(*[c.desc() for c in ords])
-    tails = (b.where(F.col("_bucket").isNotNull()).select(key, "_bucket", *order, value)
-               .withColumn("_rd", F.row_number().over(desc))
-               .where(F.col("_rd") <= back))
-    carry = Window.partitionBy(key).orderBy(*ords).rowsBetween(-(back - 1), 0)
+    tails = (body.where(F.col(key).isNotNull()).select(key, "_bucket", *order, value)
+                 .withColumn("_rd", F.row_number().over(desc))
+                 .where(F.col("_rd") <= back))
+    carry = Window.partitionBy(key).orderBy("_bucket", *ords).rowsBetween(-(back - 1), 0)
     ends = (tails.withColumn("_tail", F.collect_list(F.struct(*ords, F.col(value))).over(carry))
                  .where(F.col("_rd") == 1)
                  .select(key, "_bucket", "_tail"))
@@ -80,34 +66,31 @@ def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str,
                 .select(key, "_bucket", F.explode("_halo").alias("_h"))
                 .select(key, "_bucket", *[F.col(f"_h.{c}").alias(c) for c in order],
                         F.col(f"_h.{value}").alias(value), F.lit(True).alias("_is_halo")))
-    body = b.withColumn("_is_halo", F.lit(False))
     both = body.unionByName(halo, allowMissingColumns=True)
-    frame = Window.partitionBy(key, "_bucket").orderBy(*ords).rowsBetween(-back, 0)
+    frame = Window.partitionBy(key, "_bucket").orderBy(F.col("_is_halo").desc(), *ords).rowsBetween(-back, 0)
     return (both.withColumn(out, F.when(F.col(key).isNotNull(), F.avg(value).over(frame)))
                 .where(~F.col("_is_halo"))
                 .drop("_bucket", "_is_halo"))
 
 
 def rolling_mean_time(df: DataFrame, key: str, ts: str, value: str, minutes: int,
-                      out: str, bucket_minutes: int = 60, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                      out: str, bucket_minutes: int = 60) -> DataFrame:
     """Mean of ``value`` over rows of the same key with ts in [ts - minutes, ts].
 
-    Keys with up to ``hot_rows`` rows run one RANGE window per key. Rows of
-    hotter keys are bucketed by ``bucket_minutes``; rows in the last
-    ``minutes`` of a bucket are copied into the next bucket as halo, then the
-    RANGE frame runs per (key, bucket). Needs bucket_minutes >= minutes.
+    Every key is bucketed by ``bucket_minutes``; rows in the last ``minutes`` of
+    a bucket are copied into the next bucket as halo, then the RANGE frame runs
+    per (key, bucket). Rows without a time share a frame of their own.
+    Needs bucket_minutes >= minutes.
     """
     if bucket_minutes < minutes:
         raise ValueError("bucket must be at least as long as the window")
     width = bucket_minutes * 60
-    start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / width) * width)
-    flagged = df.join(hot_keys(df, key, hot_rows), key, "left")
-    b = (flagged.withColumn("_bucket", F.when(F.col("_hot"), start.cast("timestamp_ntz"))).drop("_hot")
-                .withColumn("_is_halo", F.lit(False)))
+    start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / width) * width).cast("timestamp_ntz")
+    body = _bucketed(df, start)
     nxt = F.timestamp_add("MINUTE", F.lit(bucket_minutes), F.col("_bucket"))
-    halo = (b.where(F.col("_bucket").isNotNull() & (F.col(ts) >= F.timestamp_add("MINUTE", F.lit(-minutes), nxt)))
-             .select(key, ts, value, nxt.alias("_bucket"), F.lit(True).alias("_is_halo")))
-    both = b.unionByName(halo, allowMissingColumns=True)
+    halo = (body.where(F.col(key).isNotNull() & (F.col(ts) >= F.timestamp_add("MINUTE", F.lit(-minutes), nxt)))
+                .select(key, ts, value, nxt.alias("_bucket"), F.lit(True).alias("_is_halo")))
+    both = body.unionByName(halo, allowMissingColumns=True)
     frame_sql = (f"avg(`{value}`) OVER (PARTITION BY `{key}`, _bucket ORDER BY `{ts}` "
                  f"RANGE BETWEEN INTERVAL {minutes} MINUTES PRECEDING AND CURRENT ROW)")
     return (both.withColumn(out, F.when(F.col(key).isNotNull(), F.expr(frame_sql)))

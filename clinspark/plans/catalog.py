@@ -21,12 +21,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _decimal_round(c, digits: int):
+    """Output rounding as the oracles do it: through DECIMAL, so that engines agree."""
+    return F.round(c.cast("decimal(38,9)"), digits).cast("double")
+
+
 def stable(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
     overrides = overrides or {}
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(H.round_half_up(F.col(f.name), overrides.get(f.name, digits)).alias(f.name))
+            cols.append(_decimal_round(F.col(f.name), overrides.get(f.name, digits)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -11,6 +11,7 @@ from ..operators import gold, insights, quality, silver
 from ..schemas import TARGETS, conform
 from ..sources.sinks import load_format, table_counts
 from . import oracle as O
+from . import quality_oracle as QO
 from .catalog import Tables, _doubles_sql, register, stable
 
 V = O.with_views
@@ -211,106 +212,59 @@ def _in_set_invalid_sql(col, values):
     return f"NOT ({member} OR ({col} IS NULL AND {null_ok}))"
 
 
-def _rule_sql(source: str, rule: quality.Rule) -> str:
-    c = rule.column if rule.column != "timestamp" else '"timestamp"'
-    head = f"SELECT '{source}' AS source, '{rule.check}' AS \"check\", '{rule.kind}' AS kind, {float(rule.tol)} AS tol"
-    if rule.kind == "not_null":
-        v, d = f"COUNT(*) FILTER (WHERE {c} IS NULL)", "COUNT(*)"
-    elif rule.kind == "unique":
-        v = f"COUNT(*) - (COUNT(DISTINCT {c}) + CASE WHEN COUNT(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END)"
-        d = "COUNT(*)"
-    elif rule.kind == "in_set":
-        v, d = f"COUNT(*) FILTER (WHERE {_in_set_invalid_sql(c, rule.values)})", "COUNT(*)"
-    elif rule.kind == "range":
-        bad = " OR ".join(x for x in [f"{c} < {rule.low}" if rule.low is not None else "",
-                                      f"{c} > {rule.high}" if rule.high is not None else ""] if x) or "FALSE"
-        v, d = f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND ({bad}))", f"COUNT({c})"
-    elif rule.kind == "date_range":
-        t = f"CAST({c} AS TIMESTAMP)"
-        hi = (f"CAST('{rule.high}' AS TIMESTAMP)" if rule.high is not None
-              else O.ts_add("DAY", str(C.FUTURE_DAYS_ALLOWED), O.AS_OF))
-        v = f"COUNT(*) FILTER (WHERE {t} IS NULL OR {t} < CAST('{rule.low}' AS TIMESTAMP) OR {t} > {hi})"
-        d = "COUNT(*)"
-    elif rule.kind == "foreign_key":
-        orphan = f"NOT EXISTS (SELECT 1 FROM patients r WHERE r.patient_id = x.{c})"
-        if rule.allow_null:
-            v, d = f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {orphan})", f"COUNT({c})"
-        else:
-            v, d = f"COUNT(*) FILTER (WHERE {c} IS NULL OR {orphan})", "COUNT(*)"
-    else:
-        raise ValueError(rule.kind)
-    return f"{head}, CAST({v} AS BIGINT) AS violations, CAST({d} AS BIGINT) AS total FROM {source} x"
-
-
 _SUITE_COLUMNS = {  # columns of the silver tables (decides the optional checks)
     "patients": ["age_years"], "encounters": ["los_days"], "labs": ["tat_hours"], "billing": [], "icu_vitals": [],
 }
-
-
-def _checks_sql() -> str:
-    parts = [_rule_sql(n, r) for n in quality.SUITE_ORDER
-             for r in quality.suite_rules(n, _SUITE_COLUMNS[n], None)]
-    return ("SELECT source, \"check\", kind, violations, total, "
-            "violations / greatest(total, 1) AS pct, "
-            "CASE WHEN kind = 'unique' THEN violations = 0 ELSE violations / greatest(total, 1) < tol END AS passed "
-            "FROM (" + " UNION ALL ".join(parts) + ") c")
-
-
-_CHECKS = _checks_sql()
 _QSRC = ("patients", "encounters", "labs", "billing", "icu_vitals")
 
 
-def _checks_spark(t: Tables):
-    """Silver patients feeds three consumers (its checks and two FK references)
-    and Spark does not reuse the dedup across them: it is written once under
-    the shared checkpoint folder instead of being deduplicated three times."""
-    from ..session import cut_lineage
+def _checks_spark(t: Tables, with_count: bool = False):
     data = {n: t.silver(n) for n in quality.SUITE_ORDER}
-    data["patients"] = cut_lineage(data["patients"], "silver_patients")
-    return quality.run_checks(data, data["patients"])
+    return quality.run_checks(data, data["patients"], with_count=with_count)
 
 
 @register("quality_checks", _doubles_sql(V(
-    f"SELECT *, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status FROM ({_CHECKS}) q", *_QSRC), ["pct"]))
+    f"SELECT *, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status FROM ({QO.RESULTS}) q", *_QSRC), ["pct"]))
 def quality_checks(spark, sf_dir):
     """Q1-Q7 (+G1): every check of the five source suites, one row each."""
     return stable(_checks_spark(Tables(spark, sf_dir)))
 
 
-_COUNTS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS source, COUNT(*) AS record_count FROM {n}" for n in quality.SUITE_ORDER)
-_SCORES_SQL = f"""SELECT c.source, COUNT(*) FILTER (WHERE passed) AS checks_passed, COUNT(*) AS checks_total,
-  {O.rnd('COUNT(*) FILTER (WHERE passed) / COUNT(*)', 4)} AS score, n.record_count,
-  {O.rnd('COUNT(*) FILTER (WHERE passed) / COUNT(*)', 4)} >= {C.QUALITY_THRESHOLD} AS gate_passed
-FROM ({_CHECKS}) c JOIN ({_COUNTS_SQL}) n ON c.source = n.source WHERE n.record_count > 0
-GROUP BY c.source, n.record_count"""
-
-
 def _scores_spark(t: Tables):
-    checks = _checks_spark(t)
-    counts = table_counts({n: t.silver(n) for n in quality.SUITE_ORDER}).withColumnRenamed("table_name", "source") \
-        .withColumnRenamed("row_count", "record_count")
-    return quality.score_sources(checks, counts)
+    return quality.score_sources(_checks_spark(t, with_count=True))
 
 
-@register("quality_source_scores", _doubles_sql(V(_SCORES_SQL, *_QSRC), ["score"]))
+@register("quality_source_scores", _doubles_sql(V(QO.SCORES, *_QSRC), ["score"]))
 def quality_source_scores(spark, sf_dir):
     """Q8: per-source score and source gate."""
     return stable(_scores_spark(Tables(spark, sf_dir)))
 
 
-@register("quality_overall", _doubles_sql(V(
-    f"SELECT {O.rnd('COALESCE(AVG(score), 1.0)', 4)} AS overall_score, COUNT(*) AS sources, "
-    f"{O.rnd('COALESCE(AVG(score), 1.0)', 4)} >= {C.QUALITY_THRESHOLD} AS gate_passed FROM ({_SCORES_SQL}) s",
-    *_QSRC), ["overall_score"]))
+@register("quality_overall", _doubles_sql(V(QO.overall(), *_QSRC), ["overall_score"]))
 def quality_overall(spark, sf_dir):
-    """Q9 (+Q10 input): overall score = mean of source scores, gate >= 0.95."""
+    """Q9: overall score = mean of source scores, gate >= 0.95."""
     return stable(quality.overall(_scores_spark(Tables(spark, sf_dir))))
 
 
+@register("quality_overall_empty", _doubles_sql(V(QO.overall("record_count < 0"), *_QSRC), ["overall_score"]))
+def quality_overall_empty(spark, sf_dir):
+    """Q9 with no source left: score 0.0, gate not passed."""
+    return stable(quality.overall(_scores_spark(Tables(spark, sf_dir)).where("record_count < 0")))
+
+
+@register("gate_decision", _doubles_sql(V(
+    f"SELECT o.*, CASE WHEN gate_passed THEN 'LOAD' ELSE 'HALT' END AS decision, "
+    f"coalesce((SELECT string_agg(source, ',' ORDER BY source) FROM ({QO.SCORES}) f WHERE NOT gate_passed), '') AS failing_sources "
+    f"FROM ({QO.overall()}) o", *_QSRC), ["overall_score"]))
+def gate_decision(spark, sf_dir):
+    """Q10: whether a run goes on to load, and which sources fail on their own."""
+    return stable(quality.gate_decision(_scores_spark(Tables(spark, sf_dir))))
+
+
 @register("quality_record_estimates", V(
     "SELECT source, record_count, CAST(CASE WHEN gate_passed THEN record_count ELSE floor(record_count * score) END AS BIGINT) "
     "AS passed_records, CAST(CASE WHEN gate_passed THEN 0 ELSE floor(record_count * (1 - score)) END AS BIGINT) "
-    f"AS failed_records FROM ({_SCORES_SQL}) s", *_QSRC))
+    f"AS failed_records FROM ({QO.SCORES}) s", *_QSRC))
 def quality_record_estimates(spark, sf_dir):
     """Q11: passed / failed record estimates per source."""
     return quality.record_estimates(_scores_spark(Tables(spark, sf_dir)))
@@ -412,6 +366,24 @@ def patient_expectations(spark, sf_dir):
         .withColumn("idx", F.col("idx").cast("int"))
 
 
+_MISSING = [quality.Expectation("column_to_exist", "no_such_column"), quality.Expectation("not_null", "no_such_column", 0.5),
+            quality.Expectation("unique", "no_such_column"), quality.Expectation("between", "no_such_column", low=0, high=1),
+            quality.Expectation("column_to_exist", "mrn"), quality.Expectation("not_null", "mrn", 0.99)]
+
+
+@register("expectations_missing_column", V(
+    "SELECT 'patients' AS suite, * FROM (VALUES (0, 'column_to_exist', 'no_such_column', 1::BIGINT, 1::BIGINT, FALSE), "
+    "(1, 'not_null', 'no_such_column', 1, 1, FALSE), (2, 'unique', 'no_such_column', 1, 1, FALSE), "
+    "(3, 'between', 'no_such_column', 1, 1, FALSE), (4, 'column_to_exist', 'mrn', 0, 1, TRUE)) "
+    "AS v(idx, expectation, \"column\", unexpected, element_count, success) UNION ALL "
+    "SELECT 'patients', 5, 'not_null', 'mrn', count(*) FILTER (mrn IS NULL), count(*), "
+    "count(*) FILTER (mrn IS NULL) <= 0.01 * count(*) FROM patients", "patients"))
+def expectations_missing_column(spark, sf_dir):
+    """Q14: expectations on an absent column fail as rows instead of raising."""
+    return quality.expect(Tables(spark, sf_dir).silver("patients"), _MISSING, "patients") \
+        .withColumn("idx", F.col("idx").cast("int"))
+
+
 # -------------------------------------------------------- scalar functions --
 
 _TEXT = ("CASE encounter_id % 3 WHEN 0 THEN replace(CAST(admit_datetime AS VARCHAR), ' ', 'T') || 'Z' "

@@ -1,24 +1,31 @@
 """Registry facade used by ``__spark_entry__``."""
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 from ..session import ensure_checkpoint_dir
 
 
-def prepare(spark: SparkSession) -> None:
-    """Settings the queries rely on in any given session: a UTC session time
-    zone (window and bucket arithmetic casts TIMESTAMP_NTZ through it) and a
-    checkpoint folder (the cluster's ``spark.checkpoint.dir``; a private one
-    only when unset)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+@contextmanager
+def prepare(spark: SparkSession):
+    """What the queries rely on in any given session: a UTC time zone while a
+    plan is analysed (bucket arithmetic casts TIMESTAMP_NTZ through it; the
+    zone is fixed in the plan then) and a checkpoint folder. The caller's time zone is put back."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def prepared(fn):
     def run(spark, sf_dir):
-        prepare(spark)
-        return fn(spark, sf_dir)
+        with prepare(spark):
+            return fn(spark, sf_dir)
     run.__doc__ = fn.__doc__
     run.__name__ = getattr(fn, "__name__", "query")
     return run

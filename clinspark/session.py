@@ -76,11 +76,15 @@ def get_session(master: str | None = None, app: str = "clinspark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as given. Only when the
-    setting is absent (local tests) a private folder is created.
+    A cluster names a shared folder there; it is used as given. Only where the
+    setting is absent and driver and executors are one process (local tests) a private
+    folder is created; elsewhere executors would not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master or 'a cluster'}")
         path = tempfile.mkdtemp(prefix="clinspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

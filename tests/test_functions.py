@@ -165,3 +165,12 @@ def test_fhir_patient_and_encounter_resources(spark):
     enc = json.loads(col_values(e, encounter_resource(e))[0])
     assert enc["class"] == "ED" and enc["subject"] == {"reference": "Patient/7"}
     assert enc["period"] == {"start": "2026-01-01 08:00:00"}          # NULL end is omitted
+
+
+def test_round_half_up_keeps_special_values(spark):
+    import math
+    rows = [(1.005,), (2.675,), (-2.675,), (86.94999999999999,), (1e30,), (float("inf"),), (float("nan"),), (None,)]
+    df = spark.createDataFrame(rows, "v double").select(H.round_half_up("v", 2).alias("r"), H.round_half_up("v", 1).alias("s"))
+    r = [x.r for x in df.collect()]
+    assert r[:3] == [1.01, 2.68, -2.68] and df.collect()[3].s == 87.0
+    assert r[4] == 1e30 and r[5] == float("inf") and math.isnan(r[6]) and r[7] is None

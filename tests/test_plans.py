@@ -1,8 +1,9 @@
 """Plan properties: no Python UDFs, pushdown, pruning, anti joins, partial aggregation."""
 import pytest
 
-import __spark_entry__ as E
+from clinspark.plans import registry
 
+Q = registry.queries()
 SF = "/root/testdata/sf0.001"
 
 
@@ -10,32 +11,32 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q))
 def test_no_python_udf(spark, name):
-    p = plan(E.queries()[name](spark, SF))
+    p = plan(Q[name](spark, SF))
     for op in ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"]:
         assert op not in p, (name, op)
 
 
 def test_filter_pushed_to_scan(spark):
-    p = plan(E.queries()["raw_patients"](spark, SF))
+    p = plan(Q["raw_patients"](spark, SF))
     assert "PushedFilters: [IsNotNull(c_acctbal), LessThan(c_acctbal,0.0)]" in p
 
 
 def test_columns_pruned_at_scan(spark):
-    p = plan(E.queries()["labs_agg"](spark, SF))
+    p = plan(Q["labs_agg"](spark, SF))
     assert "l_extendedprice" not in p and "l_returnflag" not in p   # only lab columns are read
 
 
 def test_orphans_use_anti_join_on_preaggregated_keys(spark):
-    p = plan(E.queries()["orphan_billing_patients"](spark, SF))
+    p = plan(Q["orphan_billing_patients"](spark, SF))
     assert "LeftAnti" in p and "partial_count" in p
 
 
 def test_census_uses_fixed_width_aggregation(spark):
     """No Expand over the metrics and no object-buffer (percentile) aggregate:
     the median comes from per-value counts and a bounded window."""
-    p = plan(E.queries()["mart_daily_census"](spark, SF))
+    p = plan(Q["mart_daily_census"](spark, SF))
     assert "ObjectHashAggregate" not in p and "percentile" not in p
     assert p.count("Expand") <= 1          # only the distinct-count aggregation expands
 
@@ -44,10 +45,10 @@ def test_census_reads_each_fact_once(spark):
     """The distinct-count branch needs no lab or billing column: Spark removes
     those LEFT joins (right side unique on the key), so lineitem is read once
     for labs and once for billing, not once per census branch."""
-    p = plan(E.queries()["mart_daily_census"](spark, SF))
+    p = plan(Q["mart_daily_census"](spark, SF))
     assert p.count("lineitem.parquet") == 2
 
 
-def test_hot_key_list_is_bounded_broadcast(spark):
-    p = plan(E.queries()["silver_icu_vitals"](spark, SF))
-    assert "TakeOrderedAndProject(limit=10000" in p and "BroadcastHashJoin" in p
+def test_rolling_reads_events_once_for_rows_and_once_for_the_halo(spark):
+    p = plan(Q["silver_icu_vitals"](spark, SF))
+    assert p.count("events.parquet") == 2 and "Join" not in p

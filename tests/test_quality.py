@@ -79,10 +79,10 @@ def test_suite_scores_and_gate(spark):
     bad = patients(spark, nulls=60, dupes=5)
     s = Q.score_sources(Q.run_checks({"patients": bad})).collect()[0]
     # NULL ids (65 of 505), repeated ids and repeated MRNs: three checks fail
-    assert s.checks_passed == 6 and s.score == round(6 / 9, 4) and not s.gate_passed
+    assert s.checks_passed == 6 and s.score == 6 / 9 and not s.gate_passed
     o = Q.overall(Q.score_sources(Q.run_checks({"patients": df})).unionByName(
         Q.score_sources(Q.run_checks({"patients": bad})))).first()
-    assert o.overall_score == round((1 + 0.6667) / 2, 4) and not o.gate_passed
+    assert abs(o.overall_score - (1 + 6 / 9) / 2) < 1e-12 and not o.gate_passed
 
 
 def test_record_estimates(spark):
@@ -113,3 +113,32 @@ def test_expectations_mostly(spark):
     assert res[("not_null", "dob")].success                     # 1/500 missing, mostly 0.99
     assert res[("unique", "mrn")].success and res[("column_to_exist", "patient_id")].success
     assert not res[("in_set", "insurance_type")].success is False
+
+
+def test_gate_looks_at_unrounded_scores(spark):
+    scores = spark.createDataFrame([("a", 0.94996, 10)], "source string, score double, record_count long")
+    assert not Q.overall(scores).first().gate_passed
+    checks = spark.createDataFrame([("a", "c", "not_null", 0, 9, 0.0, i != 0, "") for i in range(20)], Q.CHECK_SCHEMA)
+    s = Q.score_sources(checks, threshold=0.95).first()
+    assert s.score == 0.95 and s.gate_passed and s.record_count is None
+
+
+def test_no_data_does_not_pass_the_gate(spark):
+    assert Q.run_checks({}).collect() == []
+    o = Q.overall(Q.score_sources(Q.run_checks({}))).first()
+    assert (o.overall_score, o.sources, o.gate_passed) == (0.0, 0, False)
+    empty = Q.run_checks({"patients": patients(spark).where("false")}, with_count=True)
+    assert Q.score_sources(empty).collect() == []
+    d = Q.gate_decision(Q.score_sources(empty)).first()
+    assert (d.overall_score, d.decision, d.failing_sources) == (0.0, "HALT", "")
+
+
+def test_unique_rules_do_not_expand_rows(spark):
+    plan = Q.run_checks({"patients": patients(spark)})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_expectations_on_an_absent_column_fail(spark):
+    rows = Q.expect(patients(spark).drop("mrn"), Q.PATIENT_EXPECTATIONS, "patients").collect()
+    assert len(rows) == len(Q.PATIENT_EXPECTATIONS)
+    assert all(not r.success for r in rows if r.column == "mrn") and all(r.success for r in rows if r.column == "patient_id")

@@ -3,6 +3,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from clinspark.operators.windows import keep_last, rolling_mean_rows, rolling_mean_time
@@ -28,20 +29,13 @@ def _fixture(n=3000, seed=7):
 
 def _brute_rows(rows, n):
     pdf = pd.DataFrame(rows, columns=["vital_id", "patient_id", "ts", "hr"])
-    pdf = pdf.sort_values(["patient_id", "ts", "vital_id"])
+    pdf = pdf.sort_values(["patient_id", "ts", "vital_id"], na_position="first")
     pdf["avg"] = (pdf.groupby("patient_id")["hr"].transform(lambda x: x.rolling(window=n, min_periods=1).mean()))
     return {r.vital_id: (None if pd.isna(r.avg) else r.avg) for r in pdf.itertuples()}
 
 
-def test_rolling_rows_matches_brute_force(spark):
-    rows = _fixture()
-    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    # hot_rows=200: the hot patient (~1000 rows) is split by hour, the others run whole
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg",
-                            hot_rows=200)
-    got = {r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}
-    want = _brute_rows(rows, 10)
-    assert len(got) == len(rows)
+def _same(got, want):
+    assert set(got) == set(want)
     for k, v in want.items():
         if v is None:
             assert got[k] is None, k
@@ -49,44 +43,49 @@ def test_rolling_rows_matches_brute_force(spark):
             assert got[k] is not None and abs(got[k] - v) < 1e-9, (k, got[k], v)
 
 
-def test_rolling_rows_small_buckets(spark):
-    """Buckets of one minute hold fewer rows than the window: the halo must
-    reach back across several buckets."""
-    rows = _fixture(800, seed=3)
+@pytest.mark.parametrize("unit, n", [("DAY", 3000), ("HOUR", 3000), ("MINUTE", 800), ("SECOND", 400)])
+def test_rolling_rows_matches_brute_force(spark, unit, n):
+    """Any bucket width: buckets of a second hold fewer rows than the window, so
+    the halo reaches back across several, and most are empty."""
+    rows = _fixture(n)
+    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
+    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc(unit, "ts"), "avg")
+    _same({r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}, _brute_rows(rows, 10))
+
+
+@pytest.mark.parametrize("unit", ["HOUR", "MINUTE"])
+def test_rolling_rows_with_null_times_and_ties(spark, unit):
+    """Rows without a time come first and are carried into the first timed
+    bucket; equal times are ordered by id."""
+    rows = [(i, pid, None if i % 11 == 0 else ts, hr) for i, pid, ts, hr in _fixture(900, seed=3)]
+    rows += [(10_000 + i, 1, rows[1][2], float(i)) for i in range(25)]
+    rows += [(20_000 + i, 50, t, v) for i, (t, v) in enumerate(
+        [(None, 100.0), (None, 90.0)] + [(dt.datetime(2024, 1, 1, h), 50.0 + h) for h in range(4)])]
     df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("MINUTE", "ts"), "avg",
-                            hot_rows=0)   # every key split into minute buckets
-    got = {r.vital_id: r.avg for r in out.collect()}
-    for k, v in _brute_rows(rows, 10).items():
-        assert (got[k] is None and v is None) or abs(got[k] - v) < 1e-9
+    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc(unit, "ts"), "avg")
+    _same({r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}, _brute_rows(rows, 10))
 
 
-def test_rolling_rows_no_hot_keys(spark):
-    rows = _fixture(600, seed=5)
-    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg")
-    got = {r.vital_id: r.avg for r in out.collect()}
-    for k, v in _brute_rows(rows, 10).items():
-        assert (got[k] is None and v is None) or abs(got[k] - v) < 1e-9
+def test_rolling_plan_counts_no_rows_first(spark):
+    df = spark.createDataFrame(_fixture(50), "vital_id long, patient_id long, ts timestamp_ntz, hr double")
+    plan = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "count" not in plan and "TakeOrdered" not in plan
 
 
-def test_rolling_time_matches_brute_force(spark):
-    rows = _fixture(1500, seed=11)
+@pytest.mark.parametrize("bucket", [5, 7, 60])
+def test_rolling_time_matches_brute_force(spark, bucket):
+    rows = [(i, pid, None if i % 13 == 0 else ts, hr) for i, pid, ts, hr in _fixture(1500, seed=11)]
     df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_time(df, "patient_id", "ts", "hr", 5, "avg", hot_rows=100)   # hot keys split by hour
-    got = {r.vital_id: r.avg for r in out.collect()}
-    plain = {r.vital_id: r.avg for r in rolling_mean_time(df, "patient_id", "ts", "hr", 5, "avg").collect()}
-    assert plain == got
-    by_pid = {}
+    out = rolling_mean_time(df, "patient_id", "ts", "hr", 5, "avg", bucket_minutes=bucket)
+    by_pid, want = {}, {}
     for r in rows:
         by_pid.setdefault(r[1], []).append(r)
     for vid, pid, ts, hr in rows:
-        if pid is None:
-            assert got[vid] is None
-            continue
-        vals = [x[3] for x in by_pid[pid] if ts - dt.timedelta(minutes=5) <= x[2] <= ts and x[3] is not None]
-        want = sum(vals) / len(vals) if vals else None
-        assert (got[vid] is None and want is None) or abs(got[vid] - want) < 1e-9, (vid, got[vid], want)
+        near = [x[3] for x in by_pid[pid] if x[3] is not None and (
+            x[2] is None if ts is None else x[2] is not None and ts - dt.timedelta(minutes=5) <= x[2] <= ts)]
+        want[vid] = sum(near) / len(near) if near and pid is not None else None
+    _same({r.vital_id: r.avg for r in out.collect()}, want)
 
 
 def test_keep_last_dedup_sixty_to_fifty(spark):
