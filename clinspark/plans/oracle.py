@@ -9,7 +9,6 @@ independent of summation order and binary representation.
 from __future__ import annotations
 
 from .. import config as C
-from ..sources.testdata import DAYS_SUPPLY, LAB_VALUE_STEPS
 
 AS_OF = C.AS_OF_SQL
 AS_OF_DATE = f"CAST({AS_OF} AS DATE)"
@@ -135,12 +134,14 @@ def _patient_rows(insurance: str, extracted: str, where: str = "") -> str:
   'PHYS_' || CAST(1000 + (c_custkey * 13) % 9000 AS VARCHAR) AS primary_physician_id,
   CAST({age} AS INTEGER) AS age_years,
   {extract_age_group(age)} AS age_group,
-  {pick(C.RACES, 'c_custkey % 6')} AS race,
+  CAST(NULL AS VARCHAR) AS race,
   CAST(NULL AS VARCHAR) AS ethnicity, 'EHR' AS source_system, {extracted} AS extracted_at
 FROM customer {where}"""
 
 
-RAW_PATIENTS = (_patient_rows(pick(C.INSURANCE_TYPES, "c_nationkey % 7"), EXTRACTED)
+RAW_PATIENTS = (_patient_rows("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'AETNA' WHEN 'BUILDING' THEN 'MEDICARE' "
+                              "WHEN 'FURNITURE' THEN 'BCBS' WHEN 'HOUSEHOLD' THEN 'MEDICAID' "
+                              "WHEN 'MACHINERY' THEN 'CIGNA' END", EXTRACTED)
                 + "\nUNION ALL\n"
                 + _patient_rows("'SELF_PAY'", ts_add("HOUR", "-1", AS_OF), "WHERE c_acctbal < 0"))
 
@@ -164,15 +165,14 @@ FROM (
     SELECT o_orderkey AS encounter_id, o_custkey AS patient_id, o_orderstatus,
       {_ETYPE} AS encounter_type, upper({_ETYPE}) = 'INPATIENT' AS inpatient,
       {_ADMIT} AS admit_datetime,
-      {pick(C.ICD10_CODES, 'o_orderkey % 10')} AS primary_diagnosis_icd10,
+      o_orderpriority AS primary_diagnosis_icd10,
       'PHYS_' || CAST(1000 + (o_orderkey * 7) % 9000 AS VARCHAR) AS attending_physician_id,
-      {pick(C.ENCOUNTER_DEPARTMENTS, '(o_orderkey * 3) % 7')} AS department,
-      {pick(C.ENCOUNTER_FACILITIES, 'o_orderkey % 4')} AS facility_id
+      substr(o_orderpriority, 3, 20) AS department,
+      o_orderstatus AS facility_id
     FROM orders) a) b"""
 
-_PANEL = f"l_partkey % {len(C.LAB_PANELS)}"
-_LOW = pick([p[2] for p in C.LAB_PANELS], _PANEL, "DOUBLE")
-_HIGH = pick([p[3] for p in C.LAB_PANELS], _PANEL, "DOUBLE")
+_LOW = "CASE WHEN l_linenumber > 1 THEN CAST(8 + l_linenumber AS DOUBLE) END"
+_HIGH = "CASE WHEN l_linenumber < 7 THEN CAST(42 - l_linenumber AS DOUBLE) END"
 _LINE_ID = ("'{p}-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' "
             "|| CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)")
 _COLLECTED = ts_add("MINUTE", "(l_orderkey * 17 + l_linenumber * 131) % 1440", shift("l_shipdate"))
@@ -185,16 +185,16 @@ FROM (
   SELECT {_LINE_ID.format(p='LAB')} AS lab_result_id,
     l_suppkey AS patient_id,
     CASE WHEN l_discount >= 0.03 THEN l_orderkey END AS encounter_id,
-    {pick([p[0] for p in C.LAB_PANELS], _PANEL)} AS loinc_code,
-    {pick([p[1] for p in C.LAB_PANELS], _PANEL)} AS test_name,
-    l_quantity * {pick(LAB_VALUE_STEPS, _PANEL, 'DOUBLE')} AS result_value,
+    CAST(l_linenumber AS VARCHAR) || '-' || l_linestatus AS loinc_code,
+    'LINE ' || CAST(l_linenumber AS VARCHAR) || l_returnflag AS test_name,
+    l_quantity AS result_value,
     CAST(NULL AS VARCHAR) AS result_text,
-    {pick([p[4] for p in C.LAB_PANELS], _PANEL)} AS result_unit,
+    'pieces' AS result_unit,
     {_LOW} AS reference_range_low, {_HIGH} AS reference_range_high,
     {_COLLECTED} AS collected_datetime,
     {ts_add('SECOND', '(100 + (l_partkey * 7 + l_linenumber) % 501) * 36', _COLLECTED)} AS resulted_datetime,
     'PHYS_' || CAST(1000 + (l_partkey * 11) % 9000 AS VARCHAR) AS ordering_physician_id,
-    'LAB_' || {pick(C.LAB_SITES, 'l_suppkey % 3')} AS lab_id,
+    'LAB_' || l_linestatus AS lab_id,
     'LAB' AS source_system, {EXTRACTED} AS extracted_at
   FROM lineitem) t"""
 
@@ -204,17 +204,17 @@ _SERVICE = f"CAST({shift('l_shipdate')} AS DATE)"
 
 RAW_BILLING = f"""SELECT {_LINE_ID.format(p='CLM')} AS claim_id,
   l_partkey AS patient_id, l_orderkey AS encounter_id,
-  {pick(C.CPT_CODES, 'l_partkey % 10')} AS cpt_code,
-  {pick(C.BILLING_ICD10, 'l_suppkey % 3')} AS icd10_code,
+  'LINE ' || CAST(l_linenumber AS VARCHAR) AS cpt_code,
+  l_returnflag AS icd10_code,
   l_extendedprice AS charge_amount,
   floor(l_extendedprice * 80) / 100 AS allowed_amount,
   CASE WHEN {_STATUS} = 'PAID' THEN floor(l_extendedprice * (1 - l_discount) * 100) / 100 END AS paid_amount,
-  {pick(C.PAYERS, '(l_partkey + l_suppkey) % 7')} AS payer_name,
+  'PAYER_' || l_returnflag || l_linestatus AS payer_name,
   {_STATUS} AS claim_status,
   {_SERVICE} AS service_date,
   {_SERVICE} + CAST(1 + l_linenumber % 5 AS INTEGER) AS billing_date,
   'NPI' || CAST(1000000000 + (l_suppkey * 7919) % 1000000000 AS VARCHAR) AS provider_npi,
-  {pick(C.FACILITIES, 'l_orderkey % 3')} AS facility_id,
+  l_linestatus AS facility_id,
   'BILLING' AS source_system, {EXTRACTED} AS extracted_at
 FROM lineitem"""
 
@@ -230,13 +230,10 @@ _DBP = _reading(450, 800, f"{_V100} * 5 + event_id * 7")
 _SPO2 = _reading(890, 115, f"{_V100} + event_id")
 _RR = _reading(50, 300, f"{_V100} * 3 + event_id")
 _TEMP = _reading(345, 70, f"{_V100} + event_id * 3")
-_UNIT = ("CASE event_type WHEN 'click' THEN 'MICU' WHEN 'error' THEN 'SICU' WHEN 'purchase' THEN 'CVICU' "
-         "WHEN 'signup' THEN 'NICU' WHEN 'view' THEN 'BURN_ICU' END")
-
 RAW_ICU = f"""SELECT event_id AS vital_id, user_id AS patient_id,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS encounter_id,
   'BED_' || lpad(CAST(1 + event_id % 30 AS VARCHAR), 2, '0') AS bed_id,
-  {_UNIT} AS icu_unit, ts AS "timestamp",
+  upper(event_type) AS icu_unit, ts AS "timestamp",
   {clamp('heart_rate', _HR)} AS heart_rate,
   {clamp('systolic_bp', _SBP)} AS systolic_bp,
   {clamp('diastolic_bp', _DBP)} AS diastolic_bp,
@@ -250,75 +247,56 @@ RAW_ICU = f"""SELECT event_id AS vital_id, user_id AS patient_id,
   'ICU_MONITOR' AS source_system, {EXTRACTED} AS extracted_at
 FROM events"""
 
-_DRUG = f"p_partkey % {len(C.DRUGS)}"
-_DRUG_NAME = pick([d[1] for d in C.DRUGS], _DRUG)
-_PRESCRIBED = "(DATE '2026-08-01' + CAST(p_partkey % 31 AS INTEGER))"
+_PRESCRIBED = "(DATE '2026-08-01' + CAST(p_size % 31 AS INTEGER))"
 
 RAW_MEDICATIONS = f"""SELECT p_partkey AS medication_id, p_partkey AS patient_id,
   CASE WHEN p_size <= 30 THEN p_partkey END AS encounter_id,
-  {pick([d[0] for d in C.DRUGS], _DRUG)} AS rxnorm_code,
-  {_DRUG_NAME} AS drug_name, {dose(_DRUG_NAME)} AS dose,
-  {pick([d[2] for d in C.DRUGS], _DRUG)} AS route,
-  {pick([d[3] for d in C.DRUGS], _DRUG)} AS frequency,
-  CAST(p_size AS DOUBLE) * 5 + 7 AS quantity_dispensed,
-  {pick(DAYS_SUPPLY, 'p_partkey % 5', 'INTEGER')} AS days_supply,
-  'NPI' || CAST(1000000000 + (p_partkey * 7919) % 1000000000 AS VARCHAR) AS prescriber_npi,
-  'RX_' || CAST(100 + p_partkey % 900 AS VARCHAR) AS dispensing_pharmacy_id,
+  p_brand AS rxnorm_code, p_name AS drug_name, {dose('p_name')} AS dose,
+  p_type AS route, CAST(NULL AS VARCHAR) AS frequency,
+  CAST(p_size AS DOUBLE) * 5 + 7 AS quantity_dispensed, p_size AS days_supply,
+  CAST(NULL AS VARCHAR) AS prescriber_npi, CAST(NULL AS VARCHAR) AS dispensing_pharmacy_id,
   {_PRESCRIBED} AS prescribed_date,
-  CASE WHEN p_size NOT IN (1, 50) THEN {_PRESCRIBED} + CAST(p_partkey % 3 AS INTEGER) END AS dispensed_date,
-  {pick(C.MEDICATION_STATUSES, 'p_partkey % 3')} AS status,
-  'PHARMACY' AS source_system, {EXTRACTED} AS extracted_at
+  CASE WHEN p_size NOT IN (1, 50) THEN {_PRESCRIBED} END AS dispensed_date,
+  p_type AS status, 'PHARMACY' AS source_system, {EXTRACTED} AS extracted_at
 FROM part"""
 
-_STUDY = ts_add("MINUTE", "(p_partkey * 97) % 43200", ts_add("DAY", "-30", AS_OF))
-_READ = ts_add("SECOND", "(50 + (p_partkey * 13) % 4751) * 36", _STUDY)
-
-RAW_RADIOLOGY = f"""SELECT p_partkey AS study_id, p_partkey AS patient_id,
-  CASE WHEN p_size <= 30 THEN p_partkey END AS encounter_id,
-  'ACC' || CAST(100000 + p_partkey AS VARCHAR) AS accession_number,
-  {pick(C.MODALITIES, 'p_partkey % 7')} AS modality,
-  {pick(C.BODY_PARTS, 'p_size % 8')} AS body_part,
-  {pick(C.RADIOLOGY_CPT, 'p_partkey % 4')} AS cpt_code,
-  {_STUDY} AS study_datetime, {_READ} AS read_datetime,
-  'RAD_' || CAST(100 + p_partkey % 900 AS VARCHAR) AS radiologist_id,
-  'PHYS_' || CAST(1000 + (p_partkey * 3) % 9000 AS VARCHAR) AS ordering_physician_id,
-  CAST(NULL AS VARCHAR) AS impression,
-  {pick(C.FINDINGS, '(p_partkey * 3) % 4')} AS finding_category,
-  {elapsed_hours(_STUDY, _READ)} AS tat_hours,
+RAW_RADIOLOGY = f"""SELECT {_LINE_ID.format(p='RAD')} AS study_id, o_custkey AS patient_id, l_orderkey AS encounter_id,
+  {_LINE_ID.format(p='ACC')} AS accession_number, l_returnflag AS modality, l_linestatus AS body_part,
+  'LINE ' || CAST(l_linenumber AS VARCHAR) AS cpt_code,
+  {shift('o_orderdate')} AS study_datetime, {shift('l_shipdate')} AS read_datetime,
+  CAST(NULL AS VARCHAR) AS radiologist_id, CAST(NULL AS VARCHAR) AS ordering_physician_id,
+  CAST(NULL AS VARCHAR) AS impression, o_orderstatus AS finding_category,
+  {elapsed_hours(shift('o_orderdate'), shift('l_shipdate'))} AS tat_hours,
   'RADIOLOGY' AS source_system, {EXTRACTED} AS extracted_at
-FROM part"""
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
-_ROLE = pick(C.ROLES, "s_suppkey % 10")
-_LICENSED = f"coalesce({_ROLE} IN {inlist(C.LICENSED_ROLES)}, false)"
+_ROLE = ("CASE r_name WHEN 'AFRICA' THEN 'RN' WHEN 'AMERICA' THEN 'PHYSICIAN' WHEN 'ASIA' THEN 'PHARMACIST' "
+         "WHEN 'EUROPE' THEN 'CLERK' WHEN 'MIDDLE EAST' THEN 'PORTER' END")
+_LICENSED = "coalesce(r_name IN ('AFRICA', 'AMERICA', 'ASIA'), false)"
 
-RAW_STAFF = f"""SELECT s_suppkey AS staff_id,
-  'EMP' || lpad(CAST(s_suppkey + 1 AS VARCHAR), 5, '0') AS employee_id,
-  {_ROLE} AS role,
-  {pick(C.STAFF_DEPARTMENTS, 's_nationkey % 10')} AS department,
-  {pick(C.FACILITIES, 's_suppkey % 3')} AS facility_id,
-  CASE WHEN {_LICENSED} THEN 'NPI' || CAST(1000000000 + (s_suppkey * 7919) % 1000000000 AS VARCHAR) END AS npi,
+RAW_STAFF = f"""SELECT s_suppkey AS staff_id, s_name AS employee_id, {_ROLE} AS role,
+  n_name AS department, r_name AS facility_id,
+  CASE WHEN {_LICENSED} THEN 'NPI' || CAST(1000000000 + s_suppkey AS VARCHAR) END AS npi,
   CASE WHEN {_LICENSED} THEN {_ROLE} || '_LICENSE' END AS license_type,
-  CASE WHEN {_LICENSED} THEN {AS_OF_DATE} + CAST(30 + s_suppkey % 700 AS INTEGER) END AS license_expiry,
-  DATE '2021-09-01' + CAST((s_suppkey * 37) % 1826 AS INTEGER) AS hire_date,
-  {pick(C.EMPLOYMENT_STATUSES, 's_suppkey % 5')} AS employment_status,
-  {pick(C.SHIFT_TYPES, 's_nationkey % 4')} AS shift_type,
-  'HR' AS source_system, {EXTRACTED} AS extracted_at
-FROM supplier"""
+  CAST(NULL AS DATE) AS license_expiry, CAST(NULL AS DATE) AS hire_date,
+  CASE WHEN s_acctbal < 0 THEN 'ON_LEAVE' ELSE 'ACTIVE' END AS employment_status,
+  CAST(NULL AS VARCHAR) AS shift_type, 'HR' AS source_system, {EXTRACTED} AS extracted_at
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
 
 _SCHED = ts_add("DAY", "7", _ADMIT)
 _APPT_STATUS = (f"CASE WHEN o_orderstatus = 'F' THEN 'COMPLETED' WHEN o_orderstatus = 'O' THEN 'SCHEDULED' "
-                f"ELSE {pick(['CANCELLED', 'NO_SHOW'], 'o_orderkey % 2')} END")
+                "ELSE 'CANCELLED' END")
 _START = f"CASE WHEN {_APPT_STATUS} = 'COMPLETED' THEN {ts_add('MINUTE', 'o_orderkey % 61 - 15', _SCHED)} END"
 
 RAW_APPOINTMENTS = f"""SELECT o_orderkey AS appointment_id, o_custkey AS patient_id,
   'PHYS_' || CAST(1000 + o_orderkey % 100 AS VARCHAR) AS provider_id,
-  {pick(C.APPOINTMENT_TYPES, 'o_orderkey % 5')} AS appointment_type,
+  o_orderpriority AS appointment_type,
   {_SCHED} AS scheduled_datetime,
   {_START} AS actual_start_datetime,
   {ts_add('MINUTE', '15 + o_orderkey % 46', _START)} AS actual_end_datetime,
   {_APPT_STATUS} AS status,
-  {pick(C.STAFF_DEPARTMENTS, 'o_orderkey % 10')} AS department,
-  {pick(C.FACILITIES, 'o_custkey % 3')} AS facility_id,
+  substr(o_orderpriority, 3, 20) AS department,
+  o_orderstatus AS facility_id,
   CAST(o_orderkey % 31 AS INTEGER) AS wait_time_days,
   CAST(NULL AS VARCHAR) AS referral_source,
   'SCHEDULING' AS source_system, {EXTRACTED} AS extracted_at

@@ -1,8 +1,9 @@
 """Bronze clinical tables derived from the driver's TPC-H-like parquet tables.
 
-Each clinical source is a fixed expression over one input table (no joins,
-no filters, no row caps), so the clinical tables grow linearly with the
-input and every scan keeps column pruning and predicate pushdown.
+Each clinical source is a fixed expression over whole input tables (no
+filters, no row caps; radiology and staff join their parents), so the clinical
+tables grow linearly with the input and every scan keeps column pruning and
+predicate pushdown. Categories are columns of the input.
 
 | clinical      | from      | key                        |
 |---------------|-----------|----------------------------|
@@ -10,8 +11,9 @@ input and every scan keeps column pruning and predicate pushdown.
 | encounters    | orders    | o_orderkey                 |
 | labs, billing | lineitem  | l_orderkey = encounter     |
 | icu_vitals    | events    | event_id                   |
-| medications, radiology | part | p_partkey             |
-| staff         | supplier  | s_suppkey                  |
+| medications   | part      | p_partkey                  |
+| radiology     | lineitem, orders | line of the order   |
+| staff         | supplier, nation, region | s_suppkey   |
 | appointments  | orders    | o_orderkey                 |
 
 The DuckDB text of the same views lives in ``clinspark.plans.oracle``.
@@ -29,10 +31,10 @@ from ..functions import clinical as H
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-# Per-source constants of this mapping (not source-system values): step of
-# each lab panel's reading per unit of l_quantity, in panel order.
-LAB_VALUE_STEPS = [0.03, 0.17, 5.62, 0.59, 1.76, 0.31, 11.0, 3.4, 1.26, 1.0, 0.17, 6.0, 2.88]
-DAYS_SUPPLY = [7, 14, 30, 60, 90]
+# Rules of this mapping: an accepted payer for each market segment, a role for each region.
+SEGMENT_PAYERS = {"AUTOMOBILE": "AETNA", "BUILDING": "MEDICARE", "FURNITURE": "BCBS", "HOUSEHOLD": "MEDICAID",
+                  "MACHINERY": "CIGNA"}
+REGION_ROLES = {"AFRICA": "RN", "AMERICA": "PHYSICIAN", "ASIA": "PHARMACIST", "EUROPE": "CLERK", "MIDDLE EAST": "PORTER"}
 
 
 # Declared input schemas (A1: read with a schema, no inference job per read).
@@ -45,6 +47,8 @@ INPUT_SCHEMAS = {
                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
@@ -71,6 +75,11 @@ def _str(c):
     return c.cast("string")
 
 
+def _mapped(mapping: dict, c):
+    """The value of a fixed map, NULL for others."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), c)
+
+
 # ------------------------------------------------------------------ EHR --
 
 def _patient_rows(c: DataFrame, insurance, extracted_at) -> DataFrame:
@@ -87,7 +96,7 @@ def _patient_rows(c: DataFrame, insurance, extracted_at) -> DataFrame:
         F.concat(F.lit("PHYS_"), _str(F.lit(1000) + (key * 13) % 9000)).alias("primary_physician_id"),
         age.alias("age_years"),
         H.extract_age_group(age).alias("age_group"),
-        H.pick(C.RACES, key % 6).alias("race"),
+        F.lit(None).cast("string").alias("race"),
         F.lit(None).cast("string").alias("ethnicity"),
         F.lit("EHR").alias("source_system"),
         extracted_at.alias("extracted_at"),
@@ -97,8 +106,8 @@ def _patient_rows(c: DataFrame, insurance, extracted_at) -> DataFrame:
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw patients: one extract of every customer, plus a later re-extract of
     accounts in debit whose payer changed to SELF_PAY (so MRN dedup keeps it)."""
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    first = _patient_rows(c, H.pick(C.INSURANCE_TYPES, F.col("c_nationkey") % 7),
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    first = _patient_rows(c, _mapped(SEGMENT_PAYERS, F.col("c_mktsegment")),
                           F.timestamp_add("DAY", F.lit(-1), _as_of()))
     again = _patient_rows(c.where(F.col("c_acctbal") < 0), F.lit("SELF_PAY"),
                           F.timestamp_add("HOUR", F.lit(-1), _as_of()))
@@ -130,10 +139,10 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         etype.alias("encounter_type"),
         admit.alias("admit_datetime"),
         discharge.alias("discharge_datetime"),
-        H.pick(C.ICD10_CODES, key % 10).alias("primary_diagnosis_icd10"),
+        prio.alias("primary_diagnosis_icd10"),
         F.concat(F.lit("PHYS_"), _str(F.lit(1000) + (key * 7) % 9000)).alias("attending_physician_id"),
-        H.pick(C.ENCOUNTER_DEPARTMENTS, (key * 3) % 7).alias("department"),
-        H.pick(C.ENCOUNTER_FACILITIES, key % 4).alias("facility_id"),
+        F.substring(prio, 3, 20).alias("department"),
+        F.col("o_orderstatus").alias("facility_id"),
         raw_los.alias("los_days"),
         F.when(inpatient, F.concat(F.lit("DRG_"), _str(F.lit(100) + key % 900))).alias("drg_code"),
         F.lit("EHR").alias("source_system"),
@@ -142,24 +151,24 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                                      "o_orderpriority")
     key = F.col("o_orderkey")
     sched = _add("DAY", F.lit(7), _admit(key, F.col("o_orderdate")))
     st = F.col("o_orderstatus")
-    status = (F.when(st == "F", "COMPLETED").when(st == "O", "SCHEDULED")
-              .otherwise(H.pick(["CANCELLED", "NO_SHOW"], key % 2)))
+    status = F.when(st == "F", "COMPLETED").when(st == "O", "SCHEDULED").otherwise("CANCELLED")
     start = F.when(status == "COMPLETED", _add("MINUTE", key % 61 - 15, sched))
     return o.select(
         key.alias("appointment_id"),
         F.col("o_custkey").alias("patient_id"),
         F.concat(F.lit("PHYS_"), _str(F.lit(1000) + key % 100)).alias("provider_id"),
-        H.pick(C.APPOINTMENT_TYPES, key % 5).alias("appointment_type"),
+        F.col("o_orderpriority").alias("appointment_type"),
         sched.alias("scheduled_datetime"),
         start.alias("actual_start_datetime"),
         _add("MINUTE", F.lit(15) + key % 46, start).alias("actual_end_datetime"),
         status.alias("status"),
-        H.pick(C.STAFF_DEPARTMENTS, key % 10).alias("department"),
-        H.pick(C.FACILITIES, F.col("o_custkey") % 3).alias("facility_id"),
+        F.substring("o_orderpriority", 3, 20).alias("department"),
+        st.alias("facility_id"),
         (key % 31).cast("int").alias("wait_time_days"),
         F.lit(None).cast("string").alias("referral_source"),
         F.lit("SCHEDULING").alias("source_system"),
@@ -176,11 +185,13 @@ def _line_id(prefix: str):
 
 def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate")
-    panel = F.col("l_partkey") % len(C.LAB_PANELS)
-    low = H.pick([p[2] and float(p[2]) for p in C.LAB_PANELS], panel)
-    high = H.pick([p[3] and float(p[3]) for p in C.LAB_PANELS], panel)
-    value = F.col("l_quantity") * H.pick(LAB_VALUE_STEPS, panel)
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate",
+        "l_returnflag", "l_linestatus")
+    line = F.col("l_linenumber")
+    # own rule: bounds narrow with the line number; the first line has no lower, the last no upper bound
+    low = F.when(line > 1, (F.lit(8) + line).cast("double"))
+    high = F.when(line < 7, (F.lit(42) - line).cast("double"))
+    value = F.col("l_quantity")
     collected = _add("MINUTE", (F.col("l_orderkey") * 17 + F.col("l_linenumber") * 131) % 1440,
                      _shift(F.col("l_shipdate")))
     resulted = _add("SECOND", (F.lit(100) + (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 501) * 36,
@@ -189,18 +200,18 @@ def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
         _line_id("LAB").alias("lab_result_id"),
         F.col("l_suppkey").alias("patient_id"),
         F.when(F.col("l_discount") >= 0.03, F.col("l_orderkey")).alias("encounter_id"),
-        H.pick([p[0] for p in C.LAB_PANELS], panel).alias("loinc_code"),
-        H.pick([p[1] for p in C.LAB_PANELS], panel).alias("test_name"),
+        F.concat_ws("-", _str(line), "l_linestatus").alias("loinc_code"),
+        F.concat(F.lit("LINE "), _str(line), F.col("l_returnflag")).alias("test_name"),
         value.alias("result_value"),
         F.lit(None).cast("string").alias("result_text"),
-        H.pick([p[4] for p in C.LAB_PANELS], panel).alias("result_unit"),
+        F.lit("pieces").alias("result_unit"),
         low.alias("reference_range_low"),
         high.alias("reference_range_high"),
         H.lab_flag(value, low, high).alias("abnormal_flag"),
         collected.alias("collected_datetime"),
         resulted.alias("resulted_datetime"),
         F.concat(F.lit("PHYS_"), _str(F.lit(1000) + (F.col("l_partkey") * 11) % 9000)).alias("ordering_physician_id"),
-        F.concat(F.lit("LAB_"), H.pick(C.LAB_SITES, F.col("l_suppkey") % 3)).alias("lab_id"),
+        F.concat(F.lit("LAB_"), F.col("l_linestatus")).alias("lab_id"),
         F.lit("LAB").alias("source_system"),
         F.timestamp_add("DAY", F.lit(-1), _as_of()).alias("extracted_at"),
     )
@@ -219,17 +230,17 @@ def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _line_id("CLM").alias("claim_id"),
         F.col("l_partkey").alias("patient_id"),
         F.col("l_orderkey").alias("encounter_id"),
-        H.pick(C.CPT_CODES, F.col("l_partkey") % 10).alias("cpt_code"),
-        H.pick(C.BILLING_ICD10, F.col("l_suppkey") % 3).alias("icd10_code"),
+        F.concat(F.lit("LINE "), _str(F.col("l_linenumber"))).alias("cpt_code"),
+        rf.alias("icd10_code"),
         price.alias("charge_amount"),
         (F.floor(price * 80) / 100).alias("allowed_amount"),
         F.when(status == "PAID", F.floor(price * (F.lit(1) - F.col("l_discount")) * 100) / 100).alias("paid_amount"),
-        H.pick(C.PAYERS, (F.col("l_partkey") + F.col("l_suppkey")) % 7).alias("payer_name"),
+        F.concat(F.lit("PAYER_"), rf, ls).alias("payer_name"),
         status.alias("claim_status"),
         service.alias("service_date"),
         F.date_add(service, (F.lit(1) + F.col("l_linenumber") % 5).cast("int")).alias("billing_date"),
         F.concat(F.lit("NPI"), _str(F.lit(1000000000) + (F.col("l_suppkey") * 7919) % 1000000000)).alias("provider_npi"),
-        H.pick(C.FACILITIES, F.col("l_orderkey") % 3).alias("facility_id"),
+        ls.alias("facility_id"),
         F.lit("BILLING").alias("source_system"),
         F.timestamp_add("DAY", F.lit(-1), _as_of()).alias("extracted_at"),
     )
@@ -257,9 +268,7 @@ def icu_from_events(ev: DataFrame) -> DataFrame:
     spo2 = _reading(890, 115, v100 + eid)
     rr = _reading(50, 300, v100 * 3 + eid)
     temp = _reading(345, 70, v100 + eid * 3)
-    et = F.col("event_type")
-    unit = (F.when(et == "click", "MICU").when(et == "error", "SICU").when(et == "purchase", "CVICU")
-            .when(et == "signup", "NICU").when(et == "view", "BURN_ICU"))
+    unit = F.upper(F.col("event_type"))
     alert_type = H.icu_alert_type(hr, spo2, sbp)
     return ev.select(
         eid.alias("vital_id"),
@@ -283,55 +292,55 @@ def icu_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
-# ------------------------------------------------------------ part/supp --
+# ------------------------------------------- part, lineitem x orders, supplier --
 
 def medications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    key = F.col("p_partkey")
-    drug = key % len(C.DRUGS)
-    name = H.pick([d[1] for d in C.DRUGS], drug)
-    prescribed = F.date_add(H.date_lit("2026-08-01"), (key % 31).cast("int"))
-    size = F.col("p_size")
+    """A part is a drug: the last word of its name is taken for the dose."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    prescribed = F.date_add(H.date_lit("2026-08-01"), (size % 31).cast("int"))
     return p.select(
         key.alias("medication_id"),
         key.alias("patient_id"),
         F.when(size <= 30, key).alias("encounter_id"),
-        H.pick([d[0] for d in C.DRUGS], drug).alias("rxnorm_code"),
-        name.alias("drug_name"),
-        H.dose_from_name(name).alias("dose"),
-        H.pick([d[2] for d in C.DRUGS], drug).alias("route"),
-        H.pick([d[3] for d in C.DRUGS], drug).alias("frequency"),
+        F.col("p_brand").alias("rxnorm_code"),
+        F.col("p_name").alias("drug_name"),
+        H.dose_from_name(F.col("p_name")).alias("dose"),
+        F.col("p_type").alias("route"),
+        F.lit(None).cast("string").alias("frequency"),
         (size.cast("double") * 5 + 7).alias("quantity_dispensed"),
-        H.pick(DAYS_SUPPLY, key % 5).alias("days_supply"),
-        F.concat(F.lit("NPI"), _str(F.lit(1000000000) + (key * 7919) % 1000000000)).alias("prescriber_npi"),
-        F.concat(F.lit("RX_"), _str(F.lit(100) + key % 900)).alias("dispensing_pharmacy_id"),
+        size.alias("days_supply"),
+        F.lit(None).cast("string").alias("prescriber_npi"),
+        F.lit(None).cast("string").alias("dispensing_pharmacy_id"),
         prescribed.alias("prescribed_date"),
-        F.when(~size.isin(1, 50), F.date_add(prescribed, (key % 3).cast("int"))).alias("dispensed_date"),
-        H.pick(C.MEDICATION_STATUSES, key % 3).alias("status"),
+        F.when(~size.isin(1, 50), prescribed).alias("dispensed_date"),
+        F.col("p_type").alias("status"),
         F.lit("PHARMACY").alias("source_system"),
         F.timestamp_add("DAY", F.lit(-1), _as_of()).alias("extracted_at"),
     )
 
 
 def radiology(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    key = F.col("p_partkey")
-    study = _add("MINUTE", (key * 97) % 43200, F.timestamp_add("DAY", F.lit(-30), _as_of()))
-    read = _add("SECOND", (F.lit(50) + (key * 13) % 4751) * 36, study)
-    return p.select(
-        key.alias("study_id"),
-        key.alias("patient_id"),
-        F.when(F.col("p_size") <= 30, key).alias("encounter_id"),
-        F.concat(F.lit("ACC"), _str(F.lit(100000) + key)).alias("accession_number"),
-        H.pick(C.MODALITIES, key % 7).alias("modality"),
-        H.pick(C.BODY_PARTS, F.col("p_size") % 8).alias("body_part"),
-        H.pick(C.RADIOLOGY_CPT, key % 4).alias("cpt_code"),
+    """A line of an order is a study: ordered at the order date, read at the ship date (H9, negatives kept)."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    both = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    study, read = _shift(F.col("o_orderdate")), _shift(F.col("l_shipdate"))
+    return both.select(
+        _line_id("RAD").alias("study_id"),
+        F.col("o_custkey").alias("patient_id"),
+        F.col("l_orderkey").alias("encounter_id"),
+        _line_id("ACC").alias("accession_number"),
+        F.col("l_returnflag").alias("modality"),
+        F.col("l_linestatus").alias("body_part"),
+        F.concat(F.lit("LINE "), _str(F.col("l_linenumber"))).alias("cpt_code"),
         study.alias("study_datetime"),
         read.alias("read_datetime"),
-        F.concat(F.lit("RAD_"), _str(F.lit(100) + key % 900)).alias("radiologist_id"),
-        F.concat(F.lit("PHYS_"), _str(F.lit(1000) + (key * 3) % 9000)).alias("ordering_physician_id"),
+        F.lit(None).cast("string").alias("radiologist_id"),
+        F.lit(None).cast("string").alias("ordering_physician_id"),
         F.lit(None).cast("string").alias("impression"),
-        H.pick(C.FINDINGS, (key * 3) % 4).alias("finding_category"),
+        F.col("o_orderstatus").alias("finding_category"),
         H.elapsed_hours(study, read).alias("tat_hours"),
         F.lit("RADIOLOGY").alias("source_system"),
         F.timestamp_add("DAY", F.lit(-1), _as_of()).alias("extracted_at"),
@@ -339,22 +348,25 @@ def radiology(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    key = F.col("s_suppkey")
-    role = H.pick(C.ROLES, key % 10)
-    licensed = H.licence_required(role)
-    return s.select(
+    """A supplier is a member of staff whose role follows from the region."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
+    both = (s.join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+             .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left"))
+    key, role = F.col("s_suppkey"), _mapped(REGION_ROLES, F.col("r_name"))
+    return both.select(
         key.alias("staff_id"),
-        F.concat(F.lit("EMP"), F.lpad(_str(key + 1), 5, "0")).alias("employee_id"),
+        F.col("s_name").alias("employee_id"),
         role.alias("role"),
-        H.pick(C.STAFF_DEPARTMENTS, F.col("s_nationkey") % 10).alias("department"),
-        H.pick(C.FACILITIES, key % 3).alias("facility_id"),
-        F.when(licensed, F.concat(F.lit("NPI"), _str(F.lit(1000000000) + (key * 7919) % 1000000000))).alias("npi"),
+        F.col("n_name").alias("department"),
+        F.col("r_name").alias("facility_id"),
+        F.when(H.licence_required(role), F.concat(F.lit("NPI"), _str(F.lit(1000000000) + key))).alias("npi"),
         H.licence_type(role).alias("license_type"),
-        F.when(licensed, F.date_add(F.to_date(_as_of()), (F.lit(30) + key % 700).cast("int"))).alias("license_expiry"),
-        F.date_add(H.date_lit("2021-09-01"), ((key * 37) % 1826).cast("int")).alias("hire_date"),
-        H.pick(C.EMPLOYMENT_STATUSES, key % 5).alias("employment_status"),
-        H.pick(C.SHIFT_TYPES, F.col("s_nationkey") % 4).alias("shift_type"),
+        F.lit(None).cast("date").alias("license_expiry"),
+        F.lit(None).cast("date").alias("hire_date"),
+        F.when(F.col("s_acctbal") < 0, "ON_LEAVE").otherwise("ACTIVE").alias("employment_status"),
+        F.lit(None).cast("string").alias("shift_type"),
         F.lit("HR").alias("source_system"),
         F.timestamp_add("DAY", F.lit(-1), _as_of()).alias("extracted_at"),
     )
