@@ -18,7 +18,9 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="clinspark")
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run", help="one batch run: silver, quality gate, gold, models, run log")
-    r.add_argument("--sf-dir", required=True, help="folder with the input parquet tables")
+    given = r.add_mutually_exclusive_group(required=True)
+    given.add_argument("--sf-dir", help="folder with the input parquet tables")
+    given.add_argument("--sources", help="JSON file: source name -> its format, path or table, and schema")
     r.add_argument("--out-dir", required=True, help="shared output folder (layers, reports, run log)")
     r.add_argument("--mode", default="full", choices=["full", "validate-only", "skip-validate"])
     r.add_argument("--threshold", type=float, default=None, help="quality gate threshold (default 0.95)")
@@ -28,6 +30,9 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session(app="clinspark-run", profile=args.profile)
     cfg = RunConfig(args.sf_dir, args.out_dir, mode=args.mode)
+    if args.sources:
+        with open(args.sources) as f:
+            cfg.sources = json.load(f)
     if args.threshold is not None:
         cfg.threshold = args.threshold
     if args.run_id:

@@ -1,17 +1,23 @@
 """P5: one batch run - bronze -> silver -> quality gate -> gold -> models -> run log.
 
 Write-audit-publish instead of load-after-check: silver tables are written
-once to the run's staging folder (A4), the quality suite reads the staged
-tables (cheap, column-pruned scans), and only a passed gate publishes the run
-(its row in the run log points at the staged tables and the models are built
-from them). A failed gate leaves nothing published (Q10). Every write goes to
-shared storage, so a lost executor only re-runs its tasks.
+once to the run's staging folder, the quality suite reads the staged tables
+(cheap, column-pruned scans), and only a passed gate loads the nine source
+tables in their declared schemas (A4, A8) and builds the models. A failed gate
+leaves nothing loaded (Q10); ``staged`` and ``loaded`` are counted apart. Every
+write goes to shared storage, so a lost executor only re-runs its tasks.
+
+Sources are the views over the input tables, or any declared by format
+(``RunConfig.sources``: name -> spec of ``sources.readers``). A source that is not
+declared is skipped; one without rows is staged empty, not checked and loaded
+empty. The mart and the models need patients, encounters, labs and billing.
 
 Modes: ``full`` (everything), ``validate-only`` (stops after the gate - the
 source did not stop), ``skip-validate`` (no checks; the run records the SLA
 quality figure as the source did). A passed gate with duplicate patient ids
 still stops before the mart (status PATIENT_ID_NOT_UNIQUE): the patient join
-would multiply encounters.
+would multiply encounters. A run whose models fail a declared test ends as
+MODEL_TESTS_FAILED.
 """
 from __future__ import annotations
 
@@ -30,13 +36,15 @@ from .. import config as C
 from ..operators import gold, quality, silver
 from ..schemas import TARGETS
 from ..sources import sinks, testdata
+from ..sources.readers import read_source
 
 
 @dataclass
 class RunConfig:
-    sf_dir: str
+    sf_dir: str | None
     out_dir: str
     mode: str = "full"
+    sources: dict[str, dict] | None = None
     threshold: float = C.QUALITY_THRESHOLD
     as_of: _dt.datetime = C.AS_OF
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:8])
@@ -49,6 +57,7 @@ class RunResult:
     overall_score: float | None
     gate_passed: bool | None
     records: dict
+    staged: dict
     loaded: dict
     duration_minutes: float
     paths: dict
@@ -59,6 +68,8 @@ class RunResult:
 # reads), range-clustered on (month, key) so files stay few and large.
 PARTITIONS = {"encounters": (["year_month"], ["encounter_id"])}
 
+MODEL_SOURCES = ("patients", "encounters", "labs", "billing")
+
 LOAD_TABLES = {  # silver source -> warehouse table
     "patients": "raw_patients", "encounters": "raw_encounters", "labs": "raw_labs", "billing": "raw_billing",
     "appointments": "raw_appointments", "medications": "raw_medications", "radiology": "raw_radiology",
@@ -87,7 +98,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     started_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     stage = os.path.join(cfg.out_dir, "runs", cfg.run_id)
     paths: dict[str, str] = {}
+    staged_rows: dict[str, int] = {}
     loaded: dict[str, int] = {}
+    names = [n for n in LOAD_TABLES if cfg.sources is None or n in cfg.sources]
+    if not names:
+        raise ValueError("no source is declared")
     source_rows = []
     phases: dict[str, float] = {}
     mark = [time.time()]
@@ -101,29 +116,33 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     # The nine sources are independent: their writes run as concurrent jobs.
     def stage_one(name: str, table: str):
         t0 = time.time()
-        df = silver.to_silver(name, testdata.bronze(spark, cfg.sf_dir, name), cfg.as_of)
+        raw = (testdata.bronze(spark, cfg.sf_dir, name) if cfg.sources is None
+               else read_source(spark, cfg.sources[name]))
+        df = silver.to_silver(name, raw, cfg.as_of)
         path = os.path.join(stage, "silver", name)
         part, cluster = PARTITIONS.get(name, (None, None))
         n = sinks.load(df, table, mode="replace", path=path, as_text=False, partition_by=part, cluster_by=cluster)
         return path, n, time.time() - t0
 
-    done = _concurrently({name: (lambda n=name, t=table: stage_one(n, t)) for name, table in LOAD_TABLES.items()})
-    for name, table in LOAD_TABLES.items():
+    done = _concurrently({n: (lambda n=n: stage_one(n, LOAD_TABLES[n])) for n in names})
+    for name in names:
         path, n, secs = done[name]
-        paths[name], loaded[table] = path, n
+        paths[name], staged_rows[name] = path, n
         source_rows.append((name, n, secs))
     phase("stage_silver")
     staged = {n: spark.read.parquet(p) for n, p in paths.items()}
-    records = {n: loaded[LOAD_TABLES[n]] for n in LOAD_TABLES}
+    records = dict(staged_rows)
+
+    def finish(status: str) -> RunResult:
+        return _finish(spark, cfg, started, started_at, status, overall_score, gate, records, staged_rows, loaded, paths,
+                       source_rows, phases)
 
     overall_score, gate = None, None
     if cfg.mode != "skip-validate":
-        data = {n: staged[n] for n in quality.SUITE_ORDER}
+        data = {n: staged[n] for n in quality.SUITE_ORDER if records.get(n)}
         # one row per check: small, so cached once and reused by the gate and all reports
-        checks = quality.run_checks(data, data["patients"], cfg.as_of).cache()
-        counts = spark.createDataFrame([(n, records[n]) for n in quality.SUITE_ORDER],
-                                       "source string, record_count long")
-        scores = quality.score_sources(checks, counts, cfg.threshold)
+        checks = quality.run_checks(data, staged.get("patients"), cfg.as_of, with_count=True).cache()
+        scores = quality.score_sources(checks, cfg.threshold)
         summary = quality.overall(scores, cfg.threshold)
         report = os.path.join(stage, "reports")
         _concurrently({                                                                  # A11
@@ -140,17 +159,23 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         checks.unpersist()     # the staged files may be replaced by a later run of the same id
         phase("quality_gate")
         if fanout and gate and cfg.mode != "validate-only":
-            return _finish(spark, cfg, started, started_at, "PATIENT_ID_NOT_UNIQUE", overall_score, gate,
-                           records, loaded, paths, source_rows, phases)
+            return finish("PATIENT_ID_NOT_UNIQUE")
         if not gate:  # Q10: halt before anything is published
-            return _finish(spark, cfg, started, started_at, "QUALITY_GATE_FAILED", overall_score, gate,
-                           records, loaded, paths, source_rows, phases)
+            return finish("QUALITY_GATE_FAILED")
         if cfg.mode == "validate-only":
-            return _finish(spark, cfg, started, started_at, "VALIDATED", overall_score, gate,
-                           records, loaded, paths, source_rows, phases)
+            return finish("VALIDATED")
     else:
         overall_score = C.SLA_QUALITY
 
+    # the source tables in their declared schemas (A4, A8), only now that the gate has passed
+    raw_paths = {LOAD_TABLES[n]: os.path.join(stage, "raw", LOAD_TABLES[n]) for n in names}
+    loaded.update(_concurrently({t: (lambda n=n, t=t: sinks.load(staged[n], t, "replace", schema=TARGETS[t], path=raw_paths[t]))
+                                 for n, t in LOAD_TABLES.items() if n in names}))
+    paths.update(raw_paths)
+    phase("load")
+    if not all(n in staged for n in MODEL_SOURCES):
+        return finish("SUCCESS")
+
     # gold mart and models from the staged silver tables (A10); mart and the
     # intermediate model are independent, the census reads the written model
     mart = gold.patient_encounter_mart(staged["patients"], staged["encounters"], staged["labs"],
@@ -173,17 +198,18 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     phase("census")
     paths["int_patient_encounters"] = os.path.join(stage, "intermediate", "int_patient_encounters")
     paths["mart_daily_census"] = os.path.join(stage, "marts", "mart_daily_census")
-    tests = quality.declared_model_tests(stg_p, stg_e, int_pe, census)                      # Q13
+    tests = quality.declared_model_tests(stg_p, stg_e, int_pe, census).cache()              # Q13
     sinks.write_json_report(tests, os.path.join(stage, "reports", "model_tests"))
+    failed = tests.where("failures > 0").count()  # one row per declared test
+    tests.unpersist()
     phase("model_tests")
-    return _finish(spark, cfg, started, started_at, "SUCCESS", overall_score, gate, records, loaded, paths,
-                   source_rows, phases)
+    return finish("MODEL_TESTS_FAILED" if failed else "SUCCESS")
 
 
-def _finish(spark, cfg, started, started_at, status, score, gate, records, loaded, paths, source_rows,
+def _finish(spark, cfg, started, started_at, status, score, gate, records, staged, loaded, paths, source_rows,
             phases=None) -> RunResult:
     minutes = (time.time() - started) / 60
-    metrics = {"run_id": cfg.run_id, "mode": cfg.mode, "records": records, "loaded": loaded,
+    metrics = {"run_id": cfg.run_id, "mode": cfg.mode, "records": records, "staged": staged, "loaded": loaded,
                "quality_score": score, "gate_passed": gate, "sla_target_minutes": C.SLA_MINUTES,
                "sla_met": minutes <= C.SLA_MINUTES, "paths": paths, "phase_seconds": phases or {}}
     run_row = spark.createDataFrame(
@@ -194,4 +220,9 @@ def _finish(spark, cfg, started, started_at, status, score, gate, records, loade
     sinks.upsert_by_key(spark, run_row, os.path.join(cfg.out_dir, "pipeline_runs"), ["run_id"])   # A9
     sinks.write_json_report(_metrics_frame(spark, cfg.run_id, source_rows),
                             os.path.join(cfg.out_dir, "runs", cfg.run_id, "reports", "source_metrics"))
-    return RunResult(cfg.run_id, status, score, gate, records, loaded, round(minutes, 2), paths, phases or {})
+    # The run's summary and the rows of each table that it loaded
+    reports = os.path.join(cfg.out_dir, "runs", cfg.run_id, "reports")
+    sinks.write_json_report(run_row, os.path.join(reports, "run_summary"))
+    counts = spark.createDataFrame(sorted(loaded.items()), "table_name string, row_count long")
+    sinks.write_json_report(counts, os.path.join(reports, "table_counts"))
+    return RunResult(cfg.run_id, status, score, gate, records, staged, loaded, round(minutes, 2), paths, phases or {})

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, TimestampNTZType, TimestampType, DateType
 
 from ..functions.clinical import blank_nulls
+from ..operators.windows import keep_last
 from ..schemas import conform
-from ..session import cut_lineage
 
 LAYERS = ["RAW", "STAGING", "INTERMEDIATE", "MARTS"]
 
@@ -36,13 +36,12 @@ def load(df: DataFrame, target: str, mode: str = "append", schema=None, blank: b
          cluster_by: list[str] | None = None) -> int:
     """A4: write ``df`` to a catalog table (or a parquet path); returns rows written.
 
-    An empty frame is skipped and returns 0. ``mode`` is 'append' or 'replace'.
-    ``as_text`` applies the warehouse load format (A5/A6); typed staging
-    tables pass False. The row count comes from an ``Observation`` on the
-    write itself, so the data is read once.
+    ``mode`` is 'append' or 'replace'. ``as_text`` applies the warehouse load
+    format (A5/A6); typed staging tables pass False. The row count comes from
+    an ``Observation`` on the write itself, so the data is read once. An empty
+    frame returns 0; replacing with it leaves an empty table with the columns,
+    so that readers of the path find no rows rather than no table.
     """
-    if df.isEmpty():
-        return 0
     out = conform(df, schema) if schema is not None else df
     if as_text:
         out = load_format(out, blank)
@@ -62,7 +61,11 @@ def load(df: DataFrame, target: str, mode: str = "append", schema=None, blank: b
         writer.parquet(path)
     else:
         writer.saveAsTable(target)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if rows == 0 and path and partition_by and mode == "replace":
+        # a partitioned write of no rows leaves no file that holds the columns
+        df.sparkSession.createDataFrame([], out.schema).coalesce(1).write.mode("overwrite").parquet(path)
+    return rows
 
 
 def table_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -78,20 +81,17 @@ def table_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 def upsert_by_key(spark: SparkSession, rows: DataFrame, path: str, key: list[str]) -> DataFrame:
     """INSERT OR REPLACE by ``key`` into the parquet table at ``path``.
 
-    Old rows whose key appears in ``rows`` are dropped (anti join), new rows
-    appended; the merged result is first written under the shared checkpoint
-    folder and only then replaces the table, so a failure never leaves it half
-    written.
+    The table has a folder per key (meant for keys like a run id, of which a
+    write holds few); a write replaces the folders of its own keys and touches
+    no other, so it never reads, rewrites or loses older rows, whatever state they
+    are in, and two runs at once do not meet. Of rows that repeat a key the
+    greatest by the other columns stays.
     """
-    try:
-        old = spark.read.parquet(path)
-    except Exception:  # first write: no table yet
-        old = None
-    merged = rows if old is None else old.join(rows.select(*key).distinct(), key, "left_anti") \
-        .unionByName(rows, allowMissingColumns=True)
-    staged = cut_lineage(merged, "upsert")
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in key]
+    last = keep_last(rows, key, rest).withColumns({f"_{c}": F.col(c) for c in key})
+    (last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*[f"_{c}" for c in key]).parquet(path))
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
 def materialize(df: DataFrame, name: str, layer: str, as_view: bool = False, path: str | None = None) -> DataFrame:

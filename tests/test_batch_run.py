@@ -1,23 +1,29 @@
 """End-to-end batch run on sf0.001."""
 import os
 
+from pyspark.sql import functions as F
+
 from clinspark.plans.batch import RunConfig, run
+from clinspark.schemas import TARGETS
+from clinspark.sources import testdata
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_full_run_and_run_log(spark, tmp_dir):
     res = run(spark, RunConfig(SF, tmp_dir, mode="full", run_id="r1"))
-    assert res.status in ("SUCCESS", "QUALITY_GATE_FAILED")
+    assert res.status == "SUCCESS" and res.gate_passed and res.overall_score >= 0.95
+    assert set(res.loaded) > {f"raw_{n}" for n in res.staged} and res.loaded["raw_labs"] == 6000
+    raw = spark.read.parquet(res.paths["raw_labs"])
+    assert raw.schema == TARGETS["raw_labs"] and raw.count() == 6000
     runs = spark.read.parquet(os.path.join(tmp_dir, "pipeline_runs"))
     assert [r.status for r in runs.collect()] == [res.status]
     assert res.records["encounters"] == 1500 and res.records["labs"] == 6000
     months = [d for d in os.listdir(res.paths["encounters"]) if d.startswith("year_month=")]
     assert len(months) > 12                          # facts partitioned by month
-    if res.status == "SUCCESS":
-        census = spark.read.parquet(res.paths["mart_daily_census"])
-        assert census.count() > 0
-        assert spark.read.parquet(res.paths["mart_patient_encounters"]).count() == 1500
+    census = spark.read.parquet(res.paths["mart_daily_census"])
+    assert census.count() > 0
+    assert spark.read.parquet(res.paths["mart_patient_encounters"]).count() == 1500
     # a re-run with the same id replaces its log row (INSERT OR REPLACE)
     res2 = run(spark, RunConfig(SF, tmp_dir, mode="validate-only", run_id="r1"))
     runs = spark.read.parquet(os.path.join(tmp_dir, "pipeline_runs")).collect()
@@ -27,7 +33,7 @@ def test_full_run_and_run_log(spark, tmp_dir):
 def test_gate_failure_publishes_nothing(spark, tmp_dir):
     res = run(spark, RunConfig(SF, tmp_dir, mode="full", threshold=1.01, run_id="strict"))
     assert res.status == "QUALITY_GATE_FAILED" and res.gate_passed is False
-    assert "mart_daily_census" not in res.paths
+    assert "mart_daily_census" not in res.paths and res.loaded == {} and res.staged["labs"] == 6000
     assert os.path.exists(os.path.join(tmp_dir, "runs", "strict", "reports", "quality_checks"))
 
 
@@ -38,7 +44,6 @@ def test_skip_validate_records_sla_score(spark, tmp_dir):
 
 def test_latest_runs(spark, tmp_dir):
     from clinspark.operators.insights import latest_runs
-    from clinspark.schemas import TARGETS
     rows = [(f"r{i}", f"2026-08-{i + 1:02d}T00:00:00", None, "SUCCESS", i, 1.0, 0.1, "{}") for i in range(8)]
     runs = spark.createDataFrame(rows, TARGETS["pipeline_runs"])
     assert [r.run_id for r in latest_runs(runs, 5).collect()] == ["r7", "r6", "r5", "r4", "r3"]
@@ -47,8 +52,6 @@ def test_latest_runs(spark, tmp_dir):
 def test_duplicate_patient_ids_stop_before_the_mart(spark, tmp_dir, monkeypatch):
     """Fan-out guard: a second MRN for an existing patient id (the dedup keeps
     both) would multiply that patient's encounters in the mart."""
-    from pyspark.sql import functions as F
-    from clinspark.sources import testdata
     original = testdata.SOURCES["patients"]
 
     def with_duplicate(s, d):
@@ -66,3 +69,39 @@ def test_command_line(spark, tmp_dir, capsys):
     code = main(["run", "--sf-dir", SF, "--out-dir", tmp_dir, "--mode", "validate-only", "--run-id", "cli"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and out["status"] == "VALIDATED" and out["run_id"] == "cli"
+
+
+def _declared(spark, tmp_dir, empty=()):
+    """The nine sources written as parquet files and declared with their schemas."""
+    out = {}
+    for name in testdata.SOURCES:
+        df = testdata.bronze(spark, SF, name)
+        path = os.path.join(tmp_dir, "in", name)
+        (df.where("false") if name in empty else df).coalesce(1).write.parquet(path)
+        out[name] = {"format": "parquet", "path": path, "schema": df.schema}
+    return out
+
+
+def test_declared_sources_give_the_same_run(spark, tmp_dir):
+    res = run(spark, RunConfig(None, tmp_dir, sources=_declared(spark, tmp_dir), run_id="own"))
+    assert res.status == "SUCCESS" and res.loaded["raw_labs"] == 6000 and res.loaded["mart_patient_encounters"] == 1500
+
+
+def test_one_source_empty(spark, tmp_dir):
+    res = run(spark, RunConfig(None, tmp_dir, sources=_declared(spark, tmp_dir, ["staff", "billing"]), run_id="one"))
+    assert res.status == "SUCCESS" and res.loaded["raw_staff"] == 0 and res.staged["billing"] == 0
+    assert spark.read.parquet(res.paths["raw_staff"]).count() == 0
+
+
+def test_all_sources_empty_halt_at_the_gate(spark, tmp_dir):
+    res = run(spark, RunConfig(None, tmp_dir, sources=_declared(spark, tmp_dir, testdata.SOURCES), run_id="none"))
+    assert (res.status, res.overall_score, res.gate_passed, res.loaded) == ("QUALITY_GATE_FAILED", 0.0, False, {})
+    # the same id with data afterwards replaces the empty staging
+    again = run(spark, RunConfig(SF, tmp_dir, mode="validate-only", run_id="none"))
+    assert again.status == "VALIDATED" and again.staged["labs"] == 6000
+
+
+def test_undeclared_sources_are_skipped(spark, tmp_dir):
+    labs = {"labs": _declared(spark, tmp_dir)["labs"]}
+    res = run(spark, RunConfig(None, tmp_dir, sources=labs, threshold=0.5, run_id="labs"))
+    assert res.status == "SUCCESS" and res.loaded == {"raw_labs": 6000}

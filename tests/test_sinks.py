@@ -3,6 +3,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from clinspark.schemas import TARGETS, conform
@@ -27,6 +28,43 @@ def test_table_counts(spark):
     assert got == {"a": 3, "b": 0}
 
 
+def test_replace_with_no_rows_leaves_an_empty_table(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "2026-01")], "id long, month string")
+    path = os.path.join(tmp_dir, "t")
+    for partition in (None, ["month"]):
+        assert sinks.load(df, "t", "replace", path=path, as_text=False, partition_by=partition) == 1
+        assert sinks.load(df.where("id < 0"), "t", "replace", path=path, as_text=False, partition_by=partition) == 0
+        back = spark.read.parquet(path)
+        assert back.count() == 0 and set(back.columns) == {"id", "month"}
+
+
+def test_upsert_touches_no_other_key(spark, tmp_dir):
+    """Rows of other runs stay as they are, even where their files cannot be read."""
+    path, s = os.path.join(tmp_dir, "runs"), TARGETS["pipeline_runs"]
+    row = lambda i, status: spark.createDataFrame([(i, "t0", "t1", status, 5, 0.9, 1.0, "{}")], s)
+    sinks.upsert_by_key(spark, row("r1", "SUCCESS"), path, ["run_id"])
+    broken = os.path.join(path, "_run_id=old")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    table = sinks.upsert_by_key(spark, row("r2", "SUCCESS").unionByName(row("r2", "RUNNING")), path, ["run_id"])
+    assert os.path.exists(os.path.join(broken, "part-0.parquet"))
+    with pytest.raises(Exception, match="(?i)parquet"):
+        table.collect()
+    good = spark.read.schema(s).parquet(*[os.path.join(path, f"_run_id=r{i}") for i in (1, 2)]).collect()
+    assert sorted((r.run_id, r.status) for r in good) == [("r1", "SUCCESS"), ("r2", "SUCCESS")]
+
+
+def test_table_source_and_materialized_table(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    spark.sql("DROP TABLE IF EXISTS clinspark_test_mart")
+    made = sinks.materialize(df, "clinspark_test_mart", "MARTS")
+    assert made.count() == 2
+    back = readers.read_source(spark, {"format": "table", "table": "clinspark_test_mart", "schema": "id long"})
+    assert sorted(r.id for r in back.collect()) == [1, 2] and dict(back.dtypes) == {"id": "bigint"}
+    spark.sql("DROP TABLE clinspark_test_mart")
+
+
 def test_upsert_by_key(spark, tmp_dir):
     path = os.path.join(tmp_dir, "runs")
     s = TARGETS["pipeline_runs"]
@@ -65,7 +103,10 @@ def test_readers_json_csv(spark, tmp_dir):
         f.write("{not json\n")
     df = readers.read_source(spark, {"format": "json", "path": p, "explode": "entry",
                                      "schema": "entry array<struct<id string, v double>>"})
-    assert sorted(r.id for r in df.collect()) == ["1", "2"]
+    rows = df.collect()
+    assert sorted(r.id for r in rows if r.id) == ["1", "2"]
+    # the malformed line is kept and can be counted
+    assert [r._corrupt_record for r in rows if r.id is None] == ["{not json"]
     c = os.path.join(tmp_dir, "lab.csv")
     with open(c, "w") as f:
         f.write("id,value,at\nA,1.5,2026-01-01T10:00:00\nB,oops,2026-01-02T11:00:00\n")
