@@ -270,6 +270,14 @@ def surrogate_key(*cols) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
+def row_id(prefix: str, *cols) -> Column:
+    """A row's id from its key columns: '<prefix>-' + md5. Each value is
+    written with its length, and NULL as ``-``, so different keys never meet."""
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-"))
+             for t in (_c(x).cast("string") for x in cols)]
+    return F.concat(F.lit(f"{prefix}-"), F.md5(F.concat(*parts)))
+
+
 # ----------------------------------------------------------- medications --
 
 def dose_from_name(drug_name) -> Column:

@@ -74,3 +74,32 @@ def parse_observations(resources: DataFrame, col: str = "resource") -> DataFrame
         F.col("o.valueQuantity.unit").alias("result_unit"),
         F.col("o.interpretation")[0]["code"].alias("abnormal_flag"),
         F.col("o.effectiveDateTime").cast("timestamp_ntz").alias("collected_datetime"))
+
+
+PATIENT_SCHEMA = ("resourceType string, id string, identifier array<struct<type: string, value: string>>, gender string, "
+                  "birthDate string, address array<struct<postalCode: string>>")
+ENCOUNTER_SCHEMA = ("resourceType string, id string, class string, subject struct<reference: string>, "
+                    "period struct<start: string, end: string>")
+
+
+def _key(reference: Column, kind: str) -> Column:
+    """The id of a reference; NULL without one."""
+    return F.when(reference.isNotNull(), F.regexp_extract(reference, f"^{kind}/(.*)$", 1))
+
+
+def parse_patients(resources: DataFrame, col: str = "resource") -> DataFrame:
+    """Patient JSON back to flat columns."""
+    p = F.from_json(F.col(col), PATIENT_SCHEMA).alias("p")
+    return resources.select(p).select(
+        F.col("p.id").alias("patient_ref"), F.col("p.identifier")[0]["value"].alias("mrn"),
+        F.upper("p.gender").alias("gender"), F.col("p.birthDate").cast("date").alias("dob"),
+        F.col("p.address")[0]["postalCode"].alias("zip_code"))
+
+
+def parse_encounters(resources: DataFrame, col: str = "resource") -> DataFrame:
+    """Encounter JSON back to flat columns."""
+    e = F.from_json(F.col(col), ENCOUNTER_SCHEMA).alias("e")
+    return resources.select(e).select(
+        F.col("e.id").alias("encounter_ref"), _key(F.col("e.subject.reference"), "Patient").alias("patient_ref"),
+        F.col("e.class").alias("encounter_type"), F.col("e.period.start").cast("timestamp_ntz").alias("admit_datetime"),
+        F.col("e.period.end").cast("timestamp_ntz").alias("discharge_datetime"))

@@ -171,9 +171,9 @@ def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bo
        per group over at most as many rows as distinct 2-decimal LOS values,
        never over the group's encounters - a hot group stays cheap).
 
-    The two COUNT(DISTINCT) columns come from their own aggregation and are
-    joined on the group keys (NULL-safe): in one aggregate Spark's distinct
-    rewrite would expand every row. Averages are sum/count of the partials.
+    Each COUNT(DISTINCT) column is a distinct of (group, id) counted per group,
+    joined on the group keys (NULL-safe): two distinct counts in one aggregate
+    would expand every row. Averages are sum/count of the partials.
     """
     r = F.col("encounter_risk_score")
     ins = F.col("insurance_type")
@@ -218,16 +218,19 @@ def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bo
         F.sum("_senior").alias("senior_patient_count"))
     median = F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * (F.col("_pos") - F.floor(F.col("_pos")))
     metrics = metrics.withColumn("median_los_days", median).drop("_v_lo", "_v_hi", "_pos")
-    distincts = keyed.groupBy(*CENSUS_KEYS).agg(
-        F.count_distinct("encounter_id").alias("encounter_count"),
-        F.count_distinct("patient_id").alias("unique_patients"))
-    m, d = metrics.alias("m"), distincts.alias("d")
-    cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"d.{k}")) for k in CENSUS_KEYS]
+    def distinct(column: str, out: str) -> DataFrame:
+        return (keyed.select(*CENSUS_KEYS, column).where(F.col(column).isNotNull()).distinct()
+                     .groupBy(*CENSUS_KEYS).agg(F.count(F.lit(1)).alias(out)))
+
+    m = metrics.alias("m")
+    d, u = distinct("encounter_id", "encounter_count").alias("d"), distinct("patient_id", "unique_patients").alias("u")
+    same = lambda other: [F.col(f"m.{k}").eqNullSafe(F.col(f"{other}.{k}")) for k in CENSUS_KEYS]
+    count = lambda c: F.coalesce(c, F.lit(0)).alias(c.split(".")[1])
     value_cols = ["avg_los_days", "median_los_days", "max_los_days", "extended_stay_count", "high_risk_count",
                   "medium_risk_count", "low_risk_count", "total_charges", "total_paid", "avg_collection_rate",
                   "medicare_count", "medicaid_count", "self_pay_count", "avg_patient_age", "senior_patient_count"]
-    out = (m.join(d, cond, "inner")
-            .select(*[F.col(f"m.{k}") for k in CENSUS_KEYS], "d.encounter_count", "d.unique_patients",
+    out = (m.join(d, same("d"), "left").join(u, same("u"), "left")
+            .select(*[F.col(f"m.{k}") for k in CENSUS_KEYS], count("d.encounter_count"), count("u.unique_patients"),
                     *[F.col(f"m.{c}") for c in value_cols])
             .withColumn("dbt_loaded_at", H.ts_lit(as_of)))
     if ordered:

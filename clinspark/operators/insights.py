@@ -85,11 +85,14 @@ def histogram(long: DataFrame, bins: dict[str, int]) -> DataFrame:
 
     Range = [min, max] of each series (already clipped by the caller); the
     last bin is closed. Bin edges come from a per-series aggregate joined on
-    the series name (one row per series: a bounded broadcast).
+    the series name (one row per series of ``bins``: a bounded broadcast). A
+    series that ``bins`` does not name raises an error.
     """
-    spec = long.sparkSession.createDataFrame([(k, int(v)) for k, v in bins.items()], "series string, bins int")
+    known = F.create_map(*[F.lit(x) for k, v in bins.items() for x in (k, int(v))])
+    number = F.coalesce(F.try_element_at(known, F.col("series")),
+                        F.raise_error(F.concat(F.lit("no bins for series "), F.col("series"))).cast("int"))
     stats = (long.groupBy("series").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-                 .join(F.broadcast(spec), "series"))
+                 .withColumn("bins", number))
     width = F.col("hi") - F.col("lo")
     idx = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) * (F.col("bins") / width)),
                                     F.col("bins") - 1)).otherwise(F.lit(0))
@@ -102,15 +105,31 @@ def histogram(long: DataFrame, bins: dict[str, int]) -> DataFrame:
                         "count"))
 
 
-def series_summary(long: DataFrame) -> DataFrame:
+def series_summary(long: DataFrame, ranges: int = 1024) -> DataFrame:
     """Per series count, mean and exact median (pandas ``.median()``).
 
-    The median's state is a value->count map per series, combined map-side:
-    bounded by the distinct values of the clipped, rounded readings (a few
-    thousand per series), not by the rows.
+    Rows are counted per (series, value) with map-side combine. The span of a series
+    is cut into ``ranges`` value ranges; cumulative counts over these find the
+    range that holds a middle row, and only that range's values are ranked. No
+    state grows with the rows, and no task holds all values of a series.
     """
-    return long.groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-                                      F.median("value").alias("median"))
+    n, v = F.col("_n"), F.col("value")
+    counts = long.groupBy("series", "value").agg(F.count(F.lit(1)).alias("_n"))
+    stats = counts.groupBy("series").agg(F.sum("_n").alias("n"), (F.sum(v * n) / F.sum("_n")).alias("mean"),
+                                         F.min("value").alias("lo"), F.max("value").alias("hi"))
+    part = F.when(F.col("hi") > F.col("lo"), F.least(
+        F.floor((v - F.col("lo")) / (F.col("hi") - F.col("lo")) * ranges), F.lit(ranges - 1))).otherwise(F.lit(0))
+    cut = counts.join(stats, "series").withColumn("part", part.cast("long"))
+    sums = cut.groupBy("series", "part").agg(F.sum("_n").alias("_in"), F.max("n").alias("n"))
+    to_here = Window.partitionBy("series").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)   # places of the middle rows from 0
+    sums = sums.withColumn("_before", F.sum("_in").over(to_here) - F.col("_in"))
+    middle = sums.where((F.col("_before") <= high) & (low < F.col("_before") + F.col("_in"))).select("series", "part", "_before")
+    inside = Window.partitionBy("series", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cut.join(middle, ["series", "part"]).withColumn("_to", F.col("_before") + F.sum("_n").over(inside))
+    holds = lambda i: (F.col("_to") - n <= i) & (i < F.col("_to"))
+    return (ranked.groupBy("series", "n", "mean").agg(
+                ((F.max(F.when(holds(low), v)) + F.max(F.when(holds(high), v))) / 2).alias("median")))
 
 
 def clipped_series(df: DataFrame, specs: Sequence[tuple[str, str, float, float]]) -> DataFrame:
@@ -138,5 +157,5 @@ def alert_windows(icu: DataFrame, minutes: int = 5) -> DataFrame:
 
 
 def latest_runs(runs: DataFrame, k: int = 5) -> DataFrame:
-    """the k most recent runs (ORDER BY started_at DESC LIMIT k)."""
-    return runs.orderBy(F.col("started_at").desc()).limit(k)
+    """the k most recent runs (ORDER BY started_at DESC LIMIT k; ties by run id)."""
+    return runs.orderBy(F.col("started_at").desc(), "run_id").limit(k)

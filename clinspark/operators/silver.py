@@ -17,11 +17,16 @@ def _lineage(df: DataFrame, as_of, layer: str = "SILVER") -> DataFrame:
 
 
 def transform_patients(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
-    """Gender recode (B6), age (H4), age group (H5), keep last record per MRN."""
+    """Gender recode (B6), age (H4), age group (H5), keep last record per MRN.
+
+    The shown MRN is a short mask of which some collide among very many patients; where the extract
+    carries the whole digest (``mrn_digest``), that is the key.
+    """
     age = H.age_years(F.col("dob").cast("date"), H.ts_lit(as_of))
     df = raw.withColumns({"gender": H.recode_gender("gender"), "dob": F.col("dob").cast("date"),
                           "age_years": age, "age_group": H.age_bucket(age)})
-    df = keep_last(df, ["mrn"], ["extracted_at", "patient_id"])
+    key = "mrn_digest" if "mrn_digest" in raw.columns else "mrn"
+    df = keep_last(df, [key], ["extracted_at", "patient_id"]).drop("mrn_digest")
     return _lineage(df, as_of)
 
 

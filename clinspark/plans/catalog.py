@@ -106,7 +106,7 @@ _RAW_DOUBLES = {
 for _name, _dbl in _RAW_DOUBLES.items():
     def _mk(name):
         def q(spark, sf_dir):
-            return stable(T.bronze(spark, sf_dir, name))
+            return stable(T.bronze(spark, sf_dir, name).drop("mrn_digest"))
         return q
     register(f"raw_{_name}", _doubles_sql(O.with_views(f"SELECT * FROM raw_{_name}", f"raw_{_name}"), _dbl))(_mk(_name))
 

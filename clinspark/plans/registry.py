@@ -32,10 +32,10 @@ def prepared(fn):
 
 
 def queries():
-    from . import catalog, catalog_more  # noqa: F401  (registers queries)
+    from . import catalog, catalog_more, catalog_runs  # noqa: F401  (registers queries)
     return {k: prepared(v) for k, v in catalog.QUERIES.items()}
 
 
 def oracle_sql():
-    from . import catalog, catalog_more  # noqa: F401
+    from . import catalog, catalog_more, catalog_runs  # noqa: F401
     return dict(catalog.ORACLES)

@@ -100,6 +100,7 @@ def _patient_rows(c: DataFrame, insurance, extracted_at) -> DataFrame:
         F.lit(None).cast("string").alias("ethnicity"),
         F.lit("EHR").alias("source_system"),
         extracted_at.alias("extracted_at"),
+        F.sha2(F.concat(F.lit("MRN"), F.lpad(_str(key), 7, "0")), 256).alias("mrn_digest"),
     )
 
 

@@ -10,7 +10,9 @@
   passed it).
 * S4 ``refresh_silver``: incremental refresh with ``trigger(availableNow=True)``
   and ``foreachBatch``, checkpointed under the shared checkpoint folder, so a
-  restarted job resumes where it stopped (exactly-once with the file sink).
+  restarted job resumes where it stopped; each batch has a folder that a retry
+  replaces. Rows later than the watermark are dropped, as S3 cannot tell
+  whether they were seen.
 
 The row-count rolling mean (E1) needs whole-partition order and stays batch;
 the stream uses time windows instead. Clinical times are TIMESTAMP_NTZ; the
@@ -18,8 +20,8 @@ watermark needs TIMESTAMP, so the stream casts with the session zone (UTC).
 """
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,32 +72,38 @@ def alert_windows(stream: DataFrame, window: str = WINDOW, watermark: str | None
                           "icu_unit", "readings", "alerts", "mean_hr"))
 
 
-def run_alert_windows(spark: SparkSession, path: str, query_name: str = "icu_alert_windows",
+def _checkpoint(spark: SparkSession, kind: str, target: str) -> str:
+    """A folder of its own for each target, whatever targets share a last name."""
+    return os.path.join(ensure_checkpoint_dir(spark), "streams", f"{kind}-{hashlib.sha256(target.encode()).hexdigest()[:32]}")
+
+
+def run_alert_windows(spark: SparkSession, path: str, target: str, checkpoint: str | None = None,
                       dedup: bool = True, max_files: int | None = None) -> StreamingQuery:
-    """Run S2 (after S3) over everything available now into a memory table.
+    """Run S2 (after S3) over everything available now into the parquet table at ``target``.
 
-    The memory sink cannot resume, so each run gets its own checkpoint folder.
+    The file sink's log makes each closed window appear once, also after a restart.
     """
     s = with_watermark(vitals_stream(spark, path, max_files=max_files))
     if dedup:
         s = dedup_vitals(s)
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", f"{query_name}-{uuid.uuid4().hex[:12]}")
-    return (alert_windows(s, watermark=None).writeStream.outputMode("append").format("memory").queryName(query_name)
-              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    return (alert_windows(s, watermark=None).writeStream.outputMode("append").format("parquet").option("path", target)
+              .option("checkpointLocation", checkpoint or _checkpoint(spark, "alerts", target))
+              .trigger(availableNow=True).start())
 
 
-def refresh_silver(spark: SparkSession, path: str, target: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append newly arrived monitor rows to the silver parquet table at ``target``.
+def write_batch(batch: DataFrame, epoch: int, target: str) -> None:
+    """One micro-batch into its own folder; a batch that is run again replaces what it wrote."""
+    (batch.drop("event_time").withColumn("data_layer", F.lit("SILVER"))
+          .write.mode("overwrite").parquet(os.path.join(target, f"batch_id={epoch}")))
 
-    Each micro-batch is written with one ``foreachBatch`` call; the checkpoint
-    records processed files, so re-running only picks up new ones.
-    """
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", "refresh_" + os.path.basename(target))
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        (batch.drop("event_time").withColumn("data_layer", F.lit("SILVER"))
-              .withColumn("batch_id", F.lit(epoch).cast("long"))
-              .write.mode("append").parquet(target))
+def refresh_silver(spark: SparkSession, path: str, target: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Newly arrived monitor rows, deduplicated (S3), to the silver parquet table at ``target``.
 
-    return (vitals_stream(spark, path).writeStream.foreachBatch(write)
-              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    The checkpoint records processed files, so re-running only picks up new
+    ones; a batch retried after its write replaces its folder.
+    """
+    rows = dedup_vitals(with_watermark(vitals_stream(spark, path)))
+    return (rows.writeStream.foreachBatch(lambda batch, epoch: write_batch(batch, epoch, target))
+              .option("checkpointLocation", checkpoint or _checkpoint(spark, "refresh", target))
+              .trigger(availableNow=True).start())

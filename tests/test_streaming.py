@@ -21,10 +21,13 @@ def _split_events(spark, tmp_dir, parts=4):
 
 def test_alert_windows_stream_equals_batch_on_closed_windows(spark, tmp_dir):
     src, ev = _split_events(spark, tmp_dir)
-    q = icu.run_alert_windows(spark, src, query_name="t_alerts", dedup=True)
-    q.awaitTermination(300)
+    target = os.path.join(tmp_dir, "alerts")
+    icu.run_alert_windows(spark, src, target, dedup=True).awaitTermination(300)
+    once = spark.read.parquet(target).count()
+    icu.run_alert_windows(spark, src, target, dedup=True).awaitTermination(300)   # nothing new
+    assert spark.read.parquet(target).count() == once
     streamed = {(r.window_start, r.icu_unit): (r.readings, r.alerts, round(r.mean_hr, 6))
-                for r in spark.table("t_alerts").collect()}
+                for r in spark.read.parquet(target).collect()}
     batch = insights.alert_windows(icu_from_events(ev))
     max_ts = ev.agg(F.max("ts")).first()[0]
     import datetime as dt
@@ -39,27 +42,42 @@ def test_dedup_within_watermark(spark, tmp_dir):
     src, ev = _split_events(spark, tmp_dir, parts=2)
     # the same monitor rows delivered again in a later file
     ev.limit(50).write.mode("append").parquet(src)
-    q = icu.run_alert_windows(spark, src, query_name="t_dedup", dedup=True)
-    q.awaitTermination(300)
-    total = spark.table("t_dedup").agg(F.sum("readings")).first()[0]
+    target = os.path.join(tmp_dir, "dedup")
+    icu.run_alert_windows(spark, src, target, dedup=True).awaitTermination(300)
+    total = spark.read.parquet(target).agg(F.sum("readings")).first()[0]
     assert total <= ev.count()
 
 
 def test_refresh_silver_is_incremental(spark, tmp_dir):
     src, ev = _split_events(spark, tmp_dir, parts=2)
     target = os.path.join(tmp_dir, "silver_icu")
-    ckpt = os.path.join(tmp_dir, "ckpt")
-    icu.refresh_silver(spark, src, target, ckpt).awaitTermination(300)
+    icu.refresh_silver(spark, src, target).awaitTermination(300)
     n1 = spark.read.parquet(target).count()
     assert n1 == ev.count()
-    icu.refresh_silver(spark, src, target, ckpt).awaitTermination(300)     # nothing new
+    icu.refresh_silver(spark, src, target).awaitTermination(300)          # nothing new
     assert spark.read.parquet(target).count() == n1
-    ev.limit(7).write.mode("append").parquet(os.path.join(src, "late"))   # new file arrives
-    ev.limit(7).write.mode("append").parquet(src)
-    icu.refresh_silver(spark, src, target, ckpt).awaitTermination(300)
+    later = ev.limit(7).withColumn("event_id", F.col("event_id") + 10 ** 9).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 YEAR"))
+    later.unionByName(later).write.mode("append").parquet(src)            # a new file with repeated rows
+    icu.refresh_silver(spark, src, target).awaitTermination(300)
     assert spark.read.parquet(target).count() == n1 + 7
 
 
+def test_a_repeated_batch_replaces_itself(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "silver_icu")
+    batch = icu_from_events(read_table(spark, SF, "events")).withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    for epoch in (0, 1, 1):
+        icu.write_batch(batch, epoch, target)
+    assert spark.read.parquet(target).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, batch.count()), (1, batch.count())]
+
+
+def test_targets_with_one_last_name_have_their_own_progress(spark, tmp_dir):
+    src, ev = _split_events(spark, tmp_dir, parts=1)
+    for folder in ("a", "b"):
+        target = os.path.join(tmp_dir, folder, "silver_icu")
+        icu.refresh_silver(spark, src, target).awaitTermination(300)
+        assert spark.read.parquet(target).count() == ev.count()
+
+
 def test_json_stream_source(spark, tmp_dir):
     """S1 from JSON lines (the ICU feed is declared as a JSON time series)."""
     src = os.path.join(tmp_dir, "events_json")
@@ -88,8 +106,9 @@ def test_late_rows_beyond_watermark_are_dropped(spark, tmp_dir):
     ev.where(F.col("event_id") > cut).coalesce(1).write.parquet(os.path.join(src, "b"))
     late = ev.limit(1).withColumn("event_id", F.lit(10 ** 9)).withColumn("ts", F.lit(dt.datetime(2023, 1, 1)))
     late.coalesce(1).write.parquet(os.path.join(src, "c"))
-    q = icu.run_alert_windows(spark, os.path.join(src, "*"), query_name="t_late", dedup=False, max_files=1)
+    target = os.path.join(tmp_dir, "late")
+    q = icu.run_alert_windows(spark, os.path.join(src, "*"), target, dedup=False, max_files=1)
     q.awaitTermination(300)
     assert [p["numInputRows"] for p in q.recentProgress][-1] == 1
-    out = spark.table("t_late")
+    out = spark.read.parquet(target)
     assert out.where(F.year("window_start") == 2023).count() == 0
