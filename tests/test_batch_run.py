@@ -56,7 +56,8 @@ def test_duplicate_patient_ids_stop_before_the_mart(spark, tmp_dir, monkeypatch)
 
     def with_duplicate(s, d):
         raw = original(s, d)
-        return raw.unionByName(raw.where(F.col("patient_id") == 1).withColumn("mrn", F.lit("PHI_other")))
+        return raw.unionByName(raw.where(F.col("patient_id") == 1).withColumn("mrn", F.lit("PHI_other"))
+                              .withColumn("mrn_digest", F.lit("other")))
 
     monkeypatch.setitem(testdata.SOURCES, "patients", with_duplicate)
     res = run(spark, RunConfig(SF, tmp_dir, mode="full", run_id="dup"))
