@@ -144,7 +144,7 @@ def _nearest(rows: DataFrame, estimate: DataFrame, share: float) -> tuple[DataFr
     near = _distance(rows.join(estimate.select(*own), "key")).withColumn("g", F.round(100 * F.log(F.col("d2") + 1e-4)).cast("long"))
     # counts per grid value are at most a few thousand rows per group
     bound = near.groupBy("key").agg(F.percentile("g", F.lit(share)).alias("bound"))
-    return near, bound
+    return near, stage(bound, "op10-bounds")  # as a table its size is known, so rows need no shuffle to meet it
 
 
 def estimates(stats: DataFrame) -> DataFrame:
