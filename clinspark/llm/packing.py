@@ -107,7 +107,7 @@ def vocabulary(name: str) -> Vocabulary:
     return _vocabularies[name]
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, at_once: int = 1 << 23) -> DataFrame:
+def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKENIZER, at_once: int = 1 << 22) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(tokenizer)
