@@ -44,7 +44,8 @@ from .routing import ANSWERS, BLOBS, U, Chunk, Dealt, Rolling, batch_of, covered
 LENGTH = 50
 GRAM = 16
 REACH = LENGTH - GRAM  # a string begins at most so far before a mark in it
-PER_PART = 1 << 23
+PER_PART = 1 << 22
+AT_ONCE = 4096  # contexts whose suffixes are sorted together, if no mark has more
 NO_ID = np.iinfo(np.int64).max
 NAME = np.dtype([("mark", "<u4"), ("context", "<u8"), ("doc", "<i8"), ("chunk", "<u4")])
 MORE = np.uint32(1 << 31)  # of a chunk: it holds the context in larger doc_ids too
@@ -150,8 +151,9 @@ def smaller_elsewhere(contexts: np.ndarray, doc: np.ndarray) -> np.ndarray:
     text = np.pad(text, ((0, 0), (0, 1)))
     text[np.arange(len(size)), size] = 1  # ends a context
     keep = np.arange(REACH + LENGTH + 1) <= size[:, None]
-    flat, row = text[keep], np.nonzero(keep)[0]
+    flat, row = text[keep], np.repeat(np.arange(len(size)), size + 1)
     at = np.arange(len(flat)) - (np.cumsum(size + 1) - size - 1)[row]
+    del text, keep
     order = suffix_array(flat)
     order = order[at[order] + LENGTH <= size[row[order]]]
     shift = left[row[order]] - at[order]
@@ -233,7 +235,12 @@ def _answers(dealt: Dealt) -> DataFrame:
             known = known[np.argsort(known["context"], kind="stable")]
             at = np.minimum(np.searchsorted(known["context"], context), len(known) - 1)
             asked = np.flatnonzero(known["context"][at] == context)
-            shifts[asked] = smaller_elsewhere(known[at[asked]], least[asked])
+            # equal strings have equal marks, so whole marks are sorted in turn
+            mark = names["mark"][first][asked]
+            starts = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]][:len(mark)])
+            cuts = starts[np.flatnonzero(np.diff(np.r_[-1, starts // AT_ONCE]))] if len(starts) else starts
+            for a, b in zip(cuts, np.r_[cuts[1:], len(asked)]):
+                shifts[asked[a:b]] = smaller_elsewhere(known[at[asked[a:b]]], least[asked[a:b]])
         row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(names)]))
         needed = (shifts[row] != 0) | (names["doc"] > least[row]) | (names["chunk"] & MORE > 0)
         row, chunk = row[needed], (names["chunk"] & ~MORE)[needed].astype(np.int64)
