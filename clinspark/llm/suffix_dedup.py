@@ -10,7 +10,7 @@ they are found and dealt out by content:
 2. A repeated mark with all bytes that a string around it can reach is a context. Contexts go to a
    part by their mark, as hashes; copies of a context are one name there, with the
    smallest doc_id.
-3. Where a mark has several contexts, one copy of each is fetched as text, and the part sorts
+3. Where contexts of a mark share half of what is around it, one copy of each is fetched as text, and the part sorts
    the suffixes of its contexts by the difference cover modulo 3: sampled triples are sorted
    and named, names are sorted recursively, the remaining suffixes follow from their first byte and
    the next rank, and both orders are merged. Neighbours in that order with the same ``LENGTH`` bytes
@@ -47,7 +47,8 @@ REACH = LENGTH - GRAM  # a string begins at most so far before a mark in it
 PER_PART = 1 << 22
 AT_ONCE = 4096  # contexts whose suffixes are sorted together, if no mark has more
 NO_ID = np.iinfo(np.int64).max
-NAME = np.dtype([("mark", "<u4"), ("context", "<u8"), ("doc", "<i8"), ("chunk", "<u4")])
+HALF = REACH // 2  # a string around a mark holds so many bytes before or behind it
+NAME = np.dtype([("mark", "<u4"), ("context", "<u8"), ("doc", "<i8"), ("chunk", "<u4"), ("before", "<u2"), ("behind", "<u2")])
 MORE = np.uint32(1 << 31)  # of a chunk: it holds the context in larger doc_ids too
 CONTEXT = np.dtype([("context", "<u8"), ("left", "u1"), ("right", "u1"), ("text", "u1", REACH + LENGTH)])
 ANSWER = np.dtype([("context", "<u8"), ("doc", "<i8"), ("shifts", "<u8")])
@@ -55,6 +56,10 @@ REMOVED = "doc_id long, th long, n_bytes long, n_removed long, n_spans long, kep
 SYMBOLS = mixed(np.arange(1, 257, dtype=U))
 
 
+def _low(x: np.ndarray) -> np.ndarray:
+    return (x & U(0xFFFF)).astype(np.uint16)
+
+
 def _sliding(x: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
     """``best`` of each ``size`` neighbours, by doubling."""
     have = 1
@@ -98,6 +103,20 @@ class Bytes:
         raw = self.rolling.spans(self.place - self.left, self.place + self.right)
         return mixed(raw + self.left.astype(U) * U(0x2545F4914F6CDD1D) + self.right.astype(U) * U(0x9FB21C651E98DF25))
 
+    def halves(self, at: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Short hashes of a mark with ``HALF`` bytes before and behind it; any value where these are not there."""
+        place, left, right = self.place[at], self.left[at], self.right[at]
+        before = mixed(self.rolling.spans(place - np.minimum(left, HALF), place + GRAM))
+        behind = mixed(self.rolling.spans(place, place + np.minimum(right, GRAM + HALF)))
+        return (_low(np.where(left >= HALF, before, contexts)), _low(np.where(right >= GRAM + HALF, behind, contexts >> U(16))))
+
+
+def _packed(first: np.ndarray, second: np.ndarray, most: int) -> np.ndarray:
+    """One number per pair in the order of pairs; ``second`` is below ``most``."""
+    if (int(first.max(initial=0)) + 1) * most >= 1 << 62:
+        first = np.unique(first, return_inverse=True)[1]
+    return first * most + second
+
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``s`` (whole numbers from 1) in their order, by the difference cover {1, 2} modulo 3."""
@@ -105,17 +124,15 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
     s = np.r_[s, 0, 0, 0].astype(np.int64)
+    most = int(s.max()) + 1
     ones = np.arange(1, n + (n % 3 == 1), 3)  # one past the end where the last triple needs it
     twos = np.arange(2, n, 3)
     sample = np.r_[ones, twos]
-    pairs = s[sample] * (int(s.max()) + 1) + s[sample + 1]
-    if s.max() < 1 << 20:
-        order = np.argsort(pairs * (int(s.max()) + 1) + s[sample + 2], kind="stable")
-    else:
-        order = np.lexsort((s[sample + 2], pairs))
-    p, t = pairs[order], s[sample + 2][order]
+    triples = _packed(_packed(s[sample], s[sample + 1], most), s[sample + 2], most)
+    order = np.argsort(triples)
+    sorted_ = triples[order]
     name = np.empty(len(sample), np.int64)
-    name[order] = np.cumsum(np.r_[1, (p[1:] != p[:-1]) | (t[1:] != t[:-1])])
+    name[order] = np.cumsum(np.r_[1, sorted_[1:] != sorted_[:-1]])
     if name.max() < len(sample):
         order = suffix_array(name)
     rank = np.zeros(n + 3, np.int64)
@@ -124,12 +141,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sample = sample[sample < n]
     rest = np.arange(0, n, 3)
     big = n + 3
-    rest = rest[np.argsort(s[rest] * big + rank[rest + 1], kind="stable")]
+    rest = rest[np.argsort(s[rest] * big + rank[rest + 1])]
     one, two = sample[sample % 3 == 1], sample[sample % 3 == 2]
     before = np.searchsorted(s[one] * big + rank[one + 1], s[rest] * big + rank[rest + 1])
     # against the other residue: two symbols, then a rank
-    steps = np.unique(np.r_[s[two] * big + s[two + 1], s[rest] * big + s[rest + 1]], return_inverse=True)[1]
-    before += np.searchsorted(steps[:len(two)] * big + rank[two + 2], steps[len(two):] * big + rank[rest + 2])
+    pairs = _packed(np.r_[s[two], s[rest]], np.r_[s[two + 1], s[rest + 1]], most)
+    keys = _packed(pairs, np.r_[rank[two + 2], rank[rest + 2]], big)
+    before += np.searchsorted(keys[:len(two)], keys[len(two):])
     out = np.empty(n, np.int64)
     at = before + np.arange(len(rest))
     own = np.ones(n, bool)
@@ -160,11 +178,13 @@ def smaller_elsewhere(contexts: np.ndarray, doc: np.ndarray) -> np.ndarray:
     order = order[(shift >= 0) & (shift <= REACH)]
     if len(order) < 2:
         return shifts
-    same = np.empty(len(order) - 1, bool)
-    span = np.arange(LENGTH)
-    for a in range(0, len(same), 1 << 16):  # neighbours with the same first LENGTH bytes
-        b = min(a + (1 << 16), len(same))
-        same[a:b] = (flat[order[a:b, None] + span] == flat[order[a + 1:b + 1, None] + span]).all(axis=1)
+    # neighbours with the same first LENGTH bytes
+    last = flat[order + (LENGTH - 1)]
+    same = last[1:] == last[:-1]
+    maybe, span = np.flatnonzero(same), np.arange(LENGTH - 1)
+    for a in range(0, len(maybe), 1 << 15):
+        k = maybe[a:a + (1 << 15)]
+        same[k] = (flat[order[k, None] + span] == flat[order[k + 1, None] + span]).all(axis=1)
     first = np.flatnonzero(np.r_[True, ~same])
     own = doc[row[order]]
     least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.r_[first, len(order)]))
@@ -184,6 +204,13 @@ def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names, np.flatnonzero(new[:len(names)])
 
 
+def _shared(names: np.ndarray, half: str) -> np.ndarray:
+    """Which distinct contexts have the mark and half of another."""
+    key = names["mark"].astype(U) << U(16) | names[half].astype(U)
+    found, count = np.unique(key, return_counts=True)
+    return count[np.searchsorted(found, key)] > 1
+
+
 def _answers(dealt: Dealt) -> DataFrame:
     """Answers to each chunk: a context's smallest doc_id, and the shifts that are removed even there."""
     def note(chunk: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -196,6 +223,8 @@ def _answers(dealt: Dealt) -> DataFrame:
         rec = np.empty(len(found), NAME)
         rec["mark"], rec["context"] = b.grams[found] & U(0xFFFFFFFF), b.contexts()[found]
         rec["doc"], rec["chunk"] = _doc_ids(c)[b.doc[found]], c.number
+        if len(found):
+            rec["before"], rec["behind"] = b.halves(found, rec["context"])
         part = part_of(b.grams[found], dealt.parts)
         order = np.lexsort((rec["doc"], rec["context"]))
         rec, part = rec[order], part[order]
@@ -208,9 +237,9 @@ def _answers(dealt: Dealt) -> DataFrame:
 
     def request(own: pa.Table) -> pa.Table:
         names, first = _distinct(unpacked(own.column("records"), NAME))
-        mark = names["mark"][first]
-        same = mark[1:] == mark[:-1]
-        wanted = names[first[(np.r_[same, False] | np.r_[False, same])[:len(first)]]]
+        # contexts of a mark that share the bytes before it or behind it, so that a string can be in both
+        one = names[first]
+        wanted = one[_shared(one, "before") | _shared(one, "behind")]
         return table_of(packed((wanted["chunk"] & ~MORE).astype(np.int64), np.ascontiguousarray(wanted["context"])), "chunk")
 
     def fetch(c: Chunk) -> pa.RecordBatch:
