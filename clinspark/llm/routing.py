@@ -25,6 +25,7 @@ DOCS = 8192
 BLOBS = "part int, records binary"
 ANSWERS = "chunk int, records binary"
 U = np.uint64
+HOT = U(1 << 63)
 FACTOR = 0x9E3779B97F4A7C15 | 1
 FACTOR_2 = 0xD6E8FEB86659FD93
 
@@ -70,8 +71,11 @@ class Dealt:
         """What a record keeps of a hash."""
         return (hashes << self.bits) >> self.bits
 
-    def repeated(self, found: DataFrame) -> DataFrame:
-        """Answers to each chunk: its hashes that ``noted`` records hold at least twice."""
+    def repeated(self, found: DataFrame, hot: int | None = None) -> DataFrame:
+        """Answers to each chunk: its hashes that ``noted`` records hold at least twice.
+
+        Those in more than ``hot`` chunks are marked with ``HOT``; column ``hot`` tells of rows that hold some.
+        """
         bits, mask = self.bits, (U(1) << self.bits) - U(1)
 
         def compare(own: pa.Table) -> pa.Table:
@@ -79,9 +83,15 @@ class Dealt:
             h = r >> bits
             same = h[1:] == h[:-1]
             r = np.unique(r[np.r_[same, False] | np.r_[False, same]])
-            return table_of(packed((r & mask).astype(np.int64), r >> bits), "chunk")
-
-        return found.groupBy("part").applyInArrow(compare, ANSWERS)
+            h, chunk = r >> bits, (r & mask).astype(np.int64)
+            if hot is None:
+                return table_of(packed(chunk, h), "chunk").append_column("hot", pa.array([False] * len(np.unique(chunk))))
+            number, chunks = np.unique(h, return_inverse=True, return_counts=True)[1:]
+            h = h | np.where(chunks[number] > hot, HOT, U(0))
+            out = table_of(packed(chunk, h), "chunk")
+            return out.append_column("hot", pa.array([bool((np.frombuffer(x.as_buffer(), U) >= HOT).any()) for x in out.column("records")], pa.bool_()))
+
+        return found.groupBy("part").applyInArrow(compare, f"{ANSWERS}, hot boolean")
 
     def scan(self, fn: Callable[[np.ndarray, list[bytes]], Iterator[tuple[int, bytes]]], at_once: int = CHUNK) -> DataFrame:
         """Blobs that ``fn`` makes of the documents where they lie; it gets their chunks and texts."""

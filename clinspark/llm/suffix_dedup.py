@@ -17,6 +17,10 @@ they are found and dealt out by content:
    are one string; it is removed but where its doc_id is smallest.
 4. Parts answer the chunks which strings of which contexts to remove.
 
+A mark in more than ``CROWDED`` chunks, as at the edges of a passage that a large share of all documents
+quotes, has too many contexts for one part. Its strings are spelled out instead: each goes to a
+part of its own by a 128-bit hash, once per chunk and with the smallest doc_id there.
+
 Sorting the suffixes of whole texts instead would shuffle a record for each byte in each round;
 strings found once, about three quarters of the test corpus, need none.
 
@@ -39,18 +43,21 @@ from pyspark.sql import functions as F
 
 from .blobs import packed, unpacked
 from .common import keyed, same_key, stage, with_texts
-from .routing import ANSWERS, BLOBS, U, Chunk, Dealt, Rolling, batch_of, covered, member, mixed, part_of, table_of
+from .routing import ANSWERS, BLOBS, FACTOR_2, HOT, U, Chunk, Dealt, Rolling, batch_of, covered, member, mixed, part_of, table_of
 
 LENGTH = 50
 GRAM = 16
 REACH = LENGTH - GRAM  # a string begins at most so far before a mark in it
 PER_PART = 1 << 22
+CROWDED = 1 << 16
 AT_ONCE = 4096  # contexts whose suffixes are sorted together, if no mark has more
 NO_ID = np.iinfo(np.int64).max
 HALF = REACH // 2  # a string around a mark holds so many bytes before or behind it
 NAME = np.dtype([("mark", "<u4"), ("context", "<u8"), ("doc", "<i8"), ("chunk", "<u4"), ("before", "<u2"), ("behind", "<u2")])
 MORE = np.uint32(1 << 31)  # of a chunk: it holds the context in larger doc_ids too
 CONTEXT = np.dtype([("context", "<u8"), ("left", "u1"), ("right", "u1"), ("text", "u1", REACH + LENGTH)])
+STRING = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("chunk", "<u4")])
+WHOLE = U(1 << 63)  # among the shifts of an answer: it is of a string, not of a context
 ANSWER = np.dtype([("context", "<u8"), ("doc", "<i8"), ("shifts", "<u8")])
 REMOVED = "doc_id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 SYMBOLS = mixed(np.arange(1, 257, dtype=U))
@@ -103,6 +110,14 @@ class Bytes:
         raw = self.rolling.spans(self.place - self.left, self.place + self.right)
         return mixed(raw + self.left.astype(U) * U(0x2545F4914F6CDD1D) + self.right.astype(U) * U(0x9FB21C651E98DF25))
 
+    def strings(self, at: np.ndarray) -> np.ndarray:
+        """Starts of the strings around marks."""
+        start = np.zeros(len(self.data), bool)
+        place, left, right = self.place[at], self.left[at], self.right[at]
+        for d in range(REACH + 1):
+            start[place[(d <= left) & (LENGTH - d <= right)] - d] = True
+        return np.flatnonzero(start)
+
     def halves(self, at: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Short hashes of a mark with ``HALF`` bytes before and behind it; any value where these are not there."""
         place, left, right = self.place[at], self.left[at], self.right[at]
@@ -219,7 +234,7 @@ def _answers(dealt: Dealt) -> DataFrame:
 
     def name(c: Chunk) -> pa.RecordBatch:
         b = Bytes(c.texts)
-        found = np.flatnonzero(member(dealt.low(b.grams), np.unique(c.answers)))
+        found = np.flatnonzero(member(dealt.low(b.grams), np.unique(c.answers[c.answers < HOT])))
         rec = np.empty(len(found), NAME)
         rec["mark"], rec["context"] = b.grams[found] & U(0xFFFFFFFF), b.contexts()[found]
         rec["doc"], rec["chunk"] = _doc_ids(c)[b.doc[found]], c.number
@@ -277,11 +292,41 @@ def _answers(dealt: Dealt) -> DataFrame:
         out["context"], out["doc"], out["shifts"] = context[row], least[row], shifts[row]
         return table_of(packed(chunk, out), "chunk")
 
-    marks = stage(dealt.repeated(dealt.scan(note)), "op8-marks")
+    def spell(c: Chunk) -> pa.RecordBatch:
+        b = Bytes(c.texts)
+        start = b.strings(np.flatnonzero(member(dealt.low(b.grams), np.unique(c.answers[c.answers >= HOT] ^ HOT))))
+        if not len(start):
+            return batch_of([], "part")
+        rec = np.empty(len(start), STRING)
+        rec["a"] = mixed(b.rolling.windows(LENGTH))[start]
+        rec["b"] = mixed(Rolling(mixed(SYMBOLS[b.data]), FACTOR_2).windows(LENGTH))[start]
+        rec["doc"], rec["chunk"] = _doc_ids(c)[np.searchsorted(b.end, start, "right")], c.number
+        rec = rec[np.lexsort((rec["doc"], rec["b"], rec["a"]))]
+        first = np.flatnonzero(np.r_[True, (rec["a"][1:] != rec["a"][:-1]) | (rec["b"][1:] != rec["b"][:-1])])
+        out, last = rec[first], np.r_[first[1:], len(rec)] - 1
+        out["chunk"] |= np.where(rec["doc"][last] > out["doc"], MORE, np.uint32(0))
+        return batch_of(packed(part_of(out["a"], dealt.parts), out), "part")
+
+    def least(own: pa.Table) -> pa.Table:
+        rec = unpacked(own.column("records"), STRING)
+        rec = rec[np.lexsort((rec["doc"], rec["b"], rec["a"]))]
+        first = np.flatnonzero(np.r_[True, (rec["a"][1:] != rec["a"][:-1]) | (rec["b"][1:] != rec["b"][:-1])][:len(rec)])
+        smallest = np.repeat(rec["doc"][first], np.diff(np.r_[first, len(rec)]))
+        needed = (rec["doc"] > smallest) | (rec["chunk"] & MORE > 0)
+        out = np.empty(int(needed.sum()), ANSWER)
+        out["context"], out["doc"], out["shifts"] = rec["a"][needed], smallest[needed], WHOLE
+        return table_of(packed((rec["chunk"][needed] & ~MORE).astype(np.int64), out), "chunk")
+
+    marks = stage(dealt.repeated(dealt.scan(note), CROWDED), "op8-marks")
     names = stage(dealt.read(marks, U, name, BLOBS), "op8-names")
     wanted = stage(names.groupBy("part").applyInArrow(request, ANSWERS), "op8-wanted")
     texts = dealt.read(wanted, U, fetch, BLOBS)
-    return stage(names.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(answer, ANSWERS), "op8-answers")
+    answers = stage(names.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(answer, ANSWERS), "op8-answers")
+    crowded = marks.where("hot")
+    if crowded.limit(1).count():
+        spelled = dealt.read(crowded, U, spell, BLOBS).groupBy("part").applyInArrow(least, ANSWERS)
+        answers = answers.unionByName(stage(spelled, "op8-strings"))
+    return answers
 
 
 def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -291,8 +336,16 @@ def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
     def cut(c: Chunk) -> pa.RecordBatch:
         b = Bytes(c.texts)
         gone = np.zeros(len(b.data), bool)
-        if len(c.answers) and len(b.place):
-            known = c.answers[np.argsort(c.answers["context"], kind="stable")]
+        whole = c.answers["shifts"] == WHOLE
+        if whole.any() and len(b.place):
+            known = c.answers[whole][np.argsort(c.answers["context"][whole], kind="stable")]
+            start = b.strings(np.arange(len(b.place)))
+            hashes = mixed(b.rolling.windows(LENGTH))[start]
+            at = np.minimum(np.searchsorted(known["context"], hashes), len(known) - 1)
+            later = _doc_ids(c)[np.searchsorted(b.end, start, "right")] > known["doc"][at]
+            gone[start[(known["context"][at] == hashes) & later]] = True
+        if (~whole).any() and len(b.place):
+            known = c.answers[~whole][np.argsort(c.answers["context"][~whole], kind="stable")]
             contexts = b.contexts()
             at = np.minimum(np.searchsorted(known["context"], contexts), len(known) - 1)
             found = np.flatnonzero(known["context"][at] == contexts)
@@ -302,7 +355,7 @@ def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
             for d in range(REACH + 1):
                 fits = (shifts >> U(d) & U(1) > 0) & (d <= left) & (LENGTH - d <= right)
                 gone[place[fits] - d] = True
-            gone = covered(gone, LENGTH)
+        gone = covered(gone, LENGTH) if len(gone) > LENGTH else gone
         rows = []
         for doc_id, th, text, a in zip(c.doc_ids, c.hashes, c.texts, b.first.tolist()):
             out = gone[a:a + len(text)]

@@ -47,6 +47,17 @@ def test_odd_documents(odd_docs):
     assert found(odd_docs) == by_hand(odd_docs.collect())
 
 
+@pytest.mark.parametrize("crowded", [0, 2])
+def test_crowded_marks_are_spelled_out(spark, few_docs, odd_docs, monkeypatch, crowded):
+    monkeypatch.setattr(routing, "CHUNK", 20_000)
+    monkeypatch.setattr(S, "CROWDED", crowded)
+    assert found(few_docs) == by_hand(few_docs.collect())
+    assert found(odd_docs) == by_hand(odd_docs.collect())
+    line = "This line stands in every document of the whole table, as notices do."
+    docs = spark.createDataFrame([(i, f"{i * 7919} before {line} after {i * 104729}") for i in range(60)], "doc_id long, text string")
+    assert found(docs) == by_hand(docs.collect())
+
+
 def test_many_chunks(few_docs, monkeypatch):
     monkeypatch.setattr(routing, "CHUNK", 20_000)
     monkeypatch.setattr(S, "PER_PART", 50_000)
