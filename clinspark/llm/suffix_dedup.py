@@ -50,6 +50,7 @@ GRAM = 16
 REACH = LENGTH - GRAM  # a string begins at most so far before a mark in it
 PER_PART = 1 << 22
 CROWDED = 1 << 16
+STEP = 1 << 16
 AT_ONCE = 4096  # contexts whose suffixes are sorted together, if no mark has more
 NO_ID = np.iinfo(np.int64).max
 HALF = REACH // 2  # a string around a mark holds so many bytes before or behind it
@@ -77,38 +78,54 @@ def _sliding(x: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
 
 
 class Bytes:
-    """The bytes of some documents one after the other, with their marks."""
+    """The bytes of some documents one after the other, with their marks and, if asked for, the marks' contexts.
 
-    def __init__(self, texts: list[bytes]):
+    Worked out some documents at a time, so that the arrays of a step stay in a processor's cache.
+    """
+
+    def __init__(self, texts: list[bytes], around: bool = False):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.counts = np.fromiter(map(len, texts), np.int64, len(texts))
         self.end = np.cumsum(self.counts)
         self.first = self.end - self.counts
-        n = len(self.data)
-        if n < LENGTH:
-            self.place, self.grams = np.empty(0, np.int64), np.empty(0, U)
-        else:
-            self.rolling = Rolling(SYMBOLS[self.data])
-            grams = mixed(self.rolling.windows(GRAM))
-            value = (grams >> U(32)).astype(np.uint32)
-            least = _sliding(value, REACH + 1, np.minimum)
-            inside = np.zeros(len(least), bool)
-            for a, b in zip(self.first.tolist(), self.end.tolist()):
-                inside[a:max(a, b - LENGTH + 1)] = True
-            around = np.zeros(len(value) + REACH, np.uint32)
-            around[REACH:REACH + len(least)] = np.where(inside, least, 0)
-            self.place = np.flatnonzero((_sliding(around, REACH + 1, np.maximum) == value) & (value > 0))
-            self.grams = grams[self.place]
-        self.doc = np.searchsorted(self.end, self.place, "right")
-        self.left = np.minimum(self.place - self.first[self.doc], REACH)
-        self.right = np.minimum(self.end[self.doc] - self.place, LENGTH)
-
-    def contexts(self) -> np.ndarray:
-        """A hash of the bytes around each mark and of the mark's place among them."""
-        if not len(self.place):
-            return np.empty(0, U)
-        raw = self.rolling.spans(self.place - self.left, self.place + self.right)
-        return mixed(raw + self.left.astype(U) * U(0x2545F4914F6CDD1D) + self.right.astype(U) * U(0x9FB21C651E98DF25))
+        cuts = np.flatnonzero(np.diff(np.r_[-1, self.first // STEP])) if len(texts) else np.empty(0, np.int64)
+        found = [self._marks(a, b, around) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(texts)])]
+        kinds = (np.int64, U, U, np.uint16, np.uint16)
+        self.place, self.grams, self.contexts, self.before, self.behind = (
+            np.concatenate([np.empty(0, k), *x]) for k, x in zip(kinds, zip(*found) if found else [()] * 5))
+        self.doc, self.left, self.right = self._reach(self.place)
+
+    def _reach(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document of each place, and how far a string around it can reach in that document."""
+        doc = np.searchsorted(self.end, place, "right")
+        return doc, np.minimum(place - self.first[doc], REACH), np.minimum(self.end[doc] - place, LENGTH)
+
+    def _marks(self, a: int, b: int, around: bool) -> tuple[np.ndarray, ...]:
+        """Marks of documents a to b: place, gram, context, and short hashes of its halves."""
+        low, data = int(self.first[a]), self.data[self.first[a]:self.end[b - 1]]
+        none = (np.empty(0, np.int64), *(np.empty(0, U),) * 2, *(np.empty(0, np.uint16),) * 2)
+        if len(data) < LENGTH:
+            return none
+        rolling = Rolling(SYMBOLS[data])
+        grams = mixed(rolling.windows(GRAM))
+        value = (grams >> U(32)).astype(np.uint32)
+        least = _sliding(value, REACH + 1, np.minimum)
+        inside = np.zeros(len(least), bool)
+        for x, y in zip((self.first[a:b] - low).tolist(), (self.end[a:b] - low).tolist()):
+            inside[x:max(x, y - LENGTH + 1)] = True
+        window = np.zeros(len(value) + REACH, np.uint32)
+        window[REACH:REACH + len(least)] = np.where(inside, least, 0)
+        place = np.flatnonzero((_sliding(window, REACH + 1, np.maximum) == value) & (value > 0))
+        if not around or not len(place):
+            return place + low, grams[place], *none[2:]
+        _, left, right = self._reach(place + low)
+        spread = left.astype(U) * U(0x2545F4914F6CDD1D) + right.astype(U) * U(0x9FB21C651E98DF25)
+        context = mixed(rolling.spans(place - left, place + right) + spread)
+        # with half of the reach before or behind; any value where that is not there
+        before = mixed(rolling.spans(place - np.minimum(left, HALF), place + GRAM))
+        behind = mixed(rolling.spans(place, place + np.minimum(right, GRAM + HALF)))
+        return (place + low, grams[place], context, _low(np.where(left >= HALF, before, context)),
+                _low(np.where(right >= GRAM + HALF, behind, context >> U(16))))
 
     def strings(self, at: np.ndarray) -> np.ndarray:
         """Starts of the strings around marks."""
@@ -118,13 +135,6 @@ class Bytes:
             start[place[(d <= left) & (LENGTH - d <= right)] - d] = True
         return np.flatnonzero(start)
 
-    def halves(self, at: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Short hashes of a mark with ``HALF`` bytes before and behind it; any value where these are not there."""
-        place, left, right = self.place[at], self.left[at], self.right[at]
-        before = mixed(self.rolling.spans(place - np.minimum(left, HALF), place + GRAM))
-        behind = mixed(self.rolling.spans(place, place + np.minimum(right, GRAM + HALF)))
-        return (_low(np.where(left >= HALF, before, contexts)), _low(np.where(right >= GRAM + HALF, behind, contexts >> U(16))))
-
 
 def _packed(first: np.ndarray, second: np.ndarray, most: int) -> np.ndarray:
     """One number per pair in the order of pairs; ``second`` is below ``most``."""
@@ -233,13 +243,12 @@ def _answers(dealt: Dealt) -> DataFrame:
         return packed(*dealt.noted(b.grams, chunk[b.doc]))
 
     def name(c: Chunk) -> pa.RecordBatch:
-        b = Bytes(c.texts)
+        b = Bytes(c.texts, around=True)
         found = np.flatnonzero(member(dealt.low(b.grams), np.unique(c.answers[c.answers < HOT])))
         rec = np.empty(len(found), NAME)
-        rec["mark"], rec["context"] = b.grams[found] & U(0xFFFFFFFF), b.contexts()[found]
+        rec["mark"], rec["context"] = b.grams[found] & U(0xFFFFFFFF), b.contexts[found]
         rec["doc"], rec["chunk"] = _doc_ids(c)[b.doc[found]], c.number
-        if len(found):
-            rec["before"], rec["behind"] = b.halves(found, rec["context"])
+        rec["before"], rec["behind"] = b.before[found], b.behind[found]
         part = part_of(b.grams[found], dealt.parts)
         order = np.lexsort((rec["doc"], rec["context"]))
         rec, part = rec[order], part[order]
@@ -258,12 +267,11 @@ def _answers(dealt: Dealt) -> DataFrame:
         return table_of(packed((wanted["chunk"] & ~MORE).astype(np.int64), np.ascontiguousarray(wanted["context"])), "chunk")
 
     def fetch(c: Chunk) -> pa.RecordBatch:
-        b = Bytes(c.texts)
-        contexts = b.contexts()
-        found = np.flatnonzero(member(contexts, np.unique(c.answers)))
-        found = found[np.unique(contexts[found], return_index=True)[1]]
+        b = Bytes(c.texts, around=True)
+        found = np.flatnonzero(member(b.contexts, np.unique(c.answers)))
+        found = found[np.unique(b.contexts[found], return_index=True)[1]]
         rec = np.zeros(len(found), CONTEXT)
-        rec["context"], rec["left"], rec["right"] = contexts[found], b.left[found], b.right[found]
+        rec["context"], rec["left"], rec["right"] = b.contexts[found], b.left[found], b.right[found]
         step = np.arange(REACH + LENGTH)
         at = (b.place - b.left)[found][:, None] + step
         inside = step < (b.left + b.right)[found][:, None]
@@ -298,7 +306,7 @@ def _answers(dealt: Dealt) -> DataFrame:
         if not len(start):
             return batch_of([], "part")
         rec = np.empty(len(start), STRING)
-        rec["a"] = mixed(b.rolling.windows(LENGTH))[start]
+        rec["a"] = mixed(Rolling(SYMBOLS[b.data]).windows(LENGTH))[start]
         rec["b"] = mixed(Rolling(mixed(SYMBOLS[b.data]), FACTOR_2).windows(LENGTH))[start]
         rec["doc"], rec["chunk"] = _doc_ids(c)[np.searchsorted(b.end, start, "right")], c.number
         rec = rec[np.lexsort((rec["doc"], rec["b"], rec["a"]))]
@@ -334,21 +342,20 @@ def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
     dealt = Dealt(docs, PER_PART)
 
     def cut(c: Chunk) -> pa.RecordBatch:
-        b = Bytes(c.texts)
+        b = Bytes(c.texts, around=True)
         gone = np.zeros(len(b.data), bool)
         whole = c.answers["shifts"] == WHOLE
         if whole.any() and len(b.place):
             known = c.answers[whole][np.argsort(c.answers["context"][whole], kind="stable")]
             start = b.strings(np.arange(len(b.place)))
-            hashes = mixed(b.rolling.windows(LENGTH))[start]
+            hashes = mixed(Rolling(SYMBOLS[b.data]).windows(LENGTH))[start]
             at = np.minimum(np.searchsorted(known["context"], hashes), len(known) - 1)
             later = _doc_ids(c)[np.searchsorted(b.end, start, "right")] > known["doc"][at]
             gone[start[(known["context"][at] == hashes) & later]] = True
         if (~whole).any() and len(b.place):
             known = c.answers[~whole][np.argsort(c.answers["context"][~whole], kind="stable")]
-            contexts = b.contexts()
-            at = np.minimum(np.searchsorted(known["context"], contexts), len(known) - 1)
-            found = np.flatnonzero(known["context"][at] == contexts)
+            at = np.minimum(np.searchsorted(known["context"], b.contexts), len(known) - 1)
+            found = np.flatnonzero(known["context"][at] == b.contexts)
             said = known[at[found]]
             shifts = np.where(_doc_ids(c)[b.doc[found]] > said["doc"], U((1 << (REACH + 1)) - 1), said["shifts"])
             place, left, right = b.place[found], b.left[found], b.right[found]
