@@ -17,8 +17,10 @@ they are found and dealt out by content:
    are one string; it is removed but where its doc_id is smallest.
 4. Parts answer the chunks which strings of which contexts to remove.
 
-A mark in more than ``CROWDED`` chunks, as at the edges of a passage that a large share of all documents
-quotes, has too many contexts for one part. Its strings are spelled out instead: each goes to a
+A mark in more than ``CROWDED`` chunks has too many records for one part, and so has one with more than
+``MANY`` contexts, or more than ``MOST`` that share a half, as at the edges of a passage that many documents
+quote between other words. Contexts are counted by a sample of their hashes, so a limit
+is met within a fraction. Strings around such marks are spelled out instead: each goes to a
 part of its own by a 128-bit hash, once per chunk and with the smallest doc_id there.
 
 Sorting the suffixes of whole texts instead would shuffle a record for each byte in each round;
@@ -34,6 +36,7 @@ of hash, strings are compared byte by byte.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 from typing import Iterator
 
 import numpy as np
@@ -51,7 +54,10 @@ REACH = LENGTH - GRAM  # a string begins at most so far before a mark in it
 PER_PART = 1 << 22
 CROWDED = 1 << 16
 STEP = 1 << 16
-AT_ONCE = 4096  # contexts whose suffixes are sorted together, if no mark has more
+MANY = 1 << 18
+MOST = 4096
+SAMPLED = 64  # contexts in the sample of a half that has ``MOST``
+AT_ONCE = 4096  # contexts whose suffixes are sorted together, if no half of a mark has more
 NO_ID = np.iinfo(np.int64).max
 HALF = REACH // 2  # a string around a mark holds so many bytes before or behind it
 NAME = np.dtype([("mark", "<u4"), ("context", "<u8"), ("doc", "<i8"), ("chunk", "<u4"), ("before", "<u2"), ("behind", "<u2")])
@@ -236,6 +242,67 @@ def _shared(names: np.ndarray, half: str) -> np.ndarray:
     return count[np.searchsorted(found, key)] > 1
 
 
+def _turns(group: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``AT_ONCE`` sorted values, equal ones together."""
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)])
+    cuts = starts[np.flatnonzero(np.diff(np.r_[-1, starts // AT_ONCE]))] if len(starts) else starts
+    return zip(cuts.tolist(), np.r_[cuts[1:], len(group)].tolist())
+
+
+def _spelled_marks(names: DataFrame) -> DataFrame:
+    """part, mark: marks with more contexts than ``MANY``, or than ``MOST`` with the same half."""
+    share = max(1, MOST // SAMPLED)
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rec = [np.frombuffer(x.as_buffer(), NAME) for x in b.column(1)]
+            part = np.repeat(b.column(0).to_numpy(), [len(x) for x in rec])
+            rec = np.concatenate([np.empty(0, NAME), *rec])
+            kept = (rec["context"] >> U(40)) % U(share) == 0  # other bits stand in for halves
+            part, rec = part[kept], rec[kept]
+            # the half before, the half behind, any half
+            half = np.r_[rec["before"].astype(np.int32), rec["behind"].astype(np.int32) + (1 << 16), np.full(len(rec), -1, np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(part, 3)), pa.array(np.tile(rec["mark"].astype(np.int64), 3)), pa.array(half),
+                 pa.array(np.tile(rec["context"].astype(np.int64), 3))], ["part", "mark", "half", "context"])
+
+    most = F.when(F.col("half") < 0, F.lit(MANY // share)).otherwise(F.lit(MOST // share))
+    return (names.select("part", "records").mapInArrow(sample, "part int, mark long, half int, context long").distinct()
+                 .groupBy("part", "mark", "half").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+                 .select("part", "mark").distinct())
+
+
+def _parted(names: DataFrame, spelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``names`` without those of the spelled marks, and answers to each chunk: its spelled marks, as part and mark."""
+    def split(batches: Iterator[pa.RecordBatch], kept: bool) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for part, records, marks in zip(*(b.column(i) for i in range(3))):
+                rec = np.frombuffer(records.as_buffer(), NAME)
+                own = np.isin(rec["mark"], np.array(marks.as_py() or [], np.int64))
+                if kept:
+                    rows.append((part.as_py(), rec[~own].tobytes()))
+                else:
+                    key = U(part.as_py() << 32) | rec["mark"][own].astype(U)
+                    pair = np.unique(np.rec.fromarrays([rec["chunk"][own] & ~MORE, key], names="chunk,key"))
+                    rows += packed(pair["chunk"].astype(np.int64), np.ascontiguousarray(pair["key"]))
+            yield batch_of(rows, "part" if kept else "chunk")
+
+    own = spelled.groupBy("part").agg(F.collect_list("mark").alias("marks"))
+    return (names.join(own, "part", "left").select("part", "records", "marks").mapInArrow(lambda x: split(x, True), BLOBS),
+            names.join(own, "part").select("part", "records", "marks").mapInArrow(lambda x: split(x, False), ANSWERS))
+
+
+def _hot(marks: DataFrame) -> DataFrame:
+    """The crowded marks among answers to each chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.frombuffer(x.as_buffer(), U) for x in b.column(1)]
+            yield batch_of(zip(b.column(0).to_pylist(), [x[x >= HOT].tobytes() for x in found]), "chunk")
+
+    return marks.where("hot").select("chunk", "records").mapInArrow(run, ANSWERS)
+
+
 def _answers(dealt: Dealt) -> DataFrame:
     """Answers to each chunk: a context's smallest doc_id, and the shifts that are removed even there."""
     def note(chunk: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -287,12 +354,16 @@ def _answers(dealt: Dealt) -> DataFrame:
             known = known[np.argsort(known["context"], kind="stable")]
             at = np.minimum(np.searchsorted(known["context"], context), len(known) - 1)
             asked = np.flatnonzero(known["context"][at] == context)
-            # equal strings have equal marks, so whole marks are sorted in turn
-            mark = names["mark"][first][asked]
-            starts = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]][:len(mark)])
-            cuts = starts[np.flatnonzero(np.diff(np.r_[-1, starts // AT_ONCE]))] if len(starts) else starts
-            for a, b in zip(cuts, np.r_[cuts[1:], len(asked)]):
-                shifts[asked[a:b]] = smaller_elsewhere(known[at[asked[a:b]]], least[asked[a:b]])
+            # equal strings have equal marks, and one half or the other: whole marks are sorted in turn, large ones by halves
+            one = names[first][asked]
+            mark, number, size = np.unique(one["mark"].astype(U) << U(16), return_inverse=True, return_counts=True)
+            large = size[number] > AT_ONCE
+            for own, half in ((~large, None), (large, "before"), (large, "behind")):
+                group = mark[number[own]] | (one[half][own].astype(U) if half else U(0))
+                order = np.argsort(group, kind="stable")
+                these = asked[own][order]
+                for a, b in _turns(group[order]):
+                    shifts[these[a:b]] |= smaller_elsewhere(known[at[these[a:b]]], least[these[a:b]])
         row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(names)]))
         needed = (shifts[row] != 0) | (names["doc"] > least[row]) | (names["chunk"] & MORE > 0)
         row, chunk = row[needed], (names["chunk"] & ~MORE)[needed].astype(np.int64)
@@ -302,7 +373,10 @@ def _answers(dealt: Dealt) -> DataFrame:
 
     def spell(c: Chunk) -> pa.RecordBatch:
         b = Bytes(c.texts)
-        start = b.strings(np.flatnonzero(member(dealt.low(b.grams), np.unique(c.answers[c.answers >= HOT] ^ HOT))))
+        hot = c.answers >= HOT
+        key = part_of(b.grams, dealt.parts).astype(U) << U(32) | b.grams & U(0xFFFFFFFF)
+        start = b.strings(np.flatnonzero(member(dealt.low(b.grams), np.unique(c.answers[hot] ^ HOT))
+                                         | member(key, np.unique(c.answers[~hot]))))
         if not len(start):
             return batch_of([], "part")
         rec = np.empty(len(start), STRING)
@@ -327,13 +401,19 @@ def _answers(dealt: Dealt) -> DataFrame:
 
     marks = stage(dealt.repeated(dealt.scan(note), CROWDED), "op8-marks")
     names = stage(dealt.read(marks, U, name, BLOBS), "op8-names")
+    spelled = stage(_spelled_marks(names), "op8-spelled")
+    asked = []
+    if spelled.limit(1).count():
+        names, told = _parted(names, spelled)
+        asked.append(told)
+    if marks.where("hot").limit(1).count():
+        asked.append(_hot(marks))
     wanted = stage(names.groupBy("part").applyInArrow(request, ANSWERS), "op8-wanted")
     texts = dealt.read(wanted, U, fetch, BLOBS)
     answers = stage(names.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(answer, ANSWERS), "op8-answers")
-    crowded = marks.where("hot")
-    if crowded.limit(1).count():
-        spelled = dealt.read(crowded, U, spell, BLOBS).groupBy("part").applyInArrow(least, ANSWERS)
-        answers = answers.unionByName(stage(spelled, "op8-strings"))
+    if asked:
+        strings = dealt.read(reduce(DataFrame.unionByName, asked), U, spell, BLOBS).groupBy("part").applyInArrow(least, ANSWERS)
+        answers = answers.unionByName(stage(strings, "op8-strings"))
     return answers
 
 

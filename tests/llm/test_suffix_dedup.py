@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from clinspark.llm import routing, suffix_dedup as S
 
@@ -58,6 +59,46 @@ def test_crowded_marks_are_spelled_out(spark, few_docs, odd_docs, monkeypatch, c
     assert found(docs) == by_hand(docs.collect())
 
 
+def test_a_passage_between_differing_neighbours_is_spelled_out(spark, few_docs, monkeypatch):
+    """Few chunks, but a context per document at the passage's edges: no sort gets them."""
+    line = "This line stands in every document of the whole table, as notices do."
+    rnd = random.Random(1)
+    rows = [(i, "".join(rnd.choice("abcdefgh ") for _ in range(90)) + line + "".join(rnd.choice("ijklmn ") for _ in range(90)))
+            for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = S.smaller_elsewhere
+
+    def bounded(contexts, doc):
+        assert len(contexts) <= 100
+        return plain(contexts, doc)
+
+    monkeypatch.setattr(S, "smaller_elsewhere", bounded)
+    monkeypatch.setattr(S, "AT_ONCE", 10)
+    # by value, so that the workers get what is set here
+    cloudpickle.register_pickle_by_value(S)
+    try:
+        monkeypatch.setattr(S, "MOST", 20)
+        assert found(docs) == by_hand(docs.collect())
+        for most, many in ((1, 1 << 18), (1 << 18, 1)):
+            monkeypatch.setattr(S, "MOST", most)
+            monkeypatch.setattr(S, "MANY", many)
+            assert found(few_docs) == by_hand(few_docs.collect())
+    finally:
+        cloudpickle.unregister_pickle_by_value(S)
+
+
+def test_large_marks_are_sorted_by_halves(spark, monkeypatch):
+    rnd = random.Random(2)
+    line, ends = "A line of some words that is quoted.", ["".join(rnd.choice("abcdefgh ") for _ in range(40)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, rnd.choice(ends) + line + rnd.choice(ends)) for i in range(150)], "doc_id long, text string")
+    monkeypatch.setattr(S, "AT_ONCE", 4)
+    cloudpickle.register_pickle_by_value(S)
+    try:
+        assert found(docs) == by_hand(docs.collect())
+    finally:
+        cloudpickle.unregister_pickle_by_value(S)
+
+
 def test_many_chunks(few_docs, monkeypatch):
     monkeypatch.setattr(routing, "CHUNK", 20_000)
     monkeypatch.setattr(S, "PER_PART", 50_000)
