@@ -72,8 +72,9 @@ class Vocabulary:
         """The ids of each text and id 0."""
         if len(self.number) > WORDS:
             self.forget()
-        # A-Z may be lowered first unless a combining mark follows that has its own lower-case form
-        plain = pa.array([t if b"\xcc" in t else t.lower() for t in texts], pa.large_binary()).cast(pa.large_string())
+        # A-Z may be lowered first unless a combining mark follows that has its own lower-case form, or in what
+        # would then be a special token
+        plain = pa.array([t if b"\xcc" in t or b"<|" in t else t.lower() for t in texts], pa.large_binary()).cast(pa.large_string())
         split = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, CLOSING, r"\1 \2\3"))
         counts = np.diff(split.offsets.to_numpy())
         words = split.values.dictionary_encode()

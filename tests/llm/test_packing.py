@@ -31,6 +31,26 @@ def test_ids_by_word_are_the_tokenizers(tokenizer, few_docs, monkeypatch):
         assert ids.tolist() == ids_of(tokenizer, text).tolist()
 
 
+SPECIAL = ["see <|ENDOFTEXT|> here", "<|EndOfText|>, A.", "<|STARTOFTEXT|>X<|startoftext|>. Y", "A<|endoftext|>. B. <|", "É. <|endOFtext|>"]
+
+
+def test_special_tokens_are_lower_case_only(tokenizer):
+    known = P.Vocabulary(public_tokenizers.path(P.TOKENIZER))
+    for text, ids in zip(SPECIAL, known.encode([t.encode() for t in SPECIAL])):
+        assert ids.tolist() == ids_of(tokenizer, text).tolist()
+
+
+PARTS = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|StartOfText|>", "<|", "|>", *"ab .,'!É\u0331HSI1\n"]
+
+
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_ids_of_texts_with_special_tokens(texts):
+    known = P.vocabulary(P.TOKENIZER)
+    for text, ids in zip(texts, known.encode([t.encode() for t in texts])):
+        assert ids.tolist() == ids_of(known.tokenizer, text).tolist()
+
+
 @given(st.lists(st.text(alphabet="ab .,'!é̱́ẖHSIs1\n …", max_size=30), min_size=1, max_size=8))
 @settings(max_examples=200, deadline=None)
 def test_ids_of_any_text(texts):
