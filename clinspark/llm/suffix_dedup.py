@@ -114,14 +114,14 @@ class Bytes:
             return none
         rolling = Rolling(SYMBOLS[data])
         grams = mixed(rolling.windows(GRAM))
-        value = (grams >> U(32)).astype(np.uint32)
+        value = np.maximum((grams >> U(32)).astype(np.uint32), 1)  # 0 is outside strings
         least = _sliding(value, REACH + 1, np.minimum)
         inside = np.zeros(len(least), bool)
         for x, y in zip((self.first[a:b] - low).tolist(), (self.end[a:b] - low).tolist()):
             inside[x:max(x, y - LENGTH + 1)] = True
         window = np.zeros(len(value) + REACH, np.uint32)
         window[REACH:REACH + len(least)] = np.where(inside, least, 0)
-        place = np.flatnonzero((_sliding(window, REACH + 1, np.maximum) == value) & (value > 0))
+        place = np.flatnonzero(_sliding(window, REACH + 1, np.maximum) == value)
         if not around or not len(place):
             return place + low, grams[place], *none[2:]
         _, left, right = self._reach(place + low)

@@ -99,6 +99,12 @@ def test_large_marks_are_sorted_by_halves(spark, monkeypatch):
         cloudpickle.unregister_pickle_by_value(S)
 
 
+def test_a_gram_whose_hash_is_0_is_a_mark(monkeypatch):
+    monkeypatch.setattr(S, "mixed", lambda x: routing.mixed(x) & S.U(0xFFFFFFFF))
+    b = S.Bytes([bytes(range(60)), b"x" * 49, b"y" * 50])
+    assert b.strings(np.arange(len(b.place))).tolist() == [*range(11), 109]
+
+
 def test_many_chunks(few_docs, monkeypatch):
     monkeypatch.setattr(routing, "CHUNK", 20_000)
     monkeypatch.setattr(S, "PER_PART", 50_000)
