@@ -442,7 +442,7 @@ def removed(docs: DataFrame, with_text: bool = False) -> DataFrame:
             for d in range(REACH + 1):
                 fits = (shifts >> U(d) & U(1) > 0) & (d <= left) & (LENGTH - d <= right)
                 gone[place[fits] - d] = True
-        gone = covered(gone, LENGTH) if len(gone) > LENGTH else gone
+        gone = covered(gone, LENGTH) if len(gone) >= LENGTH else gone
         rows = []
         for doc_id, th, text, a in zip(c.doc_ids, c.hashes, c.texts, b.first.tolist()):
             out = gone[a:a + len(text)]

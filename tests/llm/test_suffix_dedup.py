@@ -105,6 +105,13 @@ def test_a_gram_whose_hash_is_0_is_a_mark(monkeypatch):
     assert b.strings(np.arange(len(b.place))).tolist() == [*range(11), 109]
 
 
+def test_a_document_of_one_string_alone_in_its_chunk(spark, monkeypatch):
+    monkeypatch.setattr(routing, "CHUNK", 2)
+    passage = "A passage of fifty bytes, copied from elsewhere..."
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, passage)], "doc_id long, text string")
+    assert len(passage) == S.LENGTH and found(docs) == by_hand(docs.collect())
+
+
 def test_many_chunks(few_docs, monkeypatch):
     monkeypatch.setattr(routing, "CHUNK", 20_000)
     monkeypatch.setattr(S, "PER_PART", 50_000)
