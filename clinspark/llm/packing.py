@@ -7,8 +7,7 @@ is packed by best fit, longest first, and then improved: between bins that are n
 full a piece is moved, a piece is exchanged for a shorter one, or two pieces
 for one, wherever that raises the sum of squared fills. The emptiest bins give
 and the others fill until bins are empty and go. The search ends at the least
-possible number of bins, where a round empties none, or after ``PATIENCE``
-givers in a row that no exchange empties.
+possible number of bins, or where a round over all open bins empties none.
 
 Groups are independent, so packing scales with their number; each loses less than
 one sequence to its cut.
@@ -39,7 +38,6 @@ LENGTH = 2048
 GROUP = 16_384
 TOKENIZER = "word_bpe_49k.json"
 WORDS = 1_000_000
-PATIENCE = 32
 #: a sign behind an ASCII letter or digit and before white space is a token of its own in any case
 CLOSING = r"([a-z0-9])([.,;:!?])(\s)"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -156,7 +154,7 @@ def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: np.ndarray, length: int, patience: int = PATIENCE) -> list[list[int]]:
+def improve(bins: list[list[int]], sizes: np.ndarray, length: int) -> list[list[int]]:
     """Local search over the bins that are not full; every step raises the sum of squared fills."""
     least = -(-int(sizes.sum()) // length)
     fills = [int(sizes[b].sum()) for b in bins]
@@ -208,20 +206,16 @@ def improve(bins: list[list[int]], sizes: np.ndarray, length: int, patience: int
                 return True
         return False
 
-    emptied, stuck = True, 0
+    emptied = True
     while emptied and len(full) + alive > least:
-        emptied, stuck = False, 0
+        emptied = False
         for donor in np.argsort(np.where(fill > 0, fill, length + 1), kind="stable")[:alive].tolist():
             while fill[donor] > 0 and step(donor):
                 pass
             if fill[donor] == 0:
-                alive, emptied, stuck = alive - 1, True, 0
+                alive, emptied = alive - 1, True
                 if len(full) + alive <= least:
                     break
-            else:
-                stuck += 1
-                if stuck >= patience:
-                    break
     return full + [m for m in members if m]
 
 

@@ -104,3 +104,8 @@ def test_search_empties_bins_that_best_fit_leaves():
     sizes = np.random.default_rng(1).integers(500, 1100, 2000)
     first = P.best_fit(sizes, 2048)
     assert len(P.improve(first, sizes, 2048)) < 0.98 * len(first)
+
+
+def test_search_tries_all_open_bins():
+    sizes = np.random.default_rng(1).integers(500, 1100, 2000)
+    assert len(P.improve(P.best_fit(sizes, 2048), sizes, 2048)) <= 822  # 823 where it stops after 32 bins in a row
