@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat, exact_dedup, mixing, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from . import (best_position, chat, exact_dedup, harmonic, mixing, packing, quality, repair, simhash, substring_dedup, suffix_dedup,
+               toxicity, warc)
 from .common import stage, table
 
 CHAT_SAMPLE = "\\### Assistant: </turn> ok"
@@ -65,6 +66,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op11_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -76,6 +89,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_harmonic": op11_harmonic,
+    "op12_best_position": op12_best_position,
+    "op13_repair": op13_repair,
 }
 
 ORACLES = {
@@ -120,5 +136,31 @@ WITH c AS (
 )
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        formatted_chars FROM a
+""",
+    "op12_best_position": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), c AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n_docs, coalesce(sum(len(terms)), 0)::BIGINT AS n_words FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), o AS (
+  SELECT row_id, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT row_id, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row_id, term
+), f AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM o, c GROUP BY term
+), i AS (
+  SELECT row_id, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words))) AS impact
+  FROM o JOIN f USING (term), c
+), s AS (
+  SELECT item_id, row_id, any_value(doc_id) AS doc_id, sum(impact)::BIGINT AS score FROM q JOIN i USING (term) GROUP BY item_id, row_id
+), r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
 """,
 }

@@ -19,7 +19,7 @@ ROOT = os.path.dirname(os.path.abspath(E.__file__))
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SF)
     want = con.execute(Q.ORACLES[name])
@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.QUERIES) == list(range(1, 14))
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
@@ -65,6 +65,9 @@ def test_queries_return_their_columns(spark):
         "op8_suffix_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
         "op9_toxicity": {"doc_id", "held_out", "score", "predicted"},
         "op10_quality": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+        "op11_harmonic": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+        "op12_best_position": {"item_id", "rank", "doc_id", "score"},
+        "op13_repair": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
     }
     for name, columns in want.items():
         df = Q.QUERIES[name](spark, SF)
