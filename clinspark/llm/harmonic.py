@@ -101,7 +101,6 @@ def filled(docs: DataFrame, length: int, tokenizer: str, exact: int, at_once: in
                 if size < at_once and i < b.num_rows - 1:
                     continue
                 for j, ids in enumerate(known.encode(texts), first):
-                    ids = ids.copy()
                     ids[-1] = END
                     for at, n in parts(len(ids), length, powers if plain[j] else fine):
                         k = length // n

@@ -76,7 +76,7 @@ class Vocabulary:
         split = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, CLOSING, r"\1 \2\3"))
         counts = np.diff(split.offsets.to_numpy())
         words = split.values.dictionary_encode()
-        own = words.dictionary.to_pylist()
+        own = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         numbers = list(map(self.number.get, own))
         if None in numbers:
             self.learn([w for w, n in zip(own, numbers) if n is None])
