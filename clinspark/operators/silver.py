@@ -49,21 +49,30 @@ def transform_labs(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
     return _lineage(df, as_of)
 
 
-def transform_icu_vitals(raw: DataFrame, as_of: _dt.datetime = C.AS_OF,
-                         bucket_minutes: int = 60) -> DataFrame:
-    """Rolling heart rate over the last 10 readings (E1), MAP (H15), status."""
-    bucket = F.date_trunc("HOUR", F.col("timestamp")) if bucket_minutes == 60 else \
-        F.timestamp_seconds(F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp"))
-                                    / (bucket_minutes * 60)) * (bucket_minutes * 60)).cast("timestamp_ntz")
-    df = rolling_mean_rows(raw, "patient_id", ["timestamp", "vital_id"], "heart_rate",
-                           C.ROLLING_ROWS, bucket, "_hr_avg")
-    df = df.withColumns({
-        "hr_rolling_avg": H.round_half_up("_hr_avg", 1),
-        "map_calculated": H.mean_arterial_pressure("systolic_bp", "diastolic_bp"),
-        "vitals_status": H.vitals_status("spo2", "alert_triggered")}).drop("_hr_avg")
+ICU_ORDER = ["timestamp", "vital_id"]
+
+
+def icu_measures(rows: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
+    """P4 but for the rolling mean: MAP (H15), status (H16) and lineage; row by row, so for streams as well."""
+    df = rows.withColumns({"map_calculated": H.mean_arterial_pressure("systolic_bp", "diastolic_bp"),
+                           "vitals_status": H.vitals_status("spo2", "alert_triggered")})
     return _lineage(df, as_of)
 
 
+def icu_rolling(rows: DataFrame) -> DataFrame:
+    """P4's rolling heart rate over the last 10 readings of a patient."""
+    df = rolling_mean_rows(rows, "patient_id", ICU_ORDER, "heart_rate", C.ROLLING_ROWS, "_hr_avg")
+    return df.withColumn("hr_rolling_avg", H.round_half_up("_hr_avg", 1)).drop("_hr_avg")
+
+
+def transform_icu_vitals(raw: DataFrame, as_of: _dt.datetime = C.AS_OF, rolling: bool = True) -> DataFrame:
+    """Rolling heart rate (E1), MAP (H15), status.
+
+    The rolling mean numbers all rows, which writes them once; readers of other columns leave it out.
+    """
+    return icu_measures(icu_rolling(raw) if rolling else raw, as_of)
+
+
 def hr_rolling_5min(vitals: DataFrame, minutes: int = 5) -> DataFrame:
     """Time-based rolling mean of heart rate over the preceding 5 minutes."""
     out = rolling_mean_time(vitals.select("vital_id", "patient_id", "timestamp", "heart_rate"),
@@ -79,8 +88,10 @@ SILVER = {
 }
 
 
-def to_silver(name: str, raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
+def to_silver(name: str, raw: DataFrame, as_of: _dt.datetime = C.AS_OF, rolling: bool = True) -> DataFrame:
     """Silver table for any source; sources without a transform only get lineage."""
+    if name == "icu_vitals":
+        return transform_icu_vitals(raw, as_of, rolling)
     fn = SILVER.get(name)
     return fn(raw, as_of) if fn else _lineage(raw, as_of)
 

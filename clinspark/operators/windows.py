@@ -2,9 +2,9 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; with
 one patient (or one duplicated record) holding a third of all rows that task
-does a third of the job. The operators here split each key by a time bucket
-and carry only a bounded "halo" of rows across bucket edges, so the largest
-task is bounded by the rows of one (key, bucket), not of one key.
+does a third of the job. The operators here split each key - by the rows' number in
+the order, or by time - and carry a bounded "halo" of rows across bucket edges, so the
+largest task is bounded by the rows of one (key, bucket), not of one key.
 """
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the greatest by ``order`` (ties: greatest remaining columns).
@@ -34,43 +36,55 @@ def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
     return df.withColumn("_bucket", F.coalesce(bucket, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))).withColumn("_is_halo", F.lit(False))
 
 
-def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int,
-                      bucket: Column, out: str) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[str], name: str = "numbered", out: str = "_pos") -> DataFrame:
+    """Rows numbered 0, 1, 2, ... in ``order`` (NULL first) over the whole frame; no task holds more than its range.
+
+    Rows are range-partitioned, sorted and written once under the shared
+    checkpoint folder, since sampling the ranges anew could deal them differently.
+    The offset of a range is a sum over one row per range. Rows that are equal
+    in ``order`` are told apart by where they were read, so that copies do not
+    share one range.
+    """
+    tie = "_read"
+    placed = cut_lineage(df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*order, tie)
+                           .sortWithinPartitions(*order, tie).drop(tie)
+                           .withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: as many as there are shuffle partitions
+    offsets = (placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+                     .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    row = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+                  .withColumn(out, F.col("_offset") + row).drop("_at", "_part", "_offset"))
+
+
+def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str, rows: int, out: str,
+                      at_once: int = 4096) -> DataFrame:
     """Mean of ``value`` over the last ``rows`` rows per key (min 1 row, NULLs skipped).
 
-    Every key is split by ``bucket`` (monotone in ``order``, e.g.
-    ``date_trunc('HOUR', ts)``; NULL is the first bucket), and each bucket gets a
-    halo of the rows-1 rows before it: (1) the last rows-1 rows of every
-    (key, bucket) - a row_number limit Spark applies partially before its
-    shuffle; (2) per key, over those tails only, the list of rows-1 rows ending
-    each bucket; (3) that list, lagged by one bucket, is the next bucket's halo;
-    (4) one window per (key, bucket) over rows + halo. A task's unit of
-    work is one (key, bucket), whatever the key holds. Rows with a NULL key get NULL.
+    An ordered prefix carry: rows are numbered by (key, order) over the whole
+    frame (``numbered``), ``at_once`` numbers are a bucket, and the last rows-1
+    rows of a bucket are also handed to the next. As a key's rows are
+    consecutive numbers, the rows a frame looks back to are in its bucket or its
+    halo. A window runs per (bucket, key): at most at_once + rows - 1
+    rows, however many rows the key has and however far they lie apart in
+    time. Rows with a NULL key get NULL.
     """
     back = rows - 1
+    if at_once <= back:
+        raise ValueError("a bucket must be longer than the frame")
     if back == 0:
         return df.withColumn(out, F.when(F.col(key).isNotNull(), F.col(value).cast("double")))
-    body = _bucketed(df, bucket)
-    ords = [F.col(c) for c in order]
-    desc = Window.partitionBy(key, "_bucket").orderBy(*[c.desc() for c in ords])
-    tails = (body.where(F.col(key).isNotNull()).select(key, "_bucket", *order, value)
-                 .withColumn("_rd", F.row_number().over(desc))
-                 .where(F.col("_rd") <= back))
-    carry = Window.partitionBy(key).orderBy("_bucket", *ords).rowsBetween(-(back - 1), 0)
-    ends = (tails.withColumn("_tail", F.collect_list(F.struct(*ords, F.col(value))).over(carry))
-                 .where(F.col("_rd") == 1)
-                 .select(key, "_bucket", "_tail"))
-    prev = Window.partitionBy(key).orderBy("_bucket")
-    halo = (ends.withColumn("_halo", F.lag("_tail").over(prev))
-                .where(F.col("_halo").isNotNull())
-                .select(key, "_bucket", F.explode("_halo").alias("_h"))
-                .select(key, "_bucket", *[F.col(f"_h.{c}").alias(c) for c in order],
-                        F.col(f"_h.{value}").alias(value), F.lit(True).alias("_is_halo")))
-    both = body.unionByName(halo, allowMissingColumns=True)
-    frame = Window.partitionBy(key, "_bucket").orderBy(F.col("_is_halo").desc(), *ords).rowsBetween(-back, 0)
-    return (both.withColumn(out, F.when(F.col(key).isNotNull(), F.avg(value).over(frame)))
+    body = (numbered(df, [key, *order], "rolling").withColumn("_bucket", F.expr(f"_pos div {at_once}"))
+            .withColumn("_is_halo", F.lit(False)))
+    halo = (body.where((F.col("_pos") % at_once >= at_once - back) & F.col(key).isNotNull())
+                .select(key, "_pos", value, (F.col("_bucket") + 1).alias("_bucket"), F.lit(True).alias("_is_halo")))
+    frame = Window.partitionBy("_bucket", key).orderBy("_pos").rowsBetween(-back, 0)
+    return (body.unionByName(halo, allowMissingColumns=True)
+                .withColumn(out, F.when(F.col(key).isNotNull(), F.avg(value).over(frame)))
                 .where(~F.col("_is_halo"))
-                .drop("_bucket", "_is_halo"))
+                .drop("_pos", "_bucket", "_is_halo"))
 
 
 def rolling_mean_time(df: DataFrame, key: str, ts: str, value: str, minutes: int,

@@ -60,8 +60,9 @@ class Tables:
         return self._cache[key]
 
     def silver(self, name: str) -> DataFrame:
+        """A silver table; ICU vitals without the rolling mean, which no other query reads."""
         if name not in self._cache:
-            self._cache[name] = silver.to_silver(name, self.raw(name))
+            self._cache[name] = silver.to_silver(name, self.raw(name), rolling=False)
         return self._cache[name]
 
     def int_patient_encounters(self) -> DataFrame:
@@ -134,7 +135,7 @@ _SILVER_DOUBLES = {
 for _name, _dbl in _SILVER_DOUBLES.items():
     def _mk2(name):
         def q(spark, sf_dir):
-            return stable(Tables(spark, sf_dir).silver(name))
+            return stable(silver.to_silver(name, Tables(spark, sf_dir).raw(name)))
         return q
     register(f"silver_{_name}", _doubles_sql(O.with_views(f"SELECT * FROM {_name}", _name), _dbl))(_mk2(_name))
 

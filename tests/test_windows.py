@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from clinspark.operators.windows import keep_last, rolling_mean_rows, rolling_mean_time
+from clinspark.operators.windows import keep_last, numbered, rolling_mean_rows, rolling_mean_time
 
 
 def _fixture(n=3000, seed=7):
@@ -43,34 +43,63 @@ def _same(got, want):
             assert got[k] is not None and abs(got[k] - v) < 1e-9, (k, got[k], v)
 
 
-@pytest.mark.parametrize("unit, n", [("DAY", 3000), ("HOUR", 3000), ("MINUTE", 800), ("SECOND", 400)])
-def test_rolling_rows_matches_brute_force(spark, unit, n):
-    """Any bucket width: buckets of a second hold fewer rows than the window, so
-    the halo reaches back across several, and most are empty."""
+def _rolled(spark, rows, at_once, window=10):
+    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double").repartition(5)
+    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", window, "avg", at_once)
+    assert out.columns == [*df.columns, "avg"]
+    return {r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}
+
+
+@pytest.mark.parametrize("at_once, n", [(4096, 3000), (100, 3000), (10, 800)])
+def test_rolling_rows_matches_brute_force(spark, at_once, n):
+    """Any bucket length: in buckets as long as the frame, each is halo as a whole."""
     rows = _fixture(n)
-    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc(unit, "ts"), "avg")
-    _same({r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}, _brute_rows(rows, 10))
+    _same(_rolled(spark, rows, at_once), _brute_rows(rows, 10))
+
 
+@pytest.mark.parametrize("at_once", [16, 4096])
+def test_rolling_rows_of_sparse_keys(spark, at_once):
+    """A key of a third of the rows, one reading an hour; the others a reading a month."""
+    base = dt.datetime(2020, 1, 1)
+    rows = [(i, 1, base + dt.timedelta(hours=i), None if i % 41 == 0 else 60.0 + i % 37) for i in range(700)]
+    rows += [(1000 + i, 2 + i % 60, base + dt.timedelta(days=31 * (i // 60)), 50.0 + i % 29) for i in range(1400)]
+    random.Random(1).shuffle(rows)
+    _same(_rolled(spark, rows, at_once), _brute_rows(rows, 10))
 
-@pytest.mark.parametrize("unit", ["HOUR", "MINUTE"])
-def test_rolling_rows_with_null_times_and_ties(spark, unit):
-    """Rows without a time come first and are carried into the first timed
-    bucket; equal times are ordered by id."""
+
+def test_rolling_rows_with_null_times_and_ties(spark):
+    """Rows without a time come first; equal times are ordered by id."""
     rows = [(i, pid, None if i % 11 == 0 else ts, hr) for i, pid, ts, hr in _fixture(900, seed=3)]
     rows += [(10_000 + i, 1, rows[1][2], float(i)) for i in range(25)]
     rows += [(20_000 + i, 50, t, v) for i, (t, v) in enumerate(
         [(None, 100.0), (None, 90.0)] + [(dt.datetime(2024, 1, 1, h), 50.0 + h) for h in range(4)])]
-    df = spark.createDataFrame(rows, "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    out = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc(unit, "ts"), "avg")
-    _same({r.vital_id: r.avg for r in out.select("vital_id", "avg").collect()}, _brute_rows(rows, 10))
+    _same(_rolled(spark, rows, 12), _brute_rows(rows, 10))
+
+
+def test_rolling_rows_of_one_row_and_of_none(spark):
+    rows = _fixture(60)
+    _same(_rolled(spark, rows, 4096, 1), {i: None if pid is None else hr for i, pid, _, hr in rows})
+    assert _rolled(spark, [], 4096) == {}
+    with pytest.raises(ValueError):
+        _rolled(spark, rows, 9)
 
 
-def test_rolling_plan_counts_no_rows_first(spark):
+def test_no_window_over_a_whole_key(spark):
+    """Every window of the plan is partitioned by a bucket as well; the number of a row comes from a range partitioning."""
     df = spark.createDataFrame(_fixture(50), "vital_id long, patient_id long, ts timestamp_ntz, hr double")
-    plan = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, F.date_trunc("HOUR", "ts"), "avg") \
-        ._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "count" not in plan and "TakeOrdered" not in plan
+    plan = rolling_mean_rows(df, "patient_id", ["ts", "vital_id"], "hr", 10, "avg")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    keyed = [w for w in windows if "patient_id" in w]
+    assert keyed and all("_bucket" in w.split("], [")[1] for w in keyed)
+
+
+def test_numbers_follow_the_order(spark):
+    """Many copies of one row, NULL keys: numbers are 0 to n - 1 in the order."""
+    rows = [(i % 3 if i % 7 else None, i % 5, i) for i in range(400)] + [(1, 1, 0)] * 300
+    df = spark.createDataFrame(rows, "k long, t long, x long").repartition(4)
+    got = [(r.k, r.t) for r in sorted(numbered(df, ["k", "t"]).collect(), key=lambda r: r._pos)]
+    assert sorted(r._pos for r in numbered(df, ["k", "t"]).collect()) == list(range(700))
+    assert got == sorted(((k, t) for k, t, _ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
 
 
 @pytest.mark.parametrize("bucket", [5, 7, 60])
