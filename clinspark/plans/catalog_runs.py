@@ -1,6 +1,7 @@
 """Registered queries that write and read back: sources, run log, batch run, streams; and single rules."""
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
@@ -8,15 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions import clinical as H
 from ..functions import fhir
-from ..operators import insights
+from ..operators import insights, silver
 from ..schemas import TARGETS
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
 from ..sources import testdata as T
 from ..sources.readers import read_source
+from ..sources.versions import merge_by_key
 from . import oracle as O
 from .batch import RunConfig, run, source_metrics as metrics_of
-from .catalog import Tables, _doubles_sql, register, stable
+from .catalog import _RAW_DOUBLES, Tables, _doubles_sql, register, stable
 
 V = O.with_views
 
@@ -202,13 +204,37 @@ def stream_alert_windows(spark, sf_dir):
     return stable(spark.read.parquet(target))
 
 
-@register("stream_silver", _doubles_sql(V(
-    "SELECT vital_id, patient_id, icu_unit, \"timestamp\", heart_rate, map_calculated, vitals_status, alert_type, data_layer "
-    "FROM icu_vitals", "icu_vitals"), ["heart_rate", "map_calculated"]))
+def _arrivals(spark, sf_dir, times: int = 4):
+    """Monitor events as they arrive at each of ``times`` deliveries: a stretch of time, but every third event of the last day of
+    a stretch comes with the next one."""
+    ev = T.read_table(spark, sf_dir, "events")
+    first, last = ev.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return [ev]
+    width = max(1, int((last - first).total_seconds() * 1e6) // times)
+    passed = lambda t: F.floor(F.timestamp_diff("MICROSECOND", H.ts_lit(first), t) / F.lit(width))
+    number = F.when(F.col("event_id") % 3 == 0, passed(F.timestamp_add("DAY", F.lit(1), F.col("ts")))).otherwise(passed(F.col("ts")))
+    dealt = ev.withColumn("_at", F.coalesce(F.least(number, F.lit(times - 1)), F.lit(0)))
+    return [dealt.where(F.col("_at") == i).drop("_at") for i in range(times)]
+
+
+@register("stream_silver", _doubles_sql(V("SELECT * FROM icu_vitals", "icu_vitals"),
+                                        _RAW_DOUBLES["icu_vitals"] + ["hr_rolling_avg", "map_calculated"]))
 def stream_silver(spark, sf_dir):
-    """The stream's silver table after one refresh."""
+    """The silver table after four refreshes by the stream, some readings being a day late."""
     from ..streaming import icu
-    target = _folder(spark, "silver")
-    icu.refresh_silver(spark, _files(sf_dir, "events"), target).awaitTermination()
-    return stable(spark.read.parquet(target).select("vital_id", "patient_id", "icu_unit", "timestamp", "heart_rate", "map_calculated",
-                                                    "vitals_status", "alert_type", "data_layer"))
+    source, target = _folder(spark, "arriving"), _folder(spark, "silver")
+    for delivery in _arrivals(spark, sf_dir):
+        delivery.write.mode("append").parquet(source)
+        icu.refresh_silver(spark, source, target, lateness=dt.timedelta(days=2), parts=8).awaitTermination()
+    return stable(icu.read_silver(spark, target, 8))
+
+
+@register("patients_refresh", V("SELECT * FROM patients", "patients"))
+def patients_refresh(spark, sf_dir):
+    """Three extracts of patients merged by key into a table, then cleaned: the silver table of a full rebuild."""
+    raw, path = T.bronze(spark, sf_dir, "patients"), _folder(spark, "patients")
+    extract = F.pmod(F.xxhash64("patient_id", "extracted_at"), F.lit(3))
+    for i in range(3):
+        table = merge_by_key(spark, raw.where(extract == i), path, ["mrn_digest"], ["extracted_at", "patient_id"], 8)
+    return stable(silver.transform_patients(table))

@@ -1,8 +1,8 @@
 """Tables whose parts are replaced together: a refresh by key, and state that a stream carries on.
 
 A table is dealt to a fixed number of parts by its key. A write stages the parts it
-replaces in a folder of its own and then commits: one small file, created
-only if it does not exist, that names the folder of every live part. Readers follow the newest
+replaces in a folder of its own and then commits: one small file, renamed to its
+version's name if there is none yet, that names the folder of every live part. Readers follow the newest
 commit, so they see all of a write or nothing; a run killed at any point leaves the table as it was,
 and of two writers of one version the second fails. Only replaced parts are rewritten.
 """
@@ -42,17 +42,13 @@ class Versions:
             return None
         stream = self._fs.open(at)
         try:
-            text = bytes(stream.readAllBytes()).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
-        return json.loads(text) if text.endswith("}\n") else None  # not written to its end: not committed
 
     def current(self) -> int:
         """The newest committed version, 0 without any."""
-        for name in reversed(self._listed("_commits")):
-            if name.isdigit() and self._manifest(int(name)) is not None:
-                return int(name)
-        return 0
+        return max((int(n) for n in self._listed("_commits") if n.isdigit()), default=0)
 
     def info(self, version: int | None = None) -> dict:
         """What the writer of a version noted with it."""
@@ -79,16 +75,18 @@ class Versions:
         for p in touched:
             live.pop(str(p), None)
         live |= {name.split("=")[1]: folder for name in self._listed(folder) if name.startswith(f"{PART}=")}
-        stream = self._fs.create(self._path(f"{self.path}/_commits/{version:010d}"), False)
+        written, commit = (self._path(f"{self.path}/_commits/{n}") for n in (f"_{uuid.uuid4().hex}", f"{version:010d}"))
+        stream = self._fs.create(written, False)
         try:
-            stream.write(bytearray((json.dumps({"live": live, "info": info or {}}) + "\n").encode()))
+            stream.write(bytearray(json.dumps({"live": live, "info": info or {}}).encode()))
         finally:
             stream.close()
+        if self._fs.exists(commit) or not self._fs.rename(written, commit):  # a rename onto a file fails on shared stores
+            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
 
     def prune(self, keep: int = 2) -> None:
         """Drop what only versions before the newest ``keep`` refer to; folders that no commit names are left alone."""
         found = {int(n): self._manifest(int(n)) for n in self._listed("_commits") if n.isdigit()}
-        found = {n: m for n, m in found.items() if m is not None}
         newest = sorted(found)[-keep:]
         live = {f for n in newest for f in found[n]["live"].values()}
         for n in sorted(found):

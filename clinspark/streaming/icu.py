@@ -9,28 +9,42 @@
   watermark, so a row is dropped from the second batch after the watermark
   passed it).
 * S4 ``refresh_silver``: incremental refresh with ``trigger(availableNow=True)``
-  and ``foreachBatch``, checkpointed under the shared checkpoint folder, so a
-  restarted job resumes where it stopped; each batch has a folder that a retry
-  replaces. Rows later than the watermark are dropped, as S3 cannot tell
-  whether they were seen.
-
-The row-count rolling mean (E1) needs whole-partition order and stays batch;
-the stream uses time windows instead. Clinical times are TIMESTAMP_NTZ; the
-watermark needs TIMESTAMP, so the stream casts with the session zone (UTC).
+  and ``foreachBatch`` into the same silver table as the batch's (P4), its rolling mean (E1)
+  included. A micro-batch is rolled together with the readings of its
+  patients that a state table keeps: those within ``LATENESS`` of the latest seen, and the few
+  before these that a mean looks back to. A late reading changes the means of
+  the readings after it: those rows are written again and replace what was
+  written before (``read_silver``). A reading seen before is left out; one later than ``LATENESS``,
+  or without a time, cannot be placed and goes to the table of late rows
+  (``read_late``), so that silver, repeats and late rows account for all input.
+
+Micro-batches are all or nothing: a batch writes its rows to a folder that a retry
+replaces, then commits its state; readers take the rows of committed batches. The
+checkpoint lies under the shared checkpoint folder, so a restarted job resumes where it stopped.
+
+Clinical times are TIMESTAMP_NTZ; the watermark needs TIMESTAMP, so the stream
+casts with the session zone (UTC).
 """
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from ..functions import clinical as H
-from ..session import ensure_checkpoint_dir
+from .. import config as C
+from ..functions.clinical import ts_lit
+from ..operators.silver import ICU_ORDER, icu_measures, icu_rolling
+from ..operators.windows import keep_last
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.testdata import INPUT_SCHEMAS, icu_from_events
+from ..sources.versions import PART, PARTS, Versions
 
+LATENESS = dt.timedelta(minutes=10)
 WATERMARK = "10 minutes"
 WINDOW = "5 minutes"
 
@@ -40,10 +54,7 @@ def vitals_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_file
     reader = spark.readStream.schema(INPUT_SCHEMAS["events"]).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = icu_from_events(reader.load(path))
-    return (rows.withColumn("map_calculated", H.mean_arterial_pressure("systolic_bp", "diastolic_bp"))
-                .withColumn("vitals_status", H.vitals_status("spo2", "alert_triggered"))
-                .withColumn("event_time", F.col("timestamp").cast("timestamp")))
+    return icu_measures(icu_from_events(reader.load(path))).withColumn("event_time", F.col("timestamp").cast("timestamp"))
 
 
 def with_watermark(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -91,19 +102,83 @@ def run_alert_windows(spark: SparkSession, path: str, target: str, checkpoint: s
               .trigger(availableNow=True).start())
 
 
-def write_batch(batch: DataFrame, epoch: int, target: str) -> None:
-    """One micro-batch into its own folder; a batch that is run again replaces what it wrote."""
-    (batch.drop("event_time").withColumn("data_layer", F.lit("SILVER"))
-          .write.mode("overwrite").parquet(os.path.join(target, f"batch_id={epoch}")))
+def _state(spark: SparkSession, target: str, parts: int) -> Versions:
+    return Versions(spark, os.path.join(target, "state"), parts)
 
 
-def refresh_silver(spark: SparkSession, path: str, target: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Newly arrived monitor rows, deduplicated (S3), to the silver parquet table at ``target``.
+def _same_patient(a: str = "patient_id", b: str = "_patient") -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
 
-    The checkpoint records processed files, so re-running only picks up new
-    ones; a batch retried after its write replaces its folder.
+
+def write_batch(batch: DataFrame, epoch: int, target: str, lateness: dt.timedelta = LATENESS, parts: int = PARTS) -> None:
+    """One micro-batch of ``vitals_stream`` rows into the silver table at ``target``; a batch that is run again changes nothing.
+
+    ``state`` holds, per patient, all readings from ``cut`` (the latest time
+    seen less ``lateness``) on, and the last nine before it: whatever a reading from
+    ``cut`` on can change, or is averaged with.
     """
-    rows = dedup_vitals(with_watermark(vitals_stream(spark, path)))
-    return (rows.writeStream.foreachBatch(lambda batch, epoch: write_batch(batch, epoch, target))
+    spark = batch.sparkSession
+    state, version = _state(spark, target, parts), epoch + 1
+    if state.current() >= version:
+        return  # a retry of a batch whose state is committed, its rows being written before it
+    info = state.info(version - 1)
+    seen = dt.datetime.fromisoformat(info["latest"]) if info.get("latest") else None
+    time = F.col("timestamp")
+    placed = time.isNotNull() & (F.lit(True) if seen is None else time >= ts_lit(seen - lateness))
+    rows = cut_lineage(batch.drop("event_time").withColumn("_placed", placed), "icu-batch")
+    rows.where(~F.col("_placed")).drop("_placed").write.mode("overwrite").parquet(os.path.join(target, "late", f"batch_id={epoch}"))
+
+    new = keep_last(rows.where("_placed").drop("_placed"), ["vital_id"], ["timestamp"])
+    schema = StructType(new.schema.fields).add("hr_rolling_avg", "double")
+    patients = new.select(F.col("patient_id").alias("_patient"), state.part_of("patient_id").alias("_p")).distinct()
+    touched = [r[0] for r in patients.select("_p").distinct().collect()]  # at most ``parts`` numbers
+    held = state.read(schema, version - 1, touched)
+    known = held.join(patients, _same_patient(), "left_semi")
+    ids = known.select(F.col("vital_id").alias("_id"))
+    new = new.join(ids, F.col("vital_id").eqNullSafe(F.col("_id")), "left_anti")
+    both = known.withColumnRenamed("hr_rolling_avg", "_before").withColumn("_new", F.lit(False)).unionByName(
+        new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    # a reading before the cut lacks some that it was averaged with, and no reading of this batch comes before it
+    final = F.lit(False) if seen is None else (time < ts_lit(seen - lateness))
+    rolled = cut_lineage(icu_rolling(both).withColumn("hr_rolling_avg", F.when(final, F.col("_before")).otherwise(F.col("hr_rolling_avg"))),
+                         "icu-rolled")
+    changed = rolled.where(F.col("_new") | ~F.col("hr_rolling_avg").eqNullSafe(F.col("_before")))
+    columns = [f.name for f in schema.fields]
+    changed.select(*columns).write.mode("overwrite").parquet(os.path.join(target, "rows", f"batch_id={epoch}"))
+
+    latest = rolled.agg(F.max("timestamp")).first()[0]
+    latest = max((t for t in (seen, latest) if t is not None), default=None)
+    cut = ts_lit(latest - lateness) if latest is not None else F.lit(None).cast("timestamp_ntz")
+    last = Window.partitionBy("patient_id").orderBy(*[F.col(c).desc() for c in ICU_ORDER])
+    recent = rolled.where(time >= cut)
+    # at most nine rows a patient leave a task
+    older = rolled.where(~(time >= cut)).withColumn("_n", F.row_number().over(last)).where(F.col("_n") < C.ROLLING_ROWS)
+    others = held.join(patients, _same_patient(), "left_anti")
+    kept = recent.select(*columns).unionByName(older.select(*columns)).unionByName(others.select(*columns))
+    state.replace(kept.withColumn(PART, state.part_of("patient_id")), version, touched, ["patient_id", "timestamp"],
+                  {"latest": latest.isoformat() if latest is not None else None})
+    state.prune()
+
+
+def refresh_silver(spark: SparkSession, path: str, target: str, checkpoint: str | None = None, lateness: dt.timedelta = LATENESS,
+                   max_files: int | None = None, parts: int = PARTS) -> StreamingQuery:
+    """Newly arrived monitor rows to the silver table at ``target``; re-running only picks up new files."""
+    return (vitals_stream(spark, path, max_files=max_files).writeStream
+              .foreachBatch(lambda batch, epoch: write_batch(batch, epoch, target, lateness, parts))
               .option("checkpointLocation", checkpoint or _checkpoint(spark, "refresh", target))
               .trigger(availableNow=True).start())
+
+
+def _committed(spark: SparkSession, target: str, kind: str, parts: int) -> DataFrame:
+    rows = spark.read.option("basePath", os.path.join(target, kind)).parquet(os.path.join(target, kind))
+    return rows.where(F.col("batch_id") < _state(spark, target, parts).current())
+
+
+def read_silver(spark: SparkSession, target: str, parts: int = PARTS) -> DataFrame:
+    """The silver table: of a reading written more than once, as it was written last by a committed batch."""
+    return keep_last(_committed(spark, target, "rows", parts), ["vital_id"], ["batch_id"]).drop("batch_id")
+
+
+def read_late(spark: SparkSession, target: str, parts: int = PARTS) -> DataFrame:
+    """Readings that came too late to be placed, or have no time."""
+    return _committed(spark, target, "late", parts)

@@ -1,9 +1,12 @@
 """Structured Streaming ICU jobs against the batch result on the same files."""
+import datetime as dt
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clinspark.operators import insights
+from clinspark.operators import insights, silver
+from clinspark.operators.silver import icu_measures
 from clinspark.sources.testdata import icu_from_events, read_table
 from clinspark.streaming import icu
 
@@ -30,7 +33,6 @@ def test_alert_windows_stream_equals_batch_on_closed_windows(spark, tmp_dir):
                 for r in spark.read.parquet(target).collect()}
     batch = insights.alert_windows(icu_from_events(ev))
     max_ts = ev.agg(F.max("ts")).first()[0]
-    import datetime as dt
     closed = batch.where(F.col("window_end") <= F.lit(max_ts - dt.timedelta(minutes=10)))
     expected = {(r.window_start, r.icu_unit): (r.readings, r.alerts, round(r.mean_hr, 6)) for r in closed.collect()}
     assert expected and set(expected) <= set(streamed)
@@ -48,34 +50,77 @@ def test_dedup_within_watermark(spark, tmp_dir):
     assert total <= ev.count()
 
 
-def test_refresh_silver_is_incremental(spark, tmp_dir):
-    src, ev = _split_events(spark, tmp_dir, parts=2)
-    target = os.path.join(tmp_dir, "silver_icu")
-    icu.refresh_silver(spark, src, target).awaitTermination(300)
-    n1 = spark.read.parquet(target).count()
-    assert n1 == ev.count()
-    icu.refresh_silver(spark, src, target).awaitTermination(300)          # nothing new
-    assert spark.read.parquet(target).count() == n1
-    later = ev.limit(7).withColumn("event_id", F.col("event_id") + 10 ** 9).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 YEAR"))
-    later.unionByName(later).write.mode("append").parquet(src)            # a new file with repeated rows
-    icu.refresh_silver(spark, src, target).awaitTermination(300)
-    assert spark.read.parquet(target).count() == n1 + 7
-
-
-def test_a_repeated_batch_replaces_itself(spark, tmp_dir):
+def _same_as_batch(spark, target, events, parts=4):
+    """The silver table equals the batch's (P4) over the same events, rolling means included."""
+    want = silver.transform_icu_vitals(icu_from_events(events))
+    got = icu.read_silver(spark, target, parts).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def _deliver(spark, rows, src, target, **how):
+    rows.write.mode("append").parquet(src)
+    icu.refresh_silver(spark, src, target, parts=4, **how).awaitTermination(300)
+
+
+def test_silver_of_many_batches_equals_the_batch(spark, tmp_dir):
+    """Late readings change the means after them, repeats are left out, a patient holds a third of all rows."""
+    ev = read_table(spark, SF, "events").withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id") % 40))
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 50 == 0, None).otherwise(F.col("user_id")))
+    src, target = os.path.join(tmp_dir, "events"), os.path.join(tmp_dir, "silver")
+    dealt = ev.withColumn("n", F.ntile(5).over(Window.orderBy("ts"))).withColumn(
+        "n", F.when((F.col("event_id") % 4 == 0) & (F.col("n") < 5), F.col("n") + 1).otherwise(F.col("n"))).cache()
+    for i in range(1, 6):
+        rows = dealt.where(F.col("n") == i).drop("n")
+        again = dealt.where(F.col("n") == i - 1).drop("n").where("event_id % 7 = 0")
+        _deliver(spark, rows.unionByName(again).unionByName(rows.where("event_id % 11 = 0")), src, target,
+                 lateness=dt.timedelta(days=400))
+        _same_as_batch(spark, target, dealt.where(F.col("n") <= i).drop("n"))
+    assert icu.read_late(spark, target, 4).count() == 0
+
+
+def test_state_holds_what_lateness_asks_for(spark, tmp_dir):
+    """With a short lateness the state is small, the table still equal; what comes later is told apart, and nothing is lost."""
+    ev = read_table(spark, SF, "events").withColumn("user_id", F.col("user_id") % 20)
+    src, target = os.path.join(tmp_dir, "events"), os.path.join(tmp_dir, "silver")
+    dealt = ev.withColumn("n", F.ntile(4).over(Window.orderBy("ts", "event_id"))).cache()
+    for i in range(1, 5):
+        _deliver(spark, dealt.where(F.col("n") == i).drop("n"), src, target, lateness=dt.timedelta(days=1))
+    _same_as_batch(spark, target, ev)
+    schema = icu.read_silver(spark, target, 4).schema
+    held = icu._state(spark, target, 4).read(schema)
+    recent = held.where(F.col("timestamp") >= ev.agg(F.max("ts")).first()[0] - dt.timedelta(days=1)).count()
+    assert held.count() <= recent + 9 * 20 and held.count() < ev.count() / 2
+    late = ev.limit(6).withColumns({"event_id": F.col("event_id") + 10 ** 9, "ts": F.when(F.col("event_id") % 2 == 0, None).otherwise(
+        F.lit(dt.datetime(2001, 1, 1)))}).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    _deliver(spark, late, src, target, lateness=dt.timedelta(days=1))
+    assert icu.read_late(spark, target, 4).count() == 6
+    _same_as_batch(spark, target, ev)
+
+
+def test_a_repeated_or_killed_batch(spark, tmp_dir):
+    """A batch run again changes nothing; rows of a batch whose state was not committed are not read, and replaced."""
     target = os.path.join(tmp_dir, "silver_icu")
-    batch = icu_from_events(read_table(spark, SF, "events")).withColumn("event_time", F.col("timestamp").cast("timestamp"))
-    for epoch in (0, 1, 1):
-        icu.write_batch(batch, epoch, target)
-    assert spark.read.parquet(target).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, batch.count()), (1, batch.count())]
-
-
-def test_targets_with_one_last_name_have_their_own_progress(spark, tmp_dir):
+    ev = read_table(spark, SF, "events")
+    batch = [icu_measures(icu_from_events(ev.where(f"event_id % 2 = {i}"))).withColumn("event_time", F.col("timestamp").cast("timestamp"))
+             for i in range(2)]
+    how = (target, dt.timedelta(days=4000), 4)
+    for epoch in (0, 0):
+        icu.write_batch(batch[0], epoch, *how)
+    _same_as_batch(spark, target, ev.where("event_id % 2 = 0"))
+    batch[0].limit(5).withColumn("hr_rolling_avg", F.lit(1.0)).drop("event_time").write.parquet(os.path.join(target, "rows", "batch_id=1"))
+    _same_as_batch(spark, target, ev.where("event_id % 2 = 0"))
+    for epoch in (1, 1):
+        icu.write_batch(batch[1], epoch, *how)
+    _same_as_batch(spark, target, ev)
+
+
+def test_nothing_new_and_targets_with_one_last_name(spark, tmp_dir):
     src, ev = _split_events(spark, tmp_dir, parts=1)
     for folder in ("a", "b"):
         target = os.path.join(tmp_dir, folder, "silver_icu")
-        icu.refresh_silver(spark, src, target).awaitTermination(300)
-        assert spark.read.parquet(target).count() == ev.count()
+        for _ in range(2):
+            icu.refresh_silver(spark, src, target, parts=4).awaitTermination(300)
+            assert icu.read_silver(spark, target, 4).count() == ev.count()
 
 
 def test_json_stream_source(spark, tmp_dir):
@@ -98,7 +143,6 @@ def test_late_rows_beyond_watermark_are_dropped(spark, tmp_dir):
     Spark filters late input with the previous batch's watermark, so the late
     file comes two batches after the watermark has moved.
     """
-    import datetime as dt
     src = os.path.join(tmp_dir, "events_late")
     ev = read_table(spark, SF, "events")
     cut = ev.approxQuantile("event_id", [0.5], 0.0)[0]
