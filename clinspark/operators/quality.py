@@ -95,30 +95,48 @@ def in_set_valid(c: Column, values: Sequence) -> Column:
     return member | (c.isNull() & F.lit(None in values))
 
 
-def _violation_exprs(rule: Rule, df: DataFrame, as_of: _dt.datetime) -> tuple[Column, Column]:
-    """(violations, denominator) aggregate expressions of a row-local rule."""
+LOCAL = ("not_null", "in_set", "range", "date_range")
+
+
+def row_flags(rule: Rule, df: DataFrame, as_of: _dt.datetime = C.AS_OF) -> tuple[Column, Column]:
+    """(violates, counts) of a row under a row-local rule; true only where it does."""
     c = F.col(rule.column)
-    rows = F.count(F.lit(1))
+    every = F.lit(True)
     if rule.kind == "not_null":
-        return F.count_if(c.isNull()), rows
+        return c.isNull(), every
     if rule.kind == "in_set":
-        return F.count_if(~in_set_valid(c, rule.values)), rows
+        return ~in_set_valid(c, rule.values), every
     if rule.kind == "range":
         bad = F.lit(False)
         if rule.low is not None:
             bad = bad | (c < F.lit(rule.low))
         if rule.high is not None:
             bad = bad | (c > F.lit(rule.high))
-        return F.count_if(c.isNotNull() & bad), F.count(c)
+        return c.isNotNull() & bad, c.isNotNull()
     if rule.kind == "date_range":
         t = lenient_timestamp(c, df.schema[rule.column].dataType)
         lo = F.lit(rule.low).cast("timestamp_ntz")
         hi = (F.lit(rule.high).cast("timestamp_ntz") if rule.high is not None
               else F.timestamp_add("DAY", F.lit(C.FUTURE_DAYS_ALLOWED), ts_lit(as_of)))
-        return F.count_if(t.isNull() | (t < lo) | (t > hi)), rows
+        return t.isNull() | (t < lo) | (t > hi), every
     raise ValueError(rule.kind)
 
 
+def _violation_exprs(rule: Rule, df: DataFrame, as_of: _dt.datetime) -> tuple[Column, Column]:
+    """(violations, denominator) aggregate expressions of a row-local rule."""
+    bad, counts = row_flags(rule, df, as_of)
+    return F.count_if(bad), F.count_if(counts)
+
+
+def rule_metrics(df: DataFrame, rules: Sequence[Rule], as_of: _dt.datetime = C.AS_OF) -> dict[str, Column]:
+    """Aggregates of the row-local rules, to be observed on a write of ``df``: their checks then cost no scan."""
+    found = {}
+    for r in rules:
+        if r.kind in LOCAL:
+            found[f"bad {r.check}"], found[f"of {r.check}"] = _violation_exprs(r, df, as_of)
+    return found
+
+
 def orphans(df: DataFrame, fk: str, ref_df: DataFrame, ref_col: str, allow_null: bool = True) -> DataFrame:
     """C4: (fk value, n rows) for values not present in the reference keys.
 
@@ -173,11 +191,16 @@ def validate(df: DataFrame, rules: Sequence[Rule], source: str = "table",
     out = out.select(F.lit(source).alias("source"), named([r.check for r in rules]).alias("check"),
                      named([r.kind for r in rules]).alias("kind"), named([float(r.tol) for r in rules]).alias("tol"),
                      "violations", "total")
+    return _judged(out)
+
+
+def _judged(checks: DataFrame) -> DataFrame:
+    """pct, passed and status of check rows; tol goes."""
     pct = F.col("violations") / F.greatest(F.col("total"), F.lit(1))
     passed = F.when(F.col("kind").isin("unique", "row_count"), F.col("violations") == 0).otherwise(pct < F.col("tol"))
-    return (out.withColumn("pct", pct).withColumn("passed", passed)
-               .withColumn("status", F.when(F.col("passed"), "PASS").otherwise("FAIL"))
-               .drop("tol"))
+    return (checks.withColumn("pct", pct).withColumn("passed", passed)
+                  .withColumn("status", F.when(F.col("passed"), "PASS").otherwise("FAIL"))
+                  .drop("tol"))
 
 
 def invalid_samples(df: DataFrame, rule: Rule, k: int = 3, source: str = "table") -> DataFrame:
@@ -241,20 +264,102 @@ CHECK_SCHEMA = ("source string, check string, kind string, violations long, tota
 
 
 def run_checks(data: dict[str, DataFrame], patient_ref: DataFrame | None = None,
-               as_of: _dt.datetime = C.AS_OF, with_count: bool = False) -> DataFrame:
-    """Q7 over every present source: all check rows stacked (G1). No source gives no rows."""
+               as_of: _dt.datetime = C.AS_OF, with_count: bool = False, measured: dict[str, dict] | None = None) -> DataFrame:
+    """Q7 over every present source: all check rows stacked (G1). No source gives no rows.
+
+    One census per key: the rows of a referenced table and of all tables that
+    refer to it are counted together per key value, so that its uniqueness and every
+    foreign key onto it come from one exchange of that key, combined map-side. The
+    row-local rules of a table ride along in one of its key counts; a table
+    without any takes one plain aggregation. So a table is scanned once for all its
+    rules, and once more for each further unique column.
+
+    ``measured`` has, per source, the rows and the ``rule_metrics`` that were observed when it
+    was written; such a source is read for its keys only.
+    """
     ref = patient_ref if patient_ref is not None else data.get("patients")
-    parts = []
-    for n in SUITE_ORDER:
-        if n in data:
-            rules = [r for r in suite_rules(n, data[n], ref) if r.kind != "foreign_key" or r.ref[0] is not None]
-            parts.append(validate(data[n], rules, n, as_of, with_count))
-    if not parts:
+    measured = measured or {}
+    frames = {n: data[n] for n in SUITE_ORDER if n in data}
+    rules: list[tuple[str, Rule]] = []
+    for n, df in frames.items():
+        own = [r for r in suite_rules(n, df, ref) if r.kind != "foreign_key" or r.ref[0] is not None]
+        rules += [(n, r) for r in [*own, *([Rule("row_count", "*", name="row_count")] if with_count else [])]]
+    if not rules:
         return SparkSession.getActiveSession().createDataFrame([], CHECK_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    # census: (table, column) -> its members (table, column), the referenced one first
+    census: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for n, r in rules:
+        if r.kind == "unique":
+            census.setdefault((n, r.column), [(n, r.column)])
+        elif r.kind == "foreign_key":
+            home = next((m for m, df in frames.items() if df is r.ref[0]), None)
+            if home is None:
+                home = "referenced"
+                frames[home] = r.ref[0]
+            members = census.setdefault((home, r.ref[1]), [(home, r.ref[1])])
+            members += [(n, r.column)] if (n, r.column) not in members else []
+    carrier = {}
+    for key, members in census.items():
+        for n, _ in members:
+            carrier.setdefault(n, key)
+
+    def local(n: str) -> list[tuple[int, Rule]]:
+        return [(g, r) for g, (m, r) in enumerate(rules) if m == n and r.kind in (*LOCAL, "row_count")]
+
+    def results(g: int, violations: Column, total: Column) -> Column:
+        return F.struct(F.lit(g).alias("_g"), F.coalesce(violations, F.lit(0)).cast("long").alias("violations"),
+                        F.coalesce(total, F.lit(0)).cast("long").alias("total"))
+
+    parts, noted = [], []
+    for n, df in frames.items():
+        if n in measured:
+            m = measured[n]
+            noted += [(g, 0 if r.kind == "row_count" else m[f"bad {r.check}"], m["rows"] if r.kind == "row_count" else m[f"of {r.check}"])
+                      for g, r in local(n)]
+        elif n not in carrier and local(n):
+            flags = {g: (F.lit(False), F.lit(True)) if r.kind == "row_count" else row_flags(r, df, as_of) for g, r in local(n)}
+            parts.append(df.agg(F.array(*[results(g, F.count_if(bad), F.count_if(of)) for g, (bad, of) in flags.items()]).alias("a")))
+    for key, members in census.items():
+        rows, sums, checks = None, {}, []
+        for i, (n, column) in enumerate(members):
+            df, cols = frames[n], {"_k": F.col(column), f"_m{i}": F.lit(True)}
+            sums[f"_m{i}"] = F.count_if(f"_m{i}")
+            if carrier[n] == key and n not in measured and (n, column) == next(m for m in members if m[0] == n):
+                for g, r in local(n):
+                    if r.kind == "row_count":
+                        checks.append(results(g, F.lit(0), F.sum(f"_m{i}")))
+                        continue
+                    cols[f"_b{g}"], cols[f"_o{g}"] = row_flags(r, df, as_of)
+                    sums |= {f"_b{g}": F.count_if(f"_b{g}"), f"_o{g}": F.count_if(f"_o{g}")}
+                    checks.append(results(g, F.sum(f"_b{g}"), F.sum(f"_o{g}")))
+            picked = df.select(*[c.alias(name) for name, c in cols.items()])
+            rows = picked if rows is None else rows.unionByName(picked, allowMissingColumns=True)
+        per_key = rows.groupBy("_k").agg(*[c.alias(name) for name, c in sums.items()])
+        known = F.col("_k").isNotNull()
+        for g, (n, r) in enumerate(rules):
+            if r.kind == "unique" and (n, r.column) == key:  # rows beyond the first of a value; NULL is one
+                checks.append(results(g, F.sum(F.greatest(F.col("_m0") - 1, F.lit(0))), F.sum("_m0")))
+            elif r.kind == "foreign_key" and (n, r.column) in members[1:]:
+                own = F.col(f"_m{members.index((n, r.column))}")
+                orphan = ~(known & (F.col("_m0") > 0)) & (known if r.allow_null else F.lit(True))
+                checks.append(results(g, F.sum(F.when(orphan, own)), F.sum(F.when(known, own) if r.allow_null else own)))
+        parts.append(per_key.agg(F.array(*checks).alias("a")))
+    out = None
+    for p in parts:
+        p = p.select(F.explode("a").alias("r")).select("r.*")
+        out = p if out is None else out.unionByName(p)
+    if noted:
+        rows = SparkSession.getActiveSession().createDataFrame(noted, "_g int, violations long, total long")
+        out = rows if out is None else out.unionByName(rows)
+
+    def named(values: list) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.col("_g") + 1)
+
+    out = out.select(named([n for n, _ in rules]).alias("source"), named([r.check for _, r in rules]).alias("check"),
+                     named([r.kind for _, r in rules]).alias("kind"), named([float(r.tol) for _, r in rules]).alias("tol"),
+                     "violations", "total")
+    return _judged(out)
 
 
 def score_sources(checks: DataFrame, threshold: float = C.QUALITY_THRESHOLD) -> DataFrame:
@@ -279,14 +384,13 @@ def overall(scores: DataFrame, threshold: float = C.QUALITY_THRESHOLD) -> DataFr
 
 
 def gate_decision(scores: DataFrame, threshold: float = C.QUALITY_THRESHOLD) -> DataFrame:
-    """Q10: the gate's one row with the decision a run takes and the sources that fail on their own."""
-    failing = scores.where(~F.col("gate_passed")).agg(
-        F.coalesce(F.array_join(F.sort_array(F.collect_list("source")), ","), F.lit("")).alias("failing_sources"))
-    decided = overall(scores, threshold).withColumn(
-        "decision", F.when(F.col("gate_passed"), "LOAD").otherwise("HALT"))
-    return (decided.select("*", F.lit("").alias("failing_sources"))
-                   .unionByName(failing, allowMissingColumns=True)
-                   .agg(*[F.max(c).alias(c) for c in ("overall_score", "sources", "gate_passed", "decision", "failing_sources")]))
+    """Q10: the gate's one row with the decision a run takes and the sources that fail on their own, from one pass over the scores."""
+    failing = F.array_join(F.sort_array(F.collect_list(F.when(~F.col("gate_passed"), F.col("source")))), ",")
+    return (scores.agg(F.coalesce(F.avg("score"), F.lit(0.0)).alias("overall_score"), F.count(F.lit(1)).alias("sources"),
+                       failing.alias("failing_sources"))
+                  .withColumn("gate_passed", F.col("overall_score") >= F.lit(threshold))
+                  .select("overall_score", "sources", "gate_passed",
+                          F.when(F.col("gate_passed"), "LOAD").otherwise("HALT").alias("decision"), "failing_sources"))
 
 
 def record_estimates(scores: DataFrame) -> DataFrame:
