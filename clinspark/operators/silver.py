@@ -16,8 +16,8 @@ def _lineage(df: DataFrame, as_of, layer: str = "SILVER") -> DataFrame:
     return df.withColumns({"transformed_at": H.ts_lit(as_of), "data_layer": F.lit(layer)})
 
 
-def transform_patients(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
-    """Gender recode (B6), age (H4), age group (H5), keep last record per MRN.
+def transform_patients(raw: DataFrame, as_of: _dt.datetime = C.AS_OF, copies: str | None = None) -> DataFrame:
+    """Gender recode (B6), age (H4), age group (H5), keep last record per MRN (E2); ``copies``: see ``keep_last``.
 
     The shown MRN is a short mask of which some collide among very many patients; where the extract
     carries the whole digest (``mrn_digest``), that is the key.
@@ -26,7 +26,7 @@ def transform_patients(raw: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFra
     df = raw.withColumns({"gender": H.recode_gender("gender"), "dob": F.col("dob").cast("date"),
                           "age_years": age, "age_group": H.age_bucket(age)})
     key = "mrn_digest" if "mrn_digest" in raw.columns else "mrn"
-    df = keep_last(df, [key], ["extracted_at", "patient_id"]).drop("mrn_digest")
+    df = keep_last(df, [key], ["extracted_at", "patient_id"], copies).drop("mrn_digest")
     return _lineage(df, as_of)
 
 
@@ -96,32 +96,28 @@ def to_silver(name: str, raw: DataFrame, as_of: _dt.datetime = C.AS_OF, rolling:
     return fn(raw, as_of) if fn else _lineage(raw, as_of)
 
 
-def transform_stats(table: str, raw: DataFrame, silver: DataFrame) -> DataFrame:
-    """(table, metric, value) rows - input/output counts, dupes removed, and
-    per-table measures (critical labs, abnormal %, ICU alerts and alert rate).
+def stats_metrics(table: str, copies: str | None = None) -> dict[str, object]:
+    """D12 as aggregates of the silver rows, for an aggregation or to be observed on their write.
 
-    Each frame is aggregated once; the one-row results are stacked with a
-    union, never cross-joined.
+    Rows read are rows written, but where a transform drops some: ``copies`` then names the column that counts them.
     """
-    def stack(df: DataFrame, metrics: dict) -> DataFrame:
-        cols = [F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in metrics.items()]
-        return (df.agg(F.array(*cols).alias("_m"))
-                  .select(F.lit(table).alias("table"), F.explode("_m").alias("_r"))
-                  .select("table", "_r.metric", "_r.value"))
-
-    out = stack(raw, {"input": F.count(F.lit(1))})
-    extra = {"output": F.count(F.lit(1))}
+    rows = F.count(F.lit(1))
+    found = {"input": F.coalesce(F.sum(copies), F.lit(0)) if copies else rows, "output": rows}
     if table == "labs":
-        extra["critical_values"] = F.count_if(F.col("is_critical"))
-        extra["abnormal_pct"] = H.round_half_up(
+        found["critical_values"] = F.count_if(F.col("is_critical"))
+        found["abnormal_pct"] = H.round_half_up(
             F.avg((F.col("result_category") == "ABNORMAL").cast("double")) * 100, 1)
     if table == "icu_vitals":
-        extra["alerts_triggered"] = F.count_if(F.col("alert_triggered"))
-        extra["alert_rate_pct"] = H.round_half_up(F.avg(F.col("alert_triggered").cast("double")) * 100, 2)
-    out = out.unionByName(stack(silver, extra))
+        found["alerts_triggered"] = F.count_if(F.col("alert_triggered"))
+        found["alert_rate_pct"] = H.round_half_up(F.avg(F.col("alert_triggered").cast("double")) * 100, 2)
     if table == "patients":
-        wide = out.groupBy("table").pivot("metric", ["input", "output"]).agg(F.first("value"))
-        dupes = wide.select("table", F.lit("dupes_removed").alias("metric"),
-                            (F.col("input") - F.col("output")).alias("value"))
-        out = out.unionByName(dupes)
-    return out
+        found["dupes_removed"] = found["input"] - found["output"]
+    return {k: v.cast("double") for k, v in found.items()}
+
+
+def transform_stats(table: str, silver: DataFrame, copies: str | None = None) -> DataFrame:
+    """(table, metric, value) rows - input/output counts, dupes removed, and per-table measures (critical labs,
+    abnormal %, ICU alerts and alert rate), from one aggregation of the silver rows."""
+    cols = [F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in stats_metrics(table, copies).items()]
+    return (silver.agg(F.array(*cols).alias("_m"))
+                  .select(F.lit(table).alias("table"), F.explode("_m").alias("_r")).select("table", "_r.metric", "_r.value"))

@@ -16,24 +16,20 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None) -> DataFrame:
     """One row per key, the greatest by ``order`` (ties: greatest remaining columns).
 
     Written as ``max(struct(order..., row))`` per key: an aggregate, so Spark
     combines copies map-side before the shuffle and a hot key costs one row
     per input partition in the exchange. NULL keys form one group, like the
-    source's keep-last dedup.
+    source's keep-last dedup. ``copies`` names a column for the number of rows a key had.
     """
     cols = df.columns
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                       F.struct(*[F.col(c) for c in cols]).alias("_row"))
-    return (df.groupBy(*keys).agg(F.max(packed).alias("_last"))
-              .select(*[F.col(f"_last._row.{c}").alias(c) for c in cols]))
-
-
-def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
-    """Rows with their bucket; rows without a time come before all others, as they do in the window order."""
-    return df.withColumn("_bucket", F.coalesce(bucket, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))).withColumn("_is_halo", F.lit(False))
+    counts = [F.count(F.lit(1)).alias(copies)] if copies else []
+    return (df.groupBy(*keys).agg(F.max(packed).alias("_last"), *counts)
+              .select(*[F.col(f"_last._row.{c}").alias(c) for c in cols], *([copies] if copies else [])))
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "numbered", out: str = "_pos") -> DataFrame:

@@ -1,8 +1,9 @@
 """P5: one batch run - bronze -> silver -> quality gate -> gold -> models -> run log.
 
 Write-audit-publish instead of load-after-check: silver tables are written
-once to the run's staging folder, the quality suite reads the staged tables
-(cheap, column-pruned scans), and only a passed gate loads the nine source
+once to the run's staging folder, and these writes also measure the row-local
+quality rules and the transform statistics (D12). The suite then reads only the key
+columns of the staged tables, and only a passed gate loads the nine source
 tables in their declared schemas (A4, A8) and builds the models. A failed gate
 leaves nothing loaded (Q10); ``staged`` and ``loaded`` are counted apart. Every
 write goes to shared storage, so a lost executor only re-runs its tasks.
@@ -111,23 +112,32 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         phases[name] = round(now - mark[0], 2)
         mark[0] = now
 
-    # bronze -> silver, written once (A4); counts come from the write itself.
+    checked = cfg.mode != "skip-validate"
+
+    # bronze -> silver, written once (A4); counts and measures come from the write itself.
     # The nine sources are independent: their writes run as concurrent jobs.
     def stage_one(name: str, table: str):
         t0 = time.time()
         raw = (testdata.bronze(spark, cfg.sf_dir, name) if cfg.sources is None
                else read_source(spark, cfg.sources[name]))
-        df = silver.to_silver(name, raw, cfg.as_of)
+        copies = "_copies" if name == "patients" else None
+        df = silver.transform_patients(raw, cfg.as_of, copies) if copies else silver.to_silver(name, raw, cfg.as_of)
         path = os.path.join(stage, "silver", name)
         part, cluster = PARTITIONS.get(name, (None, None))
-        n = sinks.load(df, table, mode="replace", path=path, as_text=False, partition_by=part, cluster_by=cluster)
-        return path, n, time.time() - t0
+        stats = {f"stat {k}": v for k, v in silver.stats_metrics(name, copies).items()}
+        rules = quality.rule_metrics(df, quality.suite_rules(name, df), cfg.as_of) if checked and name in quality.SUITE_ORDER else {}
+        got = sinks.load_measured(df, table, "replace", path, part, cluster, stats | rules, [copies] if copies else [])
+        return path, got, time.time() - t0
 
     done = _concurrently({n: (lambda n=n: stage_one(n, LOAD_TABLES[n])) for n in names})
     for name in names:
-        path, n, secs = done[name]
-        paths[name], staged_rows[name] = path, n
-        source_rows.append((name, n, secs))
+        path, got, secs = done[name]
+        paths[name], staged_rows[name] = path, got["rows"]
+        source_rows.append((name, got["rows"], secs))
+    measured = {n: done[n][1] for n in names}
+    stats = [(n, k[5:], v) for n in names for k, v in measured[n].items() if k.startswith("stat ")]
+    sinks.write_json_report(spark.createDataFrame(stats, "table string, metric string, value double"),               # D12
+                            os.path.join(stage, "reports", "transform_stats"))
     phase("stage_silver")
     staged = {n: spark.read.parquet(p) for n, p in paths.items()}
     records = dict(staged_rows)
@@ -137,10 +147,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                        source_rows, phases)
 
     overall_score, gate = None, None
-    if cfg.mode != "skip-validate":
+    if checked:
         data = {n: staged[n] for n in quality.SUITE_ORDER if records.get(n)}
         # one row per check: small, so cached once and reused by the gate and all reports
-        checks = quality.run_checks(data, staged.get("patients"), cfg.as_of, with_count=True).cache()
+        checks = quality.run_checks(data, staged.get("patients"), cfg.as_of, True, measured).cache()
         scores = quality.score_sources(checks, cfg.threshold)
         summary = quality.overall(scores, cfg.threshold)
         report = os.path.join(stage, "reports")

@@ -196,7 +196,8 @@ UNION ALL SELECT 'icu_vitals', 'alert_rate_pct', {O.rnd('AVG(CAST(alert_triggere
 def transform_stats(spark, sf_dir):
     """Per-table transform statistics."""
     t = Tables(spark, sf_dir)
-    parts = [silver.transform_stats(n, t.raw(n), t.silver(n)) for n in ["patients", "encounters", "labs", "icu_vitals"]]
+    parts = [silver.transform_stats("patients", silver.transform_patients(t.raw("patients"), copies="_copies"), "_copies"),
+             *(silver.transform_stats(n, t.silver(n)) for n in ["encounters", "labs", "icu_vitals"])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -2,9 +2,9 @@
 from __future__ import annotations
 
 import os
-from typing import Mapping
+from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, TimestampNTZType, TimestampType, DateType
 
@@ -43,8 +43,18 @@ def load(df: DataFrame, target: str, mode: str = "append", schema=None, blank: b
     so that readers of the path find no rows rather than no table.
     """
     out = conform(df, schema) if schema is not None else df
-    if as_text:
-        out = load_format(out, blank)
+    return load_measured(load_format(out, blank) if as_text else out, target, mode, path, partition_by, cluster_by)["rows"]
+
+
+def load_measured(df: DataFrame, target: str, mode: str = "append", path: str | None = None,
+                  partition_by: list[str] | None = None, cluster_by: list[str] | None = None,
+                  metrics: Mapping[str, Column] | None = None, without: Sequence[str] = ()) -> dict:
+    """Write ``df`` as it is and return its rows and ``metrics`` (aggregates), observed on the write: no second read.
+
+    They are observed in the writing stage, whose tasks count once however often they are tried. ``without`` names
+    columns that only the metrics need.
+    """
+    out = df
     if partition_by:
         # Range-cluster on the partition columns (plus a spread key) first:
         # each task then writes one or two partition folders instead of one
@@ -53,7 +63,8 @@ def load(df: DataFrame, target: str, mode: str = "append", schema=None, blank: b
         out = out.repartitionByRange(*partition_by, *(cluster_by or []))
     # observed after the exchange: the range sampler's job does not count rows
     obs = Observation(f"load_{target}")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    names = list(metrics or {})
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *[metrics[n].alias(f"m{i}") for i, n in enumerate(names)]).drop(*without)
     writer = out.write.mode("overwrite" if mode == "replace" else mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -61,11 +72,12 @@ def load(df: DataFrame, target: str, mode: str = "append", schema=None, blank: b
         writer.parquet(path)
     else:
         writer.saveAsTable(target)
-    rows = int(obs.get["rows"])
+    got = obs.get
+    rows = int(got["rows"])
     if rows == 0 and path and partition_by and mode == "replace":
         # a partitioned write of no rows leaves no file that holds the columns
         df.sparkSession.createDataFrame([], out.schema).coalesce(1).write.mode("overwrite").parquet(path)
-    return rows
+    return {n: got[f"m{i}"] for i, n in enumerate(names)} | {"rows": rows}
 
 
 def table_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -88,7 +100,9 @@ def upsert_by_key(spark: SparkSession, rows: DataFrame, path: str, key: list[str
     greatest by the other columns stays.
     """
     rest = [c for c in rows.columns if c not in key]
-    last = keep_last(rows, key, rest).withColumns({f"_{c}": F.col(c) for c in key})
+    # a folder's name holds the key with a mark, so that a NULL and an empty key are told apart
+    last = keep_last(rows, key, rest).withColumns(
+        {f"_{c}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in key})
     (last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*[f"_{c}" for c in key]).parquet(path))
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)

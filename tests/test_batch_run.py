@@ -1,8 +1,11 @@
 """End-to-end batch run on sf0.001."""
 import os
+import re
 
 from pyspark.sql import functions as F
 
+from clinspark.operators import quality
+from clinspark.plans import catalog_more
 from clinspark.plans.batch import RunConfig, run
 from clinspark.schemas import TARGETS
 from clinspark.sources import testdata
@@ -30,6 +33,27 @@ def test_full_run_and_run_log(spark, tmp_dir):
     assert len(runs) == 1 and runs[0].status == res2.status
 
 
+def test_checks_measured_by_the_writes(spark, tmp_dir):
+    """The gate's checks and the statistics equal those of queries over the tables, and only key columns are read for them."""
+    res = run(spark, RunConfig(SF, tmp_dir, mode="validate-only", run_id="m"))
+    report = os.path.join(tmp_dir, "runs", "m", "reports")
+    staged = {n: spark.read.parquet(p) for n, p in res.paths.items()}
+    data = {n: staged[n] for n in quality.SUITE_ORDER}
+    rows = lambda df: sorted(str(sorted(r.asDict().items())) for r in df.collect())
+    want = quality.run_checks(data, data["patients"], with_count=True)
+    got = spark.read.schema(want.schema).json(os.path.join(report, "quality_checks"))
+    assert rows(got) == rows(want) and got.count() > 40
+    stats = {(r.table, r.metric): r.value for r in spark.read.json(os.path.join(report, "transform_stats")).collect()}
+    asked = catalog_more.transform_stats(spark, SF).collect()
+    assert {(r.table, r.metric): round(r.value, 6) for r in asked} == {k: round(stats[k], 6) for k in ((r.table, r.metric) for r in asked)}
+    assert stats["patients", "dupes_removed"] > 0
+    measured = {n: {"rows": 1} | {k: 0 for k in quality.rule_metrics(df, quality.suite_rules(n, df))} for n, df in data.items()}
+    plan = quality.run_checks(data, data["patients"], measured=measured)._jdf.queryExecution().executedPlan().toString()
+    read = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
+    assert read and all(re.fullmatch(r"(patient_id:bigint|mrn:string|encounter_id:bigint)", r) for r in read), read
+    assert plan.count("Scan parquet") == 5  # patients twice, encounters twice, labs once
+
+
 def test_gate_failure_publishes_nothing(spark, tmp_dir):
     res = run(spark, RunConfig(SF, tmp_dir, mode="full", threshold=1.01, run_id="strict"))
     assert res.status == "QUALITY_GATE_FAILED" and res.gate_passed is False

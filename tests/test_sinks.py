@@ -2,6 +2,9 @@
 import datetime as dt
 import json
 import os
+import subprocess
+import sys
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,7 +46,7 @@ def test_upsert_touches_no_other_key(spark, tmp_dir):
     path, s = os.path.join(tmp_dir, "runs"), TARGETS["pipeline_runs"]
     row = lambda i, status: spark.createDataFrame([(i, "t0", "t1", status, 5, 0.9, 1.0, "{}")], s)
     sinks.upsert_by_key(spark, row("r1", "SUCCESS"), path, ["run_id"])
-    broken = os.path.join(path, "_run_id=old")
+    broken = os.path.join(path, "_run_id=%3Dold")
     os.makedirs(broken)
     with open(os.path.join(broken, "part-0.parquet"), "w") as f:
         f.write("not parquet")
@@ -51,10 +54,43 @@ def test_upsert_touches_no_other_key(spark, tmp_dir):
     assert os.path.exists(os.path.join(broken, "part-0.parquet"))
     with pytest.raises(Exception, match="(?i)parquet"):
         table.collect()
-    good = spark.read.schema(s).parquet(*[os.path.join(path, f"_run_id=r{i}") for i in (1, 2)]).collect()
+    good = spark.read.schema(s).parquet(*[os.path.join(path, f"_run_id=%3Dr{i}") for i in (1, 2)]).collect()
     assert sorted((r.run_id, r.status) for r in good) == [("r1", "SUCCESS"), ("r2", "SUCCESS")]
 
 
+def test_null_and_empty_run_ids_are_apart(spark, tmp_dir):
+    path, s = os.path.join(tmp_dir, "runs"), TARGETS["pipeline_runs"]
+    row = lambda i, status: spark.createDataFrame([(i, "t0", "t1", status, 5, 0.9, 1.0, "{}")], s)
+    for i, status in ((None, "A"), ("", "B"), ("null", "C"), (None, "D"), ("a/b=c", "E")):
+        table = sinks.upsert_by_key(spark, row(i, status), path, ["run_id"])
+    assert sorted((str(r.run_id), r.status) for r in table.collect()) == [("", "B"), ("None", "D"), ("a/b=c", "E"), ("null", "C")]
+
+
+def test_measures_of_a_write_count_a_retried_task_once(tmp_dir):
+    """Every task of the write fails at its first try, after it has given its rows."""
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+        from pyspark import TaskContext
+        from pyspark.sql import functions as F
+        from clinspark.session import get_session
+        from clinspark.sources import sinks
+        spark = get_session("local[2,4]", extra={{"spark.ui.enabled": "false"}})
+
+        def once(batches):
+            for b in batches:
+                yield b
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("first try")
+
+        df = spark.range(1000, numPartitions=4).mapInArrow(once, "id long")
+        got = sinks.load_measured(df, "t", "replace", {os.path.join(tmp_dir, "t")!r}, metrics={{"odd": F.count_if(F.col("id") % 2 == 1)}})
+        assert got == {{"rows": 1000, "odd": 500}}, got
+        assert spark.read.parquet({os.path.join(tmp_dir, "t")!r}).count() == 1000
+    """)
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=240)
+
+
 def test_table_source_and_materialized_table(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     spark.sql("DROP TABLE IF EXISTS clinspark_test_mart")
