@@ -162,25 +162,22 @@ CENSUS_KEYS = ["census_date", "facility_id", "department", "encounter_type"]
 def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bool = True) -> DataFrame:
     """Daily census per (date, facility, department, type).
 
-    Two-level aggregation, no object buffers and no Expand:
-
     1. per (group, LOS value): row count and additive partial sums of every
        metric - fixed-width hash aggregation, combined map-side;
-    2. per group: the sums of those, plus the exact continuous median (D6)
-       from cumulative counts over the group's distinct LOS values (a window
-       per group over at most as many rows as distinct 2-decimal LOS values,
+    2. beside it, the distinct encounter and patient ids of a group, together in one
+       exchange, counted per group and kind;
+    3. the rows of both stacked, per group: the sums, the counts, and the exact
+       continuous median (D6) from cumulative counts over the group's distinct LOS values
+       (a window per group over at most as many rows as distinct 2-decimal LOS values,
        never over the group's encounters - a hot group stays cheap).
 
-    Each COUNT(DISTINCT) column is a distinct of (group, id) counted per group,
-    joined on the group keys (NULL-safe): two distinct counts in one aggregate
-    would expand every row. Averages are sum/count of the partials.
+    Four hash exchanges and no join; averages are sum/count of the partials.
     """
     r = F.col("encounter_risk_score")
     ins = F.col("insurance_type")
     age = F.col("age_years")
-    los = F.col("los_days")
     keyed = enc.withColumn("census_date", H.calendar_date("admit_datetime"))
-    level1 = keyed.groupBy(*CENSUS_KEYS, "los_days").agg(
+    level1 = keyed.groupBy(*CENSUS_KEYS, F.col("los_days").alias("_los")).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("is_extended_stay")).alias("_ext"),
         F.count_if(r == "HIGH").alias("_high"), F.count_if(r == "MEDIUM").alias("_med"),
@@ -191,17 +188,26 @@ def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bo
         F.count_if(ins == "SELF_PAY").alias("_self"),
         F.sum(age).alias("_age_sum"), F.count(age).alias("_age_n"),
         F.count_if(age >= C.SENIOR_AGE).alias("_senior"))
+    ids = F.explode(F.array(F.struct(F.lit(1).alias("kind"), F.col("encounter_id").cast("string").alias("id")),
+                            F.struct(F.lit(2).alias("kind"), F.col("patient_id").cast("string").alias("id"))))
+    distinct = (keyed.select(*CENSUS_KEYS, ids.alias("_id")).select(*CENSUS_KEYS, "_id.kind", "_id.id")
+                     .where(F.col("id").isNotNull()).distinct()
+                     .groupBy(*CENSUS_KEYS, F.col("kind").alias("_kind")).agg(F.count(F.lit(1)).alias("_ids")))
+    stacked = level1.withColumn("_kind", F.lit(0)).unionByName(distinct, allowMissingColumns=True)
     # rank of each distinct LOS value inside its group (NULL LOS takes no rank)
+    los = F.col("_los")
     known = F.when(los.isNotNull(), F.col("_rows")).otherwise(F.lit(0))
-    w_cum = Window.partitionBy(*CENSUS_KEYS).orderBy("los_days").rowsBetween(Window.unboundedPreceding, 0)
+    w_cum = Window.partitionBy(*CENSUS_KEYS).orderBy("_kind", "_los").rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.partitionBy(*CENSUS_KEYS)
-    ranked = (level1.withColumn("_cum", F.sum(known).over(w_cum))
+    ranked = (stacked.withColumn("_cum", F.sum(known).over(w_cum))
                     .withColumn("_n", F.sum(known).over(w_all)))
     pos = (F.col("_n") - 1) / F.lit(2.0)
     first = F.col("_cum") - known               # 0-based index of the value's first copy
     covers = lambda i: los.isNotNull() & (first <= i) & (i < F.col("_cum"))
     lo_i, hi_i = F.floor(pos), F.ceil(pos)
+    count = lambda k: F.coalesce(F.sum(F.when(F.col("_kind") == k, F.col("_ids"))), F.lit(0))
     metrics = ranked.groupBy(*CENSUS_KEYS).agg(
+        count(1).alias("encounter_count"), count(2).alias("unique_patients"),
         (F.sum(F.when(los.isNotNull(), los * F.col("_rows"))) / F.sum(F.when(los.isNotNull(), F.col("_rows"))))
         .alias("avg_los_days"),
         F.min(F.when(covers(lo_i), los)).alias("_v_lo"), F.max(F.when(covers(hi_i), los)).alias("_v_hi"),
@@ -217,22 +223,11 @@ def mart_daily_census(enc: DataFrame, as_of: _dt.datetime = C.AS_OF, ordered: bo
         (F.sum("_age_sum") / F.sum("_age_n")).alias("avg_patient_age"),
         F.sum("_senior").alias("senior_patient_count"))
     median = F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * (F.col("_pos") - F.floor(F.col("_pos")))
-    metrics = metrics.withColumn("median_los_days", median).drop("_v_lo", "_v_hi", "_pos")
-    def distinct(column: str, out: str) -> DataFrame:
-        return (keyed.select(*CENSUS_KEYS, column).where(F.col(column).isNotNull()).distinct()
-                     .groupBy(*CENSUS_KEYS).agg(F.count(F.lit(1)).alias(out)))
-
-    m = metrics.alias("m")
-    d, u = distinct("encounter_id", "encounter_count").alias("d"), distinct("patient_id", "unique_patients").alias("u")
-    same = lambda other: [F.col(f"m.{k}").eqNullSafe(F.col(f"{other}.{k}")) for k in CENSUS_KEYS]
-    count = lambda c: F.coalesce(c, F.lit(0)).alias(c.split(".")[1])
-    value_cols = ["avg_los_days", "median_los_days", "max_los_days", "extended_stay_count", "high_risk_count",
-                  "medium_risk_count", "low_risk_count", "total_charges", "total_paid", "avg_collection_rate",
-                  "medicare_count", "medicaid_count", "self_pay_count", "avg_patient_age", "senior_patient_count"]
-    out = (m.join(d, same("d"), "left").join(u, same("u"), "left")
-            .select(*[F.col(f"m.{k}") for k in CENSUS_KEYS], count("d.encounter_count"), count("u.unique_patients"),
-                    *[F.col(f"m.{c}") for c in value_cols])
-            .withColumn("dbt_loaded_at", H.ts_lit(as_of)))
+    out = metrics.withColumn("median_los_days", median).select(
+        *CENSUS_KEYS, "encounter_count", "unique_patients", "avg_los_days", "median_los_days", "max_los_days",
+        "extended_stay_count", "high_risk_count", "medium_risk_count", "low_risk_count", "total_charges", "total_paid",
+        "avg_collection_rate", "medicare_count", "medicaid_count", "self_pay_count", "avg_patient_age",
+        "senior_patient_count", H.ts_lit(as_of).alias("dbt_loaded_at"))
     if ordered:
         out = out.orderBy(F.col("census_date").desc(), "facility_id", "department")
     return out
