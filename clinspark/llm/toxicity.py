@@ -11,7 +11,8 @@ document is scored. Labels, language, source and doc_id are no features.
 
 Defined results: null and empty texts have no features and get the score of the bias alone.
 A doc_id labelled several times is toxic if any of its labels says so; null labels are
-not used. Without usable labels every score is 0.5. Rows with a null doc_id are not
+not used. Of labelled rows that share a doc_id, that with the smallest text hash is learned from, so that the
+bound holds for rows. Without usable labels every score is 0.5. Rows with a null doc_id are not
 held out. Rows repeated are scored each. Extra columns are ignored.
 """
 from __future__ import annotations
@@ -23,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import stage, text_or_empty
+from .common import stage, text_hash, text_or_empty
 
 SAMPLE = 20_000
 DIM = 1 << 22
@@ -100,8 +102,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float
         return pa.table({"place": np.r_[-1, place], "weight": np.r_[bias, w[place]]})
 
     # the sample has at most ``sample`` rows of two numbers, so it is broadcast
-    seen = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(known), "doc_id")
-    seen = stage(seen.select(F.lit(1).alias("one"), order.alias("at"), "toxic", "text")
+    seen = docs.select("doc_id", F.struct(text_hash().alias("th"), text_or_empty().alias("text")).alias("own")).join(F.broadcast(known), "doc_id")
+    seen = seen.groupBy("doc_id", "toxic").agg(F.min("own").alias("own"))
+    seen = stage(seen.select(F.lit(1).alias("one"), order.alias("at"), "toxic", "own.text")
                      .mapInArrow(extract, "one int, at long, toxic int, places binary"), "op9-features")
     model = seen.groupBy("one").applyInArrow(train, "place long, weight double").toPandas()  # at most DIM + 1 rows
     place, weight = model["place"].to_numpy(np.int64), model["weight"].to_numpy(np.float64)
@@ -110,16 +113,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float
     return (float(weight[0]) if len(weight) else 0.0), place[1:], weight[1:]
 
 
+def quoted(column: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def score_name(columns: list[str]) -> str:
     return next(n for n in (SCORE + "_" * i for i in range(len(columns) + 1)) if n not in columns)
 
 
 def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row of ``docs`` and last its score, under ``score_name(keep)``."""
-    name = score_name(keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    read = keep if "text" in keep else [*keep, "text"]
-    at_text = read.index("text")
+    plain = [f"c{i}" for i in range(len(keep))]  # Python workers are given names without dots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, place, weight = shared.value
@@ -127,15 +133,16 @@ def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: l
         dense[place] = weight
         for b in batches:
             out = np.empty(b.num_rows)
-            for i, text in enumerate(b.column(at_text)):
-                at = features(text.as_py() or "")
+            for i, text in enumerate(b.column(len(keep))):
+                at = features(text.as_py())
                 at = np.unique(at[dense[at] != 0])
                 out[i] = bias + dense[at].sum()
             out = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*keep, name])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*plain, "score"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*read).mapInArrow(run, f"{kinds}, {name} double")
+    kinds = StructType([StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep)]).add("score", "double")
+    found = docs.select(*[quoted(c).alias(p) for p, c in zip(plain, keep)], text_or_empty().alias("text")).mapInArrow(run, kinds)
+    return found.select(*[F.col(p).alias(c) for p, c in zip(plain, keep)], F.col("score").alias(score_name(keep)))
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -147,4 +154,5 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold:
 
 def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored below the threshold, with their columns."""
-    return scores(docs, fit(docs, labels, sample), docs.columns).where(F.col(score_name(docs.columns)) < threshold).select(*docs.columns)
+    found = scores(docs, fit(docs, labels, sample), docs.columns)
+    return found.where(quoted(score_name(docs.columns)) < threshold).select(*map(quoted, docs.columns))

@@ -2,6 +2,7 @@ import re
 
 import pyarrow.parquet as pq
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from clinspark.llm import mixing, simhash, toxicity
@@ -67,6 +68,16 @@ def test_run_packs_what_the_stages_leave(spark):
     assert set(out.doc_id) <= set(pq.read_table(f"{SF}/documents.parquet")["doc_id"].to_pylist())
 
 
+def test_stages_keep_extra_columns_of_any_name(spark, few_docs):
+    docs = few_docs.withColumns({"a.b": F.lit(1), "_score": F.lit("s"), "th": F.lit(2), "row": F.lit("r"), "size": F.lit(3.5), "kept": F.lit(True)})
+    for name, fn in C.STAGES:
+        before = docs.columns
+        docs = stage(fn(spark, docs, SF), "test-columns")
+        if name != "packing":
+            assert docs.columns == before and docs.select("`a.b`", "_score", "th", "row", "size", "kept").distinct().count() == 1, name
+    assert docs.count() > 0
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     plain = [odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs.select("doc_id", "text", "lang", "source", "n_chars")]
     for docs in plain:

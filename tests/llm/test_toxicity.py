@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -58,6 +59,59 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert T.scored(no_docs, labels).collect() == []
 
 
+def plain_scores(rows, labels):
+    """FTRL-proximal feature by feature in dictionaries, over the sample in its order; (row, score) of each row."""
+    z, n, bias, bias_n = {}, {}, 0.0, 0.0
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= T.L1 else (math.copysign(T.L1, zi) - zi) / ((T.BETA + math.sqrt(n[i])) / T.ALPHA + T.L2)
+
+    def score(found):
+        return 1 / (1 + math.exp(-max(-35.0, min(35.0, bias + sum(map(weight, found))))))
+
+    for _ in range(T.EPOCHS):
+        for found, y in labels:
+            g = score(found) - y
+            for i, w in [(i, weight(i)) for i in found]:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / T.ALPHA * w
+                n[i] = old + g * g
+            bias_n += g * g
+            bias -= T.ALPHA * g / (T.BETA + math.sqrt(bias_n))
+    return [(i, score(set(T.features(t or "").tolist()))) for i, t in rows]
+
+
+def test_scores_against_plain_ftrl(spark):
+    docs, labels = insults(spark, 300)
+    rows, toxic = [tuple(r) for r in docs.collect()], dict(tuple(r) for r in labels.collect())
+    order = [r.doc_id for r in docs.orderBy(F.xxhash64(F.lit(T.SEED), "doc_id"), "doc_id").collect()]
+    text = dict(rows)
+    learned = [(sorted(set(T.features(text[i]).tolist())), toxic[i]) for i in order if zlib.crc32(str(i).encode()) % 3 != 1]
+    want = dict(plain_scores(rows, learned))
+    got = {r.doc_id: r.score for r in T.scored(docs, labels).collect()}
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-9 and len(set(want.values())) > 2
+
+
+def test_repeated_ids_count_once_in_the_sample(spark, monkeypatch):
+    """A labelled doc_id on very many rows is one row of the sample: that with the smallest text hash."""
+    docs, labels = insults(spark, 60)
+    many = docs.unionByName(spark.range(500).select(F.lit(0).cast("long").alias("doc_id"), F.concat(F.lit("copy "), "id").alias("text")))
+    learned = []
+    monkeypatch.setattr(T, "stage", lambda df, name: learned.append((name, df.cache())) or learned[-1][1])
+    T.fit(many, labels)
+    rows = dict(learned)["op9-features"].count()
+    assert rows == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+
+
+def test_columns_of_any_name(spark, few_docs):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    odd = few_docs.withColumns({"a.b": F.lit(1), "c`d": F.lit("x"), "e f": F.lit(None).cast("string"), "_score": F.lit(2)})
+    kept = T.clean(odd, labels)
+    assert kept.columns == odd.columns and kept.count() == T.clean(few_docs, labels).count()
+    assert kept.select("`a.b`", "_score").distinct().collect() == [(1, 2)]
+
+
 def test_no_labels(spark, odd_docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in T.scored(odd_docs, labels).collect()} == {0.5}
