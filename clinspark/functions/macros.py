@@ -33,7 +33,13 @@ MACROS = {
 }
 
 
-def register_sql_macros(spark: SparkSession) -> list[str]:
+def register_sql_macros(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Make the macros functions of the session, under their names behind ``prefix``."""
     for name, (args, ret, body) in MACROS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS {ret} RETURN {body}")
-    return list(MACROS)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({args}) RETURNS {ret} RETURN {body}")
+    return [prefix + name for name in MACROS]
+
+
+def drop_sql_macros(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")

@@ -1,12 +1,14 @@
 """Registered queries, part two: insights, quality, scalar functions, FHIR, load formats."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import clinical as H
 from ..functions.fhir import observation_resource, parse_observations
-from ..functions.macros import register_sql_macros
+from ..functions.macros import drop_sql_macros, register_sql_macros
 from ..operators import gold, insights, quality, silver
 from ..schemas import TARGETS, conform
 from ..sources.sinks import load_format, table_counts
@@ -206,16 +208,6 @@ def transform_stats(spark, sf_dir):
 
 # ---------------------------------------------------------------- quality --
 
-def _in_set_invalid_sql(col, values):
-    non_null = [v for v in values if v is not None]
-    null_ok = "TRUE" if None in values else "FALSE"
-    member = f"coalesce({col} IN {O.inlist(non_null)}, FALSE)" if non_null else "FALSE"
-    return f"NOT ({member} OR ({col} IS NULL AND {null_ok}))"
-
-
-_SUITE_COLUMNS = {  # columns of the silver tables (decides the optional checks)
-    "patients": ["age_years"], "encounters": ["los_days"], "labs": ["tat_hours"], "billing": [], "icu_vitals": [],
-}
 _QSRC = ("patients", "encounters", "labs", "billing", "icu_vitals")
 
 
@@ -271,19 +263,7 @@ def quality_record_estimates(spark, sf_dir):
     return quality.record_estimates(_scores_spark(Tables(spark, sf_dir)))
 
 
-def _samples_sql():
-    parts = []
-    for n in quality.SUITE_ORDER:
-        for r in quality.suite_rules(n, _SUITE_COLUMNS[n], None):
-            if r.kind == "in_set":
-                parts.append(f"SELECT * FROM (SELECT '{n}' AS source, '{r.check}' AS \"check\", value FROM "
-                             f"(SELECT DISTINCT CAST({r.column} AS VARCHAR) AS value FROM {n} "
-                             f"WHERE {_in_set_invalid_sql(r.column, r.values)}) d "
-                             f"ORDER BY value NULLS FIRST LIMIT 3) s")
-    return " UNION ALL ".join(parts)
-
-
-@register("invalid_samples", V(_samples_sql(), *_QSRC))
+@register("invalid_samples", V(QO.SAMPLES, *_QSRC))
 def invalid_samples(spark, sf_dir):
     """first three distinct invalid values of every in-set check, sorted."""
     t = Tables(spark, sf_dir)
@@ -336,31 +316,7 @@ def model_tests(spark, sf_dir):
     return quality.declared_model_tests(stg_p, stg_e, int_pe, gold.mart_daily_census(int_pe, ordered=False))
 
 
-def _exp_sql():
-    parts = []
-    for i, e in enumerate(quality.PATIENT_EXPECTATIONS):
-        head = f"SELECT 'patients' AS suite, {i} AS idx, '{e.kind}' AS expectation, '{e.column}' AS \"column\""
-        c = e.column
-        if e.kind == "column_to_exist":
-            u, n = "0", "1"
-            src = ""
-        elif e.kind == "not_null":
-            u, n, src = f"COUNT(*) FILTER (WHERE {c} IS NULL)", "COUNT(*)", " FROM patients"
-        elif e.kind == "in_set":
-            u, n, src = f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN {O.inlist(e.values)})", f"COUNT({c})", " FROM patients"
-        elif e.kind == "between":
-            u, n, src = (f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND ({c} < {e.low} OR {c} > {e.high}))",
-                         f"COUNT({c})", " FROM patients")
-        elif e.kind == "unique":
-            u = f"COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0)"
-            n = "COALESCE(SUM(n), 0)"
-            src = f" FROM (SELECT {c}, COUNT(*) AS n FROM patients WHERE {c} IS NOT NULL GROUP BY 1) g"
-        parts.append(f"SELECT *, 1.0 - unexpected / greatest(element_count, 1) >= {float(e.mostly)} AS success FROM "
-                     f"({head}, CAST({u} AS BIGINT) AS unexpected, CAST({n} AS BIGINT) AS element_count{src}) x")
-    return " UNION ALL ".join(parts)
-
-
-@register("patient_expectations", V(_exp_sql(), "patients"))
+@register("patient_expectations", V(QO.EXPECTATIONS, "patients"))
 def patient_expectations(spark, sf_dir):
     """Q14: the patient expectation suite with ``mostly`` tolerances."""
     return quality.expect(Tables(spark, sf_dir).silver("patients"), quality.PATIENT_EXPECTATIONS, "patients") \
@@ -432,18 +388,23 @@ def scalar_functions(spark, sf_dir):
   CASE WHEN CASE WHEN critical_lab_count > 0 THEN 'HH' ELSE 'N' END IN ('HH', 'LL') THEN TRUE ELSE FALSE END AS critical_m
 FROM int_patient_encounters""", "int_patient_encounters"), ["collection_m"]))
 def sql_macros(spark, sf_dir):
-    """The eight macros as SQL functions, called from Spark SQL."""
-    register_sql_macros(spark)
-    Tables(spark, sf_dir).int_patient_encounters().createOrReplaceTempView("int_patient_encounters_v")
-    return stable(spark.sql("""SELECT encounter_id,
-      age_group(age_years) AS age_group_m, los_risk(los_days) AS los_risk_m,
-      encounter_risk_score(los_days, critical_lab_count, abnormal_lab_count) AS risk_m,
-      collection_rate(total_paid, total_charges) AS collection_m,
-      date_diff_hours(admit_datetime, discharge_datetime) AS hours_m,
-      mask_phi(zip_code) AS zip_masked,
-      generate_surrogate_key(CAST(encounter_id AS STRING), CAST(patient_id AS STRING), icd10_code) AS sk,
-      is_critical_lab(CASE WHEN critical_lab_count > 0 THEN 'HH' ELSE 'N' END) AS critical_m
-    FROM int_patient_encounters_v"""))
+    """The eight macros as SQL functions, called from Spark SQL; the session's own functions and views stay as they are."""
+    own = f"m{uuid.uuid4().hex[:12]}_"
+    names = register_sql_macros(spark, own)
+    Tables(spark, sf_dir).int_patient_encounters().createOrReplaceTempView(f"{own}encounters")
+    try:
+        return stable(spark.sql(f"""SELECT encounter_id,
+      {own}age_group(age_years) AS age_group_m, {own}los_risk(los_days) AS los_risk_m,
+      {own}encounter_risk_score(los_days, critical_lab_count, abnormal_lab_count) AS risk_m,
+      {own}collection_rate(total_paid, total_charges) AS collection_m,
+      {own}date_diff_hours(admit_datetime, discharge_datetime) AS hours_m,
+      {own}mask_phi(zip_code) AS zip_masked,
+      {own}generate_surrogate_key(CAST(encounter_id AS STRING), CAST(patient_id AS STRING), icd10_code) AS sk,
+      {own}is_critical_lab(CASE WHEN critical_lab_count > 0 THEN 'HH' ELSE 'N' END) AS critical_m
+    FROM {own}encounters"""))
+    finally:
+        drop_sql_macros(spark, names)
+        spark.catalog.dropTempView(f"{own}encounters")
 
 
 @register("fhir_observations", _doubles_sql(V("""SELECT lab_result_id, loinc_code,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import clinical as H
 from ..functions import fhir
 from ..operators import insights, silver
+from ..operators.windows import numbered
 from ..schemas import TARGETS
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
@@ -95,8 +96,9 @@ def source_json(spark, sf_dir):
     """A2, A3: orders as one JSON record per customer with an array, read with a declared schema and flattened."""
     path = _folder(spark, "json")
     o = T.read_table(spark, sf_dir, "orders").select("o_custkey", F.struct("o_custkey", "o_orderkey", "o_totalprice").alias("entry"))
-    # a customer's orders are dealt to records of bounded size
-    (o.groupBy("o_custkey", F.pmod(F.xxhash64("entry"), F.lit(16)).alias("part")).agg(F.collect_list("entry").alias("entry"))
+    # a record holds at most 1,000 orders, however many a customer has
+    part = F.expr("_pos div 1000")
+    (numbered(o, ["o_custkey"], "orders").groupBy("o_custkey", part.alias("part")).agg(F.collect_list("entry").alias("entry"))
       .select("entry").write.json(path))
     spec = {"format": "json", "path": path, "explode": "entry",
             "schema": "entry array<struct<o_custkey: long, o_orderkey: long, o_totalprice: double>>"}

@@ -1,4 +1,4 @@
-"""Hand-written DuckDB text of the quality checks, scores and gate.
+"""Hand-written DuckDB text of the quality checks, scores, gate, samples and expectations.
 
 Written out check by check, so that a wrong rule, threshold or order in
 ``operators.quality`` shows up as a difference.
@@ -80,3 +80,37 @@ def overall(where: str = "TRUE") -> str:
     """The mean of the source scores, 0 without any; the gate looks at the unrounded mean."""
     return (f"SELECT coalesce(avg(score), 0.0) AS overall_score, count(*) AS sources, "
             f"coalesce(avg(score), 0.0) >= 0.95 AS gate_passed FROM ({SCORES}) s WHERE {where}")
+
+
+def _samples(source: str, column: str, bad: str) -> str:
+    return (f"SELECT * FROM (SELECT DISTINCT '{source}' AS source, 'in_set::{column}' AS \"check\", {column} AS value "
+            f"FROM {source} WHERE {bad} ORDER BY value NULLS FIRST LIMIT 3) s")
+
+
+#: the first three invalid values of each closed value list
+SAMPLES = " UNION ALL ".join([
+    _samples("patients", "gender", "gender IS NULL OR gender NOT IN ('MALE', 'FEMALE', 'OTHER', 'UNKNOWN')"),
+    _samples("encounters", "encounter_type",
+             "encounter_type IS NULL OR encounter_type NOT IN ('INPATIENT', 'OUTPATIENT', 'ED', 'TELEHEALTH')"),
+    _samples("labs", "abnormal_flag", "abnormal_flag NOT IN ('N', 'H', 'L', 'HH', 'LL', 'None')"),
+    _samples("billing", "claim_status", "claim_status IS NULL OR claim_status NOT IN ('PAID', 'PENDING', 'DENIED', 'SUBMITTED')"),
+])
+
+EXPECTATIONS = """
+SELECT 'patients' AS suite, idx, expectation, "column", unexpected::BIGINT AS unexpected, element_count::BIGINT AS element_count,
+  1.0 - unexpected / greatest(element_count, 1) >= mostly AS success
+FROM (
+  SELECT 0 AS idx, 'column_to_exist' AS expectation, 'patient_id' AS "column", 0 AS unexpected, 1 AS element_count, 1.0 AS mostly
+  UNION ALL SELECT 1, 'not_null', 'patient_id', count(*) - count(patient_id), count(*), 1.0 FROM patients
+  UNION ALL SELECT 2, 'unique', 'patient_id', count(*) FILTER (n > 1), count(*), 1.0
+    FROM (SELECT count(*) OVER (PARTITION BY patient_id) AS n FROM patients WHERE patient_id IS NOT NULL) t
+  UNION ALL SELECT 3, 'not_null', 'mrn', count(*) - count(mrn), count(*), 1.0 FROM patients
+  UNION ALL SELECT 4, 'unique', 'mrn', count(*) FILTER (n > 1), count(*), 1.0
+    FROM (SELECT count(*) OVER (PARTITION BY mrn) AS n FROM patients WHERE mrn IS NOT NULL) t
+  UNION ALL SELECT 5, 'in_set', 'gender', count(*) FILTER (gender NOT IN ('MALE', 'FEMALE', 'OTHER', 'UNKNOWN')), count(gender), 0.999 FROM patients
+  UNION ALL SELECT 6, 'not_null', 'dob', count(*) - count(dob), count(*), 0.99 FROM patients
+  UNION ALL SELECT 7, 'between', 'age_years', count(*) FILTER (age_years NOT BETWEEN 0 AND 130), count(age_years), 0.999 FROM patients
+  UNION ALL SELECT 8, 'not_null', 'insurance_type', count(*) - count(insurance_type), count(*), 0.99 FROM patients
+  UNION ALL SELECT 9, 'in_set', 'insurance_type', count(*) FILTER (insurance_type NOT IN
+    ('MEDICARE', 'MEDICAID', 'BCBS', 'AETNA', 'UNITED', 'CIGNA', 'HUMANA', 'SELF_PAY')), count(insurance_type), 0.99 FROM patients
+) e"""

@@ -174,3 +174,14 @@ def test_round_half_up_keeps_special_values(spark):
     r = [x.r for x in df.collect()]
     assert r[:3] == [1.01, 2.68, -2.68] and df.collect()[3].s == 87.0
     assert r[4] == 1e30 and r[5] == float("inf") and math.isnan(r[6]) and r[7] is None
+
+
+def test_sql_macros_leave_the_session_as_it_was(spark):
+    from clinspark.plans import registry
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION mask_phi(x STRING) RETURNS STRING RETURN 'own'")
+    names = lambda: ({f.name for f in spark.catalog.listFunctions() if f.isTemporary}, {t.name for t in spark.catalog.listTables()})
+    before = names()
+    df = registry.queries()["sql_macros"](spark, "/root/testdata/sf0.001")
+    assert names() == before and spark.sql("SELECT mask_phi('a')").first()[0] == "own"
+    assert df.count() == 1500
+    spark.sql("DROP TEMPORARY FUNCTION mask_phi")

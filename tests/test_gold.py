@@ -86,3 +86,21 @@ def test_census_null_group_keys_survive(spark):
     i = i.withColumn("facility_id", F.lit(None).cast("string"))
     out = gold.mart_daily_census(i).collect()
     assert sum(r.encounter_count for r in out) == 3 and all(r.facility_id is None for r in out)
+
+
+def test_census_counts_distinct_ids(spark):
+    """Ids on several rows, of several groups and patients, and NULL ids, against a count in Python."""
+    from pyspark.sql import functions as F
+    p, e, l, b = frames(spark)
+    i = gold.int_patient_encounters(gold.stg_patients(p), gold.stg_encounters(e), l, b)
+    cols = ["encounter_id", "patient_id", "department", "los_days"]
+    rows = [(n % 7 if n % 5 else None, n % 4 if n % 6 else None, "ABC"[n % 3] if n % 11 else None, float(n % 8) if n % 9 else None) for n in range(200)]
+    made = spark.createDataFrame(rows, "encounter_id long, patient_id long, department string, los_days double")
+    enc = i.limit(1).drop(*cols).crossJoin(made).withColumn("admit_datetime", F.lit("2024-05-01").cast("timestamp_ntz"))
+    got = {r.department: r for r in gold.mart_daily_census(enc).collect()}
+    for d in ("A", "B", "C", None):
+        own = [r for r in rows if r[2] == d]
+        los = sorted(r[3] for r in own if r[3] is not None)
+        assert got[d].encounter_count == len({r[0] for r in own} - {None}) and got[d].unique_patients == len({r[1] for r in own} - {None})
+        assert got[d].median_los_days == (los[(len(los) - 1) // 2] + los[len(los) // 2]) / 2 and got[d].max_los_days == max(los)
+    assert len(got) == 4

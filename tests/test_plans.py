@@ -49,6 +49,25 @@ def test_census_reads_each_fact_once(spark):
     assert p.count("lineitem.parquet") == 2
 
 
-def test_rolling_reads_events_once_for_rows_and_once_for_the_halo(spark):
+def test_rolling_windows_are_bounded(spark):
+    """No window over a patient alone: the rows come numbered, and a window holds a bucket of numbers and its halo."""
     p = plan(Q["silver_icu_vitals"](spark, SF))
-    assert p.count("events.parquet") == 2 and "Join" not in p
+    keyed = [line for line in p.splitlines() if "Window [" in line and "patient_id" in line]
+    assert keyed and all("_bucket" in line.split("], [")[1] for line in keyed) and "SortMergeJoin" not in p
+
+
+def test_census_exchanges(spark):
+    """Over the model's table: four hash exchanges, no join."""
+    from clinspark.operators import gold
+    from clinspark.plans.catalog import Tables
+    from clinspark.session import cut_lineage
+    table = cut_lineage(Tables(spark, SF).int_patient_encounters(), "int")
+    p = plan(gold.mart_daily_census(table))
+    assert p.count("Exchange hashpartitioning") <= 4 and "Join" not in p
+
+
+def test_quality_checks_scans(spark):
+    """A pass per table, and one more for each further unique key: five tables and two keys; patients are two extracts, so two scans."""
+    p = plan(Q["quality_checks"](spark, SF))
+    assert p.count("Scan parquet") == 9 and "LeftAnti" not in p
+    assert plan(Q["gate_decision"](spark, SF)).count("Scan parquet") == p.count("Scan parquet")
