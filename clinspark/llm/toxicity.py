@@ -72,7 +72,10 @@ def ftrl(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> tu
             n[at] = ni + g * g
             bias_n += g * g
             bias -= ALPHA * g / (BETA + np.sqrt(bias_n))
-    return bias, weight(z, n)
+    kept = np.flatnonzero((z > L1) | (z < -L1))
+    w = np.zeros(DIM)
+    w[kept] = weight(z[kept], n[kept])
+    return bias, w
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
@@ -126,6 +129,7 @@ def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: l
     """The columns ``keep`` of each row of ``docs`` and last its score, under ``score_name(keep)``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = [f"c{i}" for i in range(len(keep))]  # Python workers are given names without dots
+    at_text = keep.index("text") if "text" in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, place, weight = shared.value
@@ -133,15 +137,16 @@ def scores(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: l
         dense[place] = weight
         for b in batches:
             out = np.empty(b.num_rows)
-            for i, text in enumerate(b.column(len(keep))):
-                at = features(text.as_py())
+            for i, text in enumerate(b.column(at_text)):
+                at = features(text.as_py() or "")
                 at = np.unique(at[dense[at] != 0])
                 out[i] = bias + dense[at].sum()
             out = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(out)], [*plain, "score"])
 
     kinds = StructType([StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep)]).add("score", "double")
-    found = docs.select(*[quoted(c).alias(p) for p, c in zip(plain, keep)], text_or_empty().alias("text")).mapInArrow(run, kinds)
+    read = [quoted(c).alias(p) for p, c in zip(plain, keep)] + ([] if "text" in keep else [F.col("text")])
+    found = docs.select(*read).mapInArrow(run, kinds)
     return found.select(*[F.col(p).alias(c) for p, c in zip(plain, keep)], F.col("score").alias(score_name(keep)))
 
 
