@@ -6,14 +6,17 @@ vectors of transformed counts (``VECTOR``); per language and source
 a minimum-covariance-determinant estimate gives their centre and covariance,
 and a vector whose Mahalanobis distance is beyond ``CUTOFF`` is rejected.
 
-The estimate starts at medians and median deviations and takes C-steps: mean
-and covariance of the ``SUBSET`` share of rows nearest to the last estimate, until the
-determinants stop falling. Vectors are whole numbers on a grid of
-``1 / GRID``, so sums are exact, medians come from few distinct values, and any order of
-rows gives the same verdicts. Variances have a floor (``FLOORS``), as in clean
-prose most counts are zero and a spread of nothing would reject any symbol.
-Estimates are made for (language, source), for the language and for all rows; a document
-is held against the first with at least ``ROWS`` rows.
+Equal vectors of a group are one row with its number of documents, so a group of any size is
+spread over all tasks by vector, and medians come from counts per value. From three starts (medians and
+median deviations; mean and covariance of all rows; medians and the covariance of
+spatial signs) C-steps are taken: mean and covariance of the ``SUBSET`` share of rows
+nearest to the last estimate, until the determinants stop falling; the start with the least
+determinant stays. Vectors are whole numbers on a grid of ``1 / GRID``, so sums are exact and any
+order of rows gives the same verdicts. Covariances of the nearest rows are widened by
+``CONSISTENT``. As in clean prose most counts are zero, and a spread of nothing would reject any
+symbol, variances get a floor: what one count (one word for the word length, one repeated window) makes in a text of the
+group's median size, measured per group. Estimates are made for (language, source), for the
+language and for all rows; a document is held against the first with at least ``ROWS`` rows.
 
 Defined results: a null or empty text has no words and fails the base rules. A null language or
 source is a value of its own. Repeated rows are judged each. Extra columns are ignored.
@@ -40,7 +43,8 @@ STEPS = 12
 CUTOFF = 40.0
 MEDIAN = 3.357  # of chi-squared with four degrees of freedom
 VECTOR = ("word_length", "symbols", "dup_lines", "repeats")
-FLOORS = (0.07, 0.04, 0.15, 0.15)
+SIZES = ("n_words", "word_chars", "n_lines")
+CONSISTENT = 2.72  # of the nearest 0.75 of a normal coordinate: 1 over their share of its variance; more coordinates need less
 
 
 def _let(value: Column, body) -> Column:
@@ -120,64 +124,117 @@ def _factor(estimate: DataFrame) -> DataFrame:
     return estimate.withColumn("log_det", det)
 
 
-def _floor(i: int) -> float:
-    return (FLOORS[i] * GRID) ** 2
-
-
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and median deviations per group; the vectors' grid bounds the distinct values."""
-    centre = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[
-        F.percentile(F.col(v), F.lit(0.5)).alias(f"m{i}") for i, v in enumerate(VECTOR)])
-    centre = stage(centre, "op10-medians")
-    away = rows.join(centre, "key").groupBy("key", "n", *[f"m{i}" for i in range(len(VECTOR))]).agg(*[
-        F.percentile(F.abs(F.col(v) - F.col(f"m{i}")), F.lit(0.5)).alias(f"s{i}") for i, v in enumerate(VECTOR)])
-    for i in range(len(VECTOR)):
-        for j in range(i + 1):
-            spread = F.pow(1.4826 * F.col(f"s{i}"), F.lit(2)) + _floor(i) if i == j else F.lit(0.0)
-            away = away.withColumn(f"c{i}{j}", spread)
-    return _factor(away)
+P = range(len(VECTOR))
+PAIRS = [(i, j) for i in P for j in range(i + 1)]
+OWN = ["n", *[f"{x}{i}" for x in "mf" for i in P]]
+
+
+def _grouped(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """Equal ``cols`` of each group as one row: key, cols and the number w of documents."""
+    counted = rows.groupBy("lang", "source", *cols).agg(F.count(F.lit(1)).alias("w"))
+    return (counted.select(*cols, "w", F.explode(F.array(*_keys())).alias("key"))
+                   .groupBy("key", *cols).agg(F.sum("w").alias("w")))
+
+
+def _percentiles(rows: DataFrame, by: list[str], values: dict[str, Column], share: float) -> DataFrame:
+    """The share-percentile of each value per group, from the counts of its distinct values."""
+    cells = rows.select(*by, "w", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("what"), v.cast("double").alias("v")) for name, v in values.items()])).alias("c"))
+    cells = cells.groupBy(*by, "c.what", "c.v").agg(F.sum("w").alias("w"))
+    return cells.groupBy(*by).agg(*[
+        F.percentile(F.when(F.col("what") == name, F.col("v")), F.lit(share), F.col("w")).alias(name) for name in values])
+
+
+def _floors(good: DataFrame) -> DataFrame:
+    """Per group the variances f* that one count makes in a text of median size."""
+    log = {c: F.round(100 * F.log(F.greatest(F.col(c), F.lit(1)))) for c in SIZES}
+    middle = _percentiles(_grouped(good.select("lang", "source", *[v.alias(c) for c, v in log.items()]), list(SIZES)),
+                          ["key"], {c: F.col(c) for c in SIZES}, 0.5)
+    words, chars, lines = (F.exp(F.col(c) / 100) for c in SIZES)
+    one = (1 / (words * words), 1 / chars, 1 / lines, 2 * WINDOW / words)
+    return middle.select("key", *[(v * GRID * GRID).alias(f"f{i}") for i, v in enumerate(one)])
+
+
+def _refit(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Mean and widened covariance of ``rows`` per group, factored."""
+    exact = lambda c: F.sum(c.cast("decimal(20,0)") * F.col("w").cast("decimal(18,0)")).cast("double")
+    sums = rows.groupBy(*by).agg(
+        F.sum("w").cast("double").alias("h"), *[exact(F.col(VECTOR[i])).alias(f"a{i}") for i in P],
+        *[exact(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"b{i}{j}") for i, j in PAIRS])
+    sums = sums.withColumns({f"m{i}": F.col(f"a{i}") / F.col("h") for i in P})
+    return _factor(sums.withColumns({
+        f"c{i}{j}": CONSISTENT * (F.col(f"b{i}{j}") / F.col("h") - F.col(f"m{i}") * F.col(f"m{j}"))
+                    + (F.col(f"f{i}") if i == j else 0.0) for i, j in PAIRS}))
+
+
+def _signs(rows: DataFrame) -> DataFrame:
+    """Per group the medians with the covariance of the rows' directions from them, brought to the median deviations."""
+    z = [(F.col(v) - F.col(f"m{i}")) / F.col(f"s{i}") for i, v in enumerate(VECTOR)]
+    length = F.sqrt(sum((x * x for x in z[1:]), z[0] * z[0]))
+    u = [F.when(length > 0, F.round(GRID * x / length)).otherwise(F.lit(0)).cast("long") for x in z]
+    rows = rows.withColumns({f"u{i}": x for i, x in enumerate(u)})
+    sums = rows.groupBy("key", *OWN, *[f"s{i}" for i in P]).agg(*[
+        F.sum(F.col(f"u{i}") * F.col(f"u{j}") * F.col("w").cast("decimal(18,0)")).cast("double").alias(f"b{i}{j}") for i, j in PAIRS])
+    return _factor(sums.withColumns({
+        f"c{i}{j}": len(VECTOR) * F.col(f"s{i}") * F.col(f"s{j}") * F.col(f"b{i}{j}") / (F.lit(float(GRID * GRID)) * F.col("n"))
+                    + (F.col(f"f{i}") if i == j else 0.0) for i, j in PAIRS}))
+
+
+def _starts(rows: DataFrame, floors: DataFrame) -> DataFrame:
+    """Three estimates per group, numbered by start."""
+    n = rows.groupBy("key").agg(F.sum("w").alias("n"))
+    centre = _percentiles(rows, ["key"], {f"m{i}": F.col(v) for i, v in enumerate(VECTOR)}, 0.5)
+    centre = stage(n.join(centre, "key").join(floors, "key"), "op10-medians")
+    near = rows.join(centre, "key")
+    spread = _percentiles(near, ["key"], {f"s{i}": F.abs(F.col(v) - F.col(f"m{i}")) for i, v in enumerate(VECTOR)}, 0.5)
+    spread = centre.join(spread, "key").withColumns({
+        f"s{i}": F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), F.lit(2)) + F.col(f"f{i}")) for i in P})
+    spread = stage(spread, "op10-spread")
+    medians = _factor(spread.withColumns({
+        f"c{i}{j}": F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0) for i, j in PAIRS}))
+    classic = _refit(near, ["key", "n", *[f"f{i}" for i in P]])
+    starts = [medians, classic, _signs(rows.join(spread, "key"))]
+    return reduce(DataFrame.union, [e.select("key", F.lit(k).alias("start"), *_estimate()) for k, e in enumerate(starts)])
+
+
+def _estimate() -> list[str]:
+    return [*OWN, *[f"l{i}{j}" for i, j in PAIRS], "log_det"]
 
 
 def _nearest(rows: DataFrame, estimate: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
-    """Rows with their distance on a logarithmic grid, and per group the grid value that holds the share nearest."""
-    own = ["key", "n", *[f"m{i}" for i in range(len(VECTOR))], *[f"l{i}{j}" for i in range(len(VECTOR)) for j in range(i + 1)]]
-    near = _distance(rows.join(estimate.select(*own), "key")).withColumn("g", F.round(100 * F.log(F.col("d2") + 1e-4)).cast("long"))
-    # counts per grid value are at most a few thousand rows per group
-    bound = near.groupBy("key").agg(F.percentile("g", F.lit(share)).alias("bound"))
+    """Rows with their distance on a logarithmic grid, and per estimate the grid value that holds the share nearest."""
+    near = _distance(rows.join(estimate, "key")).withColumn("g", F.round(100 * F.log(F.col("d2") + 1e-4)).cast("long"))
+    bound = _percentiles(near, ["key", "start"], {"bound": F.col("g")}, share)
     return near, stage(bound, "op10-bounds")  # as a table its size is known, so rows need no shuffle to meet it
 
 
 def estimates(stats: DataFrame) -> DataFrame:
-    """One row per group: key, n, centre m*, Cholesky factor l** and scale."""
-    rows = stats.where(~F.col("base_failed")).select(*VECTOR, F.explode(F.array(*_keys())).alias("key"))
-    rows = stage(rows, "op10-vectors")
-    estimate = stage(_start(rows), "op10-start")
-    p, before = range(len(VECTOR)), None
+    """One row per group: key, n, centre m*, floor f*, Cholesky factor l**, start, log_det and scale."""
+    good = stats.where(~F.col("base_failed"))
+    rows = stage(_grouped(good, list(VECTOR)), "op10-vectors")
+    estimate, before = stage(_starts(rows, _floors(good)), "op10-start"), None
     for _ in range(STEPS):
         near, bound = _nearest(rows, estimate, SUBSET)
-        exact = lambda c: F.sum(c.cast("decimal(20,0)")).cast("double")
-        sums = (near.join(bound, "key").where(F.col("g") <= F.ceil("bound")).groupBy("key", "n").agg(
-            F.count(F.lit(1)).cast("double").alias("h"),
-            *[exact(F.col(VECTOR[i])).alias(f"a{i}") for i in p],
-            *[exact(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"b{i}{j}") for i in p for j in range(i + 1)]))
-        sums = sums.withColumns({f"m{i}": F.col(f"a{i}") / F.col("h") for i in p})
-        sums = sums.withColumns({f"c{i}{j}": F.col(f"b{i}{j}") / F.col("h") - F.col(f"m{i}") * F.col(f"m{j}")
-                                 + (_floor(i) if i == j else 0.0) for i in p for j in range(i + 1)})
-        estimate = stage(_factor(sums), "op10-step")
+        inner = near.join(bound, ["key", "start"]).where(F.col("g") <= F.ceil("bound"))
+        fitted = _refit(inner, ["key", "start", "n", *[f"f{i}" for i in P]])
+        estimate = stage(fitted.select("key", "start", *_estimate()), "op10-step")
         now = estimate.agg(F.round(F.sum("log_det"), 6)).first()[0]
         if now == before:
             break
         before = now
-    _, middle = _nearest(rows, estimate, 0.5)
+    best = estimate.groupBy("key").agg(F.min(F.struct(
+        F.round("log_det", 6).alias("rounded"), "start", *_estimate())).alias("b")).select("key", "b.start", *[f"b.{c}" for c in _estimate()])
+    best = stage(best, "op10-best")
+    _, middle = _nearest(rows, best, 0.5)
     scale = F.greatest(F.lit(1.0), F.exp(F.col("bound") / 100) / MEDIAN)
-    return stage(estimate.join(middle, "key").withColumn("scale", scale), "op10-estimates")
+    return stage(best.join(middle, ["key", "start"]).withColumn("scale", scale), "op10-estimates")
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """One row per document: the counts, base_failed, distance (squared) and kept."""
     stats = stage(vectors(statistics(docs)), "op10-statistics")
     found = estimates(stats)
-    cols = [f"m{i}" for i in range(len(VECTOR))] + [f"l{i}{j}" for i in range(len(VECTOR)) for j in range(i + 1)] + ["scale"]
+    cols = [f"m{i}" for i in P] + [f"l{i}{j}" for i, j in PAIRS] + ["scale"]
     enough = found.where((F.col("n") >= ROWS) | (F.col("key") == '{"level":0}')).select("key", F.struct(*cols).alias("e"))
     out, tried = stats, []
     for level, key in enumerate(_keys()):

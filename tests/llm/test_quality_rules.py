@@ -38,34 +38,71 @@ def test_odd_documents(odd_docs, no_docs, spark):
     check_counts(spark.createDataFrame([(*r, None, "s") for r in rows], "doc_id long, text string, lang string, source string"))
 
 
-def estimate_by_hand(x):
-    """The C-steps of the module on one group, in numpy."""
-    floor = np.diag([Q._floor(i) for i in range(x.shape[1])])
-    m = np.median(x, axis=0)
-    c = np.diag((1.4826 * np.median(np.abs(x - m), axis=0)) ** 2) + floor
+def floors_by_hand(fit):
+    """What one count makes in a text of median size, in squared units of the grid."""
+    words, chars, lines = (np.exp(np.median(np.round(100 * np.log(np.maximum(fit[c], 1)))) / 100) for c in Q.SIZES)
+    return np.array([1 / words ** 2, 1 / chars, 1 / lines, 2 * Q.WINDOW / words]) * Q.GRID ** 2
+
+
+def estimate_by_hand(fit):
+    """The estimate of one group, in numpy: centre, covariance, scale and the covariance without its floor."""
+    x, f = fit[list(Q.VECTOR)].to_numpy(np.float64), floors_by_hand(fit)
     grid = lambda d: np.round(100 * np.log(d + 1e-4))
-    dist = lambda: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
-    before = None
-    for _ in range(Q.STEPS):
-        g = grid(dist())
-        s = x[g <= np.ceil(np.percentile(g, 100 * Q.SUBSET))]
-        m = s.mean(axis=0)
-        c = (s.T @ s) / len(s) - np.outer(m, m) + floor
-        now = round(np.linalg.slogdet(c)[1] / 2, 6)
-        if now == before:
-            break
-        before = now
-    scale = max(1.0, np.exp(np.percentile(grid(dist()), 50) / 100) / Q.MEDIAN)
-    return dist() / scale
+    dist = lambda m, c: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    refit = lambda s: (s.mean(axis=0), Q.CONSISTENT * ((s.T @ s) / len(s) - np.outer(s.mean(axis=0), s.mean(axis=0))) + np.diag(f))
+    m = np.median(x, axis=0)
+    s = np.sqrt((1.4826 * np.median(np.abs(x - m), axis=0)) ** 2 + f)
+    z = (x - m) / s
+    length = np.linalg.norm(z, axis=1, keepdims=True)
+    u = np.round(Q.GRID * np.divide(z, length, out=np.zeros_like(z), where=length > 0))
+    signs = 4 * np.outer(s, s) * (u.T @ u) / (Q.GRID ** 2 * len(x)) + np.diag(f)
+    best = None
+    for m, c in ((m, np.diag(s * s)), refit(x), (m, signs)):
+        for _ in range(Q.STEPS):
+            g, before = grid(dist(m, c)), c
+            m, c = refit(x[g <= np.ceil(np.percentile(g, 100 * Q.SUBSET))])
+            if np.allclose(c, before, rtol=1e-12, atol=0):
+                break
+        det = round(np.linalg.slogdet(c)[1] / 2, 6)
+        if best is None or det < best[0]:
+            best = det, m, c
+    _, m, c = best
+    return m, c, max(1.0, np.exp(np.percentile(grid(dist(m, c)), 50) / 100) / Q.MEDIAN), c - np.diag(f)
+
+
+def distances_by_hand(fit, x):
+    m, c, scale, _ = estimate_by_hand(fit)
+    return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m) / scale
 
 
 def test_distances_are_those_of_the_estimate(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumns({"lang": F.lit("l"), "source": F.lit("s")})
+    """Several languages and sources: own estimates, those of the language and those of all rows."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "s").when(F.col("doc_id") % 3 == 1, F.lit(None)).otherwise(F.col("source")))
     rows = Q.judged(docs).toPandas()
+    fit = rows[~rows.base_failed].astype({"lang": object, "source": object})
+    fit = fit.assign(lang=fit.lang.where(fit.lang.notna(), "?"), source=fit.source.where(fit.source.notna(), "?"))
+    levels = set()
+    for (lang, source), part in fit.groupby(["lang", "source"]):
+        level, group = next((k, g) for k, g in enumerate((part, fit[fit.lang == lang], fit)) if k == 2 or len(g) >= Q.ROWS)
+        want = distances_by_hand(group, part[list(Q.VECTOR)].to_numpy(np.float64))
+        assert np.allclose(want, part.distance, rtol=1e-6, atol=1e-9)
+        assert (part.kept == (want <= Q.CUTOFF)).all()
+        levels.add(level)
+    assert levels == {0, 1, 2}
+
+
+def test_the_estimate_decides_not_the_floor(spark):
+    """The word length's variance is that of the nearest rows, and verdicts stay when floors are halved."""
+    rows = Q.judged(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
     fit = rows[~rows.base_failed]
-    want = estimate_by_hand(fit[list(Q.VECTOR)].to_numpy(np.float64))
-    assert np.allclose(want, fit.distance, rtol=1e-6, atol=1e-9)
-    assert (fit.kept == (want <= Q.CUTOFF)).all()
+    _, c, _, measured = estimate_by_hand(fit)
+    assert measured[0, 0] > 20 * floors_by_hand(fit)[0]
+    x = fit[list(Q.VECTOR)].to_numpy(np.float64)
+    m, c, scale, measured = estimate_by_hand(fit)
+    half = measured + np.diag(floors_by_hand(fit) / 2)
+    far = lambda c: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m) / scale > Q.CUTOFF
+    assert (far(c) != far(half)).mean() < 0.01
 
 
 def test_outliers_do_not_move_the_estimate(spark):
