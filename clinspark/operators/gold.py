@@ -10,13 +10,15 @@ per encounter before any join, so no join fans rows out.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import clinical as H
 
+Named = Callable[[str], Column]
 PATIENT_ATTRS = ["patient_id", "gender", "age_years", "age_group", "insurance_type", "zip_code"]
 
 
@@ -80,10 +82,10 @@ def stg_patients(patients: DataFrame, as_of: _dt.datetime = C.AS_OF, run_id: str
     )
 
 
-def stg_encounters(encounters: DataFrame, as_of: _dt.datetime = C.AS_OF) -> DataFrame:
+def stg_encounters(encounters: DataFrame, as_of: _dt.datetime = C.AS_OF, beside: Sequence[str] = ()) -> DataFrame:
     """Drop NULL ids, renames, casts, upper-case codes, stay and ED flags.
 
-    ``is_ed_visit`` reads the raw encounter_type, as the model does.
+    ``is_ed_visit`` reads the raw encounter_type, as the model does. Columns ``beside`` the model's are kept as they are.
     """
     return (encounters.where(F.col("encounter_id").isNotNull()).select(
         "encounter_id", "patient_id",
@@ -102,6 +104,7 @@ def stg_encounters(encounters: DataFrame, as_of: _dt.datetime = C.AS_OF) -> Data
         H.is_extended_stay("los_days").alias("is_extended_stay"),
         H.is_ed_visit("encounter_type").alias("is_ed_visit"),
         H.ts_lit(as_of).alias("dbt_loaded_at"),
+        *beside,
     ))
 
 
@@ -135,25 +138,25 @@ def int_patient_encounters(stg_p: DataFrame, stg_e: DataFrame, labs: DataFrame,
     j = (e.join(p, F.col("e.patient_id") == F.col("p.patient_id"), "left")
           .join(l, F.col("e.encounter_id") == F.col("l.encounter_id"), "left")
           .join(b, F.col("e.encounter_id") == F.col("b.encounter_id"), "left"))
-    z = lambda c, v=0: F.coalesce(F.col(c), F.lit(v))
-    return j.select(
-        *[F.col(f"e.{c}") for c in ["encounter_id", "patient_id", "encounter_type", "admit_datetime",
-                                     "discharge_datetime", "icd10_code", "department", "facility_id",
-                                     "los_days", "los_risk", "is_extended_stay", "is_ed_visit", "year_month"]],
-        *[F.col(f"p.{c}") for c in ["gender", "age_years", "age_group", "insurance_type", "zip_code"]],
-        z("l.total_lab_orders").alias("total_lab_orders"),
-        z("l.critical_lab_count").alias("critical_lab_count"),
-        z("l.abnormal_lab_count").alias("abnormal_lab_count"),
-        F.col("l.avg_lab_tat_hours").alias("avg_lab_tat_hours"),
-        z("b.total_charges", 0.0).alias("total_charges"),
-        z("b.total_paid", 0.0).alias("total_paid"),
-        z("b.claim_count").alias("claim_count"),
-        z("b.denied_claims").alias("denied_claims"),
-        H.collection_rate(F.col("b.total_paid"), F.col("b.total_charges")).alias("collection_rate_pct"),
-        H.encounter_risk_score(F.col("e.los_days"), F.col("l.critical_lab_count"),
-                               F.col("l.abnormal_lab_count")).alias("encounter_risk_score"),
+    of = lambda side: lambda c: F.col(f"{side}.{c}")
+    return j.select(*int_columns(of("e"), of("p"), of("l"), of("b"), as_of))
+
+
+def int_columns(e: Named, p: Named, l: Named, b: Named, as_of: _dt.datetime) -> list[Column]:
+    """C6's columns of joined rows; ``e``, ``p``, ``l`` and ``b`` give a column of the encounter, patient, lab and billing side."""
+    z = lambda c, name, v=0: F.coalesce(c, F.lit(v)).alias(name)
+    return [
+        *[e(c) for c in ["encounter_id", "patient_id", "encounter_type", "admit_datetime", "discharge_datetime", "icd10_code",
+                         "department", "facility_id", "los_days", "los_risk", "is_extended_stay", "is_ed_visit", "year_month"]],
+        *[p(c) for c in ["gender", "age_years", "age_group", "insurance_type", "zip_code"]],
+        *[z(l(c), c) for c in ["total_lab_orders", "critical_lab_count", "abnormal_lab_count"]],
+        l("avg_lab_tat_hours"),
+        *[z(b(c), c, 0.0) for c in ["total_charges", "total_paid"]],
+        *[z(b(c), c) for c in ["claim_count", "denied_claims"]],
+        H.collection_rate(b("total_paid"), b("total_charges")).alias("collection_rate_pct"),
+        H.encounter_risk_score(e("los_days"), l("critical_lab_count"), l("abnormal_lab_count")).alias("encounter_risk_score"),
         H.ts_lit(as_of).alias("dbt_loaded_at"),
-    )
+    ]
 
 
 CENSUS_KEYS = ["census_date", "facility_id", "department", "encounter_type"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clinical as H
 from ..functions import fhir
-from ..operators import insights, silver
+from ..operators import insights, silver, staged
 from ..operators.windows import numbered
 from ..schemas import TARGETS
 from ..session import ensure_checkpoint_dir
@@ -19,7 +19,7 @@ from ..sources.readers import read_source
 from ..sources.versions import merge_by_key
 from . import oracle as O
 from .batch import RunConfig, run, source_metrics as metrics_of
-from .catalog import _RAW_DOUBLES, Tables, _doubles_sql, register, stable
+from .catalog import _INT_DOUBLES, _MART_SQL, _RAW_DOUBLES, Tables, _doubles_sql, register, stable
 
 V = O.with_views
 
@@ -191,6 +191,25 @@ def batch_run_tables(spark, sf_dir):
     return sinks.table_counts({n: spark.read.parquet(res.paths[n]) for n in names})
 
 
+def _staged(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    path = _folder(spark, "staged")
+    staged.stage(t.silver("patients"), t.silver("encounters"), t.silver("labs"), t.silver("billing"), path)
+    return staged.open_staged(spark, path)
+
+
+@register("patient_encounter_mart_staged", _doubles_sql(_MART_SQL, ["los_days", "encounter_hours", "total_charges", "total_paid"]))
+def patient_encounter_mart_staged(spark, sf_dir):
+    """The mart from staged tables in buckets of the encounter, joined without an exchange."""
+    return stable(staged.patient_encounter_mart(_staged(spark, sf_dir)))
+
+
+@register("int_patient_encounters_staged", _doubles_sql(V("SELECT * FROM int_patient_encounters", "int_patient_encounters"), _INT_DOUBLES))
+def int_patient_encounters_staged(spark, sf_dir):
+    """The intermediate model from the same staged tables."""
+    return stable(staged.int_patient_encounters(_staged(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- streams --
 
 @register("stream_alert_windows", _doubles_sql(V(
