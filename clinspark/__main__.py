@@ -25,11 +25,15 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--mode", default="full", choices=["full", "validate-only", "skip-validate"])
     r.add_argument("--threshold", type=float, default=None, help="quality gate threshold (default 0.95)")
     r.add_argument("--run-id", default=None)
+    r.add_argument("--resume", action="store_true", help="go on with the run of that id: steps done with unchanged inputs are kept")
+    r.add_argument("--database", default=None, help="catalog database that gets the tables of a successful run")
     r.add_argument("--profile", default="local", choices=["local", "cluster"])
     args = p.parse_args(argv)
+    if args.resume and not args.run_id:
+        p.error("--resume needs --run-id")
 
     spark = get_session(app="clinspark-run", profile=args.profile)
-    cfg = RunConfig(args.sf_dir, args.out_dir, mode=args.mode)
+    cfg = RunConfig(args.sf_dir, args.out_dir, mode=args.mode, resume=args.resume, database=args.database)
     if args.sources:
         with open(args.sources) as f:
             cfg.sources = json.load(f)

@@ -13,6 +13,14 @@ Sources are the views over the input tables, or any declared by format
 declared is skipped; one without rows is staged empty, not checked and loaded
 empty. The mart and the models need patients, encounters, labs and billing.
 
+The models are built from staged tables in buckets of the encounter (``operators.staged``), so facts are shuffled
+once however many models read them. With ``database`` the loaded tables and the models of a successful run get
+their names in that database of the catalog.
+
+Every step (a source's staging, a load, a model) is noted when done. A run that was killed goes on with ``resume`` and
+its run id: a source whose files and declaration are unchanged is not read again, nor is what was
+built from such sources only. The gate is always decided anew, on what the staging writes measured and the staged keys.
+
 Modes: ``full`` (everything), ``validate-only`` (stops after the gate - the
 source did not stop), ``skip-validate`` (no checks; the run records the SLA
 quality figure as the source did). A passed gate with duplicate patient ids
@@ -35,8 +43,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import gold, quality, silver
+from ..operators import staged as by_encounter
 from ..schemas import TARGETS
 from ..sources import sinks, testdata
+from ..sources.progress import Progress, combined, input_files
 from ..sources.readers import read_source
 
 
@@ -49,6 +59,8 @@ class RunConfig:
     threshold: float = C.QUALITY_THRESHOLD
     as_of: _dt.datetime = C.AS_OF
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:8])
+    resume: bool = False
+    database: str | None = None
 
 
 @dataclass
@@ -63,6 +75,7 @@ class RunResult:
     duration_minutes: float
     paths: dict
     phases: dict = field(default_factory=dict)
+    skipped: list = field(default_factory=list)  # steps that an earlier run of this id had done
 
 
 # Facts written partitioned by month (partition pruning for date-bounded
@@ -113,6 +126,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         mark[0] = now
 
     checked = cfg.mode != "skip-validate"
+    progress = Progress(spark, os.path.join(stage, "_steps"), cfg.resume)
 
     # bronze -> silver, written once (A4); counts and measures come from the write itself.
     # The nine sources are independent: their writes run as concurrent jobs.
@@ -120,21 +134,29 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         t0 = time.time()
         raw = (testdata.bronze(spark, cfg.sf_dir, name) if cfg.sources is None
                else read_source(spark, cfg.sources[name]))
-        copies = "_copies" if name == "patients" else None
-        df = silver.transform_patients(raw, cfg.as_of, copies) if copies else silver.to_silver(name, raw, cfg.as_of)
         path = os.path.join(stage, "silver", name)
-        part, cluster = PARTITIONS.get(name, (None, None))
-        stats = {f"stat {k}": v for k, v in silver.stats_metrics(name, copies).items()}
-        rules = quality.rule_metrics(df, quality.suite_rules(name, df), cfg.as_of) if checked and name in quality.SUITE_ORDER else {}
-        got = sinks.load_measured(df, table, "replace", path, part, cluster, stats | rules, [copies] if copies else [])
-        return path, got, time.time() - t0
+        files = input_files(raw)
+        given = None if cfg.sources is None else {k: str(v) for k, v in cfg.sources[name].items()}
+        inputs = combined(name, given, raw.schema.json(), files, cfg.as_of.isoformat(), checked) if files is not None else None
+
+        def write() -> dict:
+            copies = "_copies" if name == "patients" else None
+            df = silver.transform_patients(raw, cfg.as_of, copies) if copies else silver.to_silver(name, raw, cfg.as_of)
+            part, cluster = PARTITIONS.get(name, (None, None))
+            stats = {f"stat {k}": v for k, v in silver.stats_metrics(name, copies).items()}
+            rules = quality.rule_metrics(df, quality.suite_rules(name, df), cfg.as_of) if checked and name in quality.SUITE_ORDER else {}
+            return sinks.load_measured(df, table, "replace", path, part, cluster, stats | rules, [copies] if copies else [])
+
+        got = progress.step(f"silver-{name}", inputs, write)
+        return path, got, time.time() - t0, inputs
 
     done = _concurrently({n: (lambda n=n: stage_one(n, LOAD_TABLES[n])) for n in names})
     for name in names:
-        path, got, secs = done[name]
+        path, got, secs, _ = done[name]
         paths[name], staged_rows[name] = path, got["rows"]
         source_rows.append((name, got["rows"], secs))
     measured = {n: done[n][1] for n in names}
+    prints = {n: done[n][3] for n in names}
     stats = [(n, k[5:], v) for n in names for k, v in measured[n].items() if k.startswith("stat ")]
     sinks.write_json_report(spark.createDataFrame(stats, "table string, metric string, value double"),               # D12
                             os.path.join(stage, "reports", "transform_stats"))
@@ -143,8 +165,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     records = dict(staged_rows)
 
     def finish(status: str) -> RunResult:
+        if cfg.database and status == "SUCCESS":
+            sinks.publish(spark, cfg.database, {os.path.basename(p): p for n, p in paths.items() if n not in names},
+                          os.path.join(cfg.out_dir, "database"))
         return _finish(spark, cfg, started, started_at, status, overall_score, gate, records, staged_rows, loaded, paths,
-                       source_rows, phases)
+                       source_rows, phases, progress.skipped)
 
     overall_score, gate = None, None
     if checked:
@@ -178,35 +203,58 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 
     # the source tables in their declared schemas (A4, A8), only now that the gate has passed
     raw_paths = {LOAD_TABLES[n]: os.path.join(stage, "raw", LOAD_TABLES[n]) for n in names}
-    loaded.update(_concurrently({t: (lambda n=n, t=t: sinks.load(staged[n], t, "replace", schema=TARGETS[t], path=raw_paths[t]))
-                                 for n, t in LOAD_TABLES.items() if n in names}))
+
+    def load_one(n: str, t: str) -> int:
+        write = lambda: {"rows": sinks.load(staged[n], t, "replace", schema=TARGETS[t], path=raw_paths[t])}
+        return progress.step(f"load-{t}", prints[n], write)["rows"]
+
+    loaded.update(_concurrently({t: (lambda n=n, t=t: load_one(n, t)) for n, t in LOAD_TABLES.items() if n in names}))
     paths.update(raw_paths)
     phase("load")
     if not all(n in staged for n in MODEL_SOURCES):
         return finish("SUCCESS")
 
-    # gold mart and models from the staged silver tables (A10); mart and the
+    # gold mart and models (A10) from tables staged by encounter, which all models share; mart and the
     # intermediate model are independent, the census reads the written model
-    mart = gold.patient_encounter_mart(staged["patients"], staged["encounters"], staged["labs"],
-                                       staged["billing"], cfg.as_of)
-    paths["mart_patient_encounters"] = os.path.join(stage, "marts", "mart_patient_encounters")
+    known = [prints[n] for n in MODEL_SOURCES]
+    models = combined("models", known) if all(known) else None
+    at = {n: os.path.join(stage, layer, n) for n, layer in (("mart_patient_encounters", "marts"), ("mart_daily_census", "marts"),
+                                                            ("int_patient_encounters", "intermediate"))}
+    by_key = os.path.join(stage, "by_encounter")
+
+    def stage_facts() -> dict:
+        by_encounter.stage(*(staged[n] for n in MODEL_SOURCES), by_key)
+        return {}
+
+    progress.step("by_encounter", models, stage_facts)
+    facts = by_encounter.open_staged(spark, by_key)
+    phase("by_encounter")
     stg_p = sinks.materialize(gold.stg_patients(staged["patients"], cfg.as_of, cfg.run_id), "stg_patients",
                               "STAGING", as_view=True)
     stg_e = sinks.materialize(gold.stg_encounters(staged["encounters"], cfg.as_of), "stg_encounters",
                               "STAGING", as_view=True)
-    built = _concurrently({
-        "mart": lambda: sinks.load(mart, "mart_patient_encounters", "replace",
-                                   schema=TARGETS["mart_patient_encounters"], path=paths["mart_patient_encounters"]),
-        "int": lambda: sinks.materialize(gold.int_patient_encounters(stg_p, stg_e, staged["labs"], staged["billing"],
-                                                                     cfg.as_of),
-                                         "int_patient_encounters", "INTERMEDIATE", path=stage)})
-    loaded["mart_patient_encounters"] = built["mart"]
-    int_pe = built["int"]
+
+    def build_mart() -> dict:
+        return {"rows": sinks.load(by_encounter.patient_encounter_mart(facts, cfg.as_of), "mart_patient_encounters", "replace",
+                                   schema=TARGETS["mart_patient_encounters"], path=at["mart_patient_encounters"])}
+
+    def build_int() -> dict:
+        sinks.materialize(by_encounter.int_patient_encounters(facts, cfg.as_of), "int_patient_encounters", "INTERMEDIATE", path=stage)
+        return {}
+
+    built = _concurrently({"mart": lambda: progress.step("mart", models, build_mart), "int": lambda: progress.step("int", models, build_int)})
+    loaded["mart_patient_encounters"] = built["mart"]["rows"]
+    int_pe = spark.read.parquet(at["int_patient_encounters"])
     phase("mart_and_int")
-    census = sinks.materialize(gold.mart_daily_census(int_pe, cfg.as_of), "mart_daily_census", "MARTS", path=stage)
+
+    def build_census() -> dict:
+        sinks.materialize(gold.mart_daily_census(int_pe, cfg.as_of), "mart_daily_census", "MARTS", path=stage)
+        return {}
+
+    progress.step("census", models, build_census)
+    census = spark.read.parquet(at["mart_daily_census"])
     phase("census")
-    paths["int_patient_encounters"] = os.path.join(stage, "intermediate", "int_patient_encounters")
-    paths["mart_daily_census"] = os.path.join(stage, "marts", "mart_daily_census")
+    paths.update(at)
     tests = quality.declared_model_tests(stg_p, stg_e, int_pe, census).cache()              # Q13
     sinks.write_json_report(tests, os.path.join(stage, "reports", "model_tests"))
     failed = tests.where("failures > 0").count()  # one row per declared test
@@ -216,11 +264,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 
 
 def _finish(spark, cfg, started, started_at, status, score, gate, records, staged, loaded, paths, source_rows,
-            phases=None) -> RunResult:
+            phases=None, skipped=()) -> RunResult:
     minutes = (time.time() - started) / 60
     metrics = {"run_id": cfg.run_id, "mode": cfg.mode, "records": records, "staged": staged, "loaded": loaded,
                "quality_score": score, "gate_passed": gate, "sla_target_minutes": C.SLA_MINUTES,
-               "sla_met": minutes <= C.SLA_MINUTES, "paths": paths, "phase_seconds": phases or {}}
+               "sla_met": minutes <= C.SLA_MINUTES, "paths": paths, "phase_seconds": phases or {}, "skipped_steps": sorted(skipped)}
     run_row = spark.createDataFrame(
         [(cfg.run_id, started_at.isoformat(), _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(),
           status, int(sum(records.values())), float(score) if score is not None else None, round(minutes, 2),
@@ -235,4 +283,4 @@ def _finish(spark, cfg, started, started_at, status, score, gate, records, stage
     sinks.write_json_report(run_row, os.path.join(reports, "run_summary"))
     counts = spark.createDataFrame(sorted(loaded.items()), "table_name string, row_count long")
     sinks.write_json_report(counts, os.path.join(reports, "table_counts"))
-    return RunResult(cfg.run_id, status, score, gate, records, staged, loaded, round(minutes, 2), paths, phases or {})
+    return RunResult(cfg.run_id, status, score, gate, records, staged, loaded, round(minutes, 2), paths, phases or {}, sorted(skipped))

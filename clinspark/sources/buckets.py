@@ -1,9 +1,9 @@
 """Tables laid out in buckets of a key, so that joins and aggregations on the key read them without an exchange.
 
 A table is written once through Spark's bucketed writer. The files alone do not tell how they are
-bucketed (the catalog does), so a small record beside them keeps the layout, and ``read``
-enters the table into the catalog of a session that has not written it. Every write goes to
-a folder and a catalog name of its own: an entry never describes other files than its own.
+bucketed (a catalog does), so a small record beside them keeps the layout, and any session can read them.
+Catalog entries serve to write or resolve a table and are dropped at once: nothing is left in a
+shared catalog, and no entry can describe other files than its own. Every write has a folder of its own.
 """
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-LAYOUT = "name string, folder string, key string, buckets int, columns string, info string"
+LAYOUT = "folder string, key string, buckets int, columns string, info string"
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -28,13 +28,18 @@ def write(df: DataFrame, path: str, key: str, buckets: int | None = None, info:
     """
     spark = df.sparkSession
     n = buckets or bucket_count(spark)
-    mark = uuid.uuid4().hex
-    name, folder = f"clinspark_bucketed_{mark}", f"{path.rstrip('/')}/data-{mark}"
+    name, folder = _name(), f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
     # dealt by the key first, so that a task writes one file for each bucket it holds, not one for each there is
     (df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").option("path", folder).saveAsTable(name))
-    layout = [(name, folder, key, n, spark.table(name).schema.json(), json.dumps(info or {}))]
-    spark.createDataFrame(layout, LAYOUT).coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/layout")
-    return spark.table(name)
+    columns = spark.table(name).schema.json()
+    spark.sql(f"DROP TABLE {name}")  # the entry alone: a table with a path keeps its files
+    spark.createDataFrame([(folder, key, n, columns, json.dumps(info or {}))], LAYOUT).coalesce(1).write.mode("overwrite").json(
+        f"{path.rstrip('/')}/layout")
+    return read(spark, path)
+
+
+def _name() -> str:
+    return f"clinspark_bucketed_{uuid.uuid4().hex}"
 
 
 def _layout(spark: SparkSession, path: str):
@@ -47,12 +52,14 @@ def info_of(spark: SparkSession, path: str) -> dict:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The table under ``path`` with its buckets, whichever session wrote it."""
-    at = _layout(spark, path)
-    if not spark.catalog.tableExists(at["name"]):
-        schema = StructType.fromJson(json.loads(at["columns"]))
-        quoted = lambda s: "`" + s.replace("`", "``") + "`"
-        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-        folder = at["folder"].replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {at['name']} ({columns}) USING parquet CLUSTERED BY ({quoted(at['key'])}) "
-                  f"SORTED BY ({quoted(at['key'])}) INTO {at['buckets']} BUCKETS LOCATION '{folder}'")
-    return spark.table(at["name"])
+    at, name = _layout(spark, path), _name()
+    schema = StructType.fromJson(json.loads(at["columns"]))
+    quoted = lambda s: "`" + s.replace("`", "``") + "`"
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    folder = at["folder"].replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({quoted(at['key'])}) "
+              f"SORTED BY ({quoted(at['key'])}) INTO {at['buckets']} BUCKETS LOCATION '{folder}'")
+    try:
+        return spark.table(name)  # resolved here, files and buckets included
+    finally:
+        spark.sql(f"DROP TABLE {name}")

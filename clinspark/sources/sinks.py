@@ -122,6 +122,24 @@ def materialize(df: DataFrame, name: str, layer: str, as_view: bool = False, pat
     return df.sparkSession.table(name)
 
 
+def publish(spark: SparkSession, database: str, tables: Mapping[str, str], home: str) -> None:
+    """A10: the tables (name -> folder) under their names in a database of the catalog.
+
+    A name is a view of the folder, replaced as a whole: readers find the table as it was or as it is,
+    never none, and queries that began on the former folder go on with it. A database that does
+    not exist is created at ``home``.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    whole = lambda p: path(p).getFileSystem(conf).makeQualified(path(p)).toString()
+    quoted = lambda s: "`" + s.replace("`", "``") + "`"
+    if not spark.catalog.databaseExists(database):
+        at = whole(home).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION '{at}'")
+    for name, folder in tables.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(database)}.{quoted(name)} AS SELECT * FROM parquet.{quoted(whole(folder))}")
+
+
 def write_json_report(df: DataFrame, path: str) -> None:
     """A small report frame as one JSON-lines file (bounded size: one row per check/source)."""
     df.coalesce(1).write.mode("overwrite").json(path)

@@ -2,13 +2,15 @@
 import os
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from clinspark.operators import quality
-from clinspark.plans import catalog_more
+from clinspark.plans import batch, catalog_more
 from clinspark.plans.batch import RunConfig, run
 from clinspark.schemas import TARGETS
 from clinspark.sources import testdata
+from clinspark.sources.progress import Progress
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,3 +132,77 @@ def test_undeclared_sources_are_skipped(spark, tmp_dir):
     labs = {"labs": _declared(spark, tmp_dir)["labs"]}
     res = run(spark, RunConfig(None, tmp_dir, sources=labs, threshold=0.5, run_id="labs"))
     assert res.status == "SUCCESS" and res.loaded == {"raw_labs": 6000}
+
+
+def _tables(spark, res):
+    return {n: sorted(map(str, spark.read.parquet(p).collect())) for n, p in res.paths.items()}
+
+
+def test_a_killed_run_goes_on(spark, tmp_dir, monkeypatch):
+    """After a kill behind the staging writes no source is read again, after one in the models only these are built; the end is equal."""
+    given = _declared(spark, tmp_dir)
+    whole = run(spark, RunConfig(None, os.path.join(tmp_dir, "a"), sources=given, run_id="r"))
+    out = os.path.join(tmp_dir, "b")
+    cfg = lambda: RunConfig(None, out, sources=given, run_id="r", resume=True)
+
+    def killed(*_args, **_how):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(quality, "run_checks", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, cfg())
+    wrote = []
+    original = batch.sinks.load_measured
+    with monkeypatch.context() as m:
+        m.setattr(batch.sinks, "load_measured", lambda df, target, *a, **k: wrote.append((target, a)) or original(df, target, *a, **k))
+        m.setattr(batch.gold, "mart_daily_census", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, cfg())
+    assert wrote and not [a for _, a in wrote if "silver" in str(a)]         # loads only: nothing was staged again
+    res = run(spark, cfg())
+    assert {s for s in res.skipped if not s.startswith("load-")} == {f"silver-{n}" for n in given} | {"by_encounter", "mart", "int"}
+    assert (res.status, res.loaded, res.records, res.overall_score) == (whole.status, whole.loaded, whole.records, whole.overall_score)
+    assert _tables(spark, res) == _tables(spark, whole)
+    # a source with one more file is read again, and what follows from it; the others are not
+    spark.read.schema(given["labs"]["schema"]).parquet(given["labs"]["path"]).limit(5).withColumn(
+        "lab_result_id", F.concat(F.lit("again-"), "lab_result_id")).write.mode("append").parquet(given["labs"]["path"])
+    more = run(spark, cfg())
+    assert more.staged["labs"] == 6005 and more.loaded["raw_labs"] == 6005
+    assert set(more.skipped) == {f"{k}-{n}" for n in given if n != "labs" for k in ("silver",)} | {
+        f"load-raw_{n}" for n in given if n != "labs"}
+    # without resume every step is done
+    assert run(spark, RunConfig(None, out, sources=given, run_id="r", mode="validate-only")).skipped == []
+
+
+def test_a_step_broken_off_is_done_anew(spark, tmp_dir):
+    """A note of an earlier run does not outlive the start of its step."""
+    work = iter([{"n": 1}, None, {"n": 3}])
+
+    def do():
+        got = next(work)
+        if got is None:
+            raise RuntimeError("killed")
+        return got
+
+    assert Progress(spark, tmp_dir).step("s", "x", do) == {"n": 1}
+    with pytest.raises(RuntimeError):
+        Progress(spark, tmp_dir).step("s", "x", do)
+    again = Progress(spark, tmp_dir, resume=True)
+    assert again.step("s", "x", do) == {"n": 3} and again.skipped == []
+    assert again.step("s", "x", do) == {"n": 3} and again.skipped == ["s"]
+
+
+def test_tables_in_the_catalog(spark, tmp_dir):
+    """The tables of a successful run get their names; a failed one changes nothing, the next successful one replaces all."""
+    db = f"clinic_{os.path.basename(tmp_dir).replace('-', '_').lower()}"
+    run(spark, RunConfig(SF, tmp_dir, mode="full", run_id="one", database=db))
+    names = {t.name for t in spark.catalog.listTables(db) if t.namespace}
+    assert names == {f"raw_{n}" for n in testdata.SOURCES} | {"mart_patient_encounters", "int_patient_encounters", "mart_daily_census"}
+    assert spark.table(f"{db}.raw_labs").count() == 6000 and spark.table(f"{db}.raw_labs").schema == TARGETS["raw_labs"]
+    declared = _declared(spark, tmp_dir, ["staff"])
+    run(spark, RunConfig(None, tmp_dir, sources=declared, threshold=1.01, run_id="bad", database=db))
+    assert spark.table(f"{db}.raw_staff").count() > 0
+    run(spark, RunConfig(None, tmp_dir, sources=declared, run_id="two", database=db))
+    assert spark.table(f"{db}.raw_staff").count() == 0 and spark.table(f"{db}.mart_patient_encounters").count() == 1500
+    spark.sql(f"DROP DATABASE {db} CASCADE")
