@@ -239,6 +239,30 @@ def _arrivals(spark, sf_dir, times: int = 4):
     return [dealt.where(F.col("_at") == i).drop("_at") for i in range(times)]
 
 
+_ACCOUNT_SQL = """WITH b AS (SELECT min(ts) AS first, max(ts) AS last FROM events),
+e AS (SELECT ts, upper(event_type) AS icu_unit, coalesce(least(date_diff('microsecond', first, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 DAY
+        ELSE ts END) // greatest(1, date_diff('microsecond', first, last) // 4), 3), 0) AS delivery FROM events, b),
+m AS (SELECT delivery, max(ts) AS top FROM e GROUP BY 1),
+w AS (SELECT x.delivery, max(y.top) - INTERVAL 10 MINUTE AS mark FROM m x JOIN m y ON y.delivery < x.delivery GROUP BY 1),
+r AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, icu_unit, ts IS NULL OR coalesce(ts <= mark, false) AS late
+      FROM e LEFT JOIN w USING (delivery)),
+c AS (SELECT window_start, icu_unit, count(*) FILTER (NOT late) AS on_time_rows, count(*) FILTER (late) AS late_rows FROM r GROUP BY 1, 2)
+SELECT window_start, icu_unit, on_time_rows, late_rows,
+  CASE WHEN on_time_rows > 0 AND window_start + INTERVAL 5 MINUTE <= last - INTERVAL 10 MINUTE THEN on_time_rows END AS counted_readings
+FROM c, b"""
+
+
+@register("stream_window_account", _ACCOUNT_SQL)
+def stream_window_account(spark, sf_dir):
+    """Four deliveries, some rows a day late: per window the rows on time, the readings counted, the late rows."""
+    from ..streaming import icu
+    source, target = _folder(spark, "arriving"), _folder(spark, "accounted")
+    for delivery in _arrivals(spark, sf_dir):
+        delivery.write.mode("append").parquet(source)
+        icu.run_accounted_windows(spark, source, target)
+    return icu.window_account(spark, target)
+
+
 @register("stream_silver", _doubles_sql(V("SELECT * FROM icu_vitals", "icu_vitals"),
                                         _RAW_DOUBLES["icu_vitals"] + ["hr_rolling_avg", "map_calculated"]))
 def stream_silver(spark, sf_dir):

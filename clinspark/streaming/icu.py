@@ -8,6 +8,10 @@
   dropped (Spark filters late input with the previous micro-batch's
   watermark, so a row is dropped from the second batch after the watermark
   passed it).
+  ``run_accounted_windows`` keeps what comes late: a first job deals each micro-batch to on-time rows and a
+  side table of late ones, by the watermark of the batches before it, and the windows
+  are then those of a job over the on-time rows, of which Spark drops none. ``window_account`` sets
+  both against each other per window.
 * S4 ``refresh_silver``: incremental refresh with ``trigger(availableNow=True)``
   and ``foreachBatch`` into the same silver table as the batch's (P4), its rolling mean (E1)
   included. A micro-batch is rolled together with the readings of its
@@ -102,6 +106,72 @@ def run_alert_windows(spark: SparkSession, path: str, target: str, checkpoint: s
               .trigger(availableNow=True).start())
 
 
+def split_late(batch: DataFrame, epoch: int, target: str, lateness: dt.timedelta = LATENESS) -> None:
+    """One micro-batch's rows to ``ontime`` or, if they are not after the watermark or have no time, to ``late``.
+
+    The watermark is the latest time of the batches before, less ``lateness``; each batch leaves the latest
+    time seen so far (one row) in a folder of its own, written last. A batch that is run again is dealt as
+    before and replaces its own folders.
+    """
+    spark = batch.sparkSession
+    seen = lambda n: os.path.join(target, "seen", f"batch_id={n}")
+    before = spark.read.schema("latest timestamp").parquet(seen(epoch - 1)).first()[0] if epoch else None
+    time = F.col("event_time")
+    late = time.isNull() if before is None else time.isNull() | (time <= F.lit(before - lateness))
+    rows = cut_lineage(batch.withColumn("_late", late), "icu-arrived")
+    for kind, chosen in (("ontime", ~F.col("_late")), ("late", F.col("_late"))):
+        rows.where(chosen).drop("_late").write.mode("overwrite").parquet(os.path.join(target, kind, f"batch_id={epoch}"))
+    latest = F.max("event_time") if before is None else F.greatest(F.max("event_time"), F.lit(before))
+    rows.agg(latest.alias("latest")).coalesce(1).write.mode("overwrite").parquet(seen(epoch))
+
+
+def run_accounted_windows(spark: SparkSession, path: str, target: str, lateness: dt.timedelta = LATENESS,
+                          width: dt.timedelta = dt.timedelta(minutes=5), max_files: int | None = None) -> None:
+    """S2 after S3 over everything available now, with a side table of late rows; run again, it takes up what is new.
+
+    ``target`` holds the closed windows (``windows``), the on-time rows and the late ones. The second job starts when
+    the first has committed its batches, and its watermark is never ahead of the one the rows were dealt by.
+    """
+    seconds = lambda d: f"{d.total_seconds():.0f} seconds"
+    (vitals_stream(spark, path, max_files=max_files).writeStream
+        .foreachBatch(lambda batch, epoch: split_late(batch, epoch, target, lateness))
+        .option("checkpointLocation", _checkpoint(spark, "split", target)).trigger(availableNow=True).start().awaitTermination())
+    ontime = spark.readStream.schema(vitals_stream(spark, path).schema).parquet(os.path.join(target, "ontime", "*"))
+    counted = alert_windows(dedup_vitals(with_watermark(ontime, seconds(lateness))), seconds(width), watermark=None)
+    (counted.writeStream.outputMode("append").format("parquet").option("path", os.path.join(target, "windows"))
+            .option("checkpointLocation", _checkpoint(spark, "accounted", target)).trigger(availableNow=True).start().awaitTermination())
+
+
+def read_windows(spark: SparkSession, target: str) -> DataFrame:
+    """The closed windows of ``run_accounted_windows``."""
+    return spark.read.parquet(os.path.join(target, "windows"))
+
+
+def read_late_arrivals(spark: SparkSession, target: str) -> DataFrame:
+    """The late rows of ``run_accounted_windows``, with the batch that brought them."""
+    at = os.path.join(target, "late")
+    return spark.read.option("basePath", at).parquet(at)
+
+
+def window_account(spark: SparkSession, target: str, width: dt.timedelta = dt.timedelta(minutes=5)) -> DataFrame:
+    """Per window and unit: rows on time, readings counted (NULL while the window is open), late rows.
+
+    On-time and late rows add up to all input; on-time rows of a closed window that are not counted are repeats. Rows
+    without a time are late, in a window NULL. Three counts combined map-side, one exchange.
+    """
+    micros = int(width.total_seconds() * 1e6)
+    at = F.unix_micros("event_time")
+    start = F.timestamp_micros(at - F.pmod(at, F.lit(micros))).cast("timestamp_ntz").alias("window_start")
+    arrived = lambda kind: os.path.join(target, kind, "*")
+    none = F.lit(None).cast("long")
+    parts = [spark.read.parquet(arrived("ontime")).select(start, "icu_unit", F.lit(1).cast("long").alias("on"), none.alias("counted"), none.alias("late")),
+             spark.read.parquet(arrived("late")).select(start, "icu_unit", none.alias("on"), none.alias("counted"), F.lit(1).cast("long").alias("late")),
+             read_windows(spark, target).select("window_start", "icu_unit", none.alias("on"), F.col("readings").alias("counted"), none.alias("late"))]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return (parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("window_start", "icu_unit")
+            .agg(total("on").alias("on_time_rows"), F.sum("counted").alias("counted_readings"), total("late").alias("late_rows")))
+
+
 def _state(spark: SparkSession, target: str, parts: int) -> Versions:
     return Versions(spark, os.path.join(target, "state"), parts)
 
