@@ -83,6 +83,12 @@ def rolling_mean_rows(df: DataFrame, key: str, order: Sequence[str], value: str,
                 .drop("_pos", "_bucket", "_is_halo"))
 
 
+def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
+    """Rows with their bucket of time; rows without a time have one of their own, before all others."""
+    return (df.withColumn("_bucket", F.coalesce(bucket, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
+              .withColumn("_is_halo", F.lit(False)))
+
+
 def rolling_mean_time(df: DataFrame, key: str, ts: str, value: str, minutes: int,
                       out: str, bucket_minutes: int = 60) -> DataFrame:
     """Mean of ``value`` over rows of the same key with ts in [ts - minutes, ts].
