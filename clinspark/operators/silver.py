@@ -74,9 +74,9 @@ def transform_icu_vitals(raw: DataFrame, as_of: _dt.datetime = C.AS_OF, rolling:
 
 
 def hr_rolling_5min(vitals: DataFrame, minutes: int = 5) -> DataFrame:
-    """Time-based rolling mean of heart rate over the preceding 5 minutes."""
+    """Time-based rolling mean of heart rate over the preceding 5 minutes; readings of no known patient are one group, as in its SQL."""
     out = rolling_mean_time(vitals.select("vital_id", "patient_id", "timestamp", "heart_rate"),
-                            "patient_id", "timestamp", "heart_rate", minutes, "_hr5")
+                            "patient_id", "timestamp", "heart_rate", minutes, "_hr5", null_key=True)
     return out.withColumn("hr_avg_5min", H.round_half_up("_hr5", 1)).drop("_hr5")
 
 

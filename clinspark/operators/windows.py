@@ -90,25 +90,27 @@ def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
 
 
 def rolling_mean_time(df: DataFrame, key: str, ts: str, value: str, minutes: int,
-                      out: str, bucket_minutes: int = 60) -> DataFrame:
+                      out: str, bucket_minutes: int = 60, null_key: bool = False) -> DataFrame:
     """Mean of ``value`` over rows of the same key with ts in [ts - minutes, ts].
 
     Every key is bucketed by ``bucket_minutes``; rows in the last ``minutes`` of
     a bucket are copied into the next bucket as halo, then the RANGE frame runs
     per (key, bucket). Rows without a time share a frame of their own.
+    Rows with a NULL key get NULL, or with ``null_key`` are a key like any other, as SQL has them.
     Needs bucket_minutes >= minutes.
     """
     if bucket_minutes < minutes:
         raise ValueError("bucket must be at least as long as the window")
+    keyed = F.lit(True) if null_key else F.col(key).isNotNull()
     width = bucket_minutes * 60
     start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / width) * width).cast("timestamp_ntz")
     body = _bucketed(df, start)
     nxt = F.timestamp_add("MINUTE", F.lit(bucket_minutes), F.col("_bucket"))
-    halo = (body.where(F.col(key).isNotNull() & (F.col(ts) >= F.timestamp_add("MINUTE", F.lit(-minutes), nxt)))
+    halo = (body.where(keyed & (F.col(ts) >= F.timestamp_add("MINUTE", F.lit(-minutes), nxt)))
                 .select(key, ts, value, nxt.alias("_bucket"), F.lit(True).alias("_is_halo")))
     both = body.unionByName(halo, allowMissingColumns=True)
     frame_sql = (f"avg(`{value}`) OVER (PARTITION BY `{key}`, _bucket ORDER BY `{ts}` "
                  f"RANGE BETWEEN INTERVAL {minutes} MINUTES PRECEDING AND CURRENT ROW)")
-    return (both.withColumn(out, F.when(F.col(key).isNotNull(), F.expr(frame_sql)))
+    return (both.withColumn(out, F.when(keyed, F.expr(frame_sql)))
                 .where(~F.col("_is_halo"))
                 .drop("_bucket", "_is_halo"))

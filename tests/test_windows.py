@@ -122,12 +122,12 @@ def test_rolling_5min_of_silver_rows(spark):
     """E3 as the query has it: the window reaches over the edge of an hour, and is closed at both ends; rows without a time or a patient."""
     at = lambda h, m, s=0: dt.datetime(2024, 1, 1, h, m, s)
     rows = [(1, 7, at(9, 55), 60.0), (2, 7, at(10, 0), 70.0), (3, 7, at(10, 0, 1), 80.0), (4, 7, at(10, 0, 1), None),
-            (5, 7, None, 50.0), (6, 7, None, 51.0), (7, None, at(10, 0), 90.0), (8, 8, at(10, 0), None)]
+            (5, 7, None, 50.0), (6, 7, None, 51.0), (7, None, at(9, 58), 90.0), (8, None, at(10, 2), 92.0), (9, 8, at(10, 0), None)]
     df = spark.createDataFrame(rows, "vital_id long, patient_id long, timestamp timestamp_ntz, heart_rate double")
     out = hr_rolling_5min(df)
     assert out.columns == [*df.columns, "hr_avg_5min"]
     assert {r.vital_id: r.hr_avg_5min for r in out.collect()} == {
-        1: 60.0, 2: 65.0, 3: 75.0, 4: 75.0, 5: 50.5, 6: 50.5, 7: None, 8: None}
+        1: 60.0, 2: 65.0, 3: 75.0, 4: 75.0, 5: 50.5, 6: 50.5, 7: 90.0, 8: 91.0, 9: None}
 
 
 def test_keep_last_dedup_sixty_to_fifty(spark):
