@@ -6,6 +6,7 @@ import subprocess
 import sys
 import textwrap
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,20 @@ def test_load_returns_rows_and_skips_empty(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(tmp_dir, "p")).count() == 4
 
 
+def test_loaded_files_have_no_dictionaries_and_the_same_rows(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    df = spark.range(2000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("P\u00e9 "), F.col("id") % 5)).alias("text"), "id")
+    assert sinks.load(df, "t", "replace", path=path) == 2000
+    assert sinks.load(df.where("id < 10"), "t", "append", path=path) == 10
+    back = spark.read.parquet(path)
+    assert back.exceptAll(df.unionAll(df.where("id < 10"))).isEmpty() and back.count() == 2010
+    for part in (os.path.join(path, n) for n in os.listdir(path) if n.endswith(".parquet")):
+        meta = pq.ParquetFile(part).metadata
+        for group in (meta.row_group(g) for g in range(meta.num_row_groups)):
+            columns = [group.column(c) for c in range(group.num_columns)]
+            assert {(c.compression, c.has_dictionary_page) for c in columns} == {("ZSTD", False)}
+
+
 def test_table_counts(spark):
     a = spark.range(3)
     b = spark.range(0)
