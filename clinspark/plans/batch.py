@@ -3,8 +3,8 @@
 Write-audit-publish instead of load-after-check: silver tables are written
 once to the run's staging folder, and these writes also measure the row-local
 quality rules and the transform statistics (D12). The suite then reads only the key
-columns of the staged tables, and only a passed gate loads the nine source
-tables in their declared schemas (A4, A8) and builds the models. A failed gate
+columns of the staged tables, and only a passed gate builds the models and loads the
+nine source tables in their declared schemas (A4, A8). A failed gate
 leaves nothing loaded (Q10); ``staged`` and ``loaded`` are counted apart. Every
 write goes to shared storage, so a lost executor only re-runs its tasks.
 
@@ -14,8 +14,9 @@ declared is skipped; one without rows is staged empty, not checked and loaded
 empty. The mart and the models need patients, encounters, labs and billing.
 
 The models are built from staged tables in buckets of the encounter (``operators.staged``), so facts are shuffled
-once however many models read them. With ``database`` the loaded tables and the models of a successful run get
-their names in that database of the catalog.
+once however many models read them. A query's shuffle files go when it ends, and loading, which
+shuffles nothing, comes last, so the disk holds little beside the run's tables. With ``database`` the loaded tables
+and the models of a successful run get their names in that database of the catalog.
 
 Every step (a source's staging, a load, a model) is noted when done. A run that was killed goes on with ``resume`` and
 its run id: a source whose files and declaration are unchanged is not read again, nor is what was
@@ -45,6 +46,7 @@ from .. import config as C
 from ..operators import gold, quality, silver
 from ..operators import staged as by_encounter
 from ..schemas import TARGETS
+from ..session import cut_lineage, shuffles_freed
 from ..sources import sinks, testdata
 from ..sources.progress import Progress, combined, input_files
 from ..sources.readers import read_source
@@ -107,6 +109,11 @@ def _concurrently(tasks: dict, workers: int = 8) -> dict:
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
+    with shuffles_freed(spark):
+        return _run(spark, cfg)
+
+
+def _run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     started = time.time()
     started_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     stage = os.path.join(cfg.out_dir, "runs", cfg.run_id)
@@ -145,7 +152,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
             part, cluster = PARTITIONS.get(name, (None, None))
             stats = {f"stat {k}": v for k, v in silver.stats_metrics(name, copies).items()}
             rules = quality.rule_metrics(df, quality.suite_rules(name, df), cfg.as_of) if checked and name in quality.SUITE_ORDER else {}
-            return sinks.load_measured(df, table, "replace", path, part, cluster, stats | rules, [copies] if copies else [])
+            return sinks.load_measured(df, table, "replace", path, part, cluster, stats | rules, [copies] if copies else [],
+                                       sinks.TYPED_FILES)
 
         got = progress.step(f"silver-{name}", inputs, write)
         return path, got, time.time() - t0, inputs
@@ -174,8 +182,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     overall_score, gate = None, None
     if checked:
         data = {n: staged[n] for n in quality.SUITE_ORDER if records.get(n)}
-        # one row per check: small, so cached once and reused by the gate and all reports
-        checks = quality.run_checks(data, staged.get("patients"), cfg.as_of, True, measured).cache()
+        # one row per check: small, so written once and read by the gate and all reports
+        checks = cut_lineage(quality.run_checks(data, staged.get("patients"), cfg.as_of, True, measured), "checks")
         scores = quality.score_sources(checks, cfg.threshold)
         summary = quality.overall(scores, cfg.threshold)
         report = os.path.join(stage, "reports")
@@ -187,10 +195,9 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         row = summary.first()  # one row: the gate decision is the only value the driver needs
         overall_score, gate = float(row["overall_score"]), bool(row["gate_passed"])
         # Fan-out guard: patients are unique by MRN after dedup, not by id; the
-        # mart's patient join must not multiply encounters (one cached row).
+        # mart's patient join must not multiply encounters (one row).
         dup = checks.where((F.col("source") == "patients") & (F.col("check") == "unique::patient_id")).first()
         fanout = dup is not None and dup["violations"] > 0
-        checks.unpersist()     # the staged files may be replaced by a later run of the same id
         phase("quality_gate")
         if fanout and gate and cfg.mode != "validate-only":
             return finish("PATIENT_ID_NOT_UNIQUE")
@@ -208,10 +215,13 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         write = lambda: {"rows": sinks.load(staged[n], t, "replace", schema=TARGETS[t], path=raw_paths[t])}
         return progress.step(f"load-{t}", prints[n], write)["rows"]
 
-    loaded.update(_concurrently({t: (lambda n=n, t=t: load_one(n, t)) for n, t in LOAD_TABLES.items() if n in names}))
-    paths.update(raw_paths)
-    phase("load")
+    def load_all(mart: dict) -> None:
+        loaded.update(_concurrently({t: (lambda n=n, t=t: load_one(n, t)) for n, t in LOAD_TABLES.items() if n in names}) | mart)
+        paths.update(raw_paths)
+        phase("load")
+
     if not all(n in staged for n in MODEL_SOURCES):
+        load_all({})
         return finish("SUCCESS")
 
     # gold mart and models (A10) from tables staged by encounter, which all models share; mart and the
@@ -243,7 +253,6 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         return {}
 
     built = _concurrently({"mart": lambda: progress.step("mart", models, build_mart), "int": lambda: progress.step("int", models, build_int)})
-    loaded["mart_patient_encounters"] = built["mart"]["rows"]
     int_pe = spark.read.parquet(at["int_patient_encounters"])
     phase("mart_and_int")
 
@@ -255,11 +264,12 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     census = spark.read.parquet(at["mart_daily_census"])
     phase("census")
     paths.update(at)
-    tests = quality.declared_model_tests(stg_p, stg_e, int_pe, census).cache()              # Q13
+    tests = cut_lineage(quality.declared_model_tests(stg_p, stg_e, int_pe, census), "model_tests")  # Q13
     sinks.write_json_report(tests, os.path.join(stage, "reports", "model_tests"))
     failed = tests.where("failures > 0").count()  # one row per declared test
-    tests.unpersist()
     phase("model_tests")
+    # loading shuffles nothing: last, it does not lie beside the shuffles of the models
+    load_all({"mart_patient_encounters": built["mart"]["rows"]})
     return finish("MODEL_TESTS_FAILED" if failed else "SUCCESS")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +92,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+SHUFFLES_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Inside, shuffle files go when the query that wrote them ends, on all executors.
+
+    Otherwise they stay until the driver happens to collect its garbage, so a job of many queries piles up
+    the shuffles of all. For queries that run once each: one run again on the same plan does its shuffles
+    anew. The caller's setting is put back; Spark before 4.1 takes no notice of it.
+    """
+    before = spark.conf.get(SHUFFLES_FREED, None)
+    spark.conf.set(SHUFFLES_FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_FREED)
+        else:
+            spark.conf.set(SHUFFLES_FREED, before)
+
+
 def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Materialise ``df`` as parquet under the shared checkpoint folder and read it back.
 

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .sinks import TYPED_FILES
+
 LAYOUT = "folder string, key string, buckets int, columns string, info string"
 
 
@@ -30,7 +32,8 @@ def write(df: DataFrame, path: str, key: str, buckets: int | None = None, info:
     n = buckets or bucket_count(spark)
     name, folder = _name(), f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
     # dealt by the key first, so that a task writes one file for each bucket it holds, not one for each there is
-    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").option("path", folder).saveAsTable(name))
+    (df.repartition(n, key).write.options(**TYPED_FILES).bucketBy(n, key).sortBy(key).format("parquet").option("path", folder)
+       .saveAsTable(name))
     columns = spark.table(name).schema.json()
     spark.sql(f"DROP TABLE {name}")  # the entry alone: a table with a path keeps its files
     spark.createDataFrame([(folder, key, n, columns, json.dumps(info or {}))], LAYOUT).coalesce(1).write.mode("overwrite").json(

@@ -1,14 +1,17 @@
 """End-to-end batch run on sf0.001."""
 import os
 import re
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from clinspark.operators import quality
+from clinspark.operators import quality, silver
 from clinspark.plans import batch, catalog_more
 from clinspark.plans.batch import RunConfig, run
 from clinspark.schemas import TARGETS
+from clinspark.session import SHUFFLES_FREED, shuffles_freed
 from clinspark.sources import testdata
 from clinspark.sources.progress import Progress
 
@@ -206,3 +209,61 @@ def test_tables_in_the_catalog(spark, tmp_dir):
     run(spark, RunConfig(None, tmp_dir, sources=declared, run_id="two", database=db))
     assert spark.table(f"{db}.raw_staff").count() == 0 and spark.table(f"{db}.mart_patient_encounters").count() == 1500
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Shuffle files that are not in ``before``; they are removed behind the query, so a moment is given."""
+    until = time.time() + 10
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+def test_shuffle_files_go_with_their_queries(spark, tmp_dir):
+    """A run leaves no shuffle file behind, also when the driver collects no garbage; the caller's setting stays."""
+    for given in (None, "false", "true"):
+        spark.conf.unset(SHUFFLES_FREED) if given is None else spark.conf.set(SHUFFLES_FREED, given)
+        kept = spark.conf.get(SHUFFLES_FREED)
+        with pytest.raises(ZeroDivisionError):
+            with shuffles_freed(spark):
+                assert spark.conf.get(SHUFFLES_FREED) == "true"
+                raise ZeroDivisionError
+        assert spark.conf.get(SHUFFLES_FREED) == kept
+    spark.conf.unset(SHUFFLES_FREED)
+    before = _shuffle_files(spark)
+    res = run(spark, RunConfig(SF, tmp_dir, run_id="files"))
+    assert res.status == "SUCCESS" and not _left(spark, before)
+    assert spark.conf.get(SHUFFLES_FREED) == "false"
+
+
+def test_loads_come_behind_the_models(spark, tmp_dir, monkeypatch):
+    """No loaded table lies on the disk beside the models' shuffles; what was loaded and noted is as before."""
+    steps, original = [], Progress.step
+    monkeypatch.setattr(Progress, "step", lambda self, name, *a: steps.append(name) or original(self, name, *a))
+    res = run(spark, RunConfig(SF, tmp_dir, run_id="order"))
+    loads = {f"load-raw_{n}" for n in testdata.SOURCES}
+    assert res.status == "SUCCESS" and set(steps[-len(loads):]) == loads and "census" in steps[:-len(loads)]
+    assert [*res.loaded] == [*batch.LOAD_TABLES.values(), "mart_patient_encounters"]
+
+
+def test_tables_of_a_run_are_written_small(spark, tmp_dir):
+    """Staged tables, buckets and models: zstd, and differences where ids do not repeat."""
+    res = run(spark, RunConfig(SF, tmp_dir, run_id="small"))
+    top = os.path.join(tmp_dir, "runs", "small")
+    codecs, ids = set(), set()
+    for folder in [*(res.paths[n] for n in testdata.SOURCES), os.path.join(top, "by_encounter"), res.paths["int_patient_encounters"],
+                   res.paths["mart_daily_census"]]:
+        for at, _, names in os.walk(folder):
+            for meta in (pq.ParquetFile(os.path.join(at, n)).metadata for n in names if n.endswith(".parquet")):
+                columns = [meta.row_group(g).column(c) for g in range(meta.num_row_groups) for c in range(meta.num_columns)]
+                codecs |= {c.compression for c in columns}
+                ids |= {e for c in columns if c.path_in_schema in ("lab_result_id", "claim_id", "study_id") for e in c.encodings}
+    assert codecs == {"ZSTD"} and "DELTA_BYTE_ARRAY" in ids
+    want = silver.to_silver("labs", testdata.bronze(spark, SF, "labs"))
+    got = spark.read.parquet(res.paths["labs"])
+    assert got.dtypes == want.dtypes and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinspark.schemas import TARGETS, conform
-from clinspark.sources import readers, sinks
+from clinspark.sources import buckets, readers, sinks
 
 
 def test_load_returns_rows_and_skips_empty(spark, tmp_dir):
@@ -39,6 +39,34 @@ def test_loaded_files_have_no_dictionaries_and_the_same_rows(spark, tmp_dir):
             assert {(c.compression, c.has_dictionary_page) for c in columns} == {("ZSTD", False)}
 
 
+def test_typed_files_give_back_every_value(spark, tmp_dir):
+    """Values at the ends of their types, repeated, rising and absent ones, through the encodings of typed tables."""
+    i = F.col("id")
+    df = spark.range(30000).select(
+        "id", F.when(i % 3 > 0, i * 7919 % 100003 - 50000).alias("long"), F.when(i % 2 == 0, F.lit(-2**63)).otherwise(F.lit(2**63 - 1)).alias("ends"),
+        (i % 5).cast("int").alias("few"), F.lit(None).cast("string").alias("none"),
+        F.when(i % 7 > 0, F.concat(F.lit("LAB-\u00e9-"), i, F.lit("-"), F.hash(i))).alias("text"),
+        F.when(i % 11 == 0, F.lit("")).otherwise(F.repeat(F.lit("x"), (i % 40).cast("int"))).alias("blank"),
+        F.when(i % 4 == 0, F.lit(float("nan"))).when(i % 4 == 1, F.lit(-0.0)).otherwise(i / 7).alias("real"),
+        F.when(i % 5 > 0, i % 3 == 0).alias("flag"), F.date_add(F.lit("0001-01-01").cast("date"), i.cast("int")).alias("day"),
+        F.timestamp_add("SECOND", i * 86399, F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")).alias("at"),
+        F.timestamp_micros(i * 1234567).alias("instant"))
+    sinks.load_measured(df, "t", "replace", os.path.join(tmp_dir, "a"), options=sinks.TYPED_FILES)
+    sinks.load_measured(df, "t", "replace", os.path.join(tmp_dir, "b"), ["few"], ["id"], options=sinks.TYPED_FILES)
+    back = [spark.read.parquet(os.path.join(tmp_dir, "a")), spark.read.parquet(os.path.join(tmp_dir, "b")),
+            sinks.materialize(df, "t", "MARTS", path=tmp_dir), buckets.write(df, os.path.join(tmp_dir, "c"), "long", 5)]
+    want = df.selectExpr("id AS _id", "struct(*) AS _want")
+    for got in back:
+        got = got.select(*df.columns)
+        assert got.count() == 30000
+        # row by row, with a NULL equal to a NULL
+        assert got.select("id", F.struct("*").alias("_got")).join(want, F.col("id") == F.col("_id")).where(F.col("_got").eqNullSafe(F.col("_want"))).count() == 30000
+    meta = pq.ParquetFile(next(os.path.join(tmp_dir, "a", n) for n in os.listdir(os.path.join(tmp_dir, "a")) if n.endswith(".parquet"))).metadata
+    found = {c.path_in_schema: c for c in (meta.row_group(0).column(k) for k in range(meta.num_columns))}
+    assert {c.compression for c in found.values()} == {"ZSTD"}
+    assert "DELTA_BYTE_ARRAY" in found["text"].encodings and "DELTA_BINARY_PACKED" in found["id"].encodings
+
+
 def test_table_counts(spark):
     a = spark.range(3)
     b = spark.range(0)
